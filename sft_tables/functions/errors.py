@@ -26,6 +26,9 @@ FAULT = "struct<code:string,turn:bigint,detail:string>"
 
 
 def fault(code: str | Column, detail: Column | str | None = None, turn: Column | None = None) -> Column:
+    if isinstance(code, str) and turn is None and (detail is None or isinstance(detail, str)):
+        text = "NULL" if detail is None else f"'{detail}'"
+        return F.expr(f"CAST(struct('{code}' AS code, NULL AS turn, {text} AS detail) AS {FAULT})")
     as_col = lambda x: F.lit(x) if x is None or isinstance(x, str) else x
     return F.struct(
         as_col(code).cast("string").alias("code"), as_col(turn).cast("bigint").alias("turn"),

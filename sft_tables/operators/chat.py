@@ -25,31 +25,37 @@ CHATML_TURN = (
 MESSAGES = "array<struct<is_object:boolean,role:string,content:string>>"
 
 
-def _string_at(m: Column, key: str) -> Column:
-    value = F.try_variant_get(m, f"$.{key}", "variant")
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(m, f"$.{key}", "string"))
+def _as_messages(field: str, role_key: str, content_key: str) -> Column:
+    """Array of (is_object, role, content) from a variant list; values that are no strings become NULL."""
+    def text(key: str) -> str:
+        at = f"try_variant_get(m, '$.{key}', "
+        return f"CASE WHEN schema_of_variant({at}'variant')) = 'STRING' THEN {at}'string') END"
 
-
-def _as_messages(items: Column, role_key: str, content_key: str) -> Column:
-    return F.transform(items, lambda m: F.struct(
-        F.try_variant_get(m, "$", "map<string,variant>").isNotNull().alias("is_object"),
-        _string_at(m, role_key).alias("role"), _string_at(m, content_key).alias("content"),
-    )).cast(MESSAGES)
+    return F.expr(
+        f"transform(try_variant_get(v, '$.{field}', 'array<variant>'), m -> struct("
+        f"try_variant_get(m, '$', 'map<string,variant>') IS NOT NULL AS is_object, "
+        f"{text(role_key)} AS role, {text(content_key)} AS content))"
+    ).cast(MESSAGES)
 
 
-def openai_messages(row: JsonRow) -> Column:
-    return _as_messages(row.items("messages"), "role", "content")
+def openai_messages() -> Column:
+    return _as_messages("messages", "role", "content")
 
 
-def sharegpt_messages(row: JsonRow) -> Column:
+def sharegpt_messages() -> Column:
     """from/value pairs; the known speakers are renamed, any other name passes through."""
-    def rename(m: Column) -> Column:
-        role = m["role"]
-        for speaker, known in SPEAKERS.items():
-            role = F.when(m["role"] == speaker, known).otherwise(role)
-        return F.struct(m["is_object"].alias("is_object"), role.alias("role"), m["content"].alias("content"))
+    return F.transform(
+        _as_messages("conversations", "from", "value"),
+        lambda m: m.withField("role", F.coalesce(_case(m["role"], SPEAKERS), m["role"])),
+    ).cast(MESSAGES)
+
 
-    return F.transform(_as_messages(row.items("conversations"), "from", "value"), rename).cast(MESSAGES)
+def _case(value: Column, table: dict[str, str]) -> Column:
+    pairs = list(table.items())
+    case = F.when(value == pairs[0][0], pairs[0][1])
+    for key, result in pairs[1:]:
+        case = case.when(value == key, result)
+    return case
 
 
 def parse_chatml(text: Column) -> Column:
@@ -144,18 +150,16 @@ def message_fault(messages: Column) -> Column:
     ]))
 
 
-def sft_of_messages(messages: Column) -> Column:
+def sft_of_messages(messages: str = "messages") -> Column:
     """Array of (turn, instruction, input, output), one per answered user turn."""
-    def row(m: Column, i: Column) -> Column:
-        earlier = F.slice(messages, F.lit(1), F.greatest(i - 1, F.lit(0)))
-        history = F.array_join(F.transform(earlier, lambda e: F.concat(F.initcap(e["role"]), F.lit(": "), e["content"])), "\n")
-        question = F.get(messages, i - 1)
-        return F.when((m["role"] == "assistant") & (question["role"] == "user"), F.struct(
-            (i + 1).cast("bigint").alias("turn"), question["content"].alias("instruction"),
-            history.alias("input"), m["content"].alias("output"),
-        ))
-
-    return F.filter(F.transform(messages, row), lambda r: r.isNotNull())
+    history = (f"array_join(transform(slice({messages}, 1, greatest(i - 1, 0)), "
+               "e -> concat(initcap(e.role), ': ', e.content)), chr(10))")
+    question = f"get({messages}, i - 1)"
+    return F.expr(
+        f"filter(transform({messages}, (m, i) -> CASE WHEN m.role = 'assistant' AND {question}.role = 'user' THEN "
+        f"struct(CAST(i + 1 AS BIGINT) AS turn, {question}.content AS instruction, {history} AS input, m.content AS output) END), "
+        "r -> r IS NOT NULL)"
+    )
 
 
 def validate_messages(df: DataFrame, keys: list[str], messages: str = "messages") -> DataFrame:
@@ -170,7 +174,7 @@ def expand_messages(df: DataFrame, keys: list[str], messages: str = "messages")
     """SFT rows of valid conversations held as arrays; no shuffle."""
     return (
         df.filter(message_fault(F.col(messages)).isNull())
-        .select(*keys, F.explode(sft_of_messages(F.col(messages))).alias("r")).select(*keys, "r.*")
+        .select(*keys, F.explode_outer(sft_of_messages(messages)).alias("r")).select(*keys, "r.*")
     )
 
 
@@ -229,7 +233,7 @@ def expand_turns(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) ->
     gathered = gather_messages(kept, conv)
     messages = F.col("messages")
     # report the stored turn number of the assistant turn
-    return gathered.select(conv, "messages", F.explode(sft_of_messages(messages)).alias("r")).select(
+    return gathered.select(conv, "messages", F.explode_outer(sft_of_messages()).alias("r")).select(
         conv, F.get(messages, (F.col("r.turn") - 1).cast("int"))["turn"].alias("turn"),
         "r.instruction", "r.input", "r.output",
     )

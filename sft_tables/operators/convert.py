@@ -79,18 +79,21 @@ def chatml_text(row: JsonRow) -> Column:
 
 def chat_messages(row: JsonRow, name: str) -> Column:
     return {
-        "openai_chat": lambda: chat.openai_messages(row), "sharegpt": lambda: chat.sharegpt_messages(row),
+        "openai_chat": lambda: chat.openai_messages(), "sharegpt": lambda: chat.sharegpt_messages(),
         "chatml": lambda: chat.parse_chatml(chatml_text(row)),
     }[name]()
 
 
-def chat_fault(row: JsonRow, name: str, messages: Column) -> Column:
-    structure = {
+def structure_fault(row: JsonRow, name: str) -> Column:
+    return first_fault({
         "openai_chat": lambda: chat.openai_structure_faults(row),
         "sharegpt": lambda: chat.sharegpt_structure_faults(row),
         "chatml": lambda: chat.chatml_structure_faults(chatml_text(row)),
-    }[name]()
-    return F.coalesce(first_fault(structure), chat.message_fault(messages))
+    }[name]())
+
+
+def chat_fault(row: JsonRow, name: str, messages: Column) -> Column:
+    return F.coalesce(structure_fault(row, name), chat.message_fault(messages))
 
 
 def validate_fields(rows: DataFrame, fmt: FieldFormat) -> DataFrame:
@@ -128,7 +131,7 @@ def convert_chat(rows: DataFrame, name: str) -> DataFrame:
     held = once(rows, messages=chat_messages(row, name))
     clean = held.filter(chat_fault(row, name, F.col("messages")).isNull())
     return clean.select(
-        "dataset_id", "row_index", F.explode(chat.sft_of_messages(F.col("messages"))).alias("r")
+        "dataset_id", "row_index", F.explode_outer(chat.sft_of_messages()).alias("r")
     ).select("dataset_id", "row_index", "r.*")
 
 
@@ -171,7 +174,7 @@ class Conversion:
     def rows(self) -> DataFrame:
         return (
             self.checked.filter("fault IS NULL AND NOT gated")
-            .select("dataset_id", "row_index", F.explode("sft").alias("r"))
+            .select("dataset_id", "row_index", F.explode_outer("sft").alias("r"))
             .select("dataset_id", "row_index", "r.turn", "r.instruction", "r.input", "r.output")
         )
 
@@ -225,8 +228,10 @@ def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require:
     problem = F.when(fmt == "qa_json", qa_fault(row))
     for f in FIELD_FORMATS:
         problem = problem.when(fmt == f.name, field_fault(row, f))
-    for name in CHAT_FORMATS:
-        problem = problem.when(fmt == name, chat_fault(row, name, F.col("messages")))
+    structure = F.when(fmt == CHAT_FORMATS[0], structure_fault(row, CHAT_FORMATS[0]))
+    for name in CHAT_FORMATS[1:]:
+        structure = structure.when(fmt == name, structure_fault(row, name))
+    problem = problem.otherwise(F.coalesce(structure, chat.message_fault(F.col("messages"))))
 
     def single(columns: list[Column]) -> Column:
         return F.array(F.struct(F.lit(None).cast("bigint").alias("turn"), *columns)).cast(SFT)
@@ -235,7 +240,7 @@ def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require:
     for f in FIELD_FORMATS:
         if f.task == "sft":
             sft = sft.when(fmt == f.name, single(field_projection(row, f)))
-    sft = sft.when(fmt.isin(*CHAT_FORMATS), chat.sft_of_messages(F.col("messages")).cast(SFT))
+    sft = sft.when(fmt.isin(*CHAT_FORMATS), chat.sft_of_messages().cast(SFT))
 
     gated = lookup_column(fmt, FORMAT_TASK) != require if require else F.lit(False)
     judged = once(held, fault=problem.cast(FAULT), gated=gated)

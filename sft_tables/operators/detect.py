@@ -25,21 +25,25 @@ _FIELDS = sorted({f for fmt in FIELD_FORMATS for f in fmt.required} | {f for p i
                  | {"context", "messages", "conversations"})
 
 
-def _partial_score(present: Column, total: Column) -> Column:
-    """0.6 * present / total to three places, halves going the way the binary product falls."""
-    scaled = F.try_divide(present * F.lit(600).cast("decimal(10,0)"), total)
-    score = F.round(scaled / 1000, 3).cast(SCORE)
+def _halves_going_down() -> dict[int, list[int]]:
+    """total -> present counts whose score lies halfway between two thousandths and rounds down, because the
+    binary product 0.6 * present / total falls just below the half."""
     low: dict[int, list[int]] = {}
     for t in sorted({n * k for n in range(1, SAMPLE_ROWS + 1) for k in (2, 3)}):
         for p in range(1, t):
             thousandths = Fraction(600 * p, t)
-            is_half = thousandths.denominator == 2
-            if is_half and round(PARTIAL_WEIGHT * p / t, 3) * 1000 < float(thousandths):
+            if thousandths.denominator == 2 and round(PARTIAL_WEIGHT * p / t, 3) * 1000 < float(thousandths):
                 low.setdefault(t, []).append(p)
-    goes_down = F.lit(False)
-    for t, ps in low.items():
-        goes_down = goes_down | ((total == t) & present.isin(ps))
-    return F.when(goes_down, score - F.lit("0.001").cast(SCORE)).otherwise(score).cast(SCORE)
+    return low
+
+
+def _partial_score(present: str, total: str) -> Column:
+    """0.6 * present / total to three places."""
+    down = " OR ".join(f"({total} = {t} AND {present} IN ({', '.join(map(str, ps))}))" for t, ps in _halves_going_down().items())
+    return F.expr(
+        f"CAST(round(CAST(0.6 * {present} AS DECIMAL(20,1)) / {total}, 3) AS DECIMAL(4,3)) "
+        f"- CASE WHEN {down} THEN 0.001 ELSE 0.000 END"
+    ).cast(SCORE)
 
 
 def _all(condition: Column) -> Column:
@@ -91,7 +95,7 @@ def score_formats(sample: DataFrame, penalty_fields: dict[str, tuple[str, ...]]
     def field_result(fmt: FieldFormat) -> Column:
         known = F.size("fields") > 0
         matched = known & (F.col(f"full_{fmt.name}") == F.col("n"))
-        partial = _partial_score(F.col(f"present_{fmt.name}"), F.col("n") * len(fmt.required))
+        partial = _partial_score(f"present_{fmt.name}", f"(n * {len(fmt.required)})")
         full = F.lit(fmt.confidence).cast(SCORE)
         elsewhere = [f for f in (*fmt.penalty_fields, *penalties.get(fmt.name, ()))]
         reason = F.lit(f"required fields present: {list(fmt.required)}")
@@ -193,7 +197,7 @@ def detection_report(ranked: DataFrame, selected: DataFrame, key: str = "dataset
         (F.col("confidence") > 0) & (F.col("matched") | (F.col("code") == "NOT_RECOGNIZED"))
     )
     w = Window.partitionBy(key).orderBy("rank")
-    line = F.concat(F.lit("- "), F.col(name), F.lit(": confidence "), F.format_string("%.2f", F.col("confidence")),
+    line = F.concat(F.lit("- "), F.col(name), F.lit(": confidence "), F.format_string("%.2f", F.col("confidence").cast("double")),
                     F.lit(" ("), F.col("reason"), F.lit(")"))
     lines = (
         shown.withColumn("_pos", F.row_number().over(w)).filter("_pos <= 5").withColumn("_line", line)

@@ -35,28 +35,34 @@ class JsonRow:
 
     @property
     def is_object(self) -> Column:
-        return F.col(self.kind) == "object"
+        return F.expr(f"{self.kind} = 'object'")
+
+    def _get(self, name: str, kind: str) -> str:
+        return f"try_variant_get({self.v}, '$.{name}', '{kind}')"
+
+    def _is_string(self, name: str) -> str:
+        return f"coalesce(schema_of_variant({self._get(name, 'variant')}) = 'STRING', false)"
 
     def present(self, name: str) -> Column:
         """An explicit JSON null is a variant value, so only an absent key is NULL here."""
-        return self.variant(name).isNotNull()
+        return F.expr(f"{self._get(name, 'variant')} IS NOT NULL")
 
     def variant(self, name: str) -> Column:
-        return F.try_variant_get(F.col(self.v), f"$.{name}", "variant")
+        return F.expr(self._get(name, "variant"))
 
     def is_string(self, name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(self.variant(name)) == "STRING", F.lit(False))
+        return F.expr(self._is_string(name))
 
     def text(self, name: str) -> Column:
         """The value when it is a string, else NULL."""
-        return F.when(self.is_string(name), F.try_variant_get(F.col(self.v), f"$.{name}", "string"))
+        return F.expr(f"CASE WHEN {self._is_string(name)} THEN {self._get(name, 'string')} END")
 
     def items(self, name: str) -> Column:
         """The value as array of variants, NULL when it is not a list."""
-        return F.try_variant_get(F.col(self.v), f"$.{name}", "array<variant>")
+        return F.expr(self._get(name, "array<variant>"))
 
     def whole_text(self) -> Column:
-        return F.when(F.col(self.kind) == "string", F.try_variant_get(F.col(self.v), "$", "string"))
+        return F.expr(f"CASE WHEN {self.kind} = 'string' THEN try_variant_get({self.v}, '$', 'string') END")
 
 
 class ColumnRow:

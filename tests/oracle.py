@@ -20,7 +20,7 @@ def session(cpus: int = 8):
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("sft-tables")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
