@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,15 +35,20 @@ WITH e AS (
          CAST(replace(replace(props, '{"k": ', ''), '}', '') AS INT) AS k,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS seq
   FROM events)
-SELECT run_id, seq, k, event_type, value,
+SELECT run_id, seq, k, event_type, value, k % 3 = 0 AS cr,
        CASE WHEN seq % 25 = 1 THEN '***** Running training *****'
             WHEN seq % 25 = 0 THEN '***** train metrics *****'
-            WHEN event_type = 'view' THEN ' ' || CAST(k AS STRING) || '%|###| ' || CAST(k AS STRING) || '/100 [00:01<00:01, 2.0it/s]'
+            WHEN event_type = 'view' THEN ' ' || CAST(k AS STRING) || '%|###| ' || CAST(k AS STRING) || '/'
+                 || CAST(100 - k % 2 AS STRING) || ' [00:01<00:01, 2.0it/s]'
             WHEN event_type = 'click' THEN '{' || chr(39) || 'loss' || chr(39) || ': ' || chr(39) || CAST(value AS STRING) || chr(39)
                  || ', ' || chr(39) || 'epoch' || chr(39) || ': ' || chr(39) || '0.5' || chr(39) || '}'
+            WHEN event_type = 'error' AND k % 6 = 0 THEN 'Traceback (most recent call last):'
+            WHEN event_type = 'error' AND k % 6 = 1 THEN 'RuntimeError: step failed'
             WHEN event_type = 'error' THEN 'ERROR step failed token=abc' || CAST(k AS STRING)
             WHEN event_type = 'purchase' THEN 'WARNING low memory'
-            ELSE 'INFO loading cache' END AS line
+            WHEN k % 4 = 0 THEN 'Num examples = ' || CAST(k AS STRING)
+            WHEN k % 4 = 1 THEN chr(27) || '[32mTraining completed' || chr(27) || '[0m'
+            WHEN k % 4 = 2 THEN '' ELSE 'INFO loading cache' END AS line
 FROM e
 """
 
@@ -83,24 +90,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run derived-input SQL; every given table it names is passed as a DataFrame."""
-    used = {name: table(spark, sf_dir, name) for name in TABLES if name in sql}
-    text = sql
+    used = {name: table(spark, sf_dir, name) for name in TABLES if re.search(rf"(?:FROM|JOIN) {name}\b", sql)}
+    text = sql.replace("{", "{{").replace("}", "}}")
     for name in used:
-        for lead in ("FROM ", "JOIN "):
-            text = text.replace(f"{lead}{name}\n", f"{lead}{{{name}}}\n").replace(f"{lead}{name})", f"{lead}{{{name}}})").replace(
-                f"{lead}{name} ", f"{lead}{{{name}}} ")
-    return spark.sql(_escape_braces(text, used), **used)
-
-
-def _escape_braces(text: str, used: dict) -> str:
-    """Double every brace that is not a table placeholder."""
-    marks = {f"{{{name}}}": f"\0{name}\0" for name in used}
-    for placeholder, mark in marks.items():
-        text = text.replace(placeholder, mark)
-    text = text.replace("{", "{{").replace("}", "}}")
-    for placeholder, mark in marks.items():
-        text = text.replace(mark, placeholder)
-    return text
+        text = re.sub(rf"(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
+    return spark.sql(text, **used)
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,23 +125,28 @@ def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LOG_SQL without its one-task-per-run window: (run_id, seq, line, k, event_type, value)."""
+    """LOG_SQL without its one-task-per-run window: (run_id, seq, line, cr, k, event_type, value)."""
     six_hours = 6 * 3600 * 1_000_000
     events = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run_id"), "event_type", "value", F.unix_micros("ts").alias("_at"),
+        F.col("user_id").alias("run_id"), "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("_at"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
     e = numbered(events, "run_id", "_at", "seq", six_hours).drop("_at")
-    k, kind = F.col("k").cast("string"), F.col("event_type")
-    line = (
-        F.when(F.col("seq") % 25 == 1, "***** Running training *****")
-        .when(F.col("seq") % 25 == 0, "***** train metrics *****")
-        .when(kind == "view", F.concat(F.lit(" "), k, F.lit("%|###| "), k, F.lit("/100 [00:01<00:01, 2.0it/s]")))
-        .when(kind == "click", F.concat(F.lit("{'loss': '"), F.col("value").cast("string"), F.lit("', 'epoch': '0.5'}")))
-        .when(kind == "error", F.concat(F.lit("ERROR step failed token=abc"), k))
-        .when(kind == "purchase", "WARNING low memory").otherwise("INFO loading cache")
+    body = LOG_SQL.split("k % 3 = 0 AS cr,")[1].split(" AS line")[0]
+    return e.select("*", F.expr("k % 3 = 0").alias("cr"), F.expr(body).alias("line"))
+
+
+def log_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as chunks that cut every line in two: (run_id, chunk_no, text)."""
+    whole = F.concat("line", F.when(F.col("cr"), "\r").otherwise("\n"))
+    half = F.floor(F.length("_text") / 2).cast("int")
+    parts = F.array(
+        F.struct(F.col("seq").alias("chunk_no"), F.lit(1).alias("part"), F.left("_text", half).alias("t")),
+        F.struct((F.col("seq") + 1).alias("chunk_no"), F.lit(0).alias("part"), F.substr("_text", half + 1).alias("t")),
     )
-    return e.withColumn("line", line)
+    pieces = log_lines(spark, sf_dir).withColumn("_text", whole).select("run_id", F.inline(parts))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "t"))), lambda x: x["t"]), "")
+    return pieces.groupBy("run_id", "chunk_no").agg(joined.alias("text"))
 
 
 def _json(**fields) -> F.Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +17,22 @@ RUNTIME_CONF = {
 }
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package (as ``--py-files`` would), once per Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_sft_tables_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="sft-tables-")) / "sft_tables.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._sft_tables_shipped = True
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
