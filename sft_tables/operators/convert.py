@@ -215,7 +215,11 @@ def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require:
     Detection reads 25 rows per dataset. The choice (one row per dataset) is joined back; Spark picks the
     join from its measured size, and a dataset with most of the rows is split by the skew join.
     """
-    selection = select_format(detect_dataset_format(rows), requests)
+    return convert_with(rows, select_format(detect_dataset_format(rows), requests), require)
+
+
+def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "sft") -> Conversion:
+    """Check and convert rows of datasets whose format is already chosen."""
     chosen = selection.filter("code IS NULL").select("dataset_id", "format")
     row = JsonRow()
     fmt = F.col("format")

@@ -16,7 +16,9 @@ def dataset_digest(sft: DataFrame, key: str = "dataset_id", index: str = "row_in
     than 4096 entries for datasets up to 4096^4 rows, and each level shuffles 4096 times less than the last.
     ``index`` is the 1-based position of the row.
     """
-    row = F.sha2(F.concat(F.lit("["), F.concat_ws("\x1f", "instruction", "input", "output"), F.lit("]")), 256)
+    # byte lengths in front keep the three texts apart whatever characters they hold
+    row = F.sha2(F.concat(
+        F.octet_length("instruction"), F.lit(":"), F.octet_length("input"), F.lit(":"), "instruction", "input", "output"), 256)
     level = sft.select(key, (F.col(index) - 1).alias("_at"), row.alias("_sha"))
     for _ in range(LEVELS):
         bucket = F.floor(F.col("_at") / FAN_OUT).cast("bigint")

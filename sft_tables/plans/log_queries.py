@@ -213,9 +213,6 @@ def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FLAT = ["config_id", "gateway.api_key", "gateway.name", F.col("gateway.inner.max_tokens").alias("max_tokens")]
-
-
 @register("redact_data", """SELECT c_custkey AS config_id, CASE WHEN c_custkey % 3 = 0 THEN ' ${GATEWAY_KEY} ' ELSE '<redacted>' END AS api_key,
   c_name AS name, c_nationkey AS max_tokens, '<redacted>' AS hf_token, '<redacted>' AS client_secret, '<redacted>' AS authorization_header,
   '</s>' AS eos_token, CASE WHEN c_custkey % 3 = 0 THEN '${DB}' ELSE '<redacted>' END AS db_password, '<redacted>' AS user_password,

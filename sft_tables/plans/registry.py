@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("chat_queries", "dataset_queries", "log_queries", "planning_queries", "run_queries")
+MODULES = (
+    "chat_queries", "dataset_queries", "log_queries", "planning_queries", "run_queries", "io_queries",
+)
 
 
 def _merged(attribute: str) -> dict:

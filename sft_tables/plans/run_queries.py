@@ -359,7 +359,7 @@ def q_registration(spark, sf_dir):
 
 # ---- digests --------------------------------------------------------------------------------------------
 FAN = digests.FAN_OUT
-ROW_SHA = "sha256(chr(91) || instruction || chr(31) || input || chr(31) || output || chr(93))"
+ROW_SHA = "sha256(strlen(instruction) || ':' || strlen(input) || ':' || instruction || input || output)"
 
 
 def _levels(rows: str, key: str, index: str) -> str:

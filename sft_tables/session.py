@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -47,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sft-tables-checkpoint-"))
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for files derived by a query: in the cluster's shared checkpoint folder where one is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"sft-tables-{name}-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
