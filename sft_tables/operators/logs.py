@@ -78,47 +78,54 @@ def _marks(records: DataFrame) -> DataFrame:
         line.rlike(TRACEBACK_END).alias("tb_end"), line.rlike(IMPORTANT).alias("important"),
         line.rlike(WARNING).alias("warning"), line.contains(PHASE_START).alias("starts"),
         line.contains(PHASE_METRICS).alias("summary"), line.rlike(PHASE_DONE).alias("done"),
+        parse_progress(line).alias("step"),
     )
 
 
 def tag_records(records: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Add in_traceback, phase ('train', 'table' or NULL) and phase_seq (the record that opened it).
+    """Add in_traceback, phase ('train', 'table' or NULL), phase_seq (the record that opened it) and
+    ``last_step`` (seq, current, total of the last progress record before, of any phase).
 
-    Whether a block starts inside a traceback is not known inside the block, so phase markers are found under
-    both assumptions; block summaries then settle which one holds.
+    Whether a block starts inside a traceback is not known inside the block, so the markers are found under both
+    assumptions; block summaries then settle which one holds. One pass over the records carries everything.
     """
     keys = ["run_id"]
     w = before(keys, "seq")
     tb = F.when(F.col("tb_start"), F.lit(True)).when(F.col("tb_end") | (F.col("blank") & ~F.col("cr")), F.lit(False))
+    state = F.when(F.col("starts"), "train").when(F.col("summary"), "table").when(F.col("done"), "none")
 
-    def phase_marker(inside: Column) -> Column:
+    def markers(entering: bool) -> dict[str, Column]:
+        inside = F.col("tb_start") | F.coalesce(F.col("_tb_before"), F.lit(entering))
         plain = ~F.col("blank") & ~inside & ~F.col("important") & ~F.col("warning")
-        state = F.when(F.col("starts"), "train").when(F.col("summary"), "table").when(F.col("done"), "none")
-        return F.when(plain & state.isNotNull(), F.struct(state.alias("phase"), F.col("seq").alias("at")))
+        return {
+            "phase": F.when(plain & state.isNotNull(), F.struct(state.alias("phase"), F.col("seq").alias("at"))),
+            "step": F.when(plain & state.isNull() & F.col("step").isNotNull(), F.struct("seq", "step.current", "step.total")),
+        }
 
     base = with_block(_marks(records), "seq", block).withColumn("_tb", tb)
     base = base.withColumn("_tb_before", F.last("_tb", ignorenulls=True).over(w))
-    inside = lambda entering: F.col("tb_start") | F.coalesce(F.col("_tb_before"), F.lit(entering))
-    base = base.withColumn("_m0", phase_marker(inside(False))).withColumn("_m1", phase_marker(inside(True)))
-    local = base.withColumn("_p0", F.last("_m0", ignorenulls=True).over(w)).withColumn(
-        "_p1", F.last("_m1", ignorenulls=True).over(w))
+    both = {f"_{kind}{int(entering)}": c for entering in (False, True) for kind, c in markers(entering).items()}
+    base = base.withColumns(both)
+    local = base.withColumns({f"{n}_before": F.last(n, ignorenulls=True).over(w) for n in both})
 
     over_blocks = earlier_blocks(keys)
-    summary = base.groupBy(*keys, BLOCK_COL).agg(
-        *[last_in_block(F.col(m), "seq").alias(m) for m in ("_tb", "_m0", "_m1")])
+    summary = base.groupBy(*keys, BLOCK_COL).agg(*[last_in_block(F.col(m), "seq").alias(m) for m in ("_tb", *both)])
     entering = summary.withColumn("_tb_in", F.coalesce(F.last("_tb", ignorenulls=True).over(over_blocks), F.lit(False)))
-    entering = entering.withColumn("_out", F.when(F.col("_tb_in"), F.col("_m1")).otherwise(F.col("_m0")))
-    entering = entering.select(*keys, BLOCK_COL, "_tb_in", F.last("_out", ignorenulls=True).over(over_blocks).alias("_phase_in"))
-    entering = entering.filter("_tb_in OR _phase_in IS NOT NULL")
+    settled = lambda kind: F.when(F.col("_tb_in"), F.col(f"_{kind}1")).otherwise(F.col(f"_{kind}0"))
+    entering = entering.withColumns({"_phase": settled("phase"), "_step": settled("step")}).select(
+        *keys, BLOCK_COL, "_tb_in", F.last("_phase", ignorenulls=True).over(over_blocks).alias("_phase_in"),
+        F.last("_step", ignorenulls=True).over(over_blocks).alias("_step_in"),
+    ).filter("_tb_in OR _phase_in IS NOT NULL OR _step_in IS NOT NULL")
 
     joined = local.join(entering, [*keys, BLOCK_COL], "left")
     tb_in = F.coalesce("_tb_in", F.lit(False))
-    state = F.coalesce(F.when(tb_in, F.col("_p1")).otherwise(F.col("_p0")), F.col("_phase_in"))
-    phase = F.nullif(state["phase"], F.lit("none"))
+    last = lambda kind: F.coalesce(
+        F.when(tb_in, F.col(f"_{kind}1_before")).otherwise(F.col(f"_{kind}0_before")), F.col(f"_{kind}_in"))
+    phase = F.nullif(last("phase")["phase"], F.lit("none"))
     return joined.select(
-        "run_id", "seq", "cr", "line", "blank", "important", "warning", "starts", "summary", "done",
+        "run_id", "seq", "cr", "line", "blank", "important", "warning", "starts", "summary", "done", "step",
         (F.col("tb_start") | F.coalesce("_tb_before", tb_in)).alias("in_traceback"),
-        phase.alias("phase"), F.when(phase.isNotNull(), state["at"]).alias("phase_seq"),
+        phase.alias("phase"), F.when(phase.isNotNull(), last("phase")["at"]).alias("phase_seq"), last("step").alias("last_step"),
     )
 
 
@@ -157,50 +164,49 @@ def parse_metrics(records: DataFrame, line: str = "line") -> DataFrame:
 
 
 def classify(records: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Tag every record with its kind; priority is the order of the CASE."""
+    """Tag every record with its kind; priority is the order of the CASE. ``progress`` is the step of a progress
+    record, ``last_step`` the progress record before it in the same training phase."""
     tagged = tag_records(records, block)
     training = F.coalesce(F.col("phase") == "train", F.lit(False))
     table = F.coalesce(F.col("phase") == "table", F.lit(False))
     line = F.col("line")
     plain = training & ~F.col("important") & ~F.col("in_traceback") & ~F.col("warning")
-    parsed = once(
-        tagged, progress=F.when(plain, parse_progress(line)),
-        pairs=F.when(plain & line.contains("{"), metric_pairs(line)),
-    )
+    parsed = once(tagged, pairs=F.when(plain & F.col("step").isNull() & line.contains("{"), metric_pairs(line)))
     loss = F.exists("pairs", lambda p: p["name"] == "loss")
     kind = (
         F.when(F.col("blank"), "blank").when(F.col("in_traceback") | F.col("important"), "error")
         .when(F.col("warning"), "warning").when(F.col("starts"), "phase_start").when(F.col("summary"), "phase_summary")
-        .when(F.col("done"), "phase_done").when(table, "final_table").when(F.col("progress").isNotNull(), "progress")
+        .when(F.col("done"), "phase_done").when(table, "final_table").when(training & F.col("step").isNotNull(), "progress")
         .when(F.coalesce(loss, F.lit(False)), "metrics").when(training & line.rlike(DETAIL), "detail").otherwise("noise")
     )
-    return once(parsed, kind=kind).select("run_id", "seq", "cr", "line", "kind", "in_traceback", "phase", "phase_seq", "progress", "pairs")
+    return once(parsed, kind=kind).select(
+        "run_id", "seq", "cr", "line", "kind", "in_traceback", "phase", "phase_seq",
+        F.when(F.col("kind") == "progress", F.col("step")).alias("progress"),
+        F.when(F.col("last_step.seq") > F.col("phase_seq"), F.col("last_step")).alias("last_step"), "pairs")
 
 
-def _distinct_progress(classified: DataFrame, block: int) -> DataFrame:
+def _distinct_progress(classified: DataFrame) -> DataFrame:
     """Progress records that differ from the progress record before them in the same phase."""
-    p = F.when(F.col("kind") == "progress", F.struct("seq", "progress.current", "progress.total"))
-    carried = last_before(classified.select("run_id", "seq", "kind", "phase_seq", "progress"), ["run_id"], "seq", {"previous": p}, block)
-    same = (
-        (F.col("previous.seq") > F.col("phase_seq")) & (F.col("previous.current") == F.col("progress.current"))
-        & (F.col("previous.total") == F.col("progress.total"))
-    )
-    return carried.filter((F.col("kind") == "progress") & ~F.coalesce(same, F.lit(False))).select(
+    same = (F.col("last_step.current") == F.col("progress.current")) & (F.col("last_step.total") == F.col("progress.total"))
+    return classified.filter((F.col("kind") == "progress") & ~F.coalesce(same, F.lit(False))).select(
         "run_id", "phase_seq", "seq", "progress.current", "progress.total")
 
 
-def throttle_progress(classified: DataFrame, block: int = BLOCK, fold_limit: int = BLOCK) -> DataFrame:
+def throttle_progress(classified: DataFrame, block: int = BLOCK, fold_limit: int = BLOCK, records: DataFrame | None = None) -> DataFrame:
     """Progress records to show: the final step, or a twentieth of the total beyond the last one shown.
 
     What is shown depends on what was shown before, so a phase is a fold. Phases of up to ``fold_limit``
     progress records are folded inside a row; larger ones (their number is counted) go through
-    ``_throttle_rounds``, which never gathers a phase.
+    ``_throttle_rounds``, which never gathers a phase. With the raw ``records`` at hand the count is skipped when
+    no run is that long.
     """
-    rows = _distinct_progress(classified, block)
+    rows = _distinct_progress(classified)
     seg = ["run_id", "phase_seq"]
-    sizes = rows.groupBy(*seg).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > fold_limit).select(*seg)
-    oversized = not large.isEmpty()
+    count = F.count(F.lit(1)).alias("_n")
+    oversized = records is None or not records.groupBy("run_id").agg(count).filter(F.col("_n") > fold_limit).isEmpty()
+    if oversized:
+        large = rows.groupBy(*seg).agg(count).filter(F.col("_n") > fold_limit).select(*seg)
+        oversized = not large.isEmpty()
     small_rows = rows.join(large, seg, "left_anti") if oversized else rows
     ordered = small_rows.groupBy(*seg).agg(F.array_sort(F.collect_list(F.struct("seq", "current", "total"))).alias("steps"))
     shown = F.expr(f"""aggregate(steps,
@@ -208,7 +214,7 @@ def throttle_progress(classified: DataFrame, block: int = BLOCK, fold_limit: int
         (s, x) -> CASE WHEN x.current = x.total OR x.current >= s.last + greatest(1, x.total div {PROGRESS_SHARE})
                   THEN named_struct('last', x.current, 'out', concat(s.out, array(x))) ELSE s END,
         s -> s.out)""")
-    result = ordered.select(*seg, F.explode(shown).alias("x")).select(*seg, "x.*")
+    result = ordered.select(*seg, F.inline(shown))
     if oversized:
         result = result.unionByName(_throttle_rounds(rows.join(large, seg, "left_semi"), block))
     return result.withColumn("percent", F.bround(F.try_divide(F.lit(100.0) * F.col("current"), F.col("total")), 0).cast("bigint"))
@@ -278,18 +284,16 @@ def filter_verbosity(records: DataFrame, mode: str = "concise", block: int = BLO
         return classified.filter("kind = 'error'").select("run_id", "seq", F.col("line").alias("text"))
     plain = classified.filter(F.col("kind").isin("error", "warning", "phase_start", "detail")).select(
         "run_id", "seq", F.col("line").alias("text"))
-    progress = throttle_progress(classified, block, fold_limit).select(
+    progress = throttle_progress(classified, block, fold_limit, records).select(
         "run_id", "seq", F.format_string("Progress: %d/%d (%d%%)", "current", "total", "percent").alias("text"))
-    return plain.unionByName(progress).unionByName(metric_lines(classified, block).select("run_id", "seq", "text"))
+    return plain.unionByName(progress).unionByName(metric_lines(classified).select("run_id", "seq", "text"))
 
 
-def metric_lines(classified: DataFrame, block: int = BLOCK) -> DataFrame:
+def metric_lines(classified: DataFrame) -> DataFrame:
     """Metric records with the last progress of their phase and their console text."""
-    p = F.when(F.col("kind") == "progress", F.struct("seq", "progress.current", "progress.total"))
-    carried = last_before(classified, ["run_id"], "seq", {"previous": p}, block).filter("kind = 'metrics'")
-    known = F.col("previous.seq") > F.col("phase_seq")
-    step = F.when(known, F.format_string("Step %d/%d", "previous.current", "previous.total"))
-    return format_metrics(carried.withColumn("step", step), F.col("step"))
+    known = F.col("last_step").isNotNull()
+    step = F.when(known, F.format_string("Step %d/%d", "last_step.current", "last_step.total"))
+    return format_metrics(classified.filter("kind = 'metrics'").withColumn("step", step), F.col("step"))
 
 
 def quiet_lifecycle(log: DataFrame) -> DataFrame:

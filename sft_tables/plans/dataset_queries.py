@@ -177,7 +177,7 @@ PADDED = "chr(28) || chr(160) || chr(10) || text || chr(8195) || chr(9) || ' '"
 @register("strip_text", f"""SELECT doc_id, md5({sql_strip(PADDED)}) AS stripped,
    regexp_matches(text, '[^' || substr('{SPACE_CLASS}', 2)) AS nonblank FROM documents""")
 def q_strip_text(spark, sf_dir):
-    docs = fixtures.table(spark, sf_dir, "documents")
+    docs = fixtures.spread(fixtures.table(spark, sf_dir, "documents"))
     padded = F.concat(F.lit("\x1c \n"), "text", F.lit(" \t "))
     return docs.select("doc_id", F.md5(tx.strip(padded)).alias("stripped"), tx.nonblank("text").alias("nonblank"))
 

@@ -111,7 +111,8 @@ def q_progress(spark, sf_dir):
 @register("throttle_progress", f"""WITH RECURSIVE {THROTTLED} SELECT run_id, phase_seq, seq, current, total,
   CAST(round_even(100.0 * current / total, 0) AS BIGINT) AS percent FROM fold WHERE shown""")
 def q_throttle(spark, sf_dir):
-    return logs.throttle_progress(logs.classify(records(spark, sf_dir)))
+    lines = records(spark, sf_dir)
+    return logs.throttle_progress(logs.classify(lines), records=lines)
 
 
 METRIC_ORACLE = "TRY_CAST(regexp_extract(line, '''loss'': ''([^'']*)''', 1) AS DOUBLE)"
@@ -181,7 +182,7 @@ def sql_redact(expr: str) -> str:
 
 @register("redact_text", f"SELECT doc_id, md5({sql_redact('text')}) AS text FROM documents")
 def q_redact(spark, sf_dir):
-    docs = fixtures.table(spark, sf_dir, "documents")
+    docs = fixtures.spread(fixtures.table(spark, sf_dir, "documents"))
     return docs.select("doc_id", F.md5(redact.redact_text(F.col("text"))).alias("text"))
 
 
@@ -192,7 +193,7 @@ def q_redact_log(spark, sf_dir):
 
 @register("redact_pages", f"SELECT page_id, md5({sql_redact('html')}) AS html FROM pages")
 def q_redact_pages(spark, sf_dir):
-    return fixtures.table(spark, sf_dir, "pages").select("page_id", F.md5(redact.redact_text(F.col("html"))).alias("html"))
+    return fixtures.spread(fixtures.table(spark, sf_dir, "pages")).select("page_id", F.md5(redact.redact_text(F.col("html"))).alias("html"))
 
 
 def configs(spark: SparkSession, sf_dir: str) -> DataFrame:

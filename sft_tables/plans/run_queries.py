@@ -48,7 +48,7 @@ BASED = f"SELECT request_id, strftime(created_at, '%Y%m%d_%H%M%S') || '_' || {MO
   SELECT request_id, base_id, attempt, CASE attempt WHEN 1 THEN base_id ELSE base_id || '_' || printf('%02d', attempt) END AS run_id
   FROM r JOIN free USING (base_id, k)""")
 def q_ids(spark, sf_dir):
-    requests = view(spark, sf_dir, REQUESTS_SQL)
+    requests = fixtures.spread(view(spark, sf_dir, REQUESTS_SQL))
     base = runs.base_run_id(F.col("created_at"), F.col("model_name"), F.col("dataset_name"))
     held = requests.withColumn("m", F.col("request_id") % 7).filter("m < 3").select(
         F.concat(base, F.when(F.col("m") == 0, "").when(F.col("m") == 1, "_02").otherwise("_04")).alias("run_id"))
@@ -113,7 +113,7 @@ def q_handoff(spark, sf_dir):
 # ---- metrics --------------------------------------------------------------------------------------------
 def metric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to three documents per order; some values are missing, boolean or text, some documents are broken."""
-    o = fixtures.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), "o_totalprice", "o_custkey")
+    o = fixtures.spread(fixtures.table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("run_id"), "o_totalprice", "o_custkey")
     k, price = F.col("run_id"), F.col("o_totalprice")
     results = F.when(k % 4 == 0, F.to_json(F.struct(price.alias("train_loss"), F.lit(True).alias("epoch")))).when(
         k % 4 == 1, F.to_json(F.struct(F.lit("n/a").alias("train_loss"), F.col("o_custkey").alias("train_runtime")))).when(k % 4 == 2, "[1]").otherwise("{")
