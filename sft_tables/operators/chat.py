@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sft_tables.functions.carry import BLOCK, BLOCK_COL, block_window, with_block
+from sft_tables.functions.carry import BLOCK, BLOCK_COL, block_window, running_total, with_block
 from sft_tables.functions.errors import fault, first_fault
 from sft_tables.functions.text import is_blank, nonblank, strip
 from sft_tables.operators.rows import JsonRow
@@ -222,18 +222,30 @@ def validate_turns(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK)
     return judge_blocks(turns, conv, block).filter("leads AND code IS NOT NULL").select(conv, "turn", "code")
 
 
-def expand_turns(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -> DataFrame:
-    """SFT rows of the valid conversations of a turn table.
-
-    The semi-join is on (conversation, block), so a huge invalid conversation spreads over tasks and is
-    gone before turns are gathered.
-    """
+def valid_turns(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -> DataFrame:
+    """Turns of valid conversations. The semi-join is on (conversation, block), so a huge invalid conversation
+    spreads over tasks and is gone before turns are gathered."""
     valid = judge_blocks(turns, conv, block).filter("code IS NULL").select(conv, BLOCK_COL)
-    kept = with_block(turns, "turn", block).join(valid, [conv, BLOCK_COL], "left_semi")
-    gathered = gather_messages(kept, conv)
-    messages = F.col("messages")
+    return with_block(turns, "turn", block).join(valid, [conv, BLOCK_COL], "left_semi").drop(BLOCK_COL)
+
+
+def expand_turns(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -> DataFrame:
+    """SFT rows of the valid conversations of a turn table."""
+    gathered = gather_messages(valid_turns(turns, conv, block), conv)
     # report the stored turn number of the assistant turn
     return gathered.select(conv, "messages", F.explode_outer(sft_of_messages()).alias("r")).select(
-        conv, F.get(messages, (F.col("r.turn") - 1).cast("int"))["turn"].alias("turn"),
+        conv, F.get(F.col("messages"), (F.col("r.turn") - 1).cast("int"))["turn"].alias("turn"),
         "r.instruction", "r.input", "r.output",
     )
+
+
+def split_by_length(turns: DataFrame, conv: str = "conv_id", limit: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(conversations short enough to be held as an array, all others); lengths are counted, not assumed."""
+    long = turns.groupBy(conv).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(conv)
+    return turns.join(long, conv, "left_anti"), turns.join(long, conv, "left_semi")
+
+
+def positions(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -> DataFrame:
+    """Turn numbers replaced by 1-based positions."""
+    counted = running_total(turns, [conv], "turn", F.lit(1), "_before", block)
+    return counted.withColumn("turn", F.col("_before") + 1).drop("_before")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sft_tables.operators import convert, digests, formats
+from sft_tables.operators import chat, convert, digests, formats
 from sft_tables.operators.detect import SCORE, detect_dataset_format, select_format
 from sft_tables.operators.rows import to_row_model
 from sft_tables.plans import chat_queries, fixtures, log_queries, run_queries
@@ -83,7 +83,8 @@ def q_chatml(spark, sf_dir):
     turn = F.concat(F.lit("<|im_start|>"), "role", F.lit("\n"), "content", F.lit("<|im_end|>"))
     entry = F.array_sort(F.collect_list(F.struct("turn", turn.alias("t"))))
     text = F.array_join(F.transform(entry, lambda e: e["t"]), "\n")
-    fixtures.turns(spark, sf_dir).groupBy("conv_id").agg(text.alias("value")).write.mode("overwrite").partitionBy("conv_id").text(folder)
+    # a file holds a whole conversation; only the valid ones become rows
+    chat.valid_turns(fixtures.turns(spark, sf_dir)).groupBy("conv_id").agg(text.alias("value")).write.mode("overwrite").partitionBy("conv_id").text(folder)
     return convert.convert_chat(to_row_model(readers.read_chatml_text(spark, folder)), "chatml").select("instruction", "input", "output")
 
 
@@ -95,6 +96,16 @@ def q_split(spark, sf_dir):
     return readers.select_split(docs, "en", "train[10:100000]").select("doc_id")
 
 
+@register("read_jsonl_head", """SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents)
+   WHERE i <= 25""")
+def q_head(spark, sf_dir):
+    folder = scratch_dir(spark, "jsonl-head")
+    docs = fixtures.table(spark, sf_dir, "documents").select("source", "doc_id", F.to_json(F.struct("source", "doc_id")).alias("value"))
+    docs.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value").write.mode("overwrite").partitionBy("source").text(folder)
+    return to_row_model(readers.read_jsonl_head(spark, folder)).select(
+        F.expr("try_variant_get(v, '$.source', 'string')").alias("source"), F.expr("try_variant_get(v, '$.doc_id', 'bigint')").alias("doc_id"))
+
+
 # ---- probing --------------------------------------------------------------------------------------------
 _TABLE_ROWS = ", ".join(f"('{t}.parquet')" for t in fixtures.TABLES)
 
@@ -165,6 +176,14 @@ SNAPSHOT_SQL = """SELECT c_custkey AS dataset_id, c_name AS source, CASE WHEN c_
    CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS subset, CASE WHEN c_custkey % 5 = 0 THEN 'test' END AS split FROM customer"""
 
 
+@register("write_conversion", f"""{CONVERTED}, {SFT_ORACLE} SELECT dataset_id, row_index, 'row' AS outcome, NULL AS code, instruction FROM sft
+   UNION ALL SELECT dataset_id, row_index, 'violation', code, NULL FROM faults WHERE code IS NOT NULL""")
+def q_write_conversion(spark, sf_dir):
+    folder = scratch_dir(spark, "conversion")
+    sinks.write_conversion(convert.convert_dataset(fixtures.row_model(spark, sf_dir)), folder)
+    return spark.read.parquet(folder).select("dataset_id", "row_index", "outcome", "code", "instruction")
+
+
 @register("source_snapshot", f"SELECT dataset_id, source, coalesce(source_format, 'auto') AS source_format, subset, coalesce(split, 'train') AS split FROM ({SNAPSHOT_SQL})")
 def q_snapshot(spark, sf_dir):
     return sinks.source_snapshot(fixtures.view(spark, sf_dir, SNAPSHOT_SQL))

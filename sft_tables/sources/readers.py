@@ -6,6 +6,7 @@ import csv
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sft_tables.functions.errors import TableCheckError
 from sft_tables.functions.text import nonblank
+from sft_tables.operators.formats import SAMPLE_ROWS
 from sft_tables.sources.files import list_files, open_text
 from sft_tables.sources.probe import csv_dialect
 
@@ -43,11 +45,32 @@ def _without_bom(text: Column, first: Column) -> Column:
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per non-blank line, with its line number; files are split among tasks. Broken lines stay as they
-    are and become rows of kind 'corrupt'."""
+    """One row per non-blank line, numbered by position among them; files are split among tasks. Broken lines stay
+    as they are and become rows of kind 'corrupt' (see ``jsonl_errors``)."""
+    rows = number_rows(spark.read.text(path).filter(nonblank("value")))
+    return rows.select("dataset_id", "row_index", _without_bom(F.col("value"), F.col("row_index") == 1).alias("raw"))
+
+
+def jsonl_errors(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Non-blank lines that are no JSON, with their line number in the file."""
     lines = number_rows(spark.read.text(path), "line")
     text = _without_bom(F.col("value"), F.col("line") == 1)
-    return lines.filter(nonblank("value")).select("dataset_id", F.col("line").alias("row_index"), text.alias("raw"))
+    broken = nonblank("value") & F.try_parse_json(text).isNull()
+    return lines.filter(broken).select("dataset_id", "line", F.lit("BAD_JSON").alias("code"))
+
+
+def read_jsonl_head(spark: SparkSession, path: str | list[str], n: int = SAMPLE_ROWS) -> DataFrame:
+    """The first n non-blank lines of every file, for detection: the rest of the files is not read."""
+    def head(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri in batch["path"]:
+                with open_text(uri) as stream:
+                    lines = ((uri, i, line.rstrip("\r\n")) for i, line in enumerate(stream, 1) if line.strip())
+                    yield pd.DataFrame(list(islice(lines, n)), columns=["dataset_id", "row_index", "raw"])
+
+    found = list_files(spark, path).select("path").mapInPandas(head, RAW)
+    order = Window.partitionBy("dataset_id").orderBy("row_index")
+    return found.withColumn("row_index", F.row_number().over(order).cast("bigint"))
 
 
 def _array_elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

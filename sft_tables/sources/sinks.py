@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sft_tables.operators.convert import Conversion
 from sft_tables.sources.files import chunks, list_files, open_bytes
 
 # Column roles of a normalized dataset, default split.
@@ -24,6 +25,17 @@ def write_normalized(sft: DataFrame, path: str, fmt: str = "json") -> None:
     ranged.select("dataset_id", "instruction", "input", "output").write.partitionBy("dataset_id").mode("overwrite").format(fmt).save(path)
 
 
+def write_conversion(done: Conversion, path: str) -> None:
+    """Rows and violations of a conversion from one scan, as one table partitioned by ``outcome``."""
+    clean = F.col("fault").isNull()
+    kept = done.checked.filter(~clean | ~F.col("gated"))
+    flat = kept.select("dataset_id", "row_index", "fault", F.explode_outer(F.when(clean, F.col("sft"))).alias("r"))
+    flat.select(
+        "dataset_id", "row_index", F.coalesce("r.turn", "fault.turn").alias("turn"), "fault.code", "fault.detail",
+        "r.instruction", "r.input", "r.output", F.when(clean, "row").otherwise("violation").alias("outcome"),
+    ).write.partitionBy("outcome").mode("overwrite").parquet(path)
+
+
 def write_violations(violations: DataFrame, path: str) -> None:
     violations.write.partitionBy("dataset_id").mode("append").parquet(path)
 

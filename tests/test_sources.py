@@ -39,7 +39,10 @@ def test_probe(spark, folder):
 
 def test_jsonl_positions_and_broken_lines(spark, folder):
     table = to_row_model(readers.read_jsonl(spark, str(folder / "data.jsonl"))).orderBy("row_index").select("row_index", "kind").collect()
-    assert table == [(1, "object"), (4, "corrupt"), (5, "string")]
+    assert table == [(1, "object"), (2, "corrupt"), (3, "string")]
+    assert [r["line"] for r in readers.jsonl_errors(spark, str(folder / "data.jsonl")).collect()] == [4]
+    head = to_row_model(readers.read_jsonl_head(spark, str(folder / "data.jsonl"), 2)).orderBy("row_index").select("row_index", "kind").collect()
+    assert head == [(1, "object"), (2, "corrupt")]
 
 
 def test_jsonl_line_numbers_over_many_blocks(spark, tmp_path):
