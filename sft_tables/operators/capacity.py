@@ -92,10 +92,8 @@ def count_below(values: DataFrame, value: str, thresholds: DataFrame, threshold:
     folded onto one point, so the running sum sees at most one row per MiB of the largest GPU.
     """
     counted = values.groupBy(F.col(value).alias("at")).agg(F.count(F.lit(1)).alias("n"))
-    top = counted.agg((F.max("at") + 1).alias("top"))
-    one = F.lit(1).alias("_one")
-    capped = thresholds.select("*", one).join(F.broadcast(top.select("*", one)), "_one").withColumn(
-        "_at", F.least(F.col(threshold), F.col("top"))).drop("_one", "top")
+    top = counted.agg(F.max("at") + 1).scalar()
+    capped = thresholds.withColumn("_at", F.least(F.col(threshold), top))
     points = counted.unionByName(capped.select(F.col("_at").alias("at")).distinct().withColumn("n", F.lit(0).cast("bigint")))
     totals = points.groupBy("at").agg(F.sum("n").alias("n"))
     running = totals.select(
@@ -109,12 +107,11 @@ def admit_gpus(jobs: DataFrame, gpus: DataFrame) -> DataFrame:
 
     ``device`` is 'auto' or an index. The GPU with the most free memory (lowest index on ties) serves every
     automatic job it is large enough for, and if it is too small no other one fits, so automatic jobs need
-    one row of the inventory; explicit requests are an equi-join. ``rejected_gpus`` counts the GPUs with too
+    one row of the inventory (a scalar subquery); explicit requests are an equi-join. ``rejected_gpus`` counts the GPUs with too
     little free memory.
     """
-    best = gpus.agg(F.max(F.struct("free_mib", (-F.col("gpu_index")).alias("o"), "gpu_index", "total_mib")).alias("best"))
-    one = F.lit(1).alias("_one")
-    with_best = jobs.select("*", one).join(F.broadcast(best.select("*", one)), "_one", "left").drop("_one")
+    best = gpus.agg(F.max(F.struct("free_mib", (-F.col("gpu_index")).alias("o"), "gpu_index", "total_mib"))).scalar()
+    with_best = jobs.withColumn("best", best)
     asked = F.when(F.col("device") != "auto", F.col("device").try_cast("bigint"))
     named = gpus.select(F.col("gpu_index").alias("_asked"), F.struct("free_mib", "gpu_index", "total_mib").alias("named"))
     joined = with_best.withColumn("_asked", asked).join(named, "_asked", "left")
@@ -133,10 +130,9 @@ def admit_gpus(jobs: DataFrame, gpus: DataFrame) -> DataFrame:
 
 def gpu_rejections(jobs: DataFrame, gpus: DataFrame) -> DataFrame:
     """Per GPU: how many jobs it is too small for (its free memory is below what they require)."""
-    total = jobs.agg(F.count(F.lit(1)).alias("_jobs")).select("*", F.lit(1).alias("_one"))
+    total = jobs.agg(F.count(F.lit(1))).scalar()
     fits = count_below(jobs, "required_mib", gpus.withColumn("_above", F.col("free_mib") + 1), "_above", "_fitting")
-    return fits.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select(
-        *gpus.columns, (F.col("_jobs") - F.col("_fitting")).alias("rejected_jobs"))
+    return fits.select(*gpus.columns, (total - F.col("_fitting")).alias("rejected_jobs"))
 
 
 def explain_rejections(gpus: DataFrame, required_mib: int) -> DataFrame:

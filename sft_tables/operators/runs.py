@@ -47,33 +47,52 @@ def base_run_id(created_at: Column, model_name: Column, dataset_name: Column) ->
                        slug(dataset_name, "dataset"))
 
 
-def assign_run_ids(requests: DataFrame, existing: DataFrame) -> DataFrame:
-    """Run ids for requests (request_id BIGINT, created_at, model_name, dataset_name) next to existing (run_id).
-
-    The k-th request of a base id takes the k-th attempt number that no existing run holds. If the existing
-    attempts are e1 < e2 < .., that number is k plus the count of j with e_j - j < k; positions and counts are
-    running totals, so one base id may hold any number of requests.
-    """
-    base = base_run_id(F.col("created_at"), F.col("model_name"), F.col("dataset_name"))
-    numbered = running_total(requests.withColumn("base_id", base), ["base_id"], "request_id", F.lit(1), "_before")
-    wanted = numbered.withColumn("_k", F.col("_before") + 1).drop("_before")
-
+def _held_attempts(existing: DataFrame) -> DataFrame:
+    """(base_id, attempt) of existing run ids: the bare id is attempt 1, ``_02`` and so on the later ones."""
     suffix = F.regexp_extract("run_id", r"_(\d{2,})\z", 1)
     parts = F.size(F.split("run_id", "_"))
     taken = existing.select("run_id").distinct().select(
         F.when(parts == 5, F.regexp_replace("run_id", r"_\d{2,}\z", "")).otherwise(F.col("run_id")).alias("base_id"),
-        F.when(parts == 5, suffix.try_cast("bigint")).otherwise(F.lit(1).cast("bigint")).alias("attempt"), suffix.alias("_suffix"), parts.alias("_parts"),
-    ).filter((F.col("_parts") == 4) | ((F.col("attempt") >= 2) & (F.col("_suffix") == F.format_string("%02d", "attempt"))))
-    held = running_total(taken.select("base_id", "attempt"), ["base_id"], "attempt", F.lit(1), "_before")
-    gaps = held.select("base_id", (F.col("attempt") - F.col("_before") - 1).alias("_gap"))
+        F.when(parts == 5, suffix.try_cast("bigint")).otherwise(F.lit(1).cast("bigint")).alias("attempt"),
+        suffix.alias("_suffix"), parts.alias("_parts"),
+    )
+    written = (F.col("attempt") >= 2) & (F.col("_suffix") == F.format_string("%02d", "attempt"))
+    return taken.filter((F.col("_parts") == 4) | written).select("base_id", "attempt")
+
 
-    # at equal values the gap comes after the request: e_j - j < k must be strict
-    marks = wanted.select("base_id", (F.col("_k") * 2).alias("_at"), "request_id", F.lit(0).alias("_held")).unionByName(
+def _passed_by_marks(wanted: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Gaps below k per request by one running total over requests and gaps together, for bases of any size."""
+    # at equal values the gap comes after the request: it has to be strictly smaller
+    marks = wanted.select("base_id", (F.col("_k") * 2).alias("_at"), "request_id", F.lit(0).cast("bigint").alias("_held")).unionByName(
         gaps.groupBy("base_id", (F.col("_gap") * 2 + 1).alias("_at")).agg(F.count(F.lit(1)).alias("_held")).withColumn(
             "request_id", F.lit(None).cast("bigint")))
     counted = running_total(marks, ["base_id"], "_at", F.col("_held"), "_passed").filter("request_id IS NOT NULL")
-    attempt = F.col("_at") / 2 + F.col("_passed")
-    numbers = counted.select("request_id", "base_id", attempt.cast("bigint").alias("attempt"))
+    return counted.select("request_id", "base_id", (F.col("_at") / 2 + F.col("_passed")).cast("bigint").alias("attempt"))
+
+
+def assign_run_ids(requests: DataFrame, existing: DataFrame, list_limit: int = 4096) -> DataFrame:
+    """Run ids for requests (request_id BIGINT, created_at, model_name, dataset_name) next to existing (run_id).
+
+    The k-th request of a base id takes the k-th attempt number that no existing run holds. If the existing
+    attempts are e1 < e2 < .., that number is k plus the count of j with e_j - j < k. Bases with up to
+    ``list_limit`` existing runs (counted) carry these gaps as a list; larger ones go through a running total.
+    """
+    base = base_run_id(F.col("created_at"), F.col("model_name"), F.col("dataset_name"))
+    numbered = running_total(requests.withColumn("base_id", base), ["base_id"], "request_id", F.lit(1), "_before")
+    wanted = numbered.select("request_id", "base_id", (F.col("_before") + 1).alias("_k"))
+    held = _held_attempts(existing)
+    gaps = running_total(held, ["base_id"], "attempt", F.lit(1), "_before").select(
+        "base_id", (F.col("attempt") - F.col("_before") - 1).alias("_gap"))
+    large = held.groupBy("base_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > list_limit).select("base_id")
+    oversized = not large.isEmpty()
+    small_wanted, small_gaps = (df.join(large, "base_id", "left_anti") if oversized else df for df in (wanted, gaps))
+    lists = small_gaps.groupBy("base_id").agg(F.collect_list("_gap").alias("_gaps"))
+    passed = F.coalesce(F.size(F.filter("_gaps", lambda g: g < F.col("_k"))), F.lit(0))
+    numbers = small_wanted.join(lists, "base_id", "left").select(
+        "request_id", "base_id", (F.col("_k") + F.when(F.col("_gaps").isNull(), 0).otherwise(passed)).cast("bigint").alias("attempt"))
+    if oversized:
+        numbers = numbers.unionByName(_passed_by_marks(
+            wanted.join(large, "base_id", "left_semi"), gaps.join(large, "base_id", "left_semi")))
     run_id = F.when(F.col("attempt") == 1, F.col("base_id")).otherwise(
         F.concat_ws("_", "base_id", F.format_string("%02d", "attempt")))
     return numbers.select("request_id", "base_id", "attempt", run_id.alias("run_id"))

@@ -54,13 +54,14 @@ def test_families(spark, name, family, variant, template):
     assert tuple(one(spark, models.family_from_name(F.lit(name)))) == (family, variant, template)
 
 
-def test_run_ids_fill_gaps(spark):
+@pytest.mark.parametrize("limit", [0, 4096])
+def test_run_ids_fill_gaps(spark, limit):
     at = datetime.datetime(2026, 9, 16, 12)
     model = "Qwen/Qwen2.5-0.5B-Instruct"
     base = "20260916_120000_qwen2-5-0-5b-instruct_demo"
     requests = spark.createDataFrame([(i, at, model, "demo") for i in (5, 6, 7)], "request_id bigint, created_at timestamp, model_name string, dataset_name string")
     held = spark.createDataFrame([(f"{base}_02",), (f"{base}_04",), (f"{base}_2",), ("other",)], "run_id string")
-    assert [r["run_id"] for r in runs.assign_run_ids(requests, held).orderBy("request_id").collect()] == [base, f"{base}_03", f"{base}_05"]
+    assert [r["run_id"] for r in runs.assign_run_ids(requests, held, limit).orderBy("request_id").collect()] == [base, f"{base}_03", f"{base}_05"]
     fresh = runs.assign_run_ids(requests, held.limit(0)).orderBy("request_id").collect()
     assert [r["run_id"] for r in fresh] == [base, f"{base}_02", f"{base}_03"]
 
