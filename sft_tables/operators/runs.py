@@ -51,13 +51,13 @@ def _held_attempts(existing: DataFrame) -> DataFrame:
     """(base_id, attempt) of existing run ids: the bare id is attempt 1, ``_02`` and so on the later ones."""
     suffix = F.regexp_extract("run_id", r"_(\d{2,})\z", 1)
     parts = F.size(F.split("run_id", "_"))
-    taken = existing.select("run_id").distinct().select(
-        F.when(parts == 5, F.regexp_replace("run_id", r"_\d{2,}\z", "")).otherwise(F.col("run_id")).alias("base_id"),
-        F.when(parts == 5, suffix.try_cast("bigint")).otherwise(F.lit(1).cast("bigint")).alias("attempt"),
-        suffix.alias("_suffix"), parts.alias("_parts"),
-    )
-    written = (F.col("attempt") >= 2) & (F.col("_suffix") == F.format_string("%02d", "attempt"))
-    return taken.filter((F.col("_parts") == 4) | written).select("base_id", "attempt")
+    attempt = F.when(parts == 5, suffix.try_cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    known = (parts == 4) | ((parts == 5) & (attempt >= 2) & (suffix == F.format_string("%02d", attempt)))
+    taken = once(
+        existing.select("run_id").distinct(),
+        base_id=F.when(parts == 5, F.regexp_replace("run_id", r"_\d{2,}\z", "")).otherwise(F.col("run_id")),
+        attempt=attempt, known=known)
+    return taken.filter("known").select("base_id", "attempt")
 
 
 def _passed_by_marks(wanted: DataFrame, gaps: DataFrame) -> DataFrame:
