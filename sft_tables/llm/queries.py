@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, mixing
+from sft_tables.llm import exact_dedup, langid, mixing, pieces
 
 QUERIES = {
     "op2_mix_sources": mixing.query,
+    "op4_sentencepiece": pieces.query,
+    "op8_language_id": langid.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
