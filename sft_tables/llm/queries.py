@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, langid, mixing, pieces
+from sft_tables.llm import exact_dedup, langid, mixing, pieces, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op2_mix_sources": mixing.query,
     "op4_sentencepiece": pieces.query,
     "op8_language_id": langid.query,
