@@ -107,3 +107,47 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         more = left > 8
         live, at = live[more], at[more] + 8
     return mixed(out + length.astype(np.uint64))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, equal byte places together."""
+    import zstandard
+
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1) if len(values) else np.zeros((0, 1), np.uint8)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw.T).tobytes())
+
+
+def unpack(data: bytes, dtype) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(dtype).ravel() if len(raw) else np.zeros(0, dtype)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys as compressed differences."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
+
+
+def bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Borders of the buckets in ascending 64-bit keys; buckets are even ranges of the key space."""
+    lows = [np.uint64((b << 64) // buckets) for b in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(lows, np.uint64)), [len(keys)]]).astype(np.int64)
+
+
+def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices with their word hashes and each row's first word."""
+    for batch in slices(batches):
+        yield (batch, *words(*text_bytes(batch.column(batch.schema.get_field_index("text")))))
+
+
+def shared_write(df: DataFrame, name: str, *by: str) -> str:
+    """Write a table to the shared folder in folders by some columns; gives its path."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return path

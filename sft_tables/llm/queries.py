@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, langid, mixing, pieces, toxicity
+from sft_tables.llm import exact_dedup, katz, langid, mixing, pieces, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_mix_sources": mixing.query,
     "op4_sentencepiece": pieces.query,
+    "op5_lm_score": katz.query,
     "op8_language_id": langid.query,
     "op10_exact_dedup": exact_dedup.query,
 }
