@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, katz, langid, mixing, pieces, toxicity
+from sft_tables.llm import exact_dedup, katz, langid, mixing, pieces, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_mix_sources": mixing.query,
     "op4_sentencepiece": pieces.query,
     "op5_lm_score": katz.query,
+    "op6_warc": warc.query,
     "op8_language_id": langid.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
 ORACLES = {
     "op2_mix_sources": mixing.SQL,
+    "op6_warc": warc.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
