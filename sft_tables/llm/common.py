@@ -82,13 +82,19 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all rows, lower-cased A-Z, in order; and each row's first word (one more than rows)."""
+    starts, ends, first = word_spans(data, offsets)
+    return word_hashes(lowered(data), starts, ends), first
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each word, the byte after it, and each row's first word (one more than rows)."""
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     edge = np.concatenate([[True], blank, [True]])
     starts = np.flatnonzero(~blank & (edge[:-2] | first[:-1]))
     ends = np.flatnonzero(~blank & (edge[2:] | first[1:])) + 1
-    return word_hashes(lowered(data), starts, ends), np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

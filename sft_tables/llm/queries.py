@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, katz, langid, mixing, pieces, toxicity, warc
+from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, pieces, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_mix_sources": mixing.query,
+    "op3_fingerprints": fingerprints.query,
     "op4_sentencepiece": pieces.query,
     "op5_lm_score": katz.query,
     "op6_warc": warc.query,
