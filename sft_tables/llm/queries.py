@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, pieces, toxicity, warc
+from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, pieces, repeats, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_sentencepiece": pieces.query,
     "op5_lm_score": katz.query,
     "op6_warc": warc.query,
+    "op7_repeats": repeats.query,
     "op8_language_id": langid.query,
     "op10_exact_dedup": exact_dedup.query,
 }
