@@ -157,3 +157,16 @@ def shared_write(df: DataFrame, name: str, *by: str) -> str:
     path = scratch_dir(df.sparkSession, name)
     df.write.partitionBy(*by).parquet(path)
     return path
+
+
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """Write a table to the shared folder in hash buckets of a column, so that later joins on it leave it where it is.
+
+    The table is registered under a name of its own; there are as many buckets as shuffle partitions.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    table = f"{name}_{path.rstrip('/').rpartition('-')[2]}".replace("-", "_").replace(".", "_")
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.bucketBy(buckets, column).format("parquet").option("path", path).saveAsTable(table)
+    return spark.table(table)

@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import (ROLL, bucket_cuts, mixed, pack, pack_keys, read_table, shared_write, slices, stored, text_bytes, unpack,
-                                   unpack_keys, word_hashes)
+from sft_tables.llm.common import (ROLL, bucket_cuts, bucketed, mixed, pack, pack_keys, read_table, slices, stored, text_bytes, unpack, unpack_keys,
+                                   word_hashes)
 
 LENGTH = 50
 #: Length of the inner strings whose smallest hash deals out; and the longest run of strings that travels as one piece.
@@ -33,11 +33,11 @@ OFTEN = 2000
 BLOCK_BYTES, BUCKET_BYTES = 2 << 20, 8 << 20
 LAST_ID = 2**63 - 1
 
-BLOCKS = "block string, ids binary, sizes binary, data binary, n_bytes bigint"
-ASKED = "bucket int, block string, keys binary, docs binary, counts binary"
-MARKS = "bucket int, block string, marks binary"
-PIECES = "bucket int, block string, keys binary, docs binary, sizes binary, data binary"
-ANSWERS = "bucket int, block string, intervals binary, ends binary, docs binary"
+BLOCKS = "block bigint, ids binary, sizes binary, data binary, n_bytes bigint"
+ASKED = "bucket int, block bigint, keys binary, docs binary, counts binary"
+MARKS = "bucket int, block bigint, marks binary"
+PIECES = "bucket int, block bigint, keys binary, docs binary, sizes binary, data binary"
+ANSWERS = "bucket int, block bigint, intervals binary, ends binary, docs binary"
 
 
 def row_batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -55,7 +55,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch:
         data = np.concatenate([p[2] for p in parts])
-        return row_batch(BLOCKS, [(f"{task}-{count}", pack(np.concatenate([p[0] for p in parts])), pack(np.concatenate([p[1] for p in parts])),
+        return row_batch(BLOCKS, [(task << 32 | count, pack(np.concatenate([p[0] for p in parts])), pack(np.concatenate([p[1] for p in parts])),
                                    zstandard.ZstdCompressor(level=3).compress(data.tobytes()), len(data))])
 
     for batch in slices(batches, most=BLOCK_BYTES // 4):
@@ -392,14 +392,15 @@ def without_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     bytes lose nothing. An empty table gives no rows; further columns are ignored.
 
     First, keys: blocks of documents ask which of their hashes occur elsewhere. Second, the pieces with such hashes meet
-    by hash and are compared byte for byte. Third, blocks remove what they are told. Texts are stored once, compressed.
+    by hash and are compared byte for byte. Third, blocks remove what they are told. Texts are stored once, compressed and
+    in buckets of blocks, and never shuffled.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("doc_id"), "text")
-    cut = stored(rows.mapInArrow(blocks, BLOCKS), "repeats-blocks")
+    cut = bucketed(rows.mapInArrow(blocks, BLOCKS), "repeats_blocks", "block")
     total = cut.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(16, -(-total // BUCKET_BYTES))
     marks = stored(cut.mapInArrow(asking(buckets), ASKED).groupBy("bucket").applyInArrow(marked, MARKS), "repeats-marks")
