@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, pieces, repeats, toxicity, warc
+from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, near_dedup, pieces, repeats, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_warc": warc.query,
     "op7_repeats": repeats.query,
     "op8_language_id": langid.query,
+    "op9_near_dedup": near_dedup.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
