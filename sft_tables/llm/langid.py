@@ -6,9 +6,9 @@ into pieces, found by a forward pass over the word's lattice; a text's is the pr
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,23 +23,74 @@ ROUNDS = 4
 SMOOTHING = 0.02
 #: Probability of one character that has no piece, and so of any text in any language.
 UNKNOWN = 1e-9
-CACHED = 300_000
+CACHED = 600_000
+#: Characters, the most frequent among the pieces, whose steps in the trie are one table look-up.
+FREQUENT = 96
 CHUNK = 20_000
 UNDECIDED = "und"
 
 
+class Trie:
+    """The pieces as a tree of characters, walked from all positions of a text at once."""
+
+    def __init__(self, pieces: list[str]):
+        uses = Counter("".join(pieces))
+        self.classes = np.zeros(0x110000, np.int32)
+        for i, (c, _) in enumerate(sorted(uses.items(), key=lambda x: (-x[1], x[0])), 1):
+            self.classes[ord(c)] = i
+        self.width = len(uses) + 1
+        nodes = {"": 0}
+        steps: dict[int, int] = {}
+        for piece in pieces:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in nodes:
+                    nodes[piece[:n]] = len(nodes)
+                    steps[nodes[piece[:n - 1]] * self.width + int(self.classes[ord(piece[n - 1])])] = nodes[piece[:n]]
+        self.piece = np.full(len(nodes), -1)
+        self.piece[[nodes[p] for p in pieces]] = np.arange(len(pieces))
+        self.keys = np.array(sorted(steps), np.int64)
+        self.targets = np.array([steps[k] for k in self.keys.tolist()], np.int32)
+        self.near = np.zeros((len(nodes), FREQUENT), np.int32)
+        parent, c = self.keys // self.width, self.keys % self.width
+        self.near[parent[c < FREQUENT], c[c < FREQUENT]] = self.targets[c < FREQUENT]
+
+    def step(self, node: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The node below by a character; 0 where there is none."""
+        out = self.near[node, np.minimum(c, FREQUENT - 1)]
+        rare = np.flatnonzero(c >= FREQUENT - 1)
+        if len(rare) and len(self.keys):
+            key = node[rare] * np.int64(self.width) + c[rare]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[rare] = np.where(self.keys[at] == key, self.targets[at], 0)
+        return out
+
+    def matches(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of every piece at every place."""
+        c = self.classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        c = np.append(c, np.int32(0))
+        at = np.arange(len(text))
+        node, length = np.zeros(len(text), np.int32), 0
+        found = []
+        while len(at):
+            node = self.step(node, c[at + length])
+            length += 1
+            alive = node > 0
+            at, node = at[alive], node[alive]
+            ends = self.piece[node] >= 0
+            found.append((at[ends], at[ends] + length, self.piece[node[ends]]))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+
 class Lattice:
     """All ways to cut words into pieces: edges between character positions, ordered by where they end in the word."""
 
-    def __init__(self, words: list[str], automaton, lengths: np.ndarray):
+    def __init__(self, words: list[str], trie: Trie, lengths: np.ndarray):
         joined = GAP.join(words) + GAP
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         self.first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
         self.last = self.first + sizes
         self.nodes = len(joined)
-        pairs = np.array(list(automaton.iter(joined)), np.int64).reshape(-1, 2)
-        end, piece = pairs[:, 0] + 1, pairs[:, 1]
-        start = end - lengths[piece]
+        start, end, piece = trie.matches(joined)
         single = np.zeros(self.nodes, bool)
         single[start[lengths[piece] == 1]] = True
         single[self.last] = True
@@ -92,10 +143,7 @@ class Model:
 
     def _ready(self) -> None:
         self.lengths = np.array([len(p) for p in self.pieces] + [1])
-        self.automaton = ahocorasick.Automaton()
-        for i, piece in enumerate(self.pieces):
-            self.automaton.add_word(piece, i)
-        self.automaton.make_automaton()
+        self.trie = Trie(self.pieces)
         self.rows: dict[str, int] = {}
         self.table = np.zeros((0, len(self.languages)))
 
@@ -114,7 +162,7 @@ class Model:
             uses = np.full(log_p.shape, SMOOTHING)
             for at in range(0, len(words), CHUNK):
                 part = words[at:at + CHUNK]
-                uses += Lattice(part, self.automaton, self.lengths).expected(log_p, np.array([counts[w] for w in part]))
+                uses += Lattice(part, self.trie, self.lengths).expected(log_p, np.array([counts[w] for w in part]))
             log_p = np.log(uses / uses.sum(0))
             log_p[-1] = np.log(UNKNOWN)
         self.log_p = log_p
@@ -129,7 +177,7 @@ class Model:
             new = list({w for text in texts for w in text})
         scores = [self.table]
         for at in range(0, len(new), CHUNK):
-            lattice = Lattice([SPACE + w for w in new[at:at + CHUNK]], self.automaton, self.lengths)
+            lattice = Lattice([SPACE + w for w in new[at:at + CHUNK]], self.trie, self.lengths)
             scores.append(lattice.forward(self.log_p)[lattice.last])
         rows.update(zip(new, range(len(rows), len(rows) + len(new))))
         self.table = np.concatenate(scores) if new else self.table
