@@ -64,6 +64,30 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             start = stop
 
 
+def uniform(doc_id: Column, seed: str = "") -> Column:
+    """A number in (0, 1) from 52 bits of the id's MD5, in the order of the MD5s: the same on every run."""
+    digits = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
+    return (F.conv(digits, 16, 10).cast("bigint") + 0.5) / float(16**13)
+
+
+def sample_ids(rows: DataFrame, label: str, most: int) -> list[tuple]:
+    """At most ``most`` (doc_id, label) of each label: the first by the ids' MD5, the same on every run.
+
+    Labels are counted first; then all but about ``most`` ids of each are passed over by their MD5 alone, so that only a
+    bounded number of ids per label is ever gathered, whatever the size of the table. Bounded by the number of labels.
+    """
+    counts = dict(rows.groupBy(label).count().collect())
+    if not counts:
+        return []
+    wanted = most + 6 * most**0.5 + 20
+    cut = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, wanted / n))]), F.col(label))
+    near = rows.select("doc_id", label, uniform(F.col("doc_id")).alias("_u")).filter(F.col("_u") <= cut).distinct().collect()
+    out: list[tuple] = []
+    for k in counts:
+        out += [(i, k) for _, i in sorted((u, i) for i, v, u in near if v == k)[:most]]
+    return out
+
+
 #: Multiplier of the rolling hashes (odd, so that its powers are units modulo 2**64) and the constants of the final mix.
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))

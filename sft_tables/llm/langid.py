@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import read_table, remainder, slices
+from sft_tables.llm.common import read_table, remainder, sample_ids, slices
 
 SPACE, GAP = "▁", "\n"
 #: At most so many documents of each language are learned from (a documented bound of the fit; scoring has none).
@@ -210,12 +210,11 @@ def train(docs: DataFrame, model_path: str, per_language: int = DOCS_PER_LANGUAG
     """Fit on at most ``per_language`` documents of each language, the ones whose ids' MD5 come first.
 
     Null texts, null languages and held-out rows (crc32 of the id modulo 4 is 2) are never learned from. The ids are
-    chosen without texts (a limit per language that is applied before the shuffle); only the chosen texts are fetched.
+    chosen without texts; only the chosen texts are fetched.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 4) != 2))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string"))))
-    ids = known.select("lang", "doc_id", rank.alias("_n")).filter(F.col("_n") <= per_language).select("doc_id").distinct().collect()
-    chosen = docs.sparkSession.createDataFrame([(r[0],) for r in ids], docs.select("doc_id").schema)
+    ids = sample_ids(known, "lang", per_language)
+    chosen = docs.sparkSession.createDataFrame(sorted({(i,) for i, _ in ids}), docs.select("doc_id").schema)
     texts = known.join(F.broadcast(chosen), "doc_id").select("lang", "text").collect()
     languages = sorted({r[0] for r in texts})
     model = Model(vocabulary_pieces(model_path), languages)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import WORD, read_table, stored
+from sft_tables.llm.common import WORD, read_table, stored, uniform
 
 #: A source's documents are cut into this many blocks of keys; only the block that the budget ends in is sorted.
 BLOCKS = 1024
@@ -21,12 +21,6 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
 
 
-def uniform(doc_id: Column, seed: str) -> Column:
-    """A number in (0, 1) from 52 bits of the id's MD5: the same on every run."""
-    digits = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
-    return (F.conv(digits, 16, 10).cast("bigint") + 0.5) / float(16**13)
-
-
 def sized(docs: DataFrame, quality: DataFrame | None, seed: str) -> DataFrame:
     """(doc_id, _source, size, _key, _tie) per row: no text."""
     rows = docs.select(
@@ -112,17 +106,18 @@ def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options
     """
     taken = mixture(docs, quality, **options).filter("taken > 0").groupBy(
         F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), "_source", "_tie").agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    keyed = docs.select("*", F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_source"),
-                        F.md5(F.coalesce("text", F.lit(""))).alias("_tie"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"),
+                        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_source"), F.md5(F.coalesce("text", F.lit(""))).alias("_tie"))
     copies = F.floor(F.col("_taken") / F.col("_size")).cast("int")
     part = (F.col("_taken") % F.col("_size")).cast("int")
     words = F.concat(F.array_repeat(F.lit(0), copies), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    out = keyed.join(taken, ["_id", "_source", "_tie"]).withColumn("_words", F.explode(words))
-    pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    text = F.when(F.col("_words") == 0, F.col("text")).otherwise(F.array_join(F.slice(pieces, 1, F.greatest("_words", F.lit(1))), ""))
-    columns = {"text": text} | ({"n_chars": F.when(F.col("_words") == 0, F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)}
-                                if "n_chars" in docs.columns else {})
-    return out.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    out = keyed.join(taken, ["_id", "_source", "_tie"]).select("row", F.explode(words).alias("words"))
+    pieces = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.when(F.col("words") == 0, F.col("row.text")).otherwise(F.array_join(F.slice(pieces, 1, F.greatest("words", F.lit(1))), ""))
+    columns = {"text": text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("words") == 0, F.col("row.n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[columns.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -168,19 +168,19 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def spread(count: Column) -> Column:
-    """Groups of at most about GROUP."""
-    return F.ceil(count / GROUP).cast("int")
+def spread(count: Column, group: int) -> Column:
+    """How many groups of about ``group``."""
+    return F.ceil(count / group).cast("int")
 
 
-def verified_hubs(found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def verified_hubs(found: DataFrame, full: DataFrame, percent: int, group: int) -> DataFrame:
     """Links (left, right) among distinct (hub, node), on full sets.
 
-    Each hub's nodes are dealt out to groups of about GROUP, with the hub's set in front of each group; sets are read
+    Each hub's nodes are dealt out to groups of about ``group``, with the hub's set in front of each group; sets are read
     as a sorted stream, one at a time.
     """
     edges = found.filter("hub != node").select("hub", "node").distinct()
-    parts = edges.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).select("hub", spread(F.col("n")).alias("parts"))
+    parts = edges.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).select("hub", spread(F.col("n"), group).alias("parts"))
     parts = stored(parts, "near-hubs")
     dealt = edges.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node")
     nodes = dealt.join(full, "node").select("hub", "part", F.lit(1).alias("kind"), "node", "shingles")
@@ -227,7 +227,7 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int, group: int) -> DataFrame:
     """Links (left, right) inside tables of three or more whose members are not yet all connected.
 
     Members of the table's largest connected part are compared with those outside it, and these among each other. Large
@@ -240,8 +240,8 @@ def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int
     main = parts.groupBy("table").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
     main = stored(main.filter("parts > 1").select("table", "size", F.col("main.root").alias("main"), F.col("main.n").alias("inside")), "near-main")
     rows = placed.join(main, "table").select(
-        "table", "node", "root", "hub", (F.col("root") == F.col("main")).alias("inside"), spread(F.col("inside")).alias("deals"),
-        spread(F.col("size") - F.col("inside")).alias("shares"))
+        "table", "node", "root", "hub", (F.col("root") == F.col("main")).alias("inside"), spread(F.col("inside"), group).alias("deals"),
+        spread(F.col("size") - F.col("inside"), group).alias("shares"))
     deal, share = F.pmod(F.xxhash64("node"), "deals").cast("int"), F.pmod(F.xxhash64("node", F.lit(7)), "shares").cast("int")
     # inside: one deal against every share; outside: every deal, and every other share
     other = F.sequence(F.lit(0), F.col("shares") - 1)
@@ -303,7 +303,7 @@ def links_within(rows: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
 
     Words are runs of other than ASCII white space, A-Z lower-cased. Documents are linked when 100 * common shingles >=
@@ -324,8 +324,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     wanted = found.select("node").distinct().join(nodes.select("node", "doc_id"), "node").select("doc_id", "node")
     full = stored(sets(docs, wanted, words), "near-sets")
 
-    links = stored(verified_hubs(found, full, percent), "near-links")
-    more = stored(unresolved(found, components(links), full, percent), "near-more")
+    links = stored(verified_hubs(found, full, percent, group), "near-links")
+    more = stored(unresolved(found, components(links), full, percent, group), "near-more")
     roots = components(links.unionByName(more))
 
     grouped = nodes.select("node", F.col("doc_id").alias("_least")).join(roots, "node")
@@ -345,8 +345,9 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, as given, whose id is the smallest of their group; of rows that share such an id, all."""
-    kept = near_groups(docs, words, percent).filter("kept").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("_id")).distinct()
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))).join(kept, "_id", "left_semi").drop("_id")
+    kept = near_groups(docs, words, percent).filter("kept").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"))
+    return rows.join(kept, "id", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

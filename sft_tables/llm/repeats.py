@@ -179,17 +179,19 @@ def asking(buckets: int):
     return run
 
 
-def marked(key: tuple, asked: pa.Table) -> pa.Table:
+def marking(often: int):
     """Which keys of a bucket occur in several documents, and which of them very often."""
-    rows = asked.to_pylist()
-    keys = [unpack_keys(r["keys"]) for r in rows]
-    several = np.concatenate([unpack(r["docs"], bool) for r in rows])
-    counts = np.concatenate([unpack(r["counts"], np.uint32) for r in rows])
-    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    shared = np.bincount(at, 1 + several, len(distinct)) > 1
-    mark = (shared * (1 + (np.bincount(at, counts, len(distinct)) > OFTEN))).astype(np.uint8)[at]
-    ends = np.cumsum([len(k) for k in keys])
-    return pa.Table.from_batches([row_batch(MARKS, [(key[0].as_py(), r["block"], pack(mark[e - len(k):e])) for r, k, e in zip(rows, keys, ends)])])
+    def run(key: tuple, asked: pa.Table) -> pa.Table:
+        rows = asked.to_pylist()
+        keys = [unpack_keys(r["keys"]) for r in rows]
+        several = np.concatenate([unpack(r["docs"], bool) for r in rows])
+        counts = np.concatenate([unpack(r["counts"], np.uint32) for r in rows])
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        shared = np.bincount(at, 1 + several, len(distinct)) > 1
+        mark = (shared * (1 + (np.bincount(at, counts, len(distinct)) > often))).astype(np.uint8)[at]
+        ends = np.cumsum([len(k) for k in keys])
+        return pa.Table.from_batches([row_batch(MARKS, [(key[0].as_py(), r["block"], pack(mark[e - len(k):e])) for r, k, e in zip(rows, keys, ends)])])
+    return run
 
 
 def joined_marks(marks: list[dict], block: Block) -> np.ndarray:
@@ -384,7 +386,7 @@ def removing(id_kind: pa.DataType, keep_text: bool):
     return run
 
 
-def without_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, keep_text: bool = False, often: int = OFTEN) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) per row of ``docs``.
 
     Texts are UTF-8 bytes, null counts as empty; matches never cross documents and are judged on the input. Rows with
@@ -403,7 +405,7 @@ def without_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     cut = bucketed(rows.mapInArrow(blocks, BLOCKS), "repeats_blocks", "block")
     total = cut.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(16, -(-total // BUCKET_BYTES))
-    marks = stored(cut.mapInArrow(asking(buckets), ASKED).groupBy("bucket").applyInArrow(marked, MARKS), "repeats-marks")
+    marks = stored(cut.mapInArrow(asking(buckets), ASKED).groupBy("bucket").applyInArrow(marking(often), MARKS), "repeats-marks")
     pieces = cut.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(sending(buckets), PIECES)
     answers = stored(pieces.groupBy("bucket").applyInArrow(answering, ANSWERS), "repeats-answers")
     told = marks.unionByName(answers, allowMissingColumns=True)

@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import read_table, remainder, slices
+from sft_tables.llm.common import read_table, remainder, sample_ids, slices
 
 WINDOW, STRIDE = 32, 24
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 8, 16, 12, 8
@@ -23,6 +23,8 @@ TRIGRAMS = 8192
 #: Bounds of the fit (scoring has none): documents per label, words with an embedding of their own.
 DOCS_PER_LABEL, VOCABULARY = 1000, 4000
 EPOCHS, BATCH, RATE = 8, 256, 0.01
+#: Clean windows taught in an epoch, about, where a small sample has so many; letters of a word's beginning.
+CLEAN_WINDOWS, BEGINNING = 6000, 5
 CACHED = 250_000
 THRESHOLD = 0.3
 EDGES = ".,;:!?\"'()[]{}<>*_-|"
@@ -181,8 +183,8 @@ def windows_of(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarra
 def fitted(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Network:
     """Train on labelled texts; ``share``: how many of all labelled texts are toxic (the sample is balanced).
 
-    The label is the text's, so of a toxic text only its highest windows are taught after the first epoch, and of a
-    clean text its highest and a few more.
+    The label is the text's, so of a toxic text only its highest windows are taught, and of a clean text its highest and
+    a few more. The first epoch's order comes from how much more often words and their beginnings occur in toxic texts.
     """
     split = [tokens(t) for t in texts]
     seen = Counter(w for words in split for w in set(words))
@@ -194,7 +196,7 @@ def fitted(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) ->
     number = {w: i for i, w in enumerate(vocabulary)}
     at, real, owner = windows_of([np.array([number[w] for w in words], np.int64) for words in split], len(vocabulary) - 1)
     rng = np.random.default_rng(seed)
-    scores = rng.random(at.shape[1])
+    scores = first_scores(split, labels, number)[at].max(0)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
@@ -210,8 +212,8 @@ def fitted(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) ->
         rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
         size = np.repeat(np.diff(np.append(first, len(order))), np.diff(np.append(first, len(order))))
         toxic = labels[owner[order]] == 1
-        most = np.where(toxic, 8 if epoch == 0 else np.maximum(1, size // 10), 4)
-        chosen = order[(rank < most) | (~toxic & (rng.random(len(order)) < 0.05))]
+        most = np.where(toxic, np.maximum(1, size // 10), 4)
+        chosen = order[(rank < most) | (~toxic & (rng.random(len(order)) < max(0.05, CLEAN_WINDOWS / len(order))))]
         rng.shuffle(chosen)
         for i in range(0, len(chosen), BATCH):
             part = chosen[i:i + BATCH]
@@ -230,6 +232,20 @@ def fitted(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) ->
     return net
 
 
+def first_scores(split: list[list[str]], labels: np.ndarray, number: dict[str, int]) -> np.ndarray:
+    """Per word: the larger log odds of a toxic text, of the word and of its first letters."""
+    found: dict[str, np.ndarray] = {}
+    for words, label in zip(split, labels.astype(int).tolist()):
+        for part in {w for word in set(words) for w in (word, f"^{word[:BEGINNING]}")}:
+            found.setdefault(part, np.zeros(2))[label] += 1
+    toxic, clean = labels.sum(), len(labels) - labels.sum()
+    odds = {part: np.log((n[1] + 0.5) / (toxic + 1)) - np.log((n[0] + 0.5) / (clean + 1)) for part, n in found.items()}
+    out = np.full(len(number), -np.inf)
+    for word, i in number.items():
+        out[i] = max(odds.get(word, -10.0), odds.get(f"^{word[:BEGINNING]}", -10.0))
+    return out
+
+
 def scaled(x: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
     """Slope and shift that turn a text's highest window into a probability, with classes weighted as in the corpus."""
     weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean()))
@@ -298,8 +314,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) -
     """
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (remainder(F.col("doc_id"), 4) != 2)).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id"))
-    ids = [(r[0], r[1]) for r in marks.select("doc_id", "toxic", rank.alias("_n")).filter(F.col("_n") <= per_label).select("doc_id", "toxic").collect()]
+    ids = sample_ids(marks, "toxic", per_label)
     totals = dict(marks.groupBy("toxic").count().collect())
     chosen = docs.sparkSession.createDataFrame(ids, marks.schema)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id").collect()
