@@ -20,20 +20,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import (ROLL, bucket_cuts, mixed, pack, pack_keys, read_table, remainder, shared_write, stored, text_rows, unpack,
+from sft_tables.llm.common import (ROLL, bucket_cuts, bucketed, mixed, pack, pack_keys, read_table, remainder, shared_write, text_rows, unpack,
                                    unpack_keys)
 
 #: Tokens of a block and, on average, of a bucket.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS, BUCKET_TOKENS = 1 << 21, 1 << 20
+#: Word pairs are compared by 56 bits of their hashes.
+PAIR_BITS = np.uint64(2**64 - 2**8)
 #: Counts up to this are discounted by Good-Turing, higher ones by RESERVE, so that every context keeps something for new words.
 LAST_DISCOUNTED = 5
 RESERVE = 1e-3
 START, END = np.uint64(1), np.uint64(2)
 
-BLOCKS = "block string, ids binary, sizes binary, train binary, vocabulary binary, tokens binary, n_tokens bigint"
-ASKED = "level int, bucket int, block string, keys binary, counts binary"
-ANSWERED = "kind string, level int, bucket int, block string, keys binary, counts binary, owner binary, stats array<bigint>"
-CONTEXTS = "kind string, bucket int, block string, keys binary, values binary, own binary, ids binary, rows binary, events binary"
+BLOCKS = "block bigint, ids binary, sizes binary, train binary, vocabulary binary, tokens binary, n_tokens bigint"
+ASKED = "level int, bucket int, block bigint, keys binary, counts binary"
+ANSWERED = "kind string, level int, bucket int, block bigint, keys binary, counts binary, owner binary, stats array<bigint>"
+CONTEXTS = "bucket int, block bigint, keys binary, counts binary, lower binary"
+WEIGHTS = "kind string, bucket int, block bigint, keys binary, weights binary"
 
 
 def _ids(values: list) -> bytes:
@@ -58,11 +61,13 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def flush() -> pa.RecordBatch:
-        vocabulary, numbers = np.unique(np.concatenate(tokens), return_inverse=True)
-        row = [f"{task}-{count}", _ids(ids), pack(np.concatenate(sizes)), pack(np.concatenate(train)), pack_keys(vocabulary),
-               pack(numbers.astype(np.uint32)), len(numbers)]
-        kinds = [pa.string(), *[pa.binary()] * 5, pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [c.split()[0] for c in BLOCKS.split(", ")])
+        vocabulary, numbers, uses = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        # small numbers for frequent words
+        order = np.argsort(-uses, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        return batch_rows(BLOCKS, [(task << 32 | count, _ids(ids), pack(np.concatenate(sizes)), pack(np.concatenate(train)), pack(vocabulary[order]),
+                                    pack(rank[numbers]), len(numbers))])
 
     for batch, hashes, first in text_rows(batches):
         n = np.diff(first)
@@ -89,8 +94,11 @@ class Block:
     row: dict
 
     def __post_init__(self):
-        self.words = unpack_keys(self.row["vocabulary"])
-        self.tokens = unpack(self.row["tokens"], np.uint32).astype(np.int64)
+        words = unpack(self.row["vocabulary"], np.uint64)
+        order = np.argsort(words)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.words, self.tokens = words[order], place[unpack(self.row["tokens"], np.uint32)]
         self.sizes = unpack(self.row["sizes"], np.int64)
         train = unpack(self.row["train"], bool)
         self.in_train = np.repeat(train, self.sizes)
@@ -102,7 +110,7 @@ class Block:
         wide = len(self.words)
         pairs, self.pair_of = np.unique(context * wide + self.tokens, return_inverse=True)
         self.context, self.word = pairs // wide, pairs % wide
-        hashes = mixed(self.contexts[self.context] * ROLL + self.words[self.word])
+        hashes = mixed(self.contexts[self.context] * ROLL + self.words[self.word]) & PAIR_BITS
         self.order = np.argsort(hashes)
         self.pairs = hashes[self.order]
 
@@ -195,62 +203,87 @@ def model_of(stats: dict[int, list[int]]) -> Model:
     return Model(tokens, types, 1 - kept / tokens if tokens else 1.0, d1, discounts(two[:-2]))
 
 
-def resolving(model: Model, buckets: int):
-    """Per block: scores as far as backoff weights are not needed, the backoffs, and what its contexts sum up to."""
+class Resolved:
+    """A block with the corpus's counts of its words and pairs."""
+
+    def __init__(self, model: Model, row: dict, answers: list[dict]):
+        self.block = block = Block(row)
+        answers = sorted(answers, key=lambda r: (r["level"], r["bucket"]))
+        self.one = np.concatenate([unpack(r["counts"], np.uint64) for r in answers if r["level"] == 1]).astype(np.int64)
+        self.two, self.owner = np.empty(len(block.pairs), np.int64), np.empty(len(block.pairs), bool)
+        self.two[block.order] = np.concatenate([unpack(r["counts"], np.uint64) for r in answers if r["level"] == 2])
+        self.owner[block.order] = np.concatenate([unpack(r["owner"], bool) for r in answers if r["level"] == 2])
+        # a text starts as often as it ends
+        self.of_context = np.append(self.one, self.one[np.searchsorted(block.words, END)])
+        self.single = model.single(self.one)
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The block's contexts that were seen in training, ascending: their keys and their numbers."""
+        keys = self.block.contexts
+        order = np.argsort(keys)
+        order = order[self.of_context[order] > 0]
+        return keys[order], order
+
+
+def context_asks(model: Model, buckets: int):
+    """What the pairs that a block owns add to their contexts: uses by count, and probability in the shorter model."""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        block = Block(row)
-        answers = sorted(right.to_pylist(), key=lambda r: (r["level"], r["bucket"]))
-        one = np.concatenate([unpack(r["counts"], np.uint64) for r in answers if r["level"] == 1]).astype(np.int64)
-        two, owner = np.empty(len(block.pairs), np.int64), np.empty(len(block.pairs), bool)
-        two[block.order] = np.concatenate([unpack(r["counts"], np.uint64) for r in answers if r["level"] == 2])
-        owner[block.order] = np.concatenate([unpack(r["owner"], bool) for r in answers if r["level"] == 2])
-
-        starts = int(one[np.searchsorted(block.words, END)])
-        of_context = np.append(one, starts)
-        single = model.single(one)
-        kept = model.d2[np.minimum(two, LAST_DISCOUNTED + 1)] * two
-        with np.errstate(divide="ignore", invalid="ignore"):
-            pair_log = np.where(two > 0, np.log10(kept / of_context[block.context]), np.log10(single[block.word]))
-        token_log = pair_log[block.pair_of]
-        base_log = np.log10((one + 1) / (model.tokens + model.types + 1))[block.tokens]
-        known = (one > 0)[block.tokens]
-        backs = (two == 0) & (of_context[block.context] > 0)
-        back = backs[block.pair_of]
-        context = block.context[block.pair_of[back]]
-        scores = np.stack([np.add.reduceat(x.astype(np.float64), block.first) for x in (token_log, base_log, known, back)] + [block.sizes])
-
-        size = len(block.words) + 1
-        own = owner & (two > 0)
-        sums = [np.bincount(block.context[own], x[own], size) for x in (kept, single[block.word])]
-        contexts = block.contexts
-        order = np.argsort(contexts)
-        order = order[of_context[order] > 0]
-        keys, place = contexts[order], np.zeros(size, np.int64)
-        place[order] = np.arange(len(order))
+        known = Resolved(model, row, right.to_pylist())
+        keys, order = known.contexts()
+        own = known.owner & (known.two > 0)
+        context, two = known.block.context[own], known.two[own]
+        size, top = len(known.of_context), LAST_DISCOUNTED + 1
+        uses = np.bincount(context * (top + 1) + np.minimum(two, top), np.where(two < top, 1, two), size * (top + 1)).reshape(size, top + 1)[:, 1:]
+        lower = np.bincount(context, known.single[known.block.word[own]], size)
+        counts = np.concatenate([known.of_context[:, None], uses.astype(np.int64)], 1)[order]
         cuts = bucket_cuts(keys, buckets)
-        out = [("ask", b, row["block"], pack_keys(keys[i:j]), pack(of_context[order[i:j]]),
-                pack(np.stack([s[order[i:j]] for s in sums], 1).ravel()), None, None, None)
-               for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if i < j]
-        out.append(("block", None, row["block"], None, None, row["train"], row["ids"], pack(scores.ravel()), pack(place[context].astype(np.uint32))))
-        return pa.Table.from_batches([batch_rows(CONTEXTS, out)])
+        return pa.Table.from_batches([batch_rows(CONTEXTS, [
+            (b, row["block"], pack_keys(keys[i:j]), pack(counts[i:j].ravel(order="F")), pack(lower[order[i:j]]))
+            for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if i < j])])
     return run
 
 
-def weighed(key: tuple, asked: pa.Table) -> pa.Table:
+def weighing(model: Model):
     """Backoff weights of a bucket's contexts, and each block's answer."""
-    rows = sorted(asked.to_pylist(), key=lambda r: r["block"])
-    keys = [unpack_keys(r["keys"]) for r in rows]
-    count = np.concatenate([unpack(r["values"], np.int64) for r in rows])
-    sums = np.concatenate([unpack(r["own"], np.float64) for r in rows]).reshape(-1, 2)
-    distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    kept, lower = (np.bincount(at, sums[:, i], len(distinct)) for i in (0, 1))
-    weight = np.log10(np.maximum(1 - kept / count[first], 1e-12) / np.maximum(1 - lower, 1e-12))
-    ends = np.cumsum([len(k) for k in keys])
-    bucket = key[0].as_py()
-    out = [("table", bucket, None, pack_keys(distinct), pack(weight), None, None, None, None)]
-    out += [("answer", bucket, r["block"], None, pack(weight[at[e - len(k):e]]), None, None, None, None) for r, k, e in zip(rows, keys, ends)]
-    return pa.Table.from_batches([batch_rows(CONTEXTS, out)])
+    def run(key: tuple, asked: pa.Table) -> pa.Table:
+        rows = sorted(asked.to_pylist(), key=lambda r: r["block"])
+        keys = [unpack_keys(r["keys"]) for r in rows]
+        counts = np.concatenate([unpack(r["counts"], np.int64).reshape(LAST_DISCOUNTED + 2, -1) for r in rows], 1)
+        distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        r = np.append(np.arange(1, LAST_DISCOUNTED + 1), 1)
+        kept = np.bincount(at, (model.d2[1:] * r) @ counts[1:], len(distinct))
+        lower = np.bincount(at, np.concatenate([unpack(r["lower"], np.float64) for r in rows]), len(distinct))
+        weight = np.log10(np.maximum(1 - kept / counts[0, first], 1e-12) / np.maximum(1 - lower, 1e-12))
+        ends = np.cumsum([len(k) for k in keys])
+        out = [("table", key[0].as_py(), None, pack_keys(distinct), pack(weight))]
+        out += [("answer", key[0].as_py(), r["block"], None, pack(weight[at[e - len(k):e]])) for r, k, e in zip(rows, keys, ends)]
+        return pa.Table.from_batches([batch_rows(WEIGHTS, out)])
+    return run
+
+
+def scoring(model: Model, id_kind: pa.DataType):
+    """Every token of a block from the longest n-gram that was seen, with backoff weights on the way down."""
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        row, answers = left.to_pylist()[0], right.to_pylist()
+        known = Resolved(model, row, [r for r in answers if r["weights"] is None])
+        block = known.block
+        weight = np.zeros(len(known.of_context))
+        weight[known.contexts()[1]] = np.concatenate([np.zeros(0), *[unpack(r["weights"], np.float64) for r in sorted(
+            (r for r in answers if r["weights"] is not None), key=lambda r: r["bucket"])]])
+        kept = model.d2[np.minimum(known.two, LAST_DISCOUNTED + 1)] * known.two
+        with np.errstate(divide="ignore", invalid="ignore"):
+            pair_log = np.where(known.two > 0, np.log10(kept / known.of_context[block.context]),
+                                weight[block.context] + np.log10(known.single[block.word]))
+        base_log = np.log10((known.one + 1) / (model.tokens + model.types + 1))
+        backs = (known.two == 0) & (known.of_context[block.context] > 0)
+        token, base, n_known, back = (np.add.reduceat(x, block.first) for x in (
+            pair_log[block.pair_of], base_log[block.tokens], (known.one > 0)[block.tokens].astype(np.int64), backs[block.pair_of].astype(np.int64)))
+        return pa.table({
+            "doc_id": pa.array(_unids(row["ids"]), id_kind), "held_out": ~unpack(row["train"], bool), "n_tokens": block.sizes, "n_known": n_known,
+            "train_tokens": np.full(len(block.sizes), model.tokens, np.int64), "base_score": base, "score": token, "n_backoffs": back,
+        })
+    return run
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -268,51 +301,34 @@ def scored(docs: DataFrame) -> DataFrame:
 
 
 def fit_and_score(docs: DataFrame) -> tuple[DataFrame, str, str]:
-    """The scores, and the paths of the count and weight tables."""
+    """The scores, and the paths of the count and weight tables.
+
+    Blocks are stored in buckets, so that only asks and answers are shuffled, to the blocks' places.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema["doc_id"].dataType
     marked = docs.select("doc_id", (remainder(F.col("doc_id"), 7) != 2).alias("train"), "text")
-    cut = stored(marked.mapInArrow(blocks, BLOCKS), "katz-blocks")
+    cut = bucketed(marked.mapInArrow(blocks, BLOCKS), "katz_blocks", "block")
     total = cut.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = max(16, -(-total // BLOCK_TOKENS))
+    buckets = max(16, -(-total // BUCKET_TOKENS))
 
     asked = cut.mapInArrow(asking(buckets), ASKED)
-    counts = shared_write(asked.groupBy("level", "bucket").applyInArrow(counted, ANSWERED), "katz-counts", "kind")
+    counts = shared_write(asked.groupBy("level", "bucket").applyInArrow(counted, ANSWERED), "katz_counts", "kind")
     read = spark.read.schema(ANSWERED).parquet(counts)
     sums = read.filter("kind = 'table'").groupBy("level").agg(
         F.array(*[F.sum(F.col("stats")[i]) for i in range(LAST_DISCOUNTED + 3)])).collect()
     model = model_of({r[0]: list(r[1]) for r in sums})
 
     answers = read.filter("kind = 'answer'").select("block", "level", "bucket", "counts", "owner")
-    resolved = shared_write(cut.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(resolving(model, buckets), CONTEXTS), "katz-contexts", "kind")
-    read = spark.read.schema(CONTEXTS).parquet(resolved)
-    asked = read.filter("kind = 'ask'").select("bucket", "block", "keys", "values", "own")
-    weights = shared_write(asked.groupBy("bucket").applyInArrow(weighed, CONTEXTS), "katz-weights", "kind")
-    answers = spark.read.schema(CONTEXTS).parquet(weights).filter("kind = 'answer'").select("block", "bucket", "values")
-
-    id_type = docs.select("doc_id").schema
-
-    def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        answer = sorted(right.to_pylist(), key=lambda r: r["bucket"])
-        weight = np.concatenate([np.zeros(0), *[unpack(r["values"], np.float64) for r in answer]])
-        token, base, known, back, sizes = unpack(row["rows"], np.float64).reshape(5, -1)
-        events = weight[unpack(row["events"], np.uint32)]
-        upto = np.concatenate([[0.0], np.cumsum(events)])
-        ends = np.cumsum(back.astype(np.int64))
-        added = upto[ends] - upto[ends - back.astype(np.int64)]
-        held = ~unpack(row["own"], bool)
-        return pa.table({
-            "doc_id": pa.array(_unids(row["ids"]), arrow_kind), "held_out": held, "n_tokens": sizes.astype(np.int64), "n_known": known.astype(np.int64),
-            "train_tokens": np.full(len(sizes), model.tokens, np.int64), "base_score": base, "score": token + added, "n_backoffs": back.astype(np.int64),
-        })
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow_kind = to_arrow_type(id_type[0].dataType)
-    rest = read.filter("kind = 'block'").select("block", "ids", "own", "rows", "events")
-    out = rest.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        finish, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_backoffs bigint")
+    asked = cut.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(context_asks(model, buckets), CONTEXTS)
+    weights = shared_write(asked.groupBy("bucket").applyInArrow(weighing(model), WEIGHTS), "katz_weights", "kind")
+    told = answers.unionByName(spark.read.schema(WEIGHTS).parquet(weights).filter("kind = 'answer'").select("block", "bucket", "weights"),
+                               allowMissingColumns=True)
+    out = cut.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        scoring(model, to_arrow_type(kind)), f"doc_id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                                             "base_score double, score double, n_backoffs bigint")
     return out, counts, weights
 
 
@@ -322,8 +338,8 @@ def tables(spark, counts: str, weights: str) -> tuple[dict[int, dict[int, int]],
     for r in spark.read.schema(ANSWERED).parquet(counts).filter("kind = 'table'").collect():
         grams[r["level"]].update(zip(unpack_keys(r["keys"]).tolist(), unpack(r["counts"], np.int64).tolist()))
     back: dict[int, float] = {}
-    for r in spark.read.schema(CONTEXTS).parquet(weights).filter("kind = 'table'").collect():
-        back.update(zip(unpack_keys(r["keys"]).tolist(), unpack(r["values"], np.float64).tolist()))
+    for r in spark.read.schema(WEIGHTS).parquet(weights).filter("kind = 'table'").collect():
+        back.update(zip(unpack_keys(r["keys"]).tolist(), unpack(r["weights"], np.float64).tolist()))
     return grams, back
 
 
