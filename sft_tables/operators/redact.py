@@ -49,15 +49,23 @@ def redacted_error(kind: Column, message: Column, secrets: Sequence[str] = ()) -
     return F.struct(kind.alias("type"), F.when(short != "", short).otherwise(kind).alias("message"))
 
 
+def _either(names: Sequence[str]) -> str:
+    """Any of the names, where any run of other characters may stand for an underscore."""
+    return "|".join(n.replace("_", "[^a-z0-9]+") for n in names)
+
+
+#: One pattern for whole lower-cased keys, in the schema and in the data. Marks around a key do not count.
+SENSITIVE_KEY = f"(?s)[^a-z0-9]*(?:{_either(SENSITIVE_NAMES)}|.*(?:{_either(SENSITIVE_SUFFIXES)}))[^a-z0-9]*"
+
+
 def is_sensitive_key(key: str) -> bool:
-    name = re.sub(r"[^a-z0-9]+", "_", key.strip().lower()).strip("_")
-    return name in SENSITIVE_NAMES or name.endswith(SENSITIVE_SUFFIXES)
+    """For keys that are known when the plan is made."""
+    return re.fullmatch(SENSITIVE_KEY, key.lower()) is not None
 
 
 def sensitive_key(key: Column) -> Column:
-    """The same rule for keys that are data (map keys)."""
-    name = F.regexp_replace(F.regexp_replace(F.lower(strip(key)), "[^a-z0-9]+", "_"), r"\A_+|_+\z", "")
-    return name.isin(*SENSITIVE_NAMES) | name.rlike("(?:" + "|".join(SENSITIVE_SUFFIXES) + r")\z")
+    """For keys that are data (map keys)."""
+    return F.lower(key).rlike(rf"\A(?:{SENSITIVE_KEY})\z")
 
 
 def _is_reference(value: Column) -> Column:
@@ -80,16 +88,33 @@ def _redacted(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.ArrayType):
         return F.transform(value, lambda x: _redacted(x, kind.elementType))
     if isinstance(kind, T.MapType):
-        if isinstance(kind.valueType, T.StringType):
-            return F.transform_values(value, lambda k, x: F.when(sensitive_key(k), _hidden(x, kind.valueType)).otherwise(x))
-        return F.transform_values(value, lambda k, x: _redacted(x, kind.valueType))
+        if isinstance(kind.valueType, (T.StringType, T.VariantType)):
+            return F.transform_values(value, lambda k, x: F.when(sensitive_key(k), _mark(x, kind.valueType)).otherwise(_redacted(x, kind.valueType)))
+        # only a variant can hold both the mark and what the other keys have
+        return F.transform_values(value, lambda k, x: F.when(sensitive_key(k), _variant(F.lit(REDACTED), T.StringType())).otherwise(
+            _variant(_redacted(x, kind.valueType), kind.valueType)))
+    if isinstance(kind, T.VariantType):
+        return F.try_parse_json(redact_json(F.to_json(value)))
     return value
 
 
+def _variant(value: Column, kind: T.DataType) -> Column:
+    nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+    return F.to_variant_object(value) if nested else value.cast("variant")
+
+
+def _mark(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.VariantType):
+        text = F.try_variant_get(value, "$", "string")
+        return F.when(_is_reference(text), value).otherwise(F.lit(REDACTED).cast("variant"))
+    return _hidden(value, kind)
+
+
 def redact_data(df: DataFrame) -> DataFrame:
     """Values under sensitive keys become the mark, unless they are exactly an ``${NAME}`` reference.
 
-    Maps whose values are not strings cannot hold the mark: turn them into JSON text and use ``redact_json``.
+    A map with string values keeps its type. Other maps come back with variant values, which can hold the mark beside
+    whatever the other keys have. Variant columns are redacted through their JSON text.
     """
     row = T.StructType(df.schema.fields)
     return df.select(*[
@@ -98,12 +123,12 @@ def redact_data(df: DataFrame) -> DataFrame:
     ])
 
 
-def _walk(value, key: str | None = None):
-    if key is not None and is_sensitive_key(key):
-        return value if isinstance(value, str) and re.search(REFERENCE.replace(r"\z", r"\Z"), value.strip()) else REDACTED
-    if isinstance(value, dict):
-        return {k: _walk(v, k) for k, v in value.items()}
-    return [_walk(v) for v in value] if isinstance(value, list) else value
+def _object(pairs: list[tuple[str, object]]) -> dict:
+    """An object of a JSON text, as the parser closes it: inner objects come first, so no descent is needed."""
+    reference = re.compile(REFERENCE.replace(r"\z", r"\Z"))
+    return {
+        k: v if not is_sensitive_key(k) or isinstance(v, str) and reference.search(v.strip()) else REDACTED for k, v in pairs
+    }
 
 
 @F.pandas_udf(T.StringType())
@@ -111,40 +136,54 @@ def redact_json(text: pd.Series) -> pd.Series:
     """JSON text of unknown nesting; text that is no JSON becomes NULL rather than passing unchecked."""
     def one(item):
         try:
-            return json.dumps(_walk(json.loads(item)), ensure_ascii=False, separators=(",", ":"))
+            return json.dumps(json.loads(item, object_pairs_hook=_object), ensure_ascii=False, separators=(",", ":"))
         except (TypeError, ValueError):
             return None
 
     return text.map(one)
 
 
+NONE_FOUND = "array<string>"
+
+
+def _is_literal(value: Column, kind: T.DataType) -> Column:
+    return value.isNotNull() & ~_is_reference(value) if isinstance(kind, T.StringType) else value.isNotNull()
+
+
+def _literals(value: Column, kind: T.DataType, path: Column) -> Column | None:
+    """Paths of literals under sensitive keys below a value; nothing where the type has no keys."""
+    none = F.array().cast(NONE_FOUND)
+    if isinstance(kind, T.VariantType):
+        raise ValueError("the keys of a variant are not known when the plan is made: give it a type first")
+    if isinstance(kind, T.StructType):
+        parts = []
+        for f in kind.fields:
+            below = F.concat(path, F.lit(f".{f.name}"))
+            if is_sensitive_key(f.name):
+                parts.append(F.when(_is_literal(value[f.name], f.dataType), F.array(below)).otherwise(none))
+            elif (deeper := _literals(value[f.name], f.dataType, below)) is not None:
+                parts.append(deeper)
+        return F.coalesce(F.concat(*parts), none) if parts else None
+    if isinstance(kind, T.ArrayType):
+        if _literals(value[0], kind.elementType, path) is None:
+            return None
+        each = F.transform(value, lambda x, i: _literals(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        return F.coalesce(F.flatten(each), none)
+    if isinstance(kind, T.MapType):
+        def entry(e: Column) -> Column:
+            below = F.concat(path, F.lit("."), e["key"].cast("string"))
+            deeper = _literals(e["value"], kind.valueType, below)
+            return F.when(sensitive_key(e["key"].cast("string")), F.when(_is_literal(e["value"], kind.valueType), F.array(below)).otherwise(none)).otherwise(
+                none if deeper is None else deeper)
+
+        return F.coalesce(F.flatten(F.transform(F.map_entries(value), entry)), none)
+    return None
+
+
 def literal_secret_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key paths that hold a literal value under a sensitive key: (keys..., path). Values are not shown."""
-    found: list[Column] = []
-
-    def visit(value: Column, kind: T.DataType, path: Column) -> None:
-        if isinstance(kind, T.StructType):
-            for f in kind.fields:
-                below = F.concat(path, F.lit(f".{f.name}"))
-                if is_sensitive_key(f.name):
-                    literal = value[f.name].isNotNull() & ~(
-                        _is_reference(value[f.name]) if isinstance(f.dataType, T.StringType) else F.lit(False))
-                    found.append(F.array(F.when(literal, below)))
-                else:
-                    visit(value[f.name], f.dataType, below)
-        elif isinstance(kind, T.MapType) and isinstance(kind.valueType, T.StringType):
-            found.append(F.transform(F.map_entries(value), lambda e: F.when(
-                sensitive_key(e["key"]) & e["value"].isNotNull() & ~_is_reference(e["value"]),
-                F.concat(path, F.lit("."), e["key"]))))
-
-    for f in df.schema.fields:
-        if f.name in keys:
-            continue
-        if is_sensitive_key(f.name):
-            found.append(F.array(F.when(F.col(f.name).isNotNull() & ~_is_reference(F.col(f.name).cast("string")), F.lit(f.name))))
-        else:
-            visit(F.col(f.name), f.dataType, F.lit(f.name))
-    if not found:
-        return df.select(*keys, F.lit(None).cast("string").alias("path")).limit(0)
-    paths = F.flatten(F.array(*[F.coalesce(p, F.array().cast("array<string>")) for p in found]))
-    return df.select(*keys, F.explode(F.filter(paths, lambda p: p.isNotNull())).alias("path"))
+    """Key paths that hold a literal value under a sensitive key: (keys..., path), at any depth of structs, lists (with
+    the position) and maps of any value. Values are not shown."""
+    row = T.StructType([f for f in df.schema.fields if f.name not in keys])
+    found = _literals(F.struct(*[F.col(f"`{f.name}`") for f in row.fields]), row, F.lit("")) if row.fields else None
+    paths = F.array().cast(NONE_FOUND) if found is None else found
+    return df.select(*keys, F.explode(paths).alias("_path")).select(*keys, F.substr("_path", F.lit(2)).alias("path"))

@@ -211,20 +211,24 @@ def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("Authorization"), F.concat(F.lit("Bearer "), "c_name"), F.lit("eos_token"), F.lit("</s>"),
                      F.lit("db password"), F.when(ref, "${DB}").otherwise("x")).alias("headers"),
         F.array(F.struct(F.col("c_name").alias("password"), F.col("c_mktsegment").alias("tokenizer"))).alias("users"),
+        F.create_map(F.lit("password"), F.struct(F.col("c_name").alias("v")), F.lit("team"), F.struct(F.col("c_mktsegment").alias("v"))).alias("accounts"),
+        F.create_map(F.lit("token"), F.col("c_nationkey"), F.lit("max_tokens"), F.col("c_nationkey")).alias("sessions"),
     )
 
 
 @register("redact_data", """SELECT c_custkey AS config_id, CASE WHEN c_custkey % 3 = 0 THEN ' ${GATEWAY_KEY} ' ELSE '<redacted>' END AS api_key,
   c_name AS name, c_nationkey AS max_tokens, '<redacted>' AS hf_token, '<redacted>' AS client_secret, '<redacted>' AS authorization_header,
   '</s>' AS eos_token, CASE WHEN c_custkey % 3 = 0 THEN '${DB}' ELSE '<redacted>' END AS db_password, '<redacted>' AS user_password,
-  c_mktsegment AS tokenizer FROM customer""")
+  c_mktsegment AS tokenizer, '{"password":"<redacted>","team":{"v":"' || c_mktsegment || '"}}' AS accounts,
+  '{"max_tokens":' || c_nationkey || ',"token":"<redacted>"}' AS sessions FROM customer""")
 def q_redact_data(spark, sf_dir):
     d = redact.redact_data(configs(spark, sf_dir))
     return d.select(
         "config_id", "gateway.api_key", "gateway.name", "gateway.inner.max_tokens", F.col("gateway.inner.`hf-token`").alias("hf_token"),
         "gateway.inner.client_secret", F.col("headers")["Authorization"].alias("authorization_header"),
         F.col("headers")["eos_token"].alias("eos_token"), F.col("headers")["db password"].alias("db_password"),
-        F.col("users")[0]["password"].alias("user_password"), F.col("users")[0]["tokenizer"].alias("tokenizer"))
+        F.col("users")[0]["password"].alias("user_password"), F.col("users")[0]["tokenizer"].alias("tokenizer"),
+        F.to_json(F.to_variant_object("accounts")).alias("accounts"), F.to_json(F.to_variant_object("sessions")).alias("sessions"))
 
 
 @register("redact_json", """SELECT c_custkey AS config_id, '{"gateway":{"api_key":"' || CASE WHEN c_custkey % 3 = 0 THEN ' ${GATEWAY_KEY} ' ELSE '<redacted>' END
@@ -246,8 +250,9 @@ def q_sensitive(spark, sf_dir):
 
 
 @register("literal_secret_audit", """SELECT c_custkey AS config_id, unnest(CASE WHEN c_custkey % 3 = 0
-    THEN ['gateway.inner.hf-token', 'gateway.inner.client_secret', 'headers.Authorization']
-    ELSE ['gateway.api_key', 'gateway.inner.hf-token', 'gateway.inner.client_secret', 'headers.Authorization', 'headers.db password'] END) AS path
+    THEN ['gateway.inner.hf-token', 'gateway.inner.client_secret', 'headers.Authorization', 'users[0].password', 'accounts.password', 'sessions.token']
+    ELSE ['gateway.api_key', 'gateway.inner.hf-token', 'gateway.inner.client_secret', 'headers.Authorization', 'headers.db password',
+          'users[0].password', 'accounts.password', 'sessions.token'] END) AS path
   FROM customer""")
 def q_audit(spark, sf_dir):
     return redact.literal_secret_audit(configs(spark, sf_dir), ["config_id"])

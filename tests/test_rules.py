@@ -112,3 +112,19 @@ def test_digest_ignores_partitioning_and_sees_order(spark):
     assert first == digests.dataset_digest(table.repartition(17)).collect()
     swapped = table.withColumn("row_index", 200 - F.col("row_index"))
     assert first != digests.dataset_digest(swapped).collect()
+
+
+def test_secrets_in_maps_lists_and_variants(spark):
+    table = spark.sql("""SELECT 1 AS id, map('password', named_struct('v', 'hunter2'), 'team', named_struct('v', 'x')) AS m, map('token', 12345, 'n', 7) AS n,
+        array(named_struct('password', 'hunter2', 'name', 'a'), named_struct('password', '${P}', 'name', 'b')) AS users,
+        array(map('a', array(named_struct('hf_token', 'z')))) AS deep""")
+    shown = redact.redact_data(table).select(F.to_json(F.to_variant_object(F.struct("m", "n", "users", "deep")))).first()[0]
+    assert json.loads(shown) == {
+        "m": {"password": "<redacted>", "team": {"v": "x"}}, "n": {"token": "<redacted>", "n": 7},
+        "users": [{"password": "<redacted>", "name": "a"}, {"password": "${P}", "name": "b"}], "deep": [{"a": [{"hf_token": "<redacted>"}]}]}
+    assert {r["path"] for r in redact.literal_secret_audit(table, ["id"]).collect()} == {
+        "m.password", "n.token", "users[0].password", "deep[0].a[0].hf_token"}
+    loose = spark.sql("""SELECT parse_json('{"a": [{"secret": 1}]}') AS v""")
+    assert redact.redact_data(loose).select(F.to_json("v")).first()[0] == '{"a":[{"secret":"<redacted>"}]}'
+    with pytest.raises(ValueError):
+        redact.literal_secret_audit(loose, [])
