@@ -14,6 +14,7 @@ from sft_tables.operators import chat
 from sft_tables.operators.detect import detect_dataset_format, select_format
 from sft_tables.operators.formats import DPO, FIELD_FORMATS, QA_PAIRS, FieldFormat, lookup_column
 from sft_tables.operators.rows import ColumnRow, JsonRow
+from sft_tables.session import written
 
 Row = JsonRow | ColumnRow
 SFT = "array<struct<turn:bigint,instruction:string,input:string,output:string>>"
@@ -212,10 +213,11 @@ class Conversion:
 def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require: str | None = "sft") -> Conversion:
     """Detect or take the format of every dataset, then check and convert all rows in one projection.
 
-    Detection reads 25 rows per dataset. The choice (one row per dataset) is joined back; Spark picks the
-    join from its measured size, and a dataset with most of the rows is split by the skew join.
+    Detection reads 25 rows per dataset and its choice (one row per dataset) is written down, so the planner knows its
+    size when rows are joined with it: small choices are broadcast and raw text is not moved; beyond the broadcast limit
+    adaptive execution splits a dataset with most of the rows.
     """
-    return convert_with(rows, select_format(detect_dataset_format(rows), requests), require)
+    return convert_with(rows, written(select_format(detect_dataset_format(rows), requests), "formats"), require)
 
 
 def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "sft") -> Conversion:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sft_tables.functions import variants as vr
 from sft_tables.functions.errors import first_error
 from sft_tables.functions.once import once
+from sft_tables.functions.text import strip
 from sft_tables.operators.models import ATTENTION_BACKENDS, PRECISIONS
 
 # Allowed fields per section, file extensions, name patterns, method names, defaults.
@@ -79,7 +80,8 @@ def identity_rules() -> Rules:
 def dataset_rules() -> Rules:
     train, bench = "$.datasets.train", "$.datasets.benchmark"
     (not_train, unknown_train), (not_bench, unknown_bench) = section_rules(train), section_rules(bench)
-    same = F.expr(f"trim({vr.text_at(train + '.path')}) = trim({vr.text_at(bench + '.path')})")
+    at = lambda path: strip(F.expr(vr.text_at(f"{path}.path")))
+    same = at(train) == at(bench)
     return [
         *section_rules("$.datasets"), not_train, not_bench, unknown_train, unknown_bench,
         *path_rules(f"{train}.path"), *path_rules(f"{bench}.path"), ("SAME_FILE", same),
@@ -152,7 +154,7 @@ def training_rules() -> Rules:
 def typed_training(configs: DataFrame, key: str) -> DataFrame:
     """Valid training configs as typed columns."""
     get = lambda f, t: F.expr(f"try_variant_get(v, '$.{f}', '{t}')")
-    choice = lambda f: F.lower(F.trim(get(f, "string")))
+    choice = lambda f: F.lower(strip(get(f, "string")))
     return valid(configs, training_rules()).select(
         key, choice("method").alias("method"), get("epochs", "double").alias("epochs"),
         get("learning_rate", "double").alias("learning_rate"), get("batch_size", "bigint").alias("batch_size"),
@@ -185,7 +187,7 @@ def _suffix(path: Column) -> Column:
 
 def job_manifest(specs: DataFrame, digests: DataFrame, key: str) -> DataFrame:
     """Prepared file names and digests per valid job; digests: (path, sha256). Missing files give NULL digests."""
-    at = lambda p: F.trim(F.expr(vr.text_at(p)))
+    at = lambda p: strip(F.expr(vr.text_at(p)))
     jobs = valid(specs, job_rules()).select(
         key, at("$.job.name").alias("job_name"), at("$.model.name").alias("model_name"), at("$.model.revision").alias("model_revision"),
         at("$.datasets.train.path").alias("train_path"), at("$.datasets.benchmark.path").alias("benchmark_path"),
@@ -210,7 +212,7 @@ def effective_config(specs: DataFrame, catalog: DataFrame, defaults: dict[str, o
     get = lambda p, kind: F.expr(f"try_variant_get(v, '{p}', '{kind}')")
     text = lambda p: F.expr(vr.text_at(p))
     jobs = valid(specs, job_rules()).select(
-        key, F.trim(text("$.model.name")).alias("model_name"), F.concat(F.trim(text("$.job.name")), F.lit("-train")).alias("dataset_name"),
+        key, strip(text("$.model.name")).alias("model_name"), F.concat(strip(text("$.job.name")), F.lit("-train")).alias("dataset_name"),
         F.coalesce(text("$.datasets.train.source_format"), F.lit("auto")).alias("source_format"),
         F.coalesce(text("$.datasets.train.format"), F.lit("auto")).alias("dataset_format"),
         get(f"{t}.epochs", "double").alias("epochs"), get(f"{t}.learning_rate", "double").alias("learning_rate"),

@@ -397,7 +397,10 @@ sft AS (
   SELECT dataset_id, row_index, CASE WHEN fmt IN (5, 6, 7) THEN CAST(3 AS BIGINT) END AS turn, q AS instruction,
     CASE WHEN fmt IN (5, 6, 7) THEN 'System: ' || ctx WHEN fmt = 3 THEN CASE WHEN qa_ctx THEN ctx ELSE '' END ELSE ctx END AS input,
     CASE WHEN fmt = 7 THEN CASE WHEN fault = 'number_answer' THEN '7' ELSE {sql_strip('ans')} END ELSE ans END AS output
-  FROM faults WHERE code IS NULL AND format <> 'dpo')
+  FROM faults WHERE code IS NULL AND format <> 'dpo'),
+refused AS (
+  SELECT dataset_id, code FROM chosen WHERE code IS NOT NULL
+  UNION ALL SELECT dataset_id, 'TASK_UNSUPPORTED' FROM chosen WHERE format = 'dpo')
 """
 
 

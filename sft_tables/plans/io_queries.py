@@ -168,7 +168,9 @@ def q_write(spark, sf_dir):
 @register("write_violations", f"{CONVERTED} SELECT dataset_id, row_index, code FROM faults WHERE code IS NOT NULL")
 def q_write_violations(spark, sf_dir):
     folder = scratch_dir(spark, "violations")
-    sinks.write_violations(convert.convert_dataset(fixtures.row_model(spark, sf_dir)).row_violations, folder)
+    violations = convert.convert_dataset(fixtures.row_model(spark, sf_dir)).row_violations
+    for _ in range(2):  # a job that is run again replaces its rows
+        sinks.write_violations(violations, folder, "r1")
     return spark.read.parquet(folder).select("dataset_id", "row_index", "code")
 
 
@@ -177,7 +179,8 @@ SNAPSHOT_SQL = """SELECT c_custkey AS dataset_id, c_name AS source, CASE WHEN c_
 
 
 @register("write_conversion", f"""{CONVERTED}, {SFT_ORACLE} SELECT dataset_id, row_index, 'row' AS outcome, NULL AS code, instruction FROM sft
-   UNION ALL SELECT dataset_id, row_index, 'violation', code, NULL FROM faults WHERE code IS NOT NULL""")
+   UNION ALL SELECT dataset_id, row_index, 'violation', code, NULL FROM faults WHERE code IS NOT NULL
+   UNION ALL SELECT dataset_id, NULL, 'violation', code, NULL FROM refused""")
 def q_write_conversion(spark, sf_dir):
     folder = scratch_dir(spark, "conversion")
     sinks.write_conversion(convert.convert_dataset(fixtures.row_model(spark, sf_dir)), folder)
@@ -190,7 +193,7 @@ def q_snapshot(spark, sf_dir):
 
 
 @register("dataset_manifest", f"""{CONVERTED}, {SFT_ORACLE},
-   rows_ AS (SELECT dataset_id, row_index AS i, {run_queries.ROW_SHA} AS h FROM sft), {run_queries._levels('rows_', 'dataset_id', 'i')}
+   rows_ AS (SELECT dataset_id, row_index AS i, CASE WHEN turn IS NULL THEN {run_queries.ROW_SHA} ELSE sha256(sha256({run_queries.ROW_SHA})) END AS h FROM sft), {run_queries._levels('rows_', 'dataset_id', 'i')}
    SELECT s.dataset_id, s.dataset_id || '.jsonl' AS source, 'jsonl' AS source_format, any_value(c.format) AS format, any_value(c.confidence) AS confidence,
      count(*) AS num_samples, 'out/dataset_id=' || s.dataset_id AS normalized_path, any_value(d.h) AS sha256
    FROM sft s JOIN chosen c USING (dataset_id) JOIN l{digests.LEVELS - 1} d USING (dataset_id) GROUP BY s.dataset_id""")
@@ -211,13 +214,15 @@ def as_stream(spark: SparkSession, df: DataFrame, name: str, files_per_batch: in
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-@register("normalize_stream", f"{CONVERTED}, {SFT_ORACLE} SELECT * FROM sft")
+@register("normalize_stream", f"""{CONVERTED}, {SFT_ORACLE} SELECT *, NULL AS code, 'row' AS outcome FROM sft
+   UNION ALL SELECT dataset_id, row_index, turn, NULL, NULL, NULL, code, 'violation' FROM faults WHERE code IS NOT NULL
+   UNION ALL SELECT dataset_id, NULL, NULL, NULL, NULL, NULL, code, 'violation' FROM refused""")
 def q_normalize_stream(spark, sf_dir):
     out, checkpoint = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-state")
     raw = fixtures.raw_rows(spark, sf_dir)
     selection = select_format(detect_dataset_format(to_row_model(raw)))
     streams.run_to_end(streams.normalize_stream(as_stream(spark, raw, "raw"), selection, out, checkpoint))
-    return spark.read.parquet(f"{out}/rows").drop("batch_id")
+    return spark.read.parquet(f"{out}/batches").drop("batch_id", "detail").distinct()
 
 
 @register("run_status_stream", f"SELECT run_id, arg_max(status, seq) AS status, max(seq) AS seq FROM ({run_queries.STATUS_SQL}) GROUP BY run_id")

@@ -377,6 +377,17 @@ def q_digest(spark, sf_dir):
     return digests.dataset_digest(sft_documents(spark, sf_dir))
 
 
+TURNS_SQL = """SELECT 'd' || CAST(conv_id % 5 AS STRING) AS dataset_id, conv_id DIV 5 + 1 AS row_index, CAST(turn + 1 AS BIGINT) AS turn,
+   role AS instruction, '' AS input, text AS output FROM conversations"""
+
+
+@register("dataset_digest_turns", f"""WITH n AS ({TURNS_SQL.replace('DIV', '//').replace('STRING', 'VARCHAR')}),
+   t AS (SELECT dataset_id, row_index AS i, sha256(sha256(string_agg({ROW_SHA}, '' ORDER BY turn))) AS h FROM n GROUP BY 1, 2),
+   {_levels('t', 'dataset_id', 'i')} SELECT dataset_id, h AS sha256 FROM l{digests.LEVELS - 1}""")
+def q_digest_turns(spark, sf_dir):
+    return digests.dataset_digest(view(spark, sf_dir, TURNS_SQL))
+
+
 def sft_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.dataset_rows(spark, sf_dir)
     return rows.select("dataset_id", "row_index", F.col("ctx").alias("instruction"), F.col("dataset_id").alias("input"), F.col("ans").alias("output"))

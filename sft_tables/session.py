@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -39,21 +40,39 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, only a session whose
+    tasks run in the driver's own process (tests) gets a folder of its own; a cluster is refused."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context = spark.sparkContext
+    if getattr(context, "_sft_tables_folder", None) is None:
+        context._sft_tables_folder = tempfile.mkdtemp(prefix="sft-tables-shared-")
+    return context._sft_tables_folder
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; a folder of our own only where none is set (tests)."""
+    """Checkpoints go to the shared folder."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sft-tables-checkpoint-"))
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_folder(spark))
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for files derived by a query: in the cluster's shared checkpoint folder where one is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"sft-tables-{name}-")
+    """A new place for files derived by a query, in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table as written to the shared folder: its lineage is cut, and the planner knows its size."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sft_tables.functions.text import nonblank
 from sft_tables.operators.detect import SCORE, rank_candidates, select_format
 from sft_tables.operators.formats import SOURCE_PRIORITY
 from sft_tables.sources.files import list_files, open_bytes, open_text
@@ -132,7 +133,7 @@ def probe_names(names: DataFrame) -> DataFrame:
         return condition
 
     local = path.rlike(r"\A[./\\]") | ends(LOCAL_SUFFIXES)
-    hub = (F.trim(path) != "") & ~local
+    hub = nonblank(path) & ~local
     candidates = [candidate(n, MISSING_FILE_SCORE[n], ends(EXTENSIONS[n]), "file extension") for n in EXTENSIONS]
     candidates.append(candidate("huggingface", HUB_SCORE, hub, "possible dataset identifier"))
     return rank_candidates(names.select("path", F.inline(F.array(*candidates))), "path", "adapter", SOURCE_PRIORITY)

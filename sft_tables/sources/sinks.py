@@ -25,19 +25,30 @@ def write_normalized(sft: DataFrame, path: str, fmt: str = "json") -> None:
     ranged.select("dataset_id", "instruction", "input", "output").write.partitionBy("dataset_id").mode("overwrite").format(fmt).save(path)
 
 
-def write_conversion(done: Conversion, path: str) -> None:
-    """Rows and violations of a conversion from one scan, as one table partitioned by ``outcome``."""
+def conversion_table(done: Conversion, refused: DataFrame | None = None) -> DataFrame:
+    """Rows and violations of a conversion as one table with a column ``outcome``: 'row' or 'violation'.
+
+    Refused datasets are violations without a row, so every input row is in a row, a row violation or a refused
+    dataset. ``refused`` replaces the conversion's own list.
+    """
     clean = F.col("fault").isNull()
     kept = done.checked.filter(~clean | ~F.col("gated"))
     flat = kept.select("dataset_id", "row_index", "fault", F.explode_outer(F.when(clean, F.col("sft"))).alias("r"))
-    flat.select(
+    rows = flat.select(
         "dataset_id", "row_index", F.coalesce("r.turn", "fault.turn").alias("turn"), "fault.code", "fault.detail",
-        "r.instruction", "r.input", "r.output", F.when(clean, "row").otherwise("violation").alias("outcome"),
-    ).write.partitionBy("outcome").mode("overwrite").parquet(path)
+        "r.instruction", "r.input", "r.output", F.when(clean, "row").otherwise("violation").alias("outcome"))
+    whole = (done.dataset_violations if refused is None else refused).select("dataset_id", "code", F.lit("violation").alias("outcome"))
+    return rows.unionByName(whole, allowMissingColumns=True)
+
+
+def write_conversion(done: Conversion, path: str) -> None:
+    """Rows and violations from one scan of the rows, partitioned by ``outcome``."""
+    conversion_table(done).write.partitionBy("outcome").mode("overwrite").parquet(path)
 
 
-def write_violations(violations: DataFrame, path: str) -> None:
-    violations.write.partitionBy("dataset_id").mode("append").parquet(path)
+def write_violations(violations: DataFrame, path: str, run_id: str) -> None:
+    """Violations of one run; writing a run again replaces what it wrote before."""
+    violations.write.partitionBy("dataset_id").mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def source_snapshot(config: DataFrame) -> DataFrame:

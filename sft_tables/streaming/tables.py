@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sft_tables.operators.convert import convert_with
 from sft_tables.operators.redact import redact_columns
 from sft_tables.operators.rows import to_row_model
+from sft_tables.sources.sinks import conversion_table
 
 
 def run_to_end(writer) -> None:
@@ -18,14 +19,21 @@ def run_to_end(writer) -> None:
 
 
 def normalize_stream(raw_rows: DataFrame, selection: DataFrame, out: str, checkpoint: str, require: str | None = "sft"):
-    """Writer of a stream of raw rows to ``out/rows`` and ``out/violations`` with frozen formats per dataset.
+    """Writer of a stream of raw rows to ``out/batches``: rows and violations by ``outcome``, formats frozen per dataset.
 
-    Each micro-batch overwrites its own folder, so a batch repeated after a failure leaves no duplicates.
+    The choice of formats is written once, to ``out/formats``, and read from there by every batch and by a restarted
+    stream. A batch is computed once and overwrites its own folder, so one that is repeated after a failure leaves no
+    duplicates. Datasets that were refused are violations of every batch that brings rows of them.
     """
+    spark = raw_rows.sparkSession
+    selection.write.mode("ignore").parquet(f"{out}/formats")
+    frozen = spark.read.schema(selection.schema).parquet(f"{out}/formats")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = convert_with(to_row_model(batch), selection, require)
-        done.rows.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
-        done.row_violations.write.mode("overwrite").parquet(f"{out}/violations/batch_id={batch_id}")
+        done = convert_with(to_row_model(batch), frozen, require)
+        here = batch.select("dataset_id").distinct()
+        table = conversion_table(done, done.dataset_violations.join(here, "dataset_id", "left_semi"))
+        table.write.partitionBy("outcome").mode("overwrite").parquet(f"{out}/batches/batch_id={batch_id}")
 
     return raw_rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

@@ -116,7 +116,7 @@ def test_digest_ignores_partitioning_and_sees_order(spark):
 
 def test_secrets_in_maps_lists_and_variants(spark):
     table = spark.sql("""SELECT 1 AS id, map('password', named_struct('v', 'hunter2'), 'team', named_struct('v', 'x')) AS m, map('token', 12345, 'n', 7) AS n,
-        array(named_struct('password', 'hunter2', 'name', 'a'), named_struct('password', '${P}', 'name', 'b')) AS users,
+        array(named_struct('password', 'hunter2', 'name', 'a'), named_struct('password', concat('$', '{P}'), 'name', 'b')) AS users,
         array(map('a', array(named_struct('hf_token', 'z')))) AS deep""")
     shown = redact.redact_data(table).select(F.to_json(F.to_variant_object(F.struct("m", "n", "users", "deep")))).first()[0]
     assert json.loads(shown) == {
