@@ -12,6 +12,16 @@ from sft_tables.functions.once import once
 from sft_tables.operators.formats import SAMPLE_ROWS
 
 
+def json_value(raw: Column) -> Column:
+    """The variant of a text that is one JSON value and nothing more; NULL otherwise. NaN and Infinity are numbers.
+
+    The parser ignores what follows a value, so the text is read as the only element of a list.
+    """
+    listed = F.concat(F.lit("["), raw, F.lit("]"))
+    elements = F.try_variant_get(F.coalesce(F.try_parse_json(listed), F.from_json(listed, "variant")), "$", "array<variant>")
+    return F.when(F.size(elements) == 1, elements[0])
+
+
 def to_row_model(raw_rows: DataFrame) -> DataFrame:
     """(dataset_id, row_index, raw) plus the parsed variant ``v``, ``kind`` and ``keys``. One JSON parse per row;
     ``keys`` lists them in file order and costs a second pass only where it is read."""
@@ -23,8 +33,10 @@ def to_row_model(raw_rows: DataFrame) -> DataFrame:
         .when(mark == '"', "string").when(mark.isin("t", "f"), "boolean").when(mark == "n", "null")
         .otherwise("number")
     )
-    keys = F.when(F.col("kind") == "object", F.array_distinct(F.json_object_keys("raw")))
-    return once(raw_rows, v=F.try_parse_json("raw")).withColumn("kind", kind).withColumn("keys", keys)
+    # keys in file order; a text with NaN or Infinity, which that parser refuses, has them in alphabetical order
+    keys = F.when(F.col("kind") == "object", F.array_distinct(F.coalesce(
+        F.json_object_keys("raw"), F.expr("map_keys(try_variant_get(v, '$', 'map<string,variant>'))"))))
+    return once(raw_rows, v=json_value(F.col("raw"))).withColumn("kind", kind).withColumn("keys", keys)
 
 
 class JsonRow:

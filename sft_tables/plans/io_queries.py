@@ -34,13 +34,15 @@ def register(name: str, sql: str | None = None):
 
 
 # ---- readers --------------------------------------------------------------------------------------------
-@register("read_jsonl", "SELECT doc_id, lang, md5(text) AS text FROM documents")
+@register("read_jsonl", "SELECT doc_id, doc_id % 100 + 1 AS row_index, lang, md5(text) AS text FROM documents")
 def q_jsonl(spark, sf_dir):
     folder = scratch_dir(spark, "jsonl")
-    docs = fixtures.table(spark, sf_dir, "documents")
-    docs.select(F.concat(F.to_json(F.struct("doc_id", "lang", "text")), F.lit("\n  "))).write.mode("overwrite").text(folder)
+    docs = fixtures.table(spark, sf_dir, "documents").withColumn("part", F.expr("doc_id div 100"))
+    entry = F.struct("doc_id", F.to_json(F.struct("doc_id", "lang", "text")).alias("j"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["j"]), "\n  \n")
+    docs.groupBy("part").agg(lines.alias("value")).write.partitionBy("part").text(folder)
     rows = to_row_model(readers.read_jsonl(spark, folder))
-    return rows.select(F.expr("try_variant_get(v, '$.doc_id', 'bigint')").alias("doc_id"),
+    return rows.select("row_index", F.expr("try_variant_get(v, '$.doc_id', 'bigint')").alias("doc_id"),
                        F.expr("try_variant_get(v, '$.lang', 'string')").alias("lang"),
                        F.md5(F.expr("try_variant_get(v, '$.text', 'string')")).alias("text"))
 
@@ -58,15 +60,42 @@ def q_json(spark, sf_dir):
                        F.md5(F.expr("try_variant_get(v, '$.text', 'string')")).alias("text"))
 
 
-@register("read_csv", """SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_brand AS brand, CASE WHEN p_size % 2 = 0 THEN '' ELSE p_type END AS kind FROM part""")
+@register("json_files", """SELECT part, CASE WHEN part % 3 = 0 THEN NULL ELSE row_index END AS row_index, CASE WHEN part % 3 = 0 THEN NULL ELSE md5(text) END AS text,
+     CASE WHEN part % 3 = 0 THEN 'BAD_JSON' END AS code FROM (SELECT doc_id // 50 AS part, doc_id % 50 + 1 AS row_index, text FROM documents)
+   WHERE part % 3 <> 0 OR row_index = 1""")
+def q_json_files(spark, sf_dir):
+    """Every third file lacks its last bracket: one violation, no rows."""
+    folder = scratch_dir(spark, "json-files")
+    docs = fixtures.table(spark, sf_dir, "documents").withColumn("part", F.expr("doc_id div 50"))
+    entry = F.struct("doc_id", F.to_json(F.struct("text")).alias("j"))
+    array = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["j"]), ",")
+    end = F.when(F.col("part") % 3 == 0, " oops").otherwise("]")
+    docs.groupBy("part").agg(F.concat(F.lit("["), array).alias("value")).withColumn("value", F.concat("value", end)).write.partitionBy("part").text(folder)
+    table = readers.read_json_table(spark, folder)
+    return table.select(
+        F.regexp_extract("dataset_id", r"part=(\d+)", 1).cast("bigint").alias("part"), "row_index",
+        F.md5(F.get_json_object("raw", "$.text")).alias("text"), "code")
+
+
+CSV_SQL = """SELECT CAST(p_partkey AS STRING) AS key, p_name AS name, p_brand AS brand, p_type AS kind, p_size FROM part"""
+
+
+@register("read_csv", f"""SELECT key, CASE WHEN p_size % 5 <> 0 THEN name END AS name,
+     CASE p_size % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE brand || chr(10) || '"' END AS brand,
+     CASE WHEN p_size % 5 = 2 THEN '["' || kind || '","x"]' END AS extra FROM ({CSV_SQL})""")
 def q_csv(spark, sf_dir):
+    """Ragged rows: cells missing, empty, with line ends and quotes, and beyond the header."""
     folder = scratch_dir(spark, "csv")
-    part = fixtures.table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("key"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
-        F.when(F.col("p_size") % 2 == 0, "").otherwise(F.col("p_type")).alias("kind"))
-    part.write.mode("overwrite").option("emptyValue", "").csv(folder, header=True, sep=";", escape='"')
-    rows = to_row_model(readers.read_csv(spark, f"{folder}/*.csv"))
-    return rows.select(*[F.expr(f"try_variant_get(v, '$.{c}', 'string')").alias(c) for c in ("key", "name", "brand", "kind")])
+    size = F.col("p_size") % 5
+    quoted_cell = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.when(size == 0, F.col("key")).otherwise(F.concat_ws(
+        ";", "key", "name", F.when(size == 1, "").otherwise(quoted_cell(F.concat("brand", F.lit('\n"')))), F.when(size == 2, F.concat("kind", F.lit(";x")))))
+    part = fixtures.view(spark, sf_dir, CSV_SQL).select(F.expr("CAST(key AS INT) div 100").alias("file"), F.struct(F.col("key").cast("int"), line.alias("l")).alias("r"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["l"]), "\n")
+    part.groupBy("file").agg(F.concat(F.lit("key;name;brand\n"), text).alias("value")).write.partitionBy("file").text(folder)
+    rows = to_row_model(readers.read_csv(spark, folder, sep=";"))
+    return rows.select(*[F.expr(f"try_variant_get(v, '$.{c}', 'string')").alias(c) for c in ("key", "name", "brand")],
+                       F.to_json(F.expr("try_variant_get(v, '$.None', 'array<string>')")).alias("extra"))
 
 
 @register("read_parquet", """SELECT doc_id, lang AS instruction, source AS input, md5(text) AS output FROM documents WHERE trim(text) <> ''""")

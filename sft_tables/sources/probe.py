@@ -1,21 +1,21 @@
 """Which source format is each file? Scores from the extension and a look at the start of the file.
 
-Files are listed by Spark and probed inside tasks, one row per file; only the start of a file is read.
+Files are listed by Spark; the start of each is read once, inside a task, and scored for all formats by expressions.
 """
 
 from __future__ import annotations
 
 import csv
-import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sft_tables.functions.text import nonblank
 from sft_tables.operators.detect import SCORE, rank_candidates, select_format
 from sft_tables.operators.formats import SOURCE_PRIORITY
+from sft_tables.operators.rows import json_value
 from sft_tables.sources.files import list_files, open_bytes, open_text
 
 # Extensions, scores and sample sizes per source format.
@@ -29,37 +29,7 @@ HUB_SCORE = "0.880"
 CSV_SAMPLE, CHATML_SAMPLE, JSONL_LINES = 8192, 16384, 5
 MARKERS = ("<|im_start|>", "<|im_end|>")
 PARQUET_MAGIC = b"PAR1"
-SCHEMA = "path string, adapter string, confidence string, matched boolean, reason string"
-
-Verdict = tuple[str, bool, str]
-
-
-def _json(uri: str, named: bool) -> Verdict:
-    try:
-        with open_text(uri) as text:
-            first = next((c for c in iter(lambda: text.read(1), "") if not c.isspace()), "")
-    except (OSError, UnicodeError) as error:
-        return "0", False, f"cannot inspect file: {error}"
-    if first == "[":
-        return ("0.990" if named else "0.900"), True, "top-level JSON array marker"
-    return ("0.450", False, "extension found, but no JSON array") if named else ("0", False, "not a JSON array")
-
-
-def _jsonl(uri: str, named: bool) -> Verdict:
-    parsed = 0
-    try:
-        with open_text(uri) as text:
-            for line in text:
-                if line.strip():
-                    json.loads(line)
-                    parsed += 1
-                if parsed == JSONL_LINES:
-                    break
-    except (OSError, ValueError) as error:
-        return ("0.350" if named else "0"), False, f"line probe failed: {error}"
-    if not parsed:
-        return ("0.300" if named else "0"), False, "file contains no JSON records"
-    return ("0.990" if named else "0.900"), True, f"{parsed} JSON line(s) parsed"
+HEAD = "path string, magic binary, text string, separator string, header boolean, problem string"
 
 
 def csv_dialect(uri: str) -> type[csv.Dialect]:
@@ -67,45 +37,66 @@ def csv_dialect(uri: str) -> type[csv.Dialect]:
         return csv.Sniffer().sniff(text.read(CSV_SAMPLE))
 
 
-def _csv(uri: str, named: bool) -> Verdict:
-    try:
-        with open_text(uri, newline="") as text:
-            sample = text.read(CSV_SAMPLE)
-        separator, header = csv.Sniffer().sniff(sample).delimiter, csv.Sniffer().has_header(sample)
-    except (OSError, UnicodeError, csv.Error) as error:
-        return ("0.450" if named else "0"), False, f"CSV probe failed: {error}"
-    if sample and (named or header):
-        return ("0.980" if named else "0.820"), True, f"delimited rows with {separator!r} separator"
-    return "0", False, "not recognized as CSV"
-
-
-def _parquet(uri: str, named: bool) -> Verdict:
-    with open_bytes(uri) as data:
-        if data.read(len(PARQUET_MAGIC)) == PARQUET_MAGIC:
-            return "1", True, "Parquet magic bytes"
-    return ("0.400" if named else "0"), False, "Parquet magic bytes are missing"
-
-
-def _chatml(uri: str, named: bool) -> Verdict:
-    try:
-        with open_text(uri) as text:
-            sample = text.read(CHATML_SAMPLE)
-    except (OSError, UnicodeError) as error:
-        return "0", False, f"cannot inspect file: {error}"
-    found = all(m in sample for m in MARKERS)
-    return ("0.990", True, "ChatML start/end markers") if found else ("0", False, "ChatML markers not found")
-
-
-PROBES = {"json": _json, "jsonl": _jsonl, "csv": _csv, "parquet": _parquet, "chatml_text": _chatml}
-
-
-def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The start of every file, read once: its first bytes, enough text for all formats, and what a CSV sniffer says."""
     for batch in batches:
-        rows = [
-            (uri, name, *probe(uri, uri.lower().endswith(EXTENSIONS[name])))
-            for uri in batch["path"] for name, probe in PROBES.items()
-        ] + [(uri, "huggingface", "0", False, "source looks like a local file path") for uri in batch["path"]]
-        yield pd.DataFrame(rows, columns=["path", "adapter", "confidence", "matched", "reason"])
+        rows = []
+        for uri in batch["path"]:
+            with open_bytes(uri) as data:
+                magic = data.read(len(PARQUET_MAGIC))
+            text = separator = header = problem = None
+            try:
+                with open_text(uri, newline="") as stream:
+                    text = stream.read(CHATML_SAMPLE)
+                    # whole lines as far as the line probe looks
+                    while sum(map(bool, map(str.strip, text.splitlines()))) <= JSONL_LINES and (more := stream.readline()):
+                        text += more
+                sniffer, sample = csv.Sniffer(), text[:CSV_SAMPLE]
+                separator, header = sniffer.sniff(sample).delimiter, sniffer.has_header(sample)
+            except (OSError, UnicodeError, csv.Error) as error:
+                problem = str(error)
+            rows.append((uri, magic, text, separator, header, problem))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in HEAD.split(", ")])
+
+
+def _candidates() -> Column:
+    """One struct per format from the start of a file: (adapter, confidence, matched, reason)."""
+    text, lower = F.col("text"), F.lower("path")
+
+    def named(name: str) -> Column:
+        return lower.rlike("(?:" + "|".join(e.replace(".", "[.]") for e in EXTENSIONS[name]) + r")\z")
+
+    def candidate(name: str, found: Column, score: Column, other: Column, yes: Column, no: Column) -> Column:
+        found = F.coalesce(found, F.lit(False))
+        return F.struct(F.lit(name).alias("adapter"), F.when(found, score).otherwise(other).cast(SCORE).alias("confidence"), found.alias("matched"),
+                        F.when(found, yes).otherwise(no).alias("reason"))
+
+    def by_name(name: str, yes: str, no: str) -> Column:
+        return F.when(named(name), yes).otherwise(no)
+
+    unread = F.concat(F.lit("cannot inspect file: "), F.coalesce("problem", F.lit("")))
+    lines = F.slice(F.filter(F.split(text, "\n"), nonblank), 1, JSONL_LINES)
+    parsed = F.forall(lines, lambda line: json_value(line).isNotNull())
+    bracket = F.regexp_extract(text, r"(?U)\A[\s\x1c-\x1f]*(\S)", 1) == "["
+    marked = F.lit(True)
+    for m in MARKERS:
+        marked = marked & F.contains(F.substring("text", 1, CHATML_SAMPLE), F.lit(m))
+    return F.array(
+        candidate("json", bracket, by_name("json", "0.990", "0.900"), F.when(text.isNull(), "0").otherwise(by_name("json", "0.450", "0")),
+                  F.lit("top-level JSON array marker"), F.when(text.isNull(), unread).otherwise("no JSON array")),
+        candidate("jsonl", (F.size(lines) > 0) & parsed, by_name("jsonl", "0.990", "0.900"),
+                  F.when(F.size(lines) == 0, by_name("jsonl", "0.300", "0")).otherwise(by_name("jsonl", "0.350", "0")),
+                  F.concat(F.size(lines).cast("string"), F.lit(" JSON line(s) parsed")),
+                  F.when(F.size(lines) == 0, "file contains no JSON records").otherwise("a line is no JSON")),
+        candidate("csv", F.col("separator").isNotNull() & (text != "") & (named("csv") | F.col("header")), by_name("csv", "0.980", "0.820"),
+                  F.when(F.col("separator").isNull(), by_name("csv", "0.450", "0")).otherwise("0"),
+                  F.concat(F.lit("delimited rows, separator "), "separator"), F.coalesce("problem", F.lit("not recognized as CSV"))),
+        candidate("parquet", F.col("magic") == F.lit(PARQUET_MAGIC), F.lit("1"), by_name("parquet", "0.400", "0"), F.lit("Parquet magic bytes"),
+                  F.lit("Parquet magic bytes are missing")),
+        candidate("chatml_text", marked, F.lit("0.990"), F.lit("0"), F.lit("ChatML start/end markers"),
+                  F.when(text.isNull(), unread).otherwise("ChatML markers not found")),
+        candidate("huggingface", F.lit(False), F.lit("0"), F.lit("0"), F.lit(""), F.lit("source looks like a local file path")),
+    )
 
 
 def probe_sources(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
@@ -113,7 +104,7 @@ def probe_sources(spark: SparkSession, path: str | list[str], partitions: int |
     files = list_files(spark, path).select("path")
     if partitions:
         files = files.repartition(partitions)
-    scores = files.mapInPandas(_probe, SCHEMA).withColumn("confidence", F.col("confidence").cast(SCORE))
+    scores = files.mapInPandas(_heads, HEAD).select("path", F.inline(_candidates()))
     return rank_candidates(scores, "path", "adapter", SOURCE_PRIORITY)
 
 

@@ -1,3 +1,4 @@
+import io
 import json
 
 import pyarrow as pa
@@ -59,28 +60,86 @@ def test_jsonl_line_numbers_over_many_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_json_arrays_small_and_large(spark, tmp_path, limit):
-    values = [{"a": "x" * 50, "n": i} for i in range(30)] + [1, "s", [2], None, 12345, {"b": "]"}]
-    (tmp_path / "a.json").write_text("﻿ " + json.dumps(values, indent=1))
-    (tmp_path / "o.json").write_text('{"a": [1]}')
-    rows = readers.read_json_array(spark, str(tmp_path), limit).orderBy("row_index").collect()
-    assert [json.loads(r["raw"]) for r in rows] == values
-    assert [r["row_index"] for r in rows] == list(range(1, len(values) + 1))
-    assert {r["path"].rsplit("/", 1)[1]: r["code"] for r in readers.json_array_errors(spark, str(tmp_path)).collect()} == {"o.json": "NOT_ARRAY"}
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_json_arrays(tmp_path, piece, monkeypatch):
+    monkeypatch.setattr(readers.ArrayText, "PIECE", piece)
+    values = [{"a": "x" * 50, "n": i} for i in range(30)] + [1, "s", [2], None, 12345, {"b": "]"}, -1.5e3, True]
+    for text, want in ((" " + json.dumps(values, indent=1) + "\n", values), ("[]", []), (" [ ] ", []), ("[12]", [12])):
+        assert [json.loads(e) for e in readers.ArrayText(io.StringIO(text)).elements()] == want
+    assert list(readers.ArrayText(io.StringIO('[{"b":1.50,"a":NaN}, -Infinity]')).elements()) == ['{"b":1.50,"a":NaN}', "-Infinity"]
+    for text in ('[{"a":1},{"a":2} {"a":3}]', "[1,,2]", "[1,]", "[1", "[", "", "[1] x", "[1 2]", '["a', "[tru]", '{"a":1} x', "nope", "[1}"):
+        with pytest.raises(readers.BrokenArray) as found:
+            list(readers.ArrayText(io.StringIO(text)).elements())
+        assert found.value.code == "BAD_JSON" and found.value.detail.startswith("line 1, column "), text
+    for text in ('{"a": [1]}', "7", '"s"'):
+        with pytest.raises(readers.BrokenArray) as found:
+            list(readers.ArrayText(io.StringIO(text)).elements())
+        assert found.value.code == "NOT_ARRAY"
+
+
+def test_broken_positions():
+    with pytest.raises(readers.BrokenArray) as found:
+        list(readers.ArrayText(io.StringIO('[\n {"a": 1},\n {"a" 2}\n]')).elements())
+    assert found.value.detail.startswith("line 3, column 7: ")
+
+
+def test_broken_files_give_one_violation_and_no_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text("\ufeff" + json.dumps([{"instruction": "q", "output": 1}] * 3))
+    (tmp_path / "b.json").write_text("[" + ",".join(["{}"] * 5000) + ", oops")
+    (tmp_path / "c.json").write_text('{"a": [1]}')
+    (tmp_path / "n.json").write_text('[{"a": NaN}, {"a": 1}]')
+    rows = to_row_model(readers.read_json_array(spark, str(tmp_path)))
+    assert sorted((r["dataset_id"][-6], r["row_index"], r["kind"], *r["keys"]) for r in rows.collect()) == [
+        ("a", 1, "object", "instruction", "output"), ("a", 2, "object", "instruction", "output"), ("a", 3, "object", "instruction", "output"),
+        ("n", 1, "object", "a"), ("n", 2, "object", "a")]
+    assert {r["dataset_id"][-6:]: r["code"] for r in readers.json_array_errors(spark, str(tmp_path)).collect()} == {"b.json": "BAD_JSON", "c.json": "NOT_ARRAY"}
+
+
+def test_one_value_per_line(spark):
+    rows = spark.createDataFrame([("d", i, t) for i, t in enumerate(['{"a":1} x', '{"a":1}', '{"a":NaN,"b":"x, NaN, y"}', "1 2", "", "1,2"])],
+                                 "dataset_id string, row_index bigint, raw string")
+    found = [r["kind"] for r in to_row_model(rows).orderBy("row_index").collect()]
+    assert found == ["corrupt", "object", "object", "corrupt", "corrupt", "corrupt"]
+
+
+def test_order_without_a_first_pass(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("".join(f"{i}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers.read_jsonl(spark, str(tmp_path), positions=False).orderBy("row_index").collect()
+        assert [int(r["raw"]) for r in rows] == list(range(3000)) and len({r["row_index"] for r in rows}) == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_csv_cells(spark, folder):
     rows = readers.read_csv(spark, str(folder / "data.csv"), sep=";").orderBy("row_index").collect()
     assert [json.loads(r["raw"]) for r in rows] == [
         {"question": "Q", "answer": "A"}, {"question": 'a "quoted"\nline', "answer": ""}, {"question": "short", "answer": None},
-        {"question": "long", "answer": "1", "None": []}]
+        {"question": "long", "answer": "1", "None": ["2"]}]
+
+
+def test_csv_lines_are_split_among_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k;v\n" + "".join(f"{i};x{i}\n" for i in range(2000)) + "\nshort\nlong;1;2\n")
+    (tmp_path / "b.csv").write_text("q\n1\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers.read_csv(spark, str(tmp_path), sep=";", multi_line=False)
+        found = {(r["dataset_id"][-5], r["row_index"]): json.loads(r["raw"]) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found.pop(("b", 1)) == {"q": "1"} and found.pop(("a", 2001)) == {"k": "short", "v": None}
+    assert found.pop(("a", 2002)) == {"k": "long", "v": "1", "None": ["2"]}
+    assert found == {("a", i + 1): {"k": str(i), "v": f"x{i}"} for i in range(2000)}
+    assert sorted(tuple(r)[1:] for r in readers.read_csv(spark, str(tmp_path), sep=";").collect()) == sorted(tuple(r)[1:] for r in rows.collect())
 
 
 def test_csv_header_must_be_named(spark, tmp_path):
     (tmp_path / "bad.csv").write_text(",answer\nQ,A\n")
-    with pytest.raises(TableCheckError, match="CSV_HEADER"):
-        readers.read_csv(spark, str(tmp_path / "bad.csv"), sep=",")
+    with pytest.raises(Exception, match="CSV_HEADER"):
+        readers.read_csv(spark, str(tmp_path / "bad.csv"), sep=",").collect()
 
 
 def test_parquet_and_chatml_reach_sft(spark, folder):
