@@ -7,15 +7,18 @@ most of the rows is still spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sft_tables.functions.carry import BLOCK, BLOCK_COL, before, earlier_blocks, last_before, last_in_block, running_total, with_block
+from sft_tables.functions.carry import BLOCK, BLOCK_COL, before, earlier_blocks, last_in_block, running_total, with_block
 from sft_tables.functions.once import once
 from sft_tables.functions.text import strip
-from sft_tables.session import cut_lineage
 
 # Markers, patterns, metric names and their labels, lifecycle prefixes.
 ANSI = r"\x1b\[[0-?]*[ -/]*[@-~]"
@@ -37,10 +40,25 @@ LIFECYCLE_PREFIXES = (
     "Training run failed",
 )
 PROGRESS_SHARE = 20
-LITERAL = r"""'[^'\\]*'|"[^"\\]*"|[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?|True|False|None"""
-PAIR = rf"""(?:'([^'\\]*)'|"([^"\\]*)")\s*:\s*({LITERAL})"""
-PAIR_SHAPE = rf"""(?:'[^'\\]*'|"[^"\\]*")\s*:\s*(?:{LITERAL})"""
-FLAT_DICT = rf"\A\{{\s*{PAIR_SHAPE}(?:\s*,\s*{PAIR_SHAPE})*\s*,?\s*\}}\z"
+STRING = r"""(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+")"""
+NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+
+
+def _nested(depth: int) -> str:
+    """A literal value: text, number, name, or lists, tuples and dictionaries of such, ``depth`` deep."""
+    plain = f"{STRING}|{NUMBER}|True|False|None"
+    if not depth:
+        return f"(?:{plain})"
+    inner = _nested(depth - 1)
+    items = rf"(?:{inner}(?:\s*,\s*{inner})*+\s*,?+)?+"
+    pairs = rf"(?:{inner}\s*:\s*{inner}(?:\s*,\s*{inner}\s*:\s*{inner})*+\s*,?+)?+"
+    return rf"(?:{plain}|\[\s*{items}\s*\]|\(\s*{items}\s*\)|\{{\s*{pairs}\s*\}})"
+
+
+#: How deep the values of a metrics dictionary may be nested.
+DEPTH = 2
+PAIR = rf"\G\{{?\s*({STRING})\s*:\s*({_nested(DEPTH)})\s*[,}}]\s*"
+DICTIONARY = rf"\A\{{\s*{STRING}\s*:\s*{_nested(DEPTH)}(?:\s*,\s*{STRING}\s*:\s*{_nested(DEPTH)})*+\s*,?+\s*\}}\z"
 SHOWN = ("error", "warning", "phase_start", "progress", "metrics", "detail")
 
 
@@ -139,16 +157,15 @@ def parse_progress(line: Column) -> Column:
 def metric_pairs(line: Column) -> Column:
     """Array of (name, value text) of the dictionary between the first { and the last }, else NULL.
 
-    The dictionary is flat: names and values are literals. Values keep their text; a quoted value loses its quotes.
+    Values are literals, nested up to DEPTH, and keep their text; a quoted name or value loses its quotes and escapes.
     """
     text = F.regexp_extract(line, r"(?s)\{.*\}", 0)
     group = lambda i: F.regexp_extract_all(text, F.lit(PAIR), F.lit(i))
-    pairs = F.zip_with(
-        F.zip_with(group(1), group(2), lambda a, b: F.concat(a, b)), group(3),
-        lambda name, value: F.struct(name.alias("name"), F.regexp_replace(value, r"""\A['"]|['"]\z""", "").alias("value")),
-    )
+    quoted = r"""\A['"]"""
+    bare = lambda c: F.when(c.rlike(quoted), F.regexp_replace(F.regexp_replace(c, r"""\A['"]|['"]\z""", ""), r"\\(.)", "$1")).otherwise(c)
+    pairs = F.zip_with(group(1), group(2), lambda name, value: F.struct(bare(name).alias("name"), bare(value).alias("value")))
     known = F.filter(pairs, lambda p: p["name"].isin(list(METRIC_LABELS)))
-    return F.when((text != "") & text.rlike(FLAT_DICT) & (F.size(known) > 0), known)
+    return F.when((text != "") & text.rlike(DICTIONARY) & (F.size(known) > 0), known)
 
 
 def _value_sql(pairs: str, name: str) -> str:
@@ -185,95 +202,82 @@ def classify(records: DataFrame, block: int = BLOCK) -> DataFrame:
         F.when(F.col("last_step.seq") > F.col("phase_seq"), F.col("last_step")).alias("last_step"), "pairs")
 
 
-def _distinct_progress(classified: DataFrame) -> DataFrame:
-    """Progress records that differ from the progress record before them in the same phase."""
+def _repeated() -> Column:
+    """A progress record equal to the one before it in the same phase."""
     same = (F.col("last_step.current") == F.col("progress.current")) & (F.col("last_step.total") == F.col("progress.total"))
-    return classified.filter((F.col("kind") == "progress") & ~F.coalesce(same, F.lit(False))).select(
-        "run_id", "phase_seq", "seq", "progress.current", "progress.total")
+    return F.coalesce((F.col("kind") == "progress") & same, F.lit(False))
 
 
-def throttle_progress(classified: DataFrame, block: int = BLOCK, fold_limit: int = BLOCK, records: DataFrame | None = None) -> DataFrame:
-    """Progress records to show: the final step, or a twentieth of the total beyond the last one shown.
+def _distinct_progress(classified: DataFrame) -> DataFrame:
+    return classified.filter((F.col("kind") == "progress") & ~_repeated()).select("run_id", "phase_seq", "seq", "progress.current", "progress.total")
+
 
-    What is shown depends on what was shown before, so a phase is a fold. Phases of up to ``fold_limit``
-    progress records are folded inside a row; larger ones (their number is counted) go through
-    ``_throttle_rounds``, which never gathers a phase. With the raw ``records`` at hand the count is skipped when
-    no run is that long.
+def _shown_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (run_id, part, seq); of progress rows (with a ``current``) those to show, of others all.
+
+    A phase is a fold, what is shown depending on what was shown before; it is read as a stream, and the last step that
+    was shown is all that is kept.
     """
-    rows = _distinct_progress(classified)
-    seg = ["run_id", "phase_seq"]
-    count = F.count(F.lit(1)).alias("_n")
-    oversized = records is None or not records.groupBy("run_id").agg(count).filter(F.col("_n") > fold_limit).isEmpty()
-    if oversized:
-        large = rows.groupBy(*seg).agg(count).filter(F.col("_n") > fold_limit).select(*seg)
-        oversized = not large.isEmpty()
-    small_rows = rows.join(large, seg, "left_anti") if oversized else rows
-    ordered = small_rows.groupBy(*seg).agg(F.array_sort(F.collect_list(F.struct("seq", "current", "total"))).alias("steps"))
-    shown = F.expr(f"""aggregate(steps,
-        named_struct('last', 0L, 'out', CAST(array() AS array<struct<seq:bigint,current:bigint,total:bigint>>)),
-        (s, x) -> CASE WHEN x.current = x.total OR x.current >= s.last + greatest(1, x.total div {PROGRESS_SHARE})
-                  THEN named_struct('last', x.current, 'out', concat(s.out, array(x))) ELSE s END,
-        s -> s.out)""")
-    result = ordered.select(*seg, F.inline(shown))
-    if oversized:
-        result = result.unionByName(_throttle_rounds(rows.join(large, seg, "left_semi"), block))
-    return result.withColumn("percent", F.bround(F.try_divide(F.lit(100.0) * F.col("current"), F.col("total")), 0).cast("bigint"))
-
-
-def _throttle_rounds(rows: DataFrame, block: int) -> DataFrame:
-    """The same rule for phases of any size. A final step is always shown and fixes the state (last = total), so
-    phases are cut there; within a part, each round finds the next shown record of all parts at once by a
-    partially aggregated minimum. A part shows at most about 40 records, so the rounds are few."""
-    seg = ["run_id", "phase_seq"]
-    final = F.col("current") == F.col("total")
-    cut = last_before(rows, seg, "seq", {"opened": F.when(final, F.struct("seq", "total"))}, block)
-    rows = cut_lineage(cut.select(
-        *seg, "seq", "current", "total", final.alias("final"),
-        F.coalesce("opened.seq", F.lit(-1)).alias("part"), F.coalesce("opened.total", F.lit(0)).alias("opening"),
-    ))
-    step = F.greatest(F.lit(1), F.expr(f"total div {PROGRESS_SHARE}"))
-    part = [*seg, "part"]
-    pending = rows.filter("NOT final")
-    state = pending.groupBy(*part).agg(F.first("opening").alias("last"), F.min("seq").alias("after")).withColumn("after", F.col("after") - 1)
-    shown = [rows.filter("final").select(*seg, "seq", "current", "total")]
-    while True:
-        following = pending.join(state, part).filter((F.col("seq") > F.col("after")) & (F.col("current") >= F.col("last") + step))
-        found = cut_lineage(following.groupBy(*part).agg(F.min(F.struct("seq", "current", "total")).alias("x")))
-        if found.isEmpty():
-            break
-        shown.append(found.select(*seg, "x.seq", "x.current", "x.total"))
-        state = found.select(*part, F.col("x.current").alias("last"), F.col("x.seq").alias("after"))
-    result = shown[0]
-    for more in shown[1:]:
-        result = result.unionByName(more)
-    return result
-
-
-def _display(value, name: str) -> str:
-    try:
-        number = float({"True": 1.0, "False": 0.0}.get(value, value))
-    except (TypeError, ValueError):
-        return str(value)
-    return f"{number:.3g}" if name == "learning_rate" else f"{number:.1f}s" if name == "train_runtime" else f"{number:.4g}"
-
-
-@F.pandas_udf(T.StringType())
-def _metric_text(values: pd.DataFrame) -> pd.Series:
-    """'Epoch .. | Loss ..' in label order; %g formatting follows C rules, which the JVM formatter does not."""
-    return pd.Series([
-        " | ".join(f"{label} {_display(row[n], n)}" for n, label in METRIC_LABELS.items() if isinstance(row[n], str))
-        for row in values.to_dict("records")
-    ])
+    phase, last = None, 0
+    for batch in batches:
+        keep = []
+        for run, part, current, total in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("run_id", "part", "current", "total"))):
+            if (run, part) != phase:
+                phase, last = (run, part), 0
+            due = current is None or current == total or current >= last + max(1, total // PROGRESS_SHARE)
+            if due and current is not None:
+                last = current
+            keep.append(due)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _streamed(rows: DataFrame) -> DataFrame:
+    ordered = rows.repartition("run_id", "part").sortWithinPartitions("run_id", "part", "seq")
+    return ordered.mapInArrow(_shown_steps, rows.schema)
+
+
+def _percent(current: Column, total: Column) -> Column:
+    """Whole percent; a total of zero has none."""
+    return F.bround(F.try_divide(F.lit(100.0) * current, total), 0).cast("bigint")
+
+
+def throttle_progress(classified: DataFrame) -> DataFrame:
+    """Progress records to show: the final step, or a twentieth of the total beyond the last one shown. Records that
+    repeat the one before them, and those of a zero total, are not shown."""
+    rows = _distinct_progress(classified).select("run_id", F.col("phase_seq").alias("part"), "seq", "current", "total")
+    shown = _streamed(rows).filter("total <> 0")
+    return shown.select("run_id", F.col("part").alias("phase_seq"), "seq", "current", "total", _percent(F.col("current"), F.col("total")).alias("percent"))
+
+
+def _formatted(pattern: str):
+    """Numbers by a C format, whole columns at a time: the JVM rounds decimal ties by another rule."""
+    @F.pandas_udf(T.StringType())
+    def run(x: pd.Series) -> pd.Series:
+        known = x.notna().to_numpy()
+        out = np.full(len(x), None, object)
+        out[known] = np.char.mod(pattern, x.to_numpy(float, na_value=np.nan)[known])
+        return pd.Series(out)
+
+    return run
+
+
+def metric_text(value: Column, name: str) -> Column:
+    """How the console shows a metric; what is no number stays as it is."""
+    number = F.when(value == "True", 1.0).when(value == "False", 0.0).otherwise(value.try_cast("double"))
+    odd = F.when(F.isnan(number), "nan").when(number == float("inf"), "inf").when(number == float("-inf"), "-inf")
+    pattern = "%.1f" if name == "train_runtime" else "%.3g" if name == "learning_rate" else "%.4g"
+    shown = odd.otherwise(_formatted(pattern)(F.when(odd.isNull(), number)))
+    return F.when(number.isNull(), value).otherwise(F.concat(shown, F.lit("s" if name == "train_runtime" else "")))
 
 
 def format_metrics(metrics: DataFrame, step: Column | None = None) -> DataFrame:
-    """Add ``text``: the optional step, then the known metrics (input has ``pairs``)."""
-    values = F.struct(*[F.expr(_value_sql("pairs", n)).alias(n) for n in METRIC_LABELS])
-    text = _metric_text(values)
-    return metrics.withColumn("text", F.concat_ws(" | ", step, text) if step is not None else text)
+    """Add ``text``: the optional step, then the known metrics in the order of their labels (input has ``pairs``)."""
+    values = once(metrics, _m=F.struct(*[F.expr(_value_sql("pairs", n)).alias(n) for n in METRIC_LABELS]))
+    shown = [F.concat(F.lit(f"{label} "), metric_text(F.col(f"_m.{n}"), n)) for n, label in METRIC_LABELS.items()]
+    return values.withColumn("text", F.concat_ws(" | ", *([step] if step is not None else []), *shown)).drop("_m")
 
 
-def filter_verbosity(records: DataFrame, mode: str = "concise", block: int = BLOCK, fold_limit: int = BLOCK) -> DataFrame:
+def filter_verbosity(records: DataFrame, mode: str = "concise", block: int = BLOCK) -> DataFrame:
     """Console text (run_id, seq, text): quiet shows errors, concise the shown kinds, full every record unchanged."""
     if mode == "full":
         return records.select("run_id", "seq", F.col("line").alias("text"))
@@ -282,18 +286,32 @@ def filter_verbosity(records: DataFrame, mode: str = "concise", block: int = BLO
     classified = classify(records, block)
     if mode == "quiet":
         return classified.filter("kind = 'error'").select("run_id", "seq", F.col("line").alias("text"))
-    plain = classified.filter(F.col("kind").isin("error", "warning", "phase_start", "detail")).select(
-        "run_id", "seq", F.col("line").alias("text"))
-    progress = throttle_progress(classified, block, fold_limit, records).select(
-        "run_id", "seq", F.format_string("Progress: %d/%d (%d%%)", "current", "total", "percent").alias("text"))
-    return plain.unionByName(progress).unionByName(metric_lines(classified).select("run_id", "seq", "text"))
+    return shown_lines(classified, block).select("run_id", "seq", "text")
+
+
+def shown_lines(classified: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(run_id, seq, kind, current, text) of all lines of the concise view, from one pass over classified records.
+
+    Progress goes in order through its phase; other lines are dealt out by blocks and pass.
+    """
+    lines = format_metrics(classified.filter(F.col("kind").isin(*SHOWN) & ~_repeated()), _step(F.col("last_step")))
+    progress, is_step = F.col("progress"), F.col("kind") == "progress"
+    percent = _percent(progress["current"], progress["total"])
+    told = F.format_string("Progress: %d/%d (%d%%)", progress["current"], progress["total"], percent)
+    rows = lines.select(
+        "run_id", F.when(is_step, F.col("phase_seq")).otherwise(-1 - F.floor(F.col("seq") / block).cast("bigint")).alias("part"), "seq",
+        progress["current"].alias("current"), progress["total"].alias("total"), "kind",
+        F.when(is_step, told).when(F.col("kind") == "metrics", F.col("text")).otherwise(F.col("line")).alias("text"))
+    return _streamed(rows).filter("kind <> 'progress' OR total <> 0").select("run_id", "seq", "kind", "current", "text")
+
+
+def _step(last: Column) -> Column:
+    return F.when(last.isNotNull(), F.format_string("Step %d/%d", last["current"], last["total"]))
 
 
 def metric_lines(classified: DataFrame) -> DataFrame:
     """Metric records with the last progress of their phase and their console text."""
-    known = F.col("last_step").isNotNull()
-    step = F.when(known, F.format_string("Step %d/%d", "last_step.current", "last_step.total"))
-    return format_metrics(classified.filter("kind = 'metrics'").withColumn("step", step), F.col("step"))
+    return format_metrics(classified.filter("kind = 'metrics'"), _step(F.col("last_step")))
 
 
 def quiet_lifecycle(log: DataFrame) -> DataFrame:

@@ -274,7 +274,9 @@ def q_redact_stream(spark, sf_dir):
 @register("log_stream", "SELECT run_id, text FROM (" + log_queries.ORACLES["filter_verbosity_concise"] + ")")
 def q_log_stream(spark, sf_dir):
     out, checkpoint = scratch_dir(spark, "log-out"), scratch_dir(spark, "log-state")
-    chunks = fixtures.log_chunks(spark, sf_dir).repartitionByRange(6, "chunk_no")
-    streams.run_to_end(streams.write_rows(log_view.log_stream(as_stream(spark, chunks, "chunks", 2)), out, checkpoint))
-    shown = spark.read.schema("run_id bigint, line_no bigint, text string").parquet(out)
-    return shown.select("run_id", F.when(F.col("text").rlike(r"^(Step \d+/\d+ \| )?Epoch "), "metrics").otherwise(F.col("text")).alias("text"))
+    chunks = fixtures.log_chunks(spark, sf_dir)
+    ends = chunks.groupBy("run_id").agg(F.max("chunk_no").alias("_end"))
+    marked = chunks.join(ends, "run_id").select("run_id", "chunk_no", "text", (F.col("chunk_no") == F.col("_end")).alias("last"))
+    source = as_stream(spark, marked.repartitionByRange(6, "chunk_no"), "chunks", 2)
+    streams.run_to_end(log_view.log_stream(source, out, checkpoint))
+    return spark.read.schema("run_id bigint, line_no bigint, text string").parquet(f"{out}/lines").select("run_id", "text")

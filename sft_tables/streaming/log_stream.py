@@ -1,132 +1,136 @@
-"""The console view of training logs as a stream: keyed state per run, any chunking gives the same lines."""
+"""The console view of training logs as a stream: the batch operators on every micro-batch, resumed where they stopped.
 
-from __future__ import annotations
+What a run's records depend on from earlier batches is little: the open record, the phase, the last step, the last
+progress that was shown, and whether a traceback is open. It is kept as up to four records that bring the batch
+operators into that state again (``_marks``), so cutting, classifying and formatting have one definition.
+
+State and output of a batch are folders named after the batch: a batch that is repeated after a failure reads the state
+of the one before it and overwrites its own.
+"""
 
-import ast
-import json
-import re
-from collections.abc import Iterator
-from dataclasses import astuple, dataclass
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from sft_tables.functions.carry import BLOCK
 from sft_tables.operators import logs
 
-
-def _python(pattern: str) -> re.Pattern:
-    """The batch patterns, without the JVM's flag for Unicode classes (the default here)."""
-    return re.compile(pattern.replace("(?iU)", "(?i)").replace("(?U)", "").replace(r"\z", r"\Z"))
-
-
-ANSI, TRACEBACK_END, IMPORTANT, WARNING, DONE, DETAIL, PROGRESS = (
-    _python(p) for p in (logs.ANSI, logs.TRACEBACK_END, logs.IMPORTANT, logs.WARNING, logs.PHASE_DONE, logs.DETAIL, logs.PROGRESS)
-)
-STATE = (
-    "buffer string, in_traceback boolean, phase string, current bigint, total bigint, shown bigint, lines bigint, "
-    "next_chunk bigint, early string"
-)
-OUTPUT = "run_id bigint, line_no bigint, text string"
-
-
-@dataclass
-class RunView:
-    """What has to be remembered between records of one run; ``feed`` returns the lines to show."""
-
-    buffer: str = ""
-    in_traceback: bool = False
-    phase: str = ""
-    current: int | None = None
-    total: int | None = None
-    shown: int = 0
-    lines: int = 0
-    next_chunk: int = 1
-    early: str = "{}"
-
-    def take(self, pieces: dict[int, str]) -> list[str]:
-        """Feed numbered pieces; one that arrives before its turn waits for the missing ones."""
-        waiting = {int(no): text for no, text in json.loads(self.early).items()} | pieces
-        shown: list[str] = []
-        while self.next_chunk in waiting:
-            shown += self.feed(waiting.pop(self.next_chunk))
-            self.next_chunk += 1
-        self.early = json.dumps(waiting)
-        return shown
-
-    def feed(self, text: str) -> list[str]:
-        *records, self.buffer = re.split(r"(?<=[\r\n])", self.buffer + text)
-        found = [self._record(r[:-1], r[-1] == "\r") for r in records]
-        return [line for line in found if line is not None]
-
-    def close(self) -> list[str]:
-        rest, self.buffer = self.buffer, ""
-        line = self._record(rest, False) if rest else None
-        return [] if line is None else [line]
-
-    def _record(self, record: str, carriage: bool) -> str | None:
-        line = ANSI.sub("", record).strip()
-        if not line:
-            self.in_traceback = self.in_traceback and carriage
-            return None
-        self.in_traceback = self.in_traceback or line.startswith(logs.TRACEBACK_START)
-        if self.in_traceback or IMPORTANT.search(line):
-            self.in_traceback = self.in_traceback and not TRACEBACK_END.match(line)
-            return line
-        if WARNING.search(line):
-            return line
-        if logs.PHASE_START in line:
-            self.phase, self.current, self.total, self.shown = "train", None, None, 0
-            return line
-        if logs.PHASE_METRICS in line or DONE.search(line):
-            self.phase = "table" if logs.PHASE_METRICS in line else ""
-            return None
-        return self._training(line) if self.phase == "train" else None
-
-    def _training(self, line: str) -> str | None:
-        step = PROGRESS.search(line) if "%" in line or "it/s" in line else None
-        if step:
-            return self._progress(int(step[1]), int(step[2]))
-        metrics = _literal(line)
-        if "loss" in metrics:
-            head = [] if self.current is None else [f"Step {self.current}/{self.total}"]
-            shown = [f"{label} {logs._display(metrics[n], n)}" for n, label in logs.METRIC_LABELS.items() if n in metrics]
-            return " | ".join(head + shown)
-        return line if DETAIL.search(line) else None
-
-    def _progress(self, current: int, total: int) -> str | None:
-        if (current, total) == (self.current, self.total):
-            return None
-        self.current, self.total = current, total
-        if current != total and current < self.shown + max(1, total // logs.PROGRESS_SHARE):
-            return None
-        self.shown = current
-        return f"Progress: {current}/{total} ({100 * current / total:.0f}%)" if total else None
-
-
-def _literal(line: str) -> dict:
-    """The dictionary between the first { and the last }, or nothing."""
-    start, end = line.find("{"), line.rfind("}")
-    try:
-        value = ast.literal_eval(line[start : end + 1]) if 0 <= start < end else None
-    except (SyntaxError, ValueError):
-        return {}
-    return value if isinstance(value, dict) else {}
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    view = RunView(*state.get) if state.exists else RunView()
-    view.buffer, view.phase = view.buffer or "", view.phase or ""
-    pieces = {int(no): text for batch in batches for no, text in zip(batch["chunk_no"], batch["text"])}
-    lines = view.take(pieces)
-    numbers = range(view.lines, view.lines + len(lines))
-    view.lines += len(lines)
-    state.update(astuple(view))
-    yield pd.DataFrame({"run_id": [key[0]] * len(lines), "line_no": list(numbers), "text": lines})
-
-
-def log_stream(chunks: DataFrame) -> DataFrame:
-    """Streaming (run_id, chunk_no, text) to shown lines (run_id, line_no, text). Chunks of a run are numbered from 1;
-    files may be read in any order. The state of a run is one partial record, a few scalars and the chunks that came
-    before their turn; a micro-batch is bounded by the source's trigger options."""
-    return chunks.select("run_id", "chunk_no", "text").groupBy("run_id").applyInPandasWithState(
-        _advance, OUTPUT, STATE, "append", "NoTimeout")
+CHUNKS = "run_id bigint, chunk_no bigint, text string, last boolean"
+RUNS = "run_id bigint, next_chunk bigint, base bigint, rest string, idle int"
+MARKS = "run_id bigint, seq bigint, line string, cr boolean"
+LINES = "run_id bigint, line_no bigint, text string"
+#: Numbers kept free before a batch's records, for the marks.
+ROOM = 4
+
+
+def _state(spark: SparkSession, out: str, batch_id: int, name: str, schema: str) -> DataFrame:
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{out}/state/batch_id={batch_id}/{name}")
+
+
+def _ready(pending: DataFrame, runs: DataFrame, patience: int | None) -> DataFrame:
+    """Chunks whose turn it is, with the run's state; ``first`` is where the run goes on.
+
+    A run that has waited ``patience`` batches for a missing chunk goes on after the gap.
+    """
+    by_run = Window.partitionBy("run_id").orderBy("chunk_no")
+    known = pending.join(runs, "run_id", "left").withColumns({
+        "next_chunk": F.coalesce("next_chunk", F.lit(1)), "base": F.coalesce("base", F.lit(0)), "rest": F.coalesce("rest", F.lit("")),
+        "idle": F.coalesce("idle", F.lit(0))}).filter("chunk_no >= next_chunk")
+    lost = F.col("idle") >= patience if patience is not None else F.lit(False)
+    first = F.when(lost, F.min("chunk_no").over(Window.partitionBy("run_id"))).otherwise(F.col("next_chunk"))
+    return known.withColumn("first", first).withColumn("turn", F.col("chunk_no") - F.col("first") == F.row_number().over(by_run) - 1)
+
+
+def _records(ready: DataFrame, ended: DataFrame, block: int) -> DataFrame:
+    """(run_id, seq, line, cr, open): new records after the marks' numbers; ``open`` is the piece without a line end yet."""
+    rests = ready.select("run_id", "first", "base", "rest").unionByName(
+        ended.select("run_id", F.col("next_chunk").alias("first"), "base", "rest")).distinct()
+    pieces = ready.select("run_id", "chunk_no", "text").unionByName(
+        rests.filter("rest <> ''").select("run_id", (F.col("first") - 1).alias("chunk_no"), F.col("rest").alias("text")))
+    tail = pieces.groupBy("run_id").agg(F.max_by("text", F.struct(F.length("text") > 0, "chunk_no")).alias("tail"))
+    closed = ready.filter("last").select("run_id").unionByName(ended.select("run_id")).distinct().withColumn("closed", F.lit(True))
+    records = logs.split_records(pieces, block)
+    final = records.groupBy("run_id").agg(F.max("seq").alias("final"))
+    unfinished = ~F.coalesce("closed", F.lit(False)) & ~F.right("tail", F.lit(1)).isin("\r", "\n")
+    return records.join(final, "run_id").join(tail, "run_id").join(closed, "run_id", "left").join(rests.select("run_id", "base"), "run_id").select(
+        "run_id", (F.col("base") + ROOM + F.col("seq")).alias("seq"), "line", "cr", ((F.col("seq") == F.col("final")) & unfinished).alias("open"))
+
+
+def _marks(end: DataFrame, shown: DataFrame) -> DataFrame:
+    """Records that bring the operators into the state ``end``: (run_id, seq, in_traceback, phase, phase_seq, last_step)."""
+    progress = shown.filter("kind = 'progress'").join(end.select("run_id", "phase_seq"), "run_id").filter("seq > phase_seq")
+    last = progress.groupBy("run_id").agg(F.max_by("current", "seq").alias("shown"))
+    step = F.col("last_step")
+    train = F.coalesce(F.col("phase") == "train", F.lit(False))
+
+    def mark(i: int, when: Column, line: Column) -> Column:
+        return F.when(when, F.struct((F.col("seq") + i).alias("seq"), line.alias("line"), F.lit(False).alias("cr")))
+
+    # a finished count is always shown and leaves its number as the last one shown
+    found = F.array(
+        mark(0, F.col("phase").isNotNull(), F.when(train, logs.PHASE_START).otherwise(logs.PHASE_METRICS)),
+        mark(1, train & F.col("shown").isNotNull(), F.format_string("%d/%d %%", "shown", "shown")),
+        mark(2, train & step.isNotNull(), F.format_string("%d/%d %%", step["current"], step["total"])),
+        mark(3, F.col("in_traceback"), F.lit(logs.TRACEBACK_START)))
+    return end.join(last, "run_id", "left").select("run_id", F.inline(F.filter(found, lambda m: m.isNotNull())))
+
+
+def advance(spark: SparkSession, batch: DataFrame, batch_id: int, out: str, patience: int | None, ttl: int | None, block: int) -> None:
+    """One micro-batch: shown lines to ``out/lines``, the state for the next one to ``out/state``."""
+    runs, marks = (_state(spark, out, batch_id - 1, n, s) for n, s in (("runs", RUNS), ("marks", MARKS)))
+    pending = _state(spark, out, batch_id - 1, "pending", CHUNKS).unionByName(batch).dropDuplicates(["run_id", "chunk_no"])
+    turns = _ready(pending, runs, patience).persist()
+    ready = turns.filter("turn")
+    moved = ready.groupBy("run_id").agg(F.max("chunk_no").alias("to"), F.max("last").alias("ended"))
+    still = runs.join(moved, "run_id", "left_anti")
+    waiting = turns.filter("NOT turn").select("run_id").distinct()
+    silent = still.join(waiting, "run_id", "left_anti").filter(F.col("idle") + 1 >= ttl if ttl is not None else F.lit(False))
+    ended = silent.filter("rest <> ''")
+
+    records = _records(ready, ended, block).persist()
+    fresh = records.filter("NOT open").select("run_id", "seq", "line", "cr")
+    active = records.select("run_id").distinct()
+    replayed = marks.join(active, "run_id", "left_semi")
+    end = records.groupBy("run_id").agg((F.max("seq") + 1).alias("seq")).select("run_id", "seq", F.lit("end").alias("line"), F.lit(False).alias("cr"))
+    classified = logs.classify(replayed.unionByName(fresh).unionByName(end), block).persist()
+    shown = logs.shown_lines(classified.join(end.select("run_id", F.col("seq").alias("_end")), "run_id").filter("seq < _end").drop("_end"), block).persist()
+    bases = records.groupBy("run_id").agg(F.min("seq").alias("_from"))
+    shown.join(bases, "run_id").filter("seq >= _from").select("run_id", F.col("seq").alias("line_no"), "text").write.mode("overwrite").parquet(
+        f"{out}/lines/batch_id={batch_id}")
+
+    state = f"{out}/state/batch_id={batch_id}"
+    gone = ready.filter("last").select("run_id").unionByName(silent.select("run_id")).distinct()
+    last = classified.join(end.select("run_id", "seq"), ["run_id", "seq"]).select("run_id", "seq", "in_traceback", "phase", "phase_seq", "last_step")
+    new_marks = _marks(last, shown).unionByName(marks.join(active, "run_id", "left_anti"))
+    new_marks.join(gone, "run_id", "left_anti").write.mode("overwrite").parquet(f"{state}/marks")
+    rest = records.filter("open").select("run_id", F.col("line").alias("rest"))
+    went = moved.join(end.select("run_id", F.col("seq").alias("base")), "run_id", "left").join(rest, "run_id", "left").join(
+        runs.select("run_id", F.col("base").alias("_base")), "run_id", "left").select(
+        "run_id", (F.col("to") + 1).alias("next_chunk"), F.coalesce("base", "_base", F.lit(0)).alias("base"), F.coalesce("rest", F.lit("")).alias("rest"),
+        F.lit(0).alias("idle"))
+    strangers = waiting.join(moved, "run_id", "left_anti").join(runs, "run_id", "left_anti").select(
+        "run_id", F.lit(1).cast("bigint").alias("next_chunk"), F.lit(0).cast("bigint").alias("base"), F.lit("").alias("rest"), F.lit(1).alias("idle"))
+    after = went.unionByName(still.withColumn("idle", F.col("idle") + 1)).unionByName(strangers).join(gone, "run_id", "left_anti")
+    after.select("run_id", "next_chunk", "base", "rest", "idle").write.mode("overwrite").parquet(f"{state}/runs")
+    turns.filter("NOT turn").select("run_id", "chunk_no", "text", "last").join(gone, "run_id", "left_anti").write.mode("overwrite").parquet(f"{state}/pending")
+    for held in (shown, classified, records, turns):
+        held.unpersist()
+
+
+def log_stream(chunks: DataFrame, out: str, checkpoint: str, patience: int | None = None, ttl: int | None = None, block: int = BLOCK):
+    """Writer of streaming chunks (run_id, chunk_no, text[, last]) to shown lines (run_id, line_no, text) in ``out/lines``.
+
+    Chunks of a run are numbered from 1 and may come in any order; one that comes early waits in a table for those before
+    it. The chunk marked ``last`` ends its run: an unfinished last line is shown and the run's state goes. So it does
+    after ``ttl`` batches without a chunk, unless chunks wait; a chunk that is missing for ``patience`` batches is given up.
+    """
+    rows = chunks if "last" in chunks.columns else chunks.withColumn("last", F.lit(False))
+    spark = chunks.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        advance(spark, batch.select("run_id", "chunk_no", "text", F.coalesce("last", F.lit(False)).alias("last")), batch_id, out, patience, ttl, block)
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

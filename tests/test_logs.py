@@ -3,7 +3,7 @@ import random
 import pytest
 
 from sft_tables.operators import logs
-from sft_tables.streaming.log_stream import RunView
+from sft_tables.streaming import log_stream
 
 LOG = (
     "reading settings from cache...\nModelConfig {\n  deep: true\n}\n"
@@ -42,21 +42,29 @@ def test_concise_view_does_not_depend_on_chunks_or_blocks(spark, size, block):
     assert shown(logs.filter_verbosity(records, "concise", block)) == SHOWN
 
 
-def test_stream_reader_agrees():
-    for size in (1, 7, 17, 10_000):
-        view = RunView()
-        got = [line for i in range(0, len(LOG), size) for line in view.feed(LOG[i : i + size])] + view.close()
-        assert got == SHOWN
+def streamed(spark, out, batches, **options):
+    """Shown lines of micro-batches of (run_id, chunk_no, text, last)."""
+    for i, rows in enumerate(batches):
+        for _ in range(2 if i == 1 else 1):  # a repeated batch changes nothing
+            log_stream.advance(spark, spark.createDataFrame(rows, log_stream.CHUNKS), i, str(out), options.get("patience"), options.get("ttl"), 16384)
+    found = spark.read.schema(log_stream.LINES).parquet(f"{out}/lines").orderBy("run_id", "line_no").collect()
+    return [(r["run_id"], r["text"]) for r in found]
 
 
-def test_stream_reader_waits_for_missing_chunks():
-    pieces = {i + 1: LOG[i * 50 : i * 50 + 50] for i in range(len(LOG) // 50 + 1)}
-    order = list(pieces)
-    random.Random(3).shuffle(order)
-    view, got = RunView(), []
-    for no in order:
-        got += view.take({no: pieces[no]})
-    assert got + view.close() == SHOWN
+def test_stream_agrees_with_batch(spark, tmp_path):
+    pieces = [LOG[i:i + 23] for i in range(0, len(LOG), 23)]
+    chunks = [(run, n, text, n == len(pieces)) for run in (1, 2) for n, text in enumerate(pieces, 1)]
+    rng = random.Random(3)
+    mixed = chunks[:8] + rng.sample(chunks[8:], len(chunks) - 8)
+    batches = [mixed[i:i + 17] for i in range(0, len(mixed), 17)]
+    assert streamed(spark, tmp_path, batches) == [(1, t) for t in SHOWN] + [(2, t) for t in SHOWN]
+    assert spark.read.parquet(f"{tmp_path}/state/batch_id={len(batches) - 1}/runs").count() == 0
+
+
+def test_stream_gives_up_gaps_and_idle_runs(spark, tmp_path):
+    batches = [[(1, 1, "ERROR a\nERR", False), (2, 2, "ERROR late\n", False)], [(1, 2, "OR b", False)], [(3, 1, "x", False)], [(3, 2, "y", False)]]
+    found = streamed(spark, tmp_path, batches, patience=2, ttl=2)
+    assert found == [(1, "ERROR a"), (1, "ERROR b"), (2, "ERROR late")]
 
 
 def test_records_remember_their_terminator(spark):
@@ -86,21 +94,21 @@ def greedy(pairs):
     return out
 
 
-@pytest.mark.parametrize("fold_limit", [0, 16384])
-def test_throttle_in_rows_and_in_rounds(spark, fold_limit):
+def test_throttle(spark):
     rng = random.Random(11)
     walk = [(rng.randint(0, 60), rng.choice([40, 60])) for _ in range(120)]
     logs_by_run = {1: [(i, 100) for i in range(1, 101)], 2: walk, 3: [(2, 2), (2, 2), (1, 2), (2, 2)]}
     pieces = [(run, 1, steps(pairs)) for run, pairs in logs_by_run.items()]
     chunks = spark.createDataFrame(pieces, "run_id bigint, chunk_no bigint, text string")
-    found = logs.throttle_progress(logs.classify(logs.split_records(chunks), 7), 7, fold_limit).orderBy("run_id", "seq").collect()
+    found = logs.throttle_progress(logs.classify(logs.split_records(chunks), 7)).orderBy("run_id", "seq").collect()
     for run, pairs in logs_by_run.items():
         assert [(r["current"], r["total"]) for r in found if r["run_id"] == run] == greedy(pairs)
     assert len([r for r in found if r["run_id"] == 1]) <= 21
 
 
 def test_metric_numbers(spark):
-    lines = ["{'loss': '1e-05', 'epoch': 2,}", "x {'loss': 1} y {'epoch': 2}", "{'loss': nan}", "{'other': 1}", "{'loss': True, 'loss': .5}"]
+    lines = ["{'loss': '1e-05', 'epoch': 2,}", "x {'loss': 1} y {'epoch': 2}", "{'loss': nan}", "{'other': 1}", "{'loss': True, 'loss': .5}",
+             r"{'loss': 0.5, 'extra': [1, {'loss': 2}], 'note': 'it\'s {x}', 't': (1, 2,)}", "{'extra': {'loss': 3}}"]
     table = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
     found = {r["i"]: (r["loss"], r["epoch"]) for r in logs.parse_metrics(table).collect()}
-    assert found == {0: (1e-05, 2.0), 4: (0.5, None)}
+    assert found == {0: (1e-05, 2.0), 4: (0.5, None), 5: (0.5, None)}
