@@ -1,18 +1,21 @@
 """Time the headline queries: one JSON line with seconds per query.
 
 Every query writes all its rows to the ``noop`` sink. One small warm-up run per query keeps class loading
-and code generation out of the measured time.
+and code generation out of the measured time. The tables are first stored in one file per core, as they would
+be on a cluster: a single small file is a single task, however many cores there are.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from sft_tables.plans import registry
+from sft_tables.plans.fixtures import TABLES
 
 HEADLINE = (
     "validate_turns", "expand_turns", "expand_messages", "row_model", "detect_dataset_format", "convert_dataset",
@@ -23,6 +26,14 @@ HEADLINE = (
 )
 
 
+def in_files(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """The tables of a folder with so many files each."""
+    folder = tempfile.mkdtemp(prefix="bench-")
+    for table in TABLES:
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(files).write.parquet(f"{folder}/{table}.parquet")
+    return folder
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -37,11 +48,12 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
     seconds: dict[str, float] = {}
+    tables = in_files(spark, sf_dir, int(cpus))
     for name in HEADLINE:
         if os.path.isdir(warm_dir):
             queries[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
         started = time.time()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        queries[name](spark, tables).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - started, 3)
     spark.stop()
     print(json.dumps({

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sft_tables.functions import variants as vr
+from sft_tables.functions.carry import running_total
 from sft_tables.functions.errors import first_error
 from sft_tables.operators.models import ARCHITECTURE_FIELDS, ARCHITECTURE_SIZES
 
@@ -89,28 +90,28 @@ def count_below(values: DataFrame, value: str, thresholds: DataFrame, threshold:
     """Add to every threshold row how many values are strictly smaller, without pairing the two tables.
 
     Both sides are first reduced to counts per distinct whole number, thresholds above the largest value are
-    folded onto one point, so the running sum sees at most one row per MiB of the largest GPU.
+    folded onto one point; the running sum goes over blocks of these numbers, so no task holds all of them.
     """
     counted = values.groupBy(F.col(value).alias("at")).agg(F.count(F.lit(1)).alias("n"))
     top = counted.agg(F.max("at") + 1).scalar()
     capped = thresholds.withColumn("_at", F.least(F.col(threshold), top))
     points = counted.unionByName(capped.select(F.col("_at").alias("at")).distinct().withColumn("n", F.lit(0).cast("bigint")))
     totals = points.groupBy("at").agg(F.sum("n").alias("n"))
-    running = totals.select(
-        F.col("at").alias("_at"),
-        F.coalesce(F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(name))
+    running = running_total(totals.withColumn("_all", F.lit(0)), ["_all"], "at", F.col("n"), name).select(F.col("at").alias("_at"), name)
     return capped.join(running, "_at").drop("_at")
 
 
 def admit_gpus(jobs: DataFrame, gpus: DataFrame) -> DataFrame:
     """Choose a GPU per job: jobs (job_id, required_mib, device), gpus (gpu_index, free_mib, total_mib).
 
-    ``device`` is 'auto' or an index. The GPU with the most free memory (lowest index on ties) serves every
+    ``device`` is 'auto' or an index. The GPU with the most free memory (the first listed on ties: by a column
+    ``position``, or else by index) serves every
     automatic job it is large enough for, and if it is too small no other one fits, so automatic jobs need
     one row of the inventory (a scalar subquery); explicit requests are an equi-join. ``rejected_gpus`` counts the GPUs with too
     little free memory.
     """
-    best = gpus.agg(F.max(F.struct("free_mib", (-F.col("gpu_index")).alias("o"), "gpu_index", "total_mib"))).scalar()
+    listed = F.col("position" if "position" in gpus.columns else "gpu_index")
+    best = gpus.agg(F.max(F.struct("free_mib", (-listed).alias("o"), (-F.col("gpu_index")).alias("i"), "gpu_index", "total_mib"))).scalar()
     with_best = jobs.withColumn("best", best)
     asked = F.when(F.col("device") != "auto", F.col("device").try_cast("bigint"))
     named = gpus.select(F.col("gpu_index").alias("_asked"), F.struct("free_mib", "gpu_index", "total_mib").alias("named"))

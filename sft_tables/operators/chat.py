@@ -237,15 +237,3 @@ def expand_turns(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) ->
         conv, F.get(F.col("messages"), (F.col("r.turn") - 1).cast("int"))["turn"].alias("turn"),
         "r.instruction", "r.input", "r.output",
     )
-
-
-def split_by_length(turns: DataFrame, conv: str = "conv_id", limit: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(conversations short enough to be held as an array, all others); lengths are counted, not assumed."""
-    long = turns.groupBy(conv).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(conv)
-    return turns.join(long, conv, "left_anti"), turns.join(long, conv, "left_semi")
-
-
-def positions(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -> DataFrame:
-    """Turn numbers replaced by 1-based positions."""
-    counted = running_total(turns, [conv], "turn", F.lit(1), "_before", block)
-    return counted.withColumn("turn", F.col("_before") + 1).drop("_before")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from sft_tables.functions.once import once
 from sft_tables.functions.text import is_blank, strip
 from sft_tables.operators import chat
 from sft_tables.operators.detect import detect_dataset_format, select_format
-from sft_tables.operators.formats import DPO, FIELD_FORMATS, QA_PAIRS, FieldFormat, lookup_column
+from sft_tables.operators.formats import DPO, FIELD_FORMATS, QA_PAIRS, FieldFormat, known_formats, lookup_column
 from sft_tables.operators.rows import ColumnRow, JsonRow
 from sft_tables.session import written
 
@@ -136,9 +137,13 @@ def convert_chat(rows: DataFrame, name: str) -> DataFrame:
     ).select("dataset_id", "row_index", "r.*")
 
 
-def task_gate(selection: DataFrame, require: str = "sft") -> DataFrame:
+def _tasks(extra: Sequence[FieldFormat]) -> dict[str, str]:
+    return FORMAT_TASK | {f.name: f.task for f in extra}
+
+
+def task_gate(selection: DataFrame, require: str = "sft", extra: Sequence[FieldFormat] = ()) -> DataFrame:
     """Datasets whose format serves another task than required."""
-    task = lookup_column(F.col("format"), FORMAT_TASK)
+    task = lookup_column(F.col("format"), _tasks(extra))
     return selection.withColumn("task", task).filter(F.col("task") != require).select(
         "dataset_id", "format", "task", F.lit("TASK_UNSUPPORTED").alias("code"))
 
@@ -170,6 +175,7 @@ class Conversion:
     selection: DataFrame
     checked: DataFrame
     require: str | None
+    extra: Sequence[FieldFormat] = ()
 
     @property
     def rows(self) -> DataFrame:
@@ -192,7 +198,7 @@ class Conversion:
     def dataset_violations(self) -> DataFrame:
         refused = self.selection.filter("code IS NOT NULL").select("dataset_id", "code")
         if self.require:
-            refused = refused.unionByName(task_gate(self.selection.filter("code IS NULL"), self.require).select("dataset_id", "code"))
+            refused = refused.unionByName(task_gate(self.selection.filter("code IS NULL"), self.require, self.extra).select("dataset_id", "code"))
         return refused
 
     @property
@@ -210,18 +216,22 @@ class Conversion:
         return self.rows
 
 
-def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require: str | None = "sft") -> Conversion:
-    """Detect or take the format of every dataset, then check and convert all rows in one projection.
+def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require: str | None = "sft",
+                    extra: Sequence[FieldFormat] = ()) -> Conversion:
+    """Detect or take the format of every dataset, then check and convert all rows in one projection. ``extra`` adds
+    field formats of the caller to the known ones.
 
     Detection reads 25 rows per dataset and its choice (one row per dataset) is written down, so the planner knows its
     size when rows are joined with it: small choices are broadcast and raw text is not moved; beyond the broadcast limit
     adaptive execution splits a dataset with most of the rows.
     """
-    return convert_with(rows, written(select_format(detect_dataset_format(rows), requests), "formats"), require)
+    chosen = select_format(detect_dataset_format(rows, extra=extra), requests, extra=extra)
+    return convert_with(rows, written(chosen, "formats"), require, extra)
 
 
-def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "sft") -> Conversion:
+def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "sft", extra: Sequence[FieldFormat] = ()) -> Conversion:
     """Check and convert rows of datasets whose format is already chosen."""
+    field_formats = known_formats(extra)
     chosen = selection.filter("code IS NULL").select("dataset_id", "format")
     row = JsonRow()
     fmt = F.col("format")
@@ -232,7 +242,7 @@ def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "s
     held = once(joined, messages=messages)
 
     problem = F.when(fmt == "qa_json", qa_fault(row))
-    for f in FIELD_FORMATS:
+    for f in field_formats:
         problem = problem.when(fmt == f.name, field_fault(row, f))
     structure = F.when(fmt == CHAT_FORMATS[0], structure_fault(row, CHAT_FORMATS[0]))
     for name in CHAT_FORMATS[1:]:
@@ -243,18 +253,18 @@ def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "s
         return F.array(F.struct(F.lit(None).cast("bigint").alias("turn"), *columns)).cast(SFT)
 
     sft = F.when(fmt == "qa_json", single(qa_projection(row)))
-    for f in FIELD_FORMATS:
+    for f in field_formats:
         if f.task == "sft":
             sft = sft.when(fmt == f.name, single(field_projection(row, f)))
     sft = sft.when(fmt.isin(*CHAT_FORMATS), chat.sft_of_messages().cast(SFT))
 
-    gated = lookup_column(fmt, FORMAT_TASK) != require if require else F.lit(False)
+    gated = lookup_column(fmt, _tasks(extra)) != require if require else F.lit(False)
     judged = once(held, fault=problem.cast(FAULT), gated=gated)
     checked = judged.select(
         "dataset_id", "row_index", "format", "fault", "gated", sft.alias("sft"),
         F.when(fmt == DPO.name, F.struct(*field_projection(row, DPO))).alias("preference"),
     )
-    return Conversion(selection, checked, require)
+    return Conversion(selection, checked, require, extra)
 
 
 def train_benchmark_overlap(train: DataFrame, bench: DataFrame, text: str = "text") -> DataFrame:

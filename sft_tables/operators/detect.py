@@ -6,14 +6,15 @@ The input is the 25-row sample per dataset; scores, ranks and the choice are one
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sft_tables.operators.formats import (
-    AMBIGUITY_MARGIN, FIELD_FORMATS, QA_PAIRS, SAMPLE_ROWS, SCHEMA_ALIASES, SCHEMA_PRIORITY, FieldFormat,
-    lookup_column, resolve_format,
+    AMBIGUITY_MARGIN, QA_PAIRS, SAMPLE_ROWS, SCHEMA_ALIASES, SCHEMA_PRIORITY, FieldFormat,
+    known_formats, lookup_column, resolve_format,
 )
 from sft_tables.operators.rows import JsonRow, sample_rows
 
@@ -21,8 +22,6 @@ SCORE = "decimal(4,3)"
 PENALTY = "0.120"
 PARTIAL_WEIGHT = 0.6
 MARK_START, MARK_END = "<|im_start|>", "<|im_end|>"
-_FIELDS = sorted({f for fmt in FIELD_FORMATS for f in fmt.required} | {f for p in QA_PAIRS for f in p}
-                 | {"context", "messages", "conversations"})
 
 
 def _halves_going_down() -> dict[int, list[int]]:
@@ -56,23 +55,25 @@ def _chat_shape(row: JsonRow, field: str, role: str, content: str) -> Column:
     return row.is_object & (F.size(items) > 0) & F.forall(items, lambda m: has(m, role) & has(m, content))
 
 
-def score_formats(sample: DataFrame, penalty_fields: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """One row per (dataset_id, format): confidence, matched, reason, fields."""
+def score_formats(sample: DataFrame, penalty_fields: dict[str, tuple[str, ...]] | None = None, extra: Sequence[FieldFormat] = ()) -> DataFrame:
+    """One row per (dataset_id, format): confidence, matched, reason, fields. ``extra``: field formats of the caller."""
     row = JsonRow()
+    field_formats = known_formats(extra)
+    fields = sorted({f for fmt in field_formats for f in fmt.required} | {f for p in QA_PAIRS for f in p} | {"context", "messages", "conversations"})
     penalties = penalty_fields or {}
     text = F.coalesce(row.whole_text(), row.text("text"))
     flags = sample.select(
         "dataset_id", "keys",
-        *[row.present(f).alias(f"has_{f}") for f in _FIELDS],
+        *[row.present(f).alias(f"has_{f}") for f in fields],
         _chat_shape(row, "messages", "role", "content").alias("openai_shape"),
         _chat_shape(row, "conversations", "from", "value").alias("sharegpt_shape"),
         (text.contains(MARK_START) & text.contains(MARK_END)).alias("marked"),
     )
-    has = {f: F.col(f"has_{f}") for f in _FIELDS}
+    has = {f: F.col(f"has_{f}") for f in fields}
     both = {pair: has[pair[0]] & has[pair[1]] for pair in QA_PAIRS}
     aggs = [F.count(F.lit(1)).alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("fields")]
-    aggs += [F.max(has[f]).alias(f"any_{f}") for f in _FIELDS]
-    for fmt in FIELD_FORMATS:
+    aggs += [F.max(has[f]).alias(f"any_{f}") for f in fields]
+    for fmt in field_formats:
         complete = has[fmt.required[0]]
         for f in fmt.required[1:]:
             complete = complete & has[f]
@@ -135,7 +136,7 @@ def score_formats(sample: DataFrame, penalty_fields: dict[str, tuple[str, ...]]
     chatml = result("chatml", F.when(F.col("chatml_all"), F.lit("1")).otherwise(F.lit("0")), F.col("chatml_all"),
                     F.when(F.col("chatml_all"), "ChatML start/end markers").otherwise("ChatML markers not found"))
     results = F.array(
-        *[field_result(fmt) for fmt in FIELD_FORMATS], qa,
+        *[field_result(fmt) for fmt in field_formats], qa,
         chat_result("openai_chat", "messages", "openai_all", "role/content"),
         chat_result("sharegpt", "conversations", "sharegpt_all", "from/value"), chatml,
     )
@@ -145,13 +146,13 @@ def score_formats(sample: DataFrame, penalty_fields: dict[str, tuple[str, ...]]
 def rank_candidates(scores: DataFrame, key: str = "dataset_id", name: str = "format",
                     priority: dict[str, int] | None = None) -> DataFrame:
     """Add ``rank``: by confidence, priority and name, all descending (nine rows per key)."""
-    order = lookup_column(F.col(name), priority or SCHEMA_PRIORITY, "int")
+    order = F.coalesce(lookup_column(F.col(name), priority or SCHEMA_PRIORITY, "int"), F.lit(0))
     w = Window.partitionBy(key).orderBy(F.desc("confidence"), F.desc("_priority"), F.desc(name))
     return scores.withColumn("_priority", order).withColumn("rank", F.row_number().over(w).cast("bigint")).drop("_priority")
 
 
 def select_format(ranked: DataFrame, requests: DataFrame | None = None, key: str = "dataset_id",
-                  name: str = "format", stage: str = "schema") -> DataFrame:
+                  name: str = "format", stage: str = "schema", extra: Sequence[FieldFormat] = ()) -> DataFrame:
     """One row per dataset: the chosen format with its confidence, or an error code.
 
     ``requests`` (key, requested) holds explicit choices; datasets without one are detected.
@@ -169,7 +170,7 @@ def select_format(ranked: DataFrame, requests: DataFrame | None = None, key: str
         summary = summary.join(requests.select(key, "requested"), key, "left")
     else:
         summary = summary.withColumn("requested", F.lit(None).cast("string"))
-    summary = resolve_format(summary, "requested", stage)
+    summary = resolve_format(summary, "requested", stage, extra)
     margin = F.try_element_at("top", F.lit(1)) - F.try_element_at("top", F.lit(2))
     auto = F.col("format") == "auto"
     error = (
@@ -217,9 +218,9 @@ def detection_report(ranked: DataFrame, selected: DataFrame, key: str = "dataset
     )
 
 
-def detect_dataset_format(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+def detect_dataset_format(rows: DataFrame, n: int = SAMPLE_ROWS, extra: Sequence[FieldFormat] = ()) -> DataFrame:
     """Ranked scores of every format for every dataset."""
-    return rank_candidates(score_formats(sample_rows(rows, n)))
+    return rank_candidates(score_formats(sample_rows(rows, n), extra=extra))
 
 
 assert set(SCHEMA_ALIASES) == set(SCHEMA_PRIORITY)

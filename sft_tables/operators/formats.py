@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -70,6 +71,21 @@ AMBIGUITY_MARGIN = "0.030"
 SAMPLE_ROWS = 25
 
 
+def known_formats(extra: Sequence[FieldFormat] = ()) -> tuple[FieldFormat, ...]:
+    """The field formats with those of the caller, whose names and aliases must be new."""
+    alias_table_of(extra)
+    return (*FIELD_FORMATS, *extra)
+
+
+def alias_table_of(extra: Sequence[FieldFormat] = ()) -> dict[str, str]:
+    """Lookup of all record formats' names and aliases."""
+    names = [f.name for f in extra]
+    twice = {n for n in names if n in SCHEMA_ALIASES or names.count(n) > 1}
+    if twice:
+        raise ValueError(f"format names that are taken: {sorted(twice)}")
+    return alias_lookup(SCHEMA_ALIASES | {f.name: f.aliases for f in extra})
+
+
 def alias_lookup(aliases: dict[str, tuple[str, ...]]) -> dict[str, str]:
     """Normalized name or alias -> format name. A name claimed twice is refused."""
     lookup: dict[str, str] = {}
@@ -87,9 +103,9 @@ def lookup_column(key: Column, table: dict[str, object], kind: str = "string") -
     return F.element_at(F.create_map(*entries).cast(f"map<string,{kind}>"), key)
 
 
-def resolve_format(df: DataFrame, requested: str, stage: str = "schema") -> DataFrame:
+def resolve_format(df: DataFrame, requested: str, stage: str = "schema", extra: Sequence[FieldFormat] = ()) -> DataFrame:
     """Add ``requested_key`` and ``format``: 'auto', a known name, or NULL when unknown."""
-    table = alias_lookup(SCHEMA_ALIASES if stage == "schema" else SOURCE_ALIASES)
+    table = alias_table_of(extra) if stage == "schema" else alias_lookup(SOURCE_ALIASES)
     key = F.coalesce(format_name(F.coalesce(F.col(requested), F.lit("auto"))), F.lit(""))
     return df.withColumn("requested_key", key).withColumn(
         "format", F.when(key == "auto", F.lit("auto")).otherwise(F.try_element_at(

@@ -25,20 +25,22 @@ FULL_WEIGHTS = r"\Amodel/(?:model\.safetensors|model-[^/]*\.safetensors|pytorch_
 CHECKPOINT = r"\Amodel/(checkpoint-[^/]*)/"
 PUBLIC_NAME = r"\A[A-Za-z0-9][A-Za-z0-9._-]{0,127}\z"
 RESULT_TEXT_FIELDS = ("run_id", "run_directory", "model_directory", "metadata_path")
+# any JSON value keeps its text where a section's fields are free
 METADATA_SCHEMA = (
-    "schema_version INT, run_id STRING, status STRING, created_at STRING, completed_at STRING, "
+    "schema_version INT, run_id STRING, pipeline_id STRING, status STRING, created_at STRING, updated_at STRING, completed_at STRING, "
     "model STRUCT<name: STRING, family: STRING, template: STRING, requested_revision: STRING, resolved_revision: STRING, "
     "revision_status: STRING>, dataset STRUCT<path: STRING, name: STRING, source_format: STRING, format: STRING, "
-    "num_samples: BIGINT, sha256: STRING>, training MAP<STRING, STRING>, output STRUCT<model_dir: STRING, "
-    "verified_artifacts: ARRAY<STRING>>, phases MAP<STRING, STRUCT<status: STRING>>, "
+    "num_samples: BIGINT, sha256: STRING>, training VARIANT, output STRUCT<model_dir: STRING, "
+    "verified_artifacts: ARRAY<STRING>>, environment VARIANT, container VARIANT, resources VARIANT, artifact VARIANT, serving VARIANT, "
+    "gateway VARIANT, phases MAP<STRING, STRUCT<status: STRING>>, "
     "training_metrics MAP<STRING, STRING>, error STRUCT<type: STRING, message: STRING>"
 )
 
 
-def scan_runs(spark: SparkSession, root: str) -> DataFrame:
-    """One row per ``<root>/<run>/metadata.json``; the folder name is the run."""
+def scan_runs(spark: SparkSession, root: str, name: str = "metadata.json") -> DataFrame:
+    """One row per ``<root>/<run>/metadata.json``; the folder name is the run. Sections with free fields are variants."""
     path = F.col("_metadata.file_path")
-    return spark.read.schema(METADATA_SCHEMA).json(f"{root}/*/metadata.json", multiLine=True).select(
+    return spark.read.schema(METADATA_SCHEMA).json(f"{root}/*/{name}", multiLine=True).select(
         F.element_at(F.split(path, "/"), -2).alias("run_folder"), "*")
 
 
@@ -70,12 +72,12 @@ def _passed_by_marks(wanted: DataFrame, gaps: DataFrame) -> DataFrame:
     return counted.select("request_id", "base_id", (F.col("_at") / 2 + F.col("_passed")).cast("bigint").alias("attempt"))
 
 
-def assign_run_ids(requests: DataFrame, existing: DataFrame, list_limit: int = 4096) -> DataFrame:
+def assign_run_ids(requests: DataFrame, existing: DataFrame) -> DataFrame:
     """Run ids for requests (request_id BIGINT, created_at, model_name, dataset_name) next to existing (run_id).
 
     The k-th request of a base id takes the k-th attempt number that no existing run holds. If the existing
-    attempts are e1 < e2 < .., that number is k plus the count of j with e_j - j < k. Bases with up to
-    ``list_limit`` existing runs (counted) carry these gaps as a list; larger ones go through a running total.
+    attempts are e1 < e2 < .., that number is k plus the count of j with e_j - j < k; one running total over requests
+    and these gaps counts for all bases, of any size.
     """
     base = base_run_id(F.col("created_at"), F.col("model_name"), F.col("dataset_name"))
     numbered = running_total(requests.withColumn("base_id", base), ["base_id"], "request_id", F.lit(1), "_before")
@@ -83,16 +85,7 @@ def assign_run_ids(requests: DataFrame, existing: DataFrame, list_limit: int = 4
     held = _held_attempts(existing)
     gaps = running_total(held, ["base_id"], "attempt", F.lit(1), "_before").select(
         "base_id", (F.col("attempt") - F.col("_before") - 1).alias("_gap"))
-    large = held.groupBy("base_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > list_limit).select("base_id")
-    oversized = not large.isEmpty()
-    small_wanted, small_gaps = (df.join(large, "base_id", "left_anti") if oversized else df for df in (wanted, gaps))
-    lists = small_gaps.groupBy("base_id").agg(F.collect_list("_gap").alias("_gaps"))
-    passed = F.coalesce(F.size(F.filter("_gaps", lambda g: g < F.col("_k"))), F.lit(0))
-    numbers = small_wanted.join(lists, "base_id", "left").select(
-        "request_id", "base_id", (F.col("_k") + F.when(F.col("_gaps").isNull(), 0).otherwise(passed)).cast("bigint").alias("attempt"))
-    if oversized:
-        numbers = numbers.unionByName(_passed_by_marks(
-            wanted.join(large, "base_id", "left_semi"), gaps.join(large, "base_id", "left_semi")))
+    numbers = _passed_by_marks(wanted, gaps)
     run_id = F.when(F.col("attempt") == 1, F.col("base_id")).otherwise(
         F.concat_ws("_", "base_id", F.format_string("%02d", "attempt")))
     return numbers.select("request_id", "base_id", "attempt", run_id.alias("run_id"))
@@ -275,15 +268,15 @@ def discover_targets(requests: DataFrame, claims: DataFrame, executions: DataFra
 
 def owned_resources(requests: DataFrame, targets: DataFrame, resources: DataFrame) -> DataFrame:
     """Resources labelled with a target run, a target execution or the requested pipeline: (request_id, resource_id).
-    Three equi-joins, not one join on an OR."""
-    def labelled(kind: str, label: str) -> DataFrame:
-        wanted = targets.filter(F.col("kind") == kind).select("request_id", F.col("id").alias(label))
-        return resources.withColumn(label, F.col(label).cast("string")).join(wanted, label).select("request_id", "resource_id")
-
-    pipelines = requests.filter("pipeline_id IS NOT NULL").select("request_id", F.col("pipeline_id").cast("string").alias("pipeline_id"))
-    by_pipeline = resources.withColumn("pipeline_id", F.col("pipeline_id").cast("string")).join(pipelines, "pipeline_id").select(
-        "request_id", "resource_id")
-    return labelled("run", "run_id").unionByName(labelled("execution", "execution_id")).unionByName(by_pipeline).distinct()
+
+    Every resource is read once, as one row per label that it has; one equi-join finds the requests.
+    """
+    label = lambda kind, column: F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("id"))
+    labels = F.array(label("run", "run_id"), label("execution", "execution_id"), label("pipeline", "pipeline_id"))
+    labelled = resources.select("resource_id", F.inline(labels)).filter("id IS NOT NULL")
+    pipelines = requests.filter("pipeline_id IS NOT NULL").select("request_id", label("pipeline", "pipeline_id").alias("l")).select("request_id", "l.*")
+    wanted = targets.select("request_id", "kind", "id").unionByName(pipelines)
+    return labelled.join(wanted, ["kind", "id"]).select("request_id", "resource_id").distinct()
 
 
 def leftovers(requests: DataFrame, targets: DataFrame, later: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sft_tables.functions.carry import BLOCK
 from sft_tables.operators import chat
 from sft_tables.plans import fixtures
 
@@ -57,17 +56,13 @@ def expand_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.expand_turns(fixtures.turns(spark, sf_dir))
 
 
-def validate_messages(spark: SparkSession, sf_dir: str, limit: int = BLOCK) -> DataFrame:
-    """Array form for conversations that fit into a row, turn form (by position) for the others."""
-    short, long = chat.split_by_length(fixtures.turns(spark, sf_dir), limit=limit)
-    held = chat.validate_messages(chat.gather_messages(short), KEYS)
-    return held.unionByName(chat.validate_turns(chat.positions(long)))
+def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as one value each; ``validate_turns`` is for those that are stored turn by turn."""
+    return chat.validate_messages(chat.gather_messages(fixtures.turns(spark, sf_dir)), KEYS)
 
 
-def expand_messages(spark: SparkSession, sf_dir: str, limit: int = BLOCK) -> DataFrame:
-    short, long = chat.split_by_length(fixtures.turns(spark, sf_dir), limit=limit)
-    held = chat.expand_messages(chat.gather_messages(short), KEYS)
-    return held.unionByName(chat.expand_turns(chat.positions(long)))
+def expand_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.expand_messages(chat.gather_messages(fixtures.turns(spark, sf_dir)), KEYS)
 
 
 QUERIES = Q(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sft_tables.functions import text as tx
 from sft_tables.operators import chat, convert, detect, formats
 from sft_tables.operators import rows as rw
+from sft_tables.operators.rows import to_row_model
 from sft_tables.plans import fixtures
 from sft_tables.plans.fixtures import ROWS_SQL, row_model
 
@@ -41,7 +42,7 @@ kr AS (
       ELSE ['prompt', 'rejected'] END || [CASE WHEN fmt NOT IN (5, 6, 7) AND fault <> 'missing_answer' THEN {ANSWER_KEY} END],
       lambda x: x IS NOT NULL) AS keys
   FROM r),
-sample AS (SELECT * FROM kr WHERE row_index <= 25),
+sample AS MATERIALIZED (SELECT * FROM kr WHERE row_index <= 25),
 sk AS (SELECT dataset_id, unnest(keys) AS key FROM sample),
 ds_fields AS (SELECT dataset_id, list_sort(list_distinct(list(key))) AS fields FROM sk GROUP BY dataset_id)
 """
@@ -93,7 +94,7 @@ SCORE_SQL = {
     "openai_chat": _chat_score("openai_chat", "messages", 5, "role/content"),
     "sharegpt": _chat_score("sharegpt", "conversations", 6, "from/value"), "chatml": CHATML_SCORE,
 }
-SCORES = BASE + ", scores AS (" + "\nUNION ALL\n".join(SCORE_SQL.values()) + """),
+SCORES = BASE + ", scores AS MATERIALIZED (" + "\nUNION ALL\n".join(SCORE_SQL.values()) + """),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY confidence DESC,
     CASE WHEN format IN ('openai_chat', 'sharegpt', 'chatml') THEN 20 ELSE 0 END DESC, format DESC) AS rank
@@ -177,7 +178,7 @@ PADDED = "chr(28) || chr(160) || chr(10) || text || chr(8195) || chr(9) || ' '"
 @register("strip_text", f"""SELECT doc_id, md5({sql_strip(PADDED)}) AS stripped,
    regexp_matches(text, '[^' || substr('{SPACE_CLASS}', 2)) AS nonblank FROM documents""")
 def q_strip_text(spark, sf_dir):
-    docs = fixtures.spread(fixtures.table(spark, sf_dir, "documents"))
+    docs = fixtures.table(spark, sf_dir, "documents")
     padded = F.concat(F.lit("\x1c \n"), "text", F.lit(" \t "))
     return docs.select("doc_id", F.md5(tx.strip(padded)).alias("stripped"), tx.nonblank("text").alias("nonblank"))
 
@@ -423,6 +424,22 @@ def q_preference(spark, sf_dir):
     return convert.convert_dataset(row_model(spark, sf_dir), require=None).preference
 
 
+NEWS = formats.FieldFormat("news", ("headline", "body"), {"instruction": "headline", "input": "note", "output": "body"}, "0.970",
+                           aliases=("article",), defaults={"input": ""})
+
+
+@register("convert_own_format", """SELECT source AS dataset_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS row_index, CAST(NULL AS BIGINT) AS turn,
+  'Item ' || doc_id AS instruction, CASE WHEN CAST(substr(source, 4) AS INT) % 2 = 0 THEN lang ELSE '' END AS input, text AS output FROM documents""")
+def q_own_format(spark, sf_dir):
+    """A format that the caller brings: found in datasets of even number by its fields, asked for by an alias in the others."""
+    rows = fixtures.dataset_rows(spark, sf_dir)
+    noted = F.to_json(F.struct(F.concat(F.lit("Item "), F.substring_index("q", " ", -1)).alias("headline"), F.col("ans").alias("body"), F.col("ctx").alias("note")))
+    plain = F.to_json(F.struct(F.concat(F.lit("Item "), F.substring_index("q", " ", -1)).alias("headline"), F.col("ans").alias("body")))
+    raw = rows.select("dataset_id", "row_index", F.when(F.col("ds") % 2 == 0, noted).otherwise(plain).alias("raw"))
+    asked = rows.filter("ds % 2 = 1").select("dataset_id", F.lit(" Article").alias("requested")).distinct()
+    return convert.convert_dataset(to_row_model(raw), asked, extra=(NEWS,)).rows
+
+
 TRAIN = "(SELECT text FROM documents UNION ALL SELECT text FROM benchmark)"
 
 

@@ -63,7 +63,7 @@ FROM part
 
 GPUS_SQL = """
 SELECT s_suppkey AS gpu_index, CAST(81920 AS BIGINT) AS total_mib,
-       CAST(least(81920, floor(abs(s_acctbal) * 8)) AS BIGINT) AS free_mib
+       CAST(least(61440, floor(abs(s_acctbal) * 8)) AS BIGINT) AS free_mib, CAST(s_suppkey * 37 % 101 AS BIGINT) AS position
 FROM supplier
 """
 
@@ -88,12 +88,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan with fewer splits than cores (one small file); larger scans stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run derived-input SQL; every given table it names is passed as a DataFrame."""
     used = {name: table(spark, sf_dir, name) for name in TABLES if re.search(rf"(?:FROM|JOIN) {name}\b", sql)}

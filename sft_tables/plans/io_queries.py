@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sft_tables.operators import chat, convert, digests, formats
+from sft_tables.operators import chat, convert, digests, formats, runs
 from sft_tables.operators.detect import SCORE, detect_dataset_format, select_format
 from sft_tables.operators.rows import to_row_model
 from sft_tables.plans import chat_queries, fixtures, log_queries, run_queries
@@ -106,15 +106,22 @@ def q_parquet(spark, sf_dir):
     return done.select("doc_id", "instruction", "input", F.md5("output").alias("output"))
 
 
-@register("read_chatml_text", f"SELECT instruction, input, output FROM ({chat_queries.EXPANDED.format(turn='turn')})")
+@register("read_chatml_text", f"""SELECT CAST(conv_id AS VARCHAR) AS file, NULL AS code, md5(instruction) AS instruction, md5(input) AS input, md5(output) AS output
+    FROM ({chat_queries.EXPANDED.format(turn='turn')})
+  UNION ALL SELECT CAST(conv_id AS VARCHAR), code, NULL, NULL, NULL FROM (WITH {chat_queries.TURN_CTE} SELECT conv_id, code FROM judged WHERE code IS NOT NULL)""")
 def q_chatml(spark, sf_dir):
+    """Every conversation as a file; those that break a rule come back as violations."""
     folder = scratch_dir(spark, "chatml")
     turn = F.concat(F.lit("<|im_start|>"), "role", F.lit("\n"), "content", F.lit("<|im_end|>"))
     entry = F.array_sort(F.collect_list(F.struct("turn", turn.alias("t"))))
     text = F.array_join(F.transform(entry, lambda e: e["t"]), "\n")
-    # a file holds a whole conversation; only the valid ones become rows
-    chat.valid_turns(fixtures.turns(spark, sf_dir)).groupBy("conv_id").agg(text.alias("value")).write.mode("overwrite").partitionBy("conv_id").text(folder)
-    return convert.convert_chat(to_row_model(readers.read_chatml_text(spark, folder)), "chatml").select("instruction", "input", "output")
+    fixtures.turns(spark, sf_dir).groupBy("conv_id").agg(text.alias("value")).write.mode("overwrite").partitionBy("conv_id").text(folder)
+    files = readers.read_chatml_text(spark, folder).withColumn("dataset_id", F.regexp_extract("dataset_id", "conv_id=([^/]+)", 1))
+    rows = to_row_model(files)
+    selection = rows.select("dataset_id", F.lit("chatml").alias("format"), F.lit(1).cast(SCORE).alias("confidence"), F.lit(None).cast("string").alias("code"))
+    done = convert.convert_with(rows, selection)
+    good = done.rows.select(F.col("dataset_id").alias("file"), F.lit(None).cast("string").alias("code"), *[F.md5(c).alias(c) for c in ("instruction", "input", "output")])
+    return good.unionByName(done.row_violations.select(F.col("dataset_id").alias("file"), "code"), allowMissingColumns=True)
 
 
 @register("select_split", "SELECT doc_id FROM documents WHERE lang = 'en' AND n_chars < 2000 AND doc_id >= 10 AND doc_id < 100000")
@@ -136,16 +143,37 @@ def q_head(spark, sf_dir):
 
 
 # ---- probing --------------------------------------------------------------------------------------------
-_TABLE_ROWS = ", ".join(f"('{t}.parquet')" for t in fixtures.TABLES)
+# one file of each kind for every block of documents, under names that say nothing in odd blocks
+KINDS = ("json", "jsonl", "csv", "chatml_text")
+SUFFIX = {"json": ".json", "jsonl": ".jsonl", "csv": ".csv", "chatml_text": ".txt"}
 
 
-@register("probe_sources", f"""SELECT file, adapter, CAST(confidence AS DOUBLE) AS confidence, matched, rank
-  FROM (VALUES {_TABLE_ROWS}) f(file), (VALUES ('parquet', 1, true, CAST(1 AS BIGINT)), ('chatml_text', 0, false, 2), ('jsonl', 0, false, 3), ('json', 0, false, 4),
-    ('csv', 0, false, 5), ('huggingface', 0, false, 6)) a(adapter, confidence, matched, rank)""")
+def derived_files(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Files of four kinds, one per block of 100 documents and kind: ``block=<n>/kind=<kind>``."""
+    folder = scratch_dir(spark, name)
+    docs = fixtures.table(spark, sf_dir, "documents").withColumn("block", F.expr("doc_id div 100"))
+    row = F.to_json(F.struct("doc_id", "lang", "source"))
+    marked = F.concat(F.lit("<|im_start|>user\n"), "source", F.lit("<|im_end|>"))
+    line = F.concat_ws(",", "doc_id", "lang", "source")
+    entry = F.struct("doc_id", row.alias("row"), marked.alias("marked"), line.alias("line"))
+    sorted_ = F.array_sort(F.collect_list(entry))
+    joined = lambda field, sep: F.array_join(F.transform("e", lambda e: e[field]), sep)
+    texts = F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("value")) for k, t in (
+        ("json", F.concat(F.lit("["), joined("row", ",\n"), F.lit("]"))), ("jsonl", joined("row", "\n")),
+        ("csv", F.concat(F.lit("doc_id,lang,source\n"), joined("line", "\n"))), ("chatml_text", joined("marked", "\n")))])
+    docs.groupBy("block").agg(sorted_.alias("e")).select("block", F.inline(texts)).write.partitionBy("block", "kind").text(folder)
+    return folder
+
+
+@register("probe_sources", f"""SELECT block, kind, CASE kind WHEN 'json' THEN 'json' WHEN 'jsonl' THEN 'jsonl' WHEN 'csv' THEN 'csv' ELSE 'chatml_text' END AS adapter,
+   CAST(CASE kind WHEN 'json' THEN 0.9 WHEN 'jsonl' THEN 0.9 WHEN 'csv' THEN 0.82 ELSE 0.99 END AS DOUBLE) AS confidence
+   FROM (SELECT DISTINCT doc_id // 100 AS block FROM documents), (VALUES ('json'), ('jsonl'), ('csv'), ('chatml_text')) k(kind)""")
 def q_probe(spark, sf_dir):
-    fixtures.table(spark, sf_dir, "region")
-    found = probe.probe_sources(spark, [f"{sf_dir}/{t}.parquet" for t in fixtures.TABLES])
-    return found.select(F.substring_index("path", "/", -1).alias("file"), "adapter", F.col("confidence").cast("double").alias("confidence"), "matched", "rank")
+    """The best candidate of every file; the names say nothing, so only the contents speak."""
+    found = probe.probe_sources(spark, derived_files(spark, sf_dir, "probe"))
+    part = lambda key: F.regexp_extract("path", key + "=([^/]+)", 1)
+    return found.filter("rank = 1 AND matched").select(
+        part("block").cast("bigint").alias("block"), part("kind").alias("kind"), "adapter", F.col("confidence").cast("double").alias("confidence"))
 
 
 NAMES = [("data/x.json", "json", 0.65), ("x.NDJSON", "jsonl", 0.70), ("a.csv", "csv", 0.70), ("b.pq", "parquet", 0.75), ("c.txt", "chatml_text", 0.60),
@@ -180,10 +208,38 @@ def q_source(spark, sf_dir):
         choices, "path").select("p_partkey", "adapter", "code")
 
 
-@register("file_digest")
+@register("file_digest", """SELECT block, kind, CAST(strlen(t) AS BIGINT) AS size, sha256(t) AS sha256 FROM (
+   SELECT doc_id // 100 AS block, 'csv' AS kind, 'doc_id,lang,source' || chr(10) || string_agg(doc_id || ',' || lang || ',' || source, chr(10) ORDER BY doc_id) || chr(10) AS t
+     FROM documents GROUP BY 1
+   UNION ALL SELECT doc_id // 100, 'chatml_text', string_agg('<|im_start|>user' || chr(10) || source || '<|im_end|>', chr(10) ORDER BY doc_id) || chr(10) FROM documents GROUP BY 1)""")
 def q_file_digest(spark, sf_dir):
-    fixtures.table(spark, sf_dir, "region")
-    return sinks.file_digest(spark, [f"{sf_dir}/{t}.parquet" for t in fixtures.TABLES])
+    found = sinks.file_digest(spark, derived_files(spark, sf_dir, "digest"))
+    part = lambda key: F.regexp_extract("path", key + "=([^/]+)", 1)
+    return found.select(part("block").cast("bigint").alias("block"), part("kind").alias("kind"), "size", "sha256").filter("kind IN ('csv', 'chatml_text')")
+
+
+RUN_FILES = """SELECT 'run' || CAST(s_suppkey AS STRING) AS run_id, CASE WHEN s_acctbal > 0 THEN 'success' ELSE 'training' END AS status,
+   s_suppkey AS pipeline, CAST(s_nationkey AS INT) AS gpu, s_name AS image FROM supplier"""
+
+
+@register("scan_runs", f"""SELECT run_id AS run_folder, run_id, status, 'p' || pipeline AS pipeline_id, image, gpu, CAST(pipeline AS DOUBLE) / 2 AS share, 'adapter' AS artifact
+  FROM ({RUN_FILES.replace('STRING', 'VARCHAR')})""")
+def q_scan_runs(spark, sf_dir):
+    """A run folder with a file for every supplier, sections with free fields too."""
+    folder = scratch_dir(spark, "runs")
+    made = fixtures.view(spark, sf_dir, RUN_FILES)
+    text = F.to_json(F.struct(
+        F.lit(1).alias("schema_version"), "run_id", "status", F.concat(F.lit("p"), "pipeline").alias("pipeline_id"),
+        F.struct(F.lit("3.12").alias("python")).alias("environment"), F.struct("image").alias("container"),
+        F.struct(F.array(F.struct(F.col("gpu").alias("index"))).alias("gpus"), (F.col("pipeline") / 2).alias("share")).alias("resources"),
+        F.struct(F.lit("adapter").alias("kind")).alias("artifact"), F.struct(F.lit("ready").alias("status")).alias("serving")))
+    made.select("run_id", text.alias("value")).write.partitionBy("run_id").text(f"{folder}/written")
+    found = runs.scan_runs(spark, f"{folder}/written", "part-*")
+    at = lambda c, path, kind: F.try_variant_get(F.col(c), path, kind)
+    return found.select(
+        F.regexp_replace("run_folder", "^run_id=", "").alias("run_folder"), "run_id", "status", "pipeline_id",
+        at("container", "$.image", "string").alias("image"), at("resources", "$.gpus[0].index", "int").alias("gpu"),
+        at("resources", "$.share", "double").alias("share"), at("artifact", "$.kind", "string").alias("artifact"))
 
 
 # ---- writers --------------------------------------------------------------------------------------------

@@ -240,7 +240,7 @@ def specs(base: dict, faults: list[tuple[str | None, str | None, object]]) -> li
 def spec_table(spark: SparkSession, sf_dir: str, documents: list[tuple[str, str | None]], key: str) -> DataFrame:
     """Document text chosen by p_partkey from the list; the number in the name keeps rows distinct."""
     texts = F.array(*[F.lit(t) for t, _ in documents])
-    part = fixtures.spread(fixtures.table(spark, sf_dir, "part"))
+    part = fixtures.table(spark, sf_dir, "part")
     return part.select(F.col("p_partkey").alias(key), F.get(texts, (F.col("p_partkey") % len(documents)).cast("int")).alias("raw"))
 
 
@@ -272,15 +272,18 @@ def q_catalog(spark, sf_dir):
 
 CATALOG_SQL = f"""SELECT {pick('p_partkey', [quoted(n[0]) for n in NAMES])} || '-' || p_brand AS name,
    min(CASE WHEN p_size % 3 = 0 THEN 'fp32' ELSE 'bf16' END) AS precision, min(CAST(p_size AS BIGINT) * 490000000) AS parameter_count,
-   'eager' AS attention_backend FROM part WHERE p_brand NOT LIKE '%5' GROUP BY 1"""
+   'eager' AS attention_backend FROM part GROUP BY 1"""
+
+
+APPROVED_SQL = CATALOG_SQL.replace("FROM part", "FROM part WHERE p_brand NOT LIKE '%5'")
 
 
 @register("approved_models", f"""SELECT p_partkey AS job_id, name AS model_name, 'MODEL_NOT_APPROVED' AS code FROM
   (SELECT p_partkey, {pick('p_partkey', [quoted(n[0]) for n in NAMES])} || '-' || p_brand AS name FROM part)
-  WHERE name NOT IN (SELECT name FROM ({CATALOG_SQL}))""")
+  WHERE name NOT IN (SELECT name FROM ({APPROVED_SQL}))""")
 def q_approved(spark, sf_dir):
     wanted = fixtures.view(spark, sf_dir, f"SELECT p_partkey AS job_id, {pick('p_partkey', [quoted(n[0]) for n in NAMES])} || '-' || p_brand AS model_name FROM part")
-    return models.approved_models(wanted, fixtures.view(spark, sf_dir, CATALOG_SQL))
+    return models.approved_models(wanted, fixtures.view(spark, sf_dir, APPROVED_SQL))
 
 
 @register("catalog_profile", f"""WITH c AS (SELECT *, CASE WHEN lower(name) LIKE '%qwen%' THEN 'qwen' WHEN lower(name) LIKE '%llama%' THEN 'llama'
@@ -484,7 +487,7 @@ DEVICE = pick("job_id", ["'auto'", "'auto'", "'3'", "'auto'", "'999999'", "CAST(
 ADMIT_CTE = f"""{EST_CTE}, {SERVING_CTE}, gpu AS ({GPUS_SQL}),
  req AS (SELECT job_id, greatest(required_training_mib, CASE WHEN code IS NULL THEN required_serving_mib ELSE 0 END) AS required_mib,
    {DEVICE} AS device, CASE WHEN code IS NULL THEN required_serving_mib ELSE 0 END AS required_serving_mib FROM est JOIN srv ON model_id = job_id),
- best AS (SELECT * FROM gpu ORDER BY free_mib DESC, gpu_index LIMIT 1),
+ best AS (SELECT * FROM gpu ORDER BY free_mib DESC, position, gpu_index LIMIT 1),
  adm AS (SELECT r.*, CASE WHEN device <> 'auto' AND n.gpu_index IS NULL THEN 'GPU_NOT_FOUND'
      WHEN device = 'auto' AND b.free_mib < required_mib THEN 'NO_GPU' WHEN device <> 'auto' AND n.free_mib < required_mib THEN 'GPU_TOO_SMALL' END AS code,
      CASE device WHEN 'auto' THEN b.gpu_index ELSE n.gpu_index END AS g, CASE device WHEN 'auto' THEN b.free_mib ELSE n.free_mib END AS f,

@@ -48,7 +48,7 @@ BASED = f"SELECT request_id, strftime(created_at, '%Y%m%d_%H%M%S') || '_' || {MO
   SELECT request_id, base_id, attempt, CASE attempt WHEN 1 THEN base_id ELSE base_id || '_' || printf('%02d', attempt) END AS run_id
   FROM r JOIN free USING (base_id, k)""")
 def q_ids(spark, sf_dir):
-    requests = fixtures.spread(view(spark, sf_dir, REQUESTS_SQL))
+    requests = view(spark, sf_dir, REQUESTS_SQL)
     base = runs.base_run_id(F.col("created_at"), F.col("model_name"), F.col("dataset_name"))
     held = requests.withColumn("m", F.col("request_id") % 7).filter("m < 3").select(
         F.concat(base, F.when(F.col("m") == 0, "").when(F.col("m") == 1, "_02").otherwise("_04")).alias("run_id"))
@@ -113,7 +113,7 @@ def q_handoff(spark, sf_dir):
 # ---- metrics --------------------------------------------------------------------------------------------
 def metric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to three documents per order; some values are missing, boolean or text, some documents are broken."""
-    o = fixtures.spread(fixtures.table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("run_id"), "o_totalprice", "o_custkey")
+    o = fixtures.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), "o_totalprice", "o_custkey")
     k, price = F.col("run_id"), F.col("o_totalprice")
     results = F.when(k % 4 == 0, F.to_json(F.struct(price.alias("train_loss"), F.lit(True).alias("epoch")))).when(
         k % 4 == 1, F.to_json(F.struct(F.lit("n/a").alias("train_loss"), F.col("o_custkey").alias("train_runtime")))).when(k % 4 == 2, "[1]").otherwise("{")
@@ -260,9 +260,9 @@ def q_leftovers(spark, sf_dir):
 # ---- registrations --------------------------------------------------------------------------------------
 DESIRED_SQL = """SELECT 'm' || CAST(c_custkey AS STRING) AS alias, 'r' || CAST(c_custkey % 50 AS STRING) AS run_id,
    CASE WHEN c_custkey % 2 = 0 THEN 'base' ELSE 'fine_tuned' END AS role FROM customer"""
-LISTING_SQL = """SELECT 'm' || CAST(o_custkey AS STRING) AS model_name, 'id' || CAST(o_orderkey AS STRING) AS registration_id,
+LISTING_SQL = """SELECT 'm' || CAST(CASE WHEN o_orderkey % 11 = 0 THEN o_custkey ELSE -o_orderkey END AS STRING) AS model_name, 'id' || CAST(o_orderkey AS STRING) AS registration_id,
    'r' || CAST(CASE WHEN o_custkey % 7 = 0 THEN o_orderkey ELSE o_custkey % 50 END AS STRING) AS pipeline_run_id,
-   CASE WHEN o_custkey % 2 = 0 THEN 'base' ELSE 'fine_tuned' END AS pipeline_role FROM orders WHERE o_orderkey % 11 = 0"""
+   CASE WHEN o_custkey % 2 = 0 THEN 'base' ELSE 'fine_tuned' END AS pipeline_role FROM orders"""
 
 
 @register("reconcile_registrations", f"""WITH d AS ({DESIRED_SQL}), l AS ({LISTING_SQL}),
@@ -345,7 +345,7 @@ def q_deployment(spark, sf_dir):
 
 ATTEMPTS_SQL = """SELECT o_custkey AS run_id, CASE WHEN o_orderkey % 2 = 0 THEN 'base' ELSE 'fine_tuned' END AS role,
    CASE o_orderkey % 5 WHEN 0 THEN 'created' WHEN 1 THEN 'created_after_ambiguous_response' WHEN 2 THEN 'conflict' WHEN 3 THEN 'absent'
-     ELSE CASE WHEN o_custkey % 4 = 0 THEN 'indeterminate' ELSE 'absent' END END AS outcome FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+     ELSE CASE WHEN o_custkey % 4 = 0 THEN 'indeterminate' ELSE 'absent' END END AS outcome FROM orders"""
 
 
 @register("registration_outcome", f"""WITH a AS (SELECT run_id, count(*) FILTER (WHERE outcome LIKE 'created%') AS created, bool_or(outcome = 'indeterminate') AS unclear

@@ -12,7 +12,7 @@ from sft_tables.plans import fixtures
 
 SF = "/root/testdata/sf0.001"
 # queries that write files or run streams while they are built are left to the comparison tests
-EAGER = re.compile("^(read_|write_|probe_|select_source|file_digest|.*_stream$|dataset_manifest)")
+EAGER = re.compile("^(read_|write_|json_files|probe_|select_source|file_digest|scan_runs|.*_stream$|dataset_manifest|op[0-9]+_|pipeline)")
 
 
 def plan(df) -> str:

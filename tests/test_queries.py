@@ -38,11 +38,3 @@ def test_conversation_blocks_do_not_matter(spark, block):
     turns = fixtures.turns(spark, SF).repartition(40)
     for fn in (chat.validate_turns, chat.expand_turns):
         assert sorted(fn(turns, block=block).collect(), key=str) == sorted(fn(turns.repartition(1)).collect(), key=str)
-
-
-@pytest.mark.parametrize("limit", [0, 3])
-def test_long_conversations_take_the_turn_form(spark, limit):
-    from sft_tables.plans import chat_queries
-
-    for fn in (chat_queries.validate_messages, chat_queries.expand_messages):
-        assert sorted(fn(spark, SF, limit).collect(), key=str) == sorted(fn(spark, SF).collect(), key=str)
