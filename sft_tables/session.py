@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # JSON objects with a repeated key keep the last value instead of being refused
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # rows hold whole texts: batches for Python are bounded by bytes, so that off-heap buffers stay small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
