@@ -135,7 +135,7 @@ class Lattice:
 
 
 class Model:
-    """Languages and their piece probabilities; scores of words seen are kept by the worker that holds the model."""
+    """Languages and their piece probabilities; scores of words seen are kept during a task."""
 
     def __init__(self, pieces: list[str], languages: list[str], log_p: np.ndarray | None = None):
         self.pieces, self.languages, self.log_p = pieces, languages, log_p
@@ -167,13 +167,18 @@ class Model:
             log_p[-1] = np.log(UNKNOWN)
         self.log_p = log_p
 
+    def forget(self) -> None:
+        """Drop the scores of words, at the end of a task: workers go on to other operators' tasks."""
+        self.rows = {}
+        self.table = self.table[:0].copy()
+
     def word_rows(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Row numbers in ``table`` of each text's words."""
         rows = self.rows
         new = list({w for text in texts for w in text if w not in rows})
         if len(rows) + len(new) > CACHED:
             rows.clear()
-            self.table = self.table[:0]
+            self.table = self.table[:0].copy()
             new = list({w for text in texts for w in text})
         scores = [self.table]
         for at in range(0, len(new), CHUNK):
@@ -247,6 +252,7 @@ def identified(docs: DataFrame, model_path: str, per_language: int = DOCS_PER_LA
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"])
+        model.value.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "text")
@@ -261,6 +267,7 @@ def accepted(docs: DataFrame, model_path: str, least: float = 0.5, per_language:
         for batch in slices(batches):
             languages, scores = model.value.predict(batch.column(batch.schema.get_field_index("text")).to_pylist())
             yield batch.filter(pa.array([a != UNDECIDED and s >= least for a, s in zip(languages, scores)], pa.bool_()))
+        model.value.forget()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -21,8 +21,8 @@ from sft_tables.llm.common import read_table, slices
 
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
-#: Segments kept from one text to the next by a Python worker; when full, it is emptied. Speed only.
-CACHED = 800_000
+#: Segments kept from one text to the next within a task, and pair tests kept by a worker; when full, they are emptied. Speed only.
+CACHED, PAIRS = 600_000, 300_000
 
 
 class Vocabulary:
@@ -66,7 +66,7 @@ class Vocabulary:
 
     def pair(self, left: int, right: int) -> bool:
         """Does ``right`` after ``left`` stay as it is?"""
-        if len(self.compatible) >= CACHED:
+        if len(self.compatible) >= PAIRS:
             self.compatible.clear()
         left_piece, right_piece = self.pieces[left], self.pieces[right]
         known = self.compatible[left << 20 | right] = self.merged(left_piece + right_piece) == [left_piece, right_piece]
@@ -176,6 +176,8 @@ def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False) -> DataFra
                 columns += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_texts, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        # workers go on to other operators' tasks
+        model.cache.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}")

@@ -262,7 +262,7 @@ def scaled(x: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, floa
 
 
 class Scorer:
-    """The network as a worker uses it: gate inputs of words seen are kept."""
+    """The network as a task uses it: gate inputs of words seen are kept."""
 
     def __init__(self, net: Network):
         self.net = net
@@ -275,6 +275,10 @@ class Scorer:
     def __setstate__(self, net):
         self.__init__(net)
 
+    def forget(self) -> None:
+        """Drop what is kept, at the end of a task: workers go on to other operators' tasks."""
+        self.rows, self.gates = {}, None
+
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability that a text is toxic, from the highest of all its windows."""
         net = self.net
@@ -338,6 +342,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])
+        scorer.value.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "text")
