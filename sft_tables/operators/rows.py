@@ -19,7 +19,8 @@ def json_value(raw: Column) -> Column:
     """
     listed = F.concat(F.lit("["), raw, F.lit("]"))
     elements = F.try_variant_get(F.coalesce(F.try_parse_json(listed), F.from_json(listed, "variant")), "$", "array<variant>")
-    return F.when(F.size(elements) == 1, elements[0])
+    # a list of one, so that the parse stands in the plan once
+    return F.transform(F.array(elements), lambda e: F.when(F.size(e) == 1, e[0]))[0]
 
 
 def to_row_model(raw_rows: DataFrame) -> DataFrame:

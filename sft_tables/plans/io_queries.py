@@ -13,7 +13,7 @@ from sft_tables.operators.rows import to_row_model
 from sft_tables.plans import chat_queries, fixtures, log_queries, run_queries
 from sft_tables.plans.dataset_queries import CONVERTED, SFT_ORACLE
 from sft_tables.plans.planning_queries import pick, quoted
-from sft_tables.session import scratch_dir
+from sft_tables.session import scratch_dir, written
 from sft_tables.sources import probe, readers, sinks
 from sft_tables.streaming import log_stream as log_view
 from sft_tables.streaming import tables as streams
@@ -285,7 +285,8 @@ def q_snapshot(spark, sf_dir):
 def q_manifest(spark, sf_dir):
     rows = fixtures.row_model(spark, sf_dir)
     selection = select_format(detect_dataset_format(rows))
-    sft = convert.convert_with(rows, selection).rows
+    selection = written(selection, "formats")
+    sft = written(convert.convert_with(rows, selection).rows, "normalized")
     snapshots = selection.select("dataset_id", F.concat("dataset_id", F.lit(".jsonl")).alias("source"), F.lit("jsonl").alias("source_format"))
     m = sinks.dataset_manifest(sft, selection, snapshots, digests.dataset_digest(sft), "out")
     return m.drop("columns").withColumn("confidence", F.col("confidence").cast("double"))

@@ -41,9 +41,13 @@ def conversion_table(done: Conversion, refused: DataFrame | None = None) -> Data
     return rows.unionByName(whole, allowMissingColumns=True)
 
 
-def write_conversion(done: Conversion, path: str) -> None:
-    """Rows and violations from one scan of the rows, partitioned by ``outcome``."""
-    conversion_table(done).write.partitionBy("outcome").mode("overwrite").parquet(path)
+def write_conversion(done: Conversion, path: str, file_errors: DataFrame | None = None) -> None:
+    """Rows and violations from one scan of the rows, partitioned by ``outcome``; ``file_errors`` (dataset_id, code,
+    detail) are the files that a reader refused."""
+    table = conversion_table(done)
+    if file_errors is not None:
+        table = table.unionByName(file_errors.withColumn("outcome", F.lit("violation")), allowMissingColumns=True)
+    table.write.partitionBy("outcome").mode("overwrite").parquet(path)
 
 
 def write_violations(violations: DataFrame, path: str, run_id: str) -> None:

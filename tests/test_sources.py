@@ -95,6 +95,16 @@ def test_broken_files_give_one_violation_and_no_rows(spark, tmp_path):
     assert {r["dataset_id"][-6:]: r["code"] for r in readers.json_array_errors(spark, str(tmp_path)).collect()} == {"b.json": "BAD_JSON", "c.json": "NOT_ARRAY"}
 
 
+def test_broken_files_are_violations_of_the_conversion(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"instruction": "q", "output": "a"}] * 3))
+    (tmp_path / "b.json").write_text("[{},")
+    (tmp_path / "c.json").write_text(json.dumps([{"unknown": 1}]))
+    done = convert.convert_dataset(to_row_model(readers.read_json_array(spark, str(tmp_path / "*.json"))))
+    sinks.write_conversion(done, str(tmp_path / "out"), readers.json_array_errors(spark, str(tmp_path / "*.json")))
+    found = [(r["dataset_id"][-6:], r["outcome"], r["code"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(found, key=str) == [("a.json", "row", None)] * 3 + [("b.json", "violation", "BAD_JSON"), ("c.json", "violation", "NOT_RECOGNIZED")]
+
+
 def test_one_value_per_line(spark):
     rows = spark.createDataFrame([("d", i, t) for i, t in enumerate(['{"a":1} x', '{"a":1}', '{"a":NaN,"b":"x, NaN, y"}', "1 2", "", "1,2"])],
                                  "dataset_id string, row_index bigint, raw string")
