@@ -260,7 +260,11 @@ def identified(docs: DataFrame, model_path: str, per_language: int = DOCS_PER_LA
 
 
 def accepted(docs: DataFrame, model_path: str, least: float = 0.5, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs``, as given, that have a language: not ``und``, and a posterior of at least ``least``."""
+    """The rows of ``docs``, as given, that have a language: not ``und``, and a posterior of at least ``least``.
+
+    Null and empty texts and those without a letter go, as does everything where no language could be learned; repeated
+    rows stay repeated, an empty table gives none, columns of any name are kept. One pass over the texts, no shuffle.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, model_path, per_language))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

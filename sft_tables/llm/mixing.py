@@ -102,7 +102,8 @@ def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options
     """The documents of the mix, columns as given: each row as often as it is taken, its last part cut after a word.
 
     Only the row at a source's cut appears in part: its first words with the white space between them, ``n_chars``
-    (where there is such a column) set to the new length. Rows that the mix does not take go.
+    (where there is such a column) set to the new length. Rows that the mix does not take go, and so do null and empty
+    texts, which have no words. Repeated rows are each taken alike; an empty table gives none; columns of any name are kept.
     """
     taken = mixture(docs, quality, **options).filter("taken > 0").groupBy(
         F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), "_source", "_tie").agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))

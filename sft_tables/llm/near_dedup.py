@@ -344,7 +344,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, group: int =
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, as given, whose id is the smallest of their group; of rows that share such an id, all."""
+    """The rows of ``docs``, as given, whose id is the smallest of their group; of rows that share such an id, all.
+
+    Documents without words are alone in their group and stay, null texts too; a null id stays only where its group has
+    no other. An empty table gives no rows; columns of any name are kept.
+    """
     kept = near_groups(docs, words, percent).filter("kept").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"))
     return rows.join(kept, "id", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
