@@ -23,8 +23,9 @@ TRIGRAMS = 8192
 #: Bounds of the fit (scoring has none): documents per label, words with an embedding of their own.
 DOCS_PER_LABEL, VOCABULARY = 1000, 4000
 EPOCHS, BATCH, RATE = 8, 256, 0.01
-#: Clean windows taught in an epoch, about, where a small sample has so many; letters of a word's beginning.
-CLEAN_WINDOWS, BEGINNING = 6000, 5
+#: Clean windows taught in an epoch, about, where a small sample has so many; a toxic text's windows in the first epoch;
+#: letters of a word's beginning.
+CLEAN_WINDOWS, FIRST_WINDOWS, BEGINNING = 6000, 8, 5
 CACHED = 250_000
 THRESHOLD = 0.3
 EDGES = ".,;:!?\"'()[]{}<>*_-|"
@@ -183,8 +184,9 @@ def windows_of(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarra
 def fitted(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) -> Network:
     """Train on labelled texts; ``share``: how many of all labelled texts are toxic (the sample is balanced).
 
-    The label is the text's, so of a toxic text only its highest windows are taught, and of a clean text its highest and
-    a few more. The first epoch's order comes from how much more often words and their beginnings occur in toxic texts.
+    The label is the text's, so of a toxic text only its highest windows are taught (in the first epoch more of them),
+    and of a clean text its highest and a few more. The first epoch's order comes from how much more often words and
+    their beginnings occur in toxic texts.
     """
     split = [tokens(t) for t in texts]
     seen = Counter(w for words in split for w in set(words))
@@ -212,7 +214,7 @@ def fitted(texts: list[str], labels: np.ndarray, share: float, seed: int = 7) ->
         rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
         size = np.repeat(np.diff(np.append(first, len(order))), np.diff(np.append(first, len(order))))
         toxic = labels[owner[order]] == 1
-        most = np.where(toxic, np.maximum(1, size // 10), 4)
+        most = np.where(toxic, FIRST_WINDOWS if epoch == 0 else np.maximum(1, size // 10), 4)
         chosen = order[(rank < most) | (~toxic & (rng.random(len(order)) < max(0.05, CLEAN_WINDOWS / len(order))))]
         rng.shuffle(chosen)
         for i in range(0, len(chosen), BATCH):
