@@ -20,5 +20,7 @@ QUERIES = {
 ORACLES = {
     "op2_mix_sources": mixing.SQL,
     "op6_warc": warc.SQL,
+    "op7_repeats": repeats.SQL,
+    "op9_near_dedup": near_dedup.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }

@@ -416,3 +416,19 @@ def without_repeats(docs: DataFrame, keep_text: bool = False, often: int = OFTEN
 
 def query(spark, sf_dir: str) -> DataFrame:
     return without_repeats(read_table(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS MATERIALIZED (SELECT doc_id, p, hash(substr(h, CAST(2 * p + 1 AS BIGINT), 100)) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM b)),
+f AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+hit AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM win JOIN f USING (s) WHERE m < doc_id),
+isle AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM hit),
+span AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS z FROM isle GROUP BY doc_id, k),
+part AS (SELECT doc_id, k, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY k), 0) AS y FROM span),
+g AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+             string_agg(substr(h, CAST(2 * y + 1 AS BIGINT), CAST(2 * (a - y) AS BIGINT)), '' ORDER BY k) AS kept FROM part JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM b LEFT JOIN g USING (doc_id)
+"""
