@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sft_tables.session import configure, scratch_dir
+from sft_tables.session import written as stored  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,13 +21,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it: cuts lineage, and gives the planner its measured size."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
