@@ -30,6 +30,7 @@ NO_IP, NO_URL, NO_ID = "0.0.0.0", "urn:none", "-"
 EPOCH = datetime.datetime(2000, 1, 1)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_REVISIT = 100
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 CRLF = "\r\n"
 
 
@@ -191,7 +192,7 @@ def batched(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000, most_byt
 def write_arc(pages: DataFrame, path: str) -> None:
     """One ARC file per task of ``pages``, by turns of version 1 and 2."""
     pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(
-        arc_rows, "value string").write.option("lineSep", "\n").option("compression", "gzip").text(path)
+        arc_rows, "value string").write.options(lineSep="\n", **GZIP).text(path)
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST_REVISIT) -> None:
@@ -227,8 +228,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
             revisits = {r["at"]: r["page_id"] for r in file["revisits"] or []}
             yield from batched(((r,) for r in converted(file["content"], revisits)), schema)
 
-    files(spark, arc_path).join(lists, "path", "left").mapInArrow(write, "value string").write.option("lineSep", CRLF * 2).option(
-        "compression", "gzip").text(warc_path)
+    files(spark, arc_path).join(lists, "path", "left").mapInArrow(write, "value string").write.options(
+        lineSep=CRLF * 2, **GZIP).text(warc_path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
