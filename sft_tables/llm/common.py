@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from sft_tables.session import written as stored  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             start = stop
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task; C libraries keep it otherwise, and workers are reused."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def uniform(doc_id: Column, seed: str = "") -> Column:
     """A number in (0, 1) from 52 bits of the id's MD5, in the order of the MD5s: the same on every run."""
     digits = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)

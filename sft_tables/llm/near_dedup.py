@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import ROLL, mixed, pack, read_table, stored, text_bytes, text_rows, unpack, word_hashes
+from sft_tables.llm.common import ROLL, give_back, mixed, pack, read_table, stored, text_bytes, text_rows, unpack, word_hashes
 
 #: Minima per sub-key; and how often a pair right at the similarity asked for may be missed.
 ROWS = 2
@@ -107,6 +107,7 @@ def features(docs: DataFrame, words: int, m: int) -> DataFrame:
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * 2 * m, pa.int32()), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(cuts), pa.int64()), pa.array(digests(value, cuts), pa.binary()), flat],
                                              ["doc_id", "n_shingles", "node", "keys"])
+        give_back()
 
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("doc_id"), "text").mapInArrow(run, FEATURES)
 
@@ -180,8 +181,7 @@ def verified_hubs(found: DataFrame, full: DataFrame, percent: int, group: int) -
     as a sorted stream, one at a time.
     """
     edges = found.filter("hub != node").select("hub", "node").distinct()
-    parts = edges.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).select("hub", spread(F.col("n"), group).alias("parts"))
-    parts = stored(parts, "near-hubs")
+    parts = per_key(edges, "hub", F.count(F.lit(1)).alias("n")).select("hub", spread(F.col("n"), group).alias("parts"))
     dealt = edges.join(parts, "hub").select("hub", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node")
     nodes = dealt.join(full, "node").select("hub", "part", F.lit(1).alias("kind"), "node", "shingles")
     heads = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(
@@ -201,23 +201,32 @@ def verified_hubs(found: DataFrame, full: DataFrame, percent: int, group: int) -
     return nodes.unionByName(heads).repartition("hub", "part").sortWithinPartitions("hub", "part", "kind").mapInArrow(run, "left binary, right binary")
 
 
+def per_key(rows: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """Aggregates by a key, to be joined back to rows of that key.
+
+    Grouped by the key and its hash, so the result is not laid out by the key alone: both sides of the join are then
+    exchanges, which adaptive execution can split where a key is hot.
+    """
+    return rows.groupBy(key, F.xxhash64(key).alias("_h")).agg(*aggregates).drop("_h")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for all nodes of the links: root is the smallest node connected with it.
 
     Large and small stars by turns: every round joins each node's neighbours to the smallest of them, until nothing
-    changes. Rounds are written to the shared folder; both sides of the joins are then plain exchanges.
+    changes. Rounds are written to the shared folder.
     """
     edges = stored(links.select(F.greatest("left", "right").alias("a"), F.least("left", "right").alias("b")).filter("a != b").distinct(), "near-links")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "near-least")
         # large star: larger neighbours of a go to the smallest node around a
+        least = per_key(both, "a", F.min(F.least("a", "b")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         large = stored(large, "near-large")
         # small star: a and its smaller neighbours go to the smallest of them
-        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "near-low")
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+        low = per_key(large, "a", F.min("b").alias("m"))
+        small = large.join(low, "a").select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))))
         edges = stored(small.filter("a != b").distinct(), "near-small")
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(now) == state:
@@ -237,8 +246,8 @@ def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int
     placed = found.filter("size > 2").join(roots, "node", "left").select("table", "hub", "node", F.coalesce("root", "node").alias("root"))
     placed = stored(placed, "near-placed")
     parts = placed.groupBy("table", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("table").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
-    main = stored(main.filter("parts > 1").select("table", "size", F.col("main.root").alias("main"), F.col("main.n").alias("inside")), "near-main")
+    main = per_key(parts, "table", F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
+    main = main.filter("parts > 1").select("table", "size", F.col("main.root").alias("main"), F.col("main.n").alias("inside"))
     rows = placed.join(main, "table").select(
         "table", "node", "root", "hub", (F.col("root") == F.col("main")).alias("inside"), spread(F.col("inside"), group).alias("deals"),
         spread(F.col("size") - F.col("inside"), group).alias("shares"))
@@ -329,7 +338,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, group: int =
     roots = components(links.unionByName(more))
 
     grouped = nodes.select("node", F.col("doc_id").alias("_least")).join(roots, "node")
-    least = stored(grouped.groupBy("root").agg(F.min("_least").alias("component_id")), "near-least")
+    least = per_key(grouped, "root", F.min("_least").alias("component_id"))
     named = roots.join(least, "root").select("node", "component_id")
     alone = nodes.select("node", F.col("doc_id").alias("_least")).join(named, "node", "left").select(
         "node", F.coalesce("component_id", "_least").alias("component_id"))
