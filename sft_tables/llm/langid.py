@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import read_table, remainder, sample_ids, slices
+from sft_tables.llm.common import give_back, read_table, remainder, sample_ids, slices
 
 SPACE, GAP = "▁", "\n"
 #: At most so many documents of each language are learned from (a documented bound of the fit; scoring has none).
@@ -171,6 +171,7 @@ class Model:
         """Drop the scores of words, at the end of a task: workers go on to other operators' tasks."""
         self.rows = {}
         self.table = self.table[:0].copy()
+        give_back()
 
     def word_rows(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Row numbers in ``table`` of each text's words."""

@@ -17,7 +17,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sft_tables.llm.common import read_table, slices
+from sft_tables.llm.common import give_back, read_table, slices
 
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
@@ -178,6 +178,7 @@ def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False) -> DataFra
             yield pa.RecordBatch.from_arrays(columns, names)
         # workers go on to other operators' tasks
         model.cache.clear()
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sft_tables.llm.common import read_table, remainder, sample_ids, slices
+from sft_tables.llm.common import give_back, read_table, remainder, sample_ids, slices
 
 WINDOW, STRIDE = 32, 24
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 8, 16, 12, 8
@@ -280,6 +280,7 @@ class Scorer:
     def forget(self) -> None:
         """Drop what is kept, at the end of a task: workers go on to other operators' tasks."""
         self.rows, self.gates = {}, None
+        give_back()
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability that a text is toxic, from the highest of all its windows."""
