@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, near_dedup, pieces, repeats, toxicity, warc
+from sft_tables.llm import (
+    exact_dedup, fingerprints, importance, katz, langid, mixing, near_dedup, pieces, repeats, token_counts, toxicity, warc, whitening,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_language_id": langid.query,
     "op9_near_dedup": near_dedup.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_token_counts": token_counts.query,
+    "op12_importance": importance.query,
+    "op13_whitening": whitening.query,
 }
 
 ORACLES = {
@@ -23,4 +28,5 @@ ORACLES = {
     "op7_repeats": repeats.SQL,
     "op9_near_dedup": near_dedup.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op12_importance": importance.SQL,
 }

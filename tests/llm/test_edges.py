@@ -4,7 +4,9 @@ import hashlib
 
 import pytest
 
-from sft_tables.llm import exact_dedup, fingerprints, katz, langid, mixing, near_dedup, pieces, repeats, toxicity, warc
+from sft_tables.llm import (
+    exact_dedup, fingerprints, importance, katz, langid, mixing, near_dedup, pieces, repeats, token_counts, toxicity, warc,
+)
 
 
 def labels_of(df):
@@ -12,6 +14,12 @@ def labels_of(df):
         df.limit(3).selectExpr("doc_id", "cast(null AS int) AS quality", "cast(null AS int) AS toxic"))
 
 
+def word_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 OPERATORS = {
     "toxicity": lambda d, m: toxicity.scored(d, labels_of(d)),
     "mixture": lambda d, m: mixing.mixture(d, labels_of(d)),
@@ -22,12 +30,15 @@ OPERATORS = {
     "langid": lambda d, m: langid.identified(d, m),
     "near": lambda d, m: near_dedup.near_groups(d, 3, 85),
     "exact": lambda d, m: exact_dedup.exact_groups(d),
+    "counts": lambda d, m: token_counts.token_counts(d, word_path()),
+    "importance": lambda d, m: importance.resampled(d, d.limit(4)),
 }
 FILTERS = {
     "langid": lambda d, m: langid.accepted(d, m),
     "exact": lambda d, m: exact_dedup.drop_exact_copies(d, keep="largest"),
     "near": lambda d, m: near_dedup.drop_near_copies(d),
     "mix": lambda d, m: mixing.mixed_documents(d, labels_of(d)),
+    "importance": lambda d, m: importance.drawn_documents(d, d.limit(4), least_words=1, percent=50),
 }
 
 
