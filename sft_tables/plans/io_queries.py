@@ -41,7 +41,7 @@ def q_jsonl(spark, sf_dir):
     entry = F.struct("doc_id", F.to_json(F.struct("doc_id", "lang", "text")).alias("j"))
     lines = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["j"]), "\n  \n")
     docs.groupBy("part").agg(lines.alias("value")).write.partitionBy("part").text(folder)
-    rows = to_row_model(readers.read_jsonl(spark, folder))
+    rows = to_row_model(readers.read_jsonl(spark, folder, positions=True))
     return rows.select("row_index", F.expr("try_variant_get(v, '$.doc_id', 'bigint')").alias("doc_id"),
                        F.expr("try_variant_get(v, '$.lang', 'string')").alias("lang"),
                        F.md5(F.expr("try_variant_get(v, '$.text', 'string')")).alias("text"))

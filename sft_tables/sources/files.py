@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, length) of every file below; the content column is not read."""
+    """(path, length) of every file below; the content column is not read. Spark leaves out files without a byte."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 

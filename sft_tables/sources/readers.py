@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import json
 import re
 from collections.abc import Iterator
 from itertools import islice
@@ -12,13 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sft_tables.functions.errors import TableCheckError
 from sft_tables.functions.text import nonblank
 from sft_tables.operators.formats import SAMPLE_ROWS
 from sft_tables.operators.rows import json_value
 from sft_tables.session import written
+from sft_tables.sources.arrays import json_array_errors, read_json_array, read_json_table, refused_of, rows_of  # noqa: F401
 from sft_tables.sources.files import list_files, open_text
-from sft_tables.sources.probe import csv_dialect
+from sft_tables.sources.tables import csv_errors, read_csv, read_csv_table  # noqa: F401
 
 BOM = "\ufeff"
 RAW = "dataset_id string, row_index bigint, raw string"
@@ -56,10 +54,11 @@ def _without_bom(text: Column, first: Column) -> Column:
     return F.when(first & F.startswith(text, F.lit(BOM)), F.substr(text, F.lit(2))).otherwise(text)
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], positions: bool = True) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], positions: bool = False) -> DataFrame:
     """One row per non-blank line; files are split among tasks. Broken lines stay as they are and become rows of kind
-    'corrupt' (see ``jsonl_errors``). ``row_index`` is the position among these lines, or without ``positions`` a number
-    that only grows along the file and costs no first pass (detection then reads ``read_jsonl_head``)."""
+    'corrupt' (see ``jsonl_errors``). ``row_index`` grows along the file, with gaps, and the files are read once
+    (detection then reads ``read_jsonl_head``); with ``positions`` it is the position among these lines, which takes a
+    first pass over the files that is run here."""
     lines = spark.read.text(path).filter(nonblank("value"))
     rows = number_rows(lines) if positions else order_rows(lines)
     mark = F.col("row_index") == 1 if positions else F.lit(True)
@@ -88,211 +87,6 @@ def read_jsonl_head(spark: SparkSession, path: str | list[str], n: int = SAMPLE_
     return found.withColumn("row_index", F.row_number().over(order).cast("bigint"))
 
 
-class BrokenArray(ValueError):
-    """Why a file is no JSON array: a code and where in the file."""
-
-    def __init__(self, code: str, line: int = 0, column: int = 0, message: str = ""):
-        super().__init__(message)
-        self.code, self.detail = code, f"line {line}, column {column}: {message}" if message else None
-
-
-class ArrayText:
-    """Reads a top-level JSON array element by element; the text held is one element and what was read beyond it."""
-
-    PIECE = 1 << 20
-    #: Errors this near to the end of what was read may come from a value that goes on.
-    EDGE = 16
-
-    def __init__(self, stream):
-        self.stream, self.text, self.at = stream, stream.read(self.PIECE), 0
-        self.line, self.column, self.over = 1, 1, False
-
-    def more(self) -> bool:
-        piece = "" if self.over else self.stream.read(max(self.PIECE, len(self.text) - self.at))
-        self.over = not piece
-        self.text, self.at = self.text[self.at:] + piece, 0
-        return bool(piece)
-
-    def skip(self, n: int) -> None:
-        passed = self.text[self.at:self.at + n]
-        lines = passed.count("\n")
-        self.line, self.column = self.line + lines, n - passed.rfind("\n") if lines else self.column + n
-        self.at += n
-
-    def mark(self) -> str:
-        """The next character that is no white space; '' at the end of the file."""
-        while True:
-            self.skip(BLANK.match(self.text, self.at).end() - self.at)
-            if self.at < len(self.text) or not self.more():
-                return self.text[self.at:self.at + 1]
-
-    def broken(self, message: str, ahead: int = 0) -> BrokenArray:
-        self.skip(ahead)
-        return BrokenArray("BAD_JSON", self.line, self.column, message)
-
-    def value(self) -> str:
-        """The text of the value that begins here."""
-        while True:
-            try:
-                _, end = DECODER.raw_decode(self.text, self.at)
-                # a number that touches the end of what was read may go on
-                if end < len(self.text) or self.over:
-                    found = self.text[self.at:end]
-                    self.skip(len(found))
-                    return found
-            except json.JSONDecodeError as error:
-                goes_on = error.msg.startswith("Unterminated") or error.pos >= len(self.text) - self.EDGE
-                if self.over or not goes_on:
-                    raise self.broken(error.msg, max(0, error.pos - self.at)) from error
-            self.more()
-
-    def elements(self) -> Iterator[str]:
-        if self.mark() != "[":
-            # any other JSON value is no array; what is no JSON at all is broken
-            self.value()
-            raise self.broken("Extra data") if self.mark() else BrokenArray("NOT_ARRAY")
-        self.skip(1)
-        if self.mark() == "]":
-            self.skip(1)
-        else:
-            while True:
-                yield self.value()
-                following = self.mark()
-                if following not in ("]", ","):
-                    raise self.broken("Expecting ',' delimiter")
-                self.skip(1)
-                if following == "]":
-                    break
-                self.mark()
-        if self.mark():
-            raise self.broken("Extra data")
-
-
-DECODER, BLANK = json.JSONDecoder(), re.compile(r"[ \t\r\n]*")
-
-
-def _pieces(rows: Iterator[tuple], columns: list[str], most: int = 1000) -> Iterator[pd.DataFrame]:
-    while part := list(islice(rows, most)):
-        yield pd.DataFrame(part, columns=columns)
-
-
-def _array_rows(uri: str) -> Iterator[tuple]:
-    """Elements of a file, or the one reason why it has none: the file is read through before its rows are given."""
-    try:
-        with open_text(uri) as stream:
-            for _ in ArrayText(stream).elements():
-                pass
-    except BrokenArray as error:
-        yield uri, None, None, error.code, error.detail
-        return
-    except UnicodeError as error:
-        yield uri, None, None, "BAD_JSON", str(error)
-        return
-    with open_text(uri) as stream:
-        for position, raw in enumerate(ArrayText(stream).elements(), 1):
-            yield uri, position, raw, None, None
-
-
-def read_json_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(dataset_id, row_index, raw, code, detail): one row per element of a top-level JSON array, or one row with a code
-    for a file that is no JSON (BAD_JSON, with line and column) or no array (NOT_ARRAY).
-
-    Elements are decoded one by one, so no file has to fit into memory; a file that is broken anywhere gives no rows.
-    """
-    columns = ["dataset_id", "row_index", "raw", "code", "detail"]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for uri in batch["path"]:
-                for part in _pieces(_array_rows(uri), columns):
-                    yield part.astype({"row_index": "Int64"})
-
-    return list_files(spark, path).select("path").mapInPandas(read, f"{RAW}, code string, detail string")
-
-
-def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The rows of ``read_json_table``."""
-    return read_json_table(spark, path).filter("code IS NULL").select("dataset_id", "row_index", "raw")
-
-
-def json_array_errors(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The files that ``read_json_table`` refuses, as violations (dataset_id, code, detail)."""
-    return read_json_table(spark, path).filter("code IS NOT NULL").select("dataset_id", "code", "detail")
-
-
-def _header(uri: str, dialect) -> list[str]:
-    with open_text(uri, newline="") as text:
-        header = next((r for r in csv.reader(text, dialect) if r), [])
-    if not header or not all(header):
-        raise TableCheckError("CSV_HEADER", uri)
-    return header
-
-
-def _cells_as_json(header: list[str], cells: list[str]) -> str:
-    """One row: cells missing at the end are null, those beyond the header a list under the key 'None'."""
-    row: dict[str, object] = dict.fromkeys(header)
-    row.update(zip(header, cells))
-    if len(cells) > len(header):
-        row["None"] = cells[len(header):]
-    return json.dumps(row, ensure_ascii=False)
-
-
-def _dialect(uri: str, sep: str | None):
-    if sep is None:
-        return csv_dialect(uri)
-    return type("Given", (csv.excel,), {"delimiter": sep})
-
-
-def read_csv(spark: SparkSession, path: str | list[str], sep: str | None = None, multi_line: bool = True) -> DataFrame:
-    """Rows as JSON text with every header column as a key: empty cells are '', cells missing at the end of a short
-    row are null, extra cells are a list under the key 'None'; blank lines are no rows. No path gives no rows.
-
-    A quoted cell may hold line ends, so a file is read by one task as a stream. Without ``multi_line`` every line is a
-    row, and files are split among tasks; their separators and headers, one small row per file, are joined to the lines.
-    """
-    if not multi_line:
-        return _read_csv_lines(spark, path, sep)
-
-    def rows(uri: str) -> Iterator[tuple]:
-        dialect = _dialect(uri, sep)
-        header = _header(uri, dialect)
-        with open_text(uri, newline="") as text:
-            cells = (r for r in csv.reader(text, dialect) if r)
-            next(cells)
-            for position, row in enumerate(cells, 1):
-                yield uri, position, _cells_as_json(header, row)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for uri in batch["path"]:
-                yield from _pieces(rows(uri), ["dataset_id", "row_index", "raw"])
-
-    return list_files(spark, path).select("path").mapInPandas(read, RAW)
-
-
-def csv_layouts(spark: SparkSession, path: str | list[str], sep: str | None = None) -> DataFrame:
-    """(path, sep, header) of every file."""
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [(uri, dialect := _dialect(uri, sep), _header(uri, dialect)) for uri in batch["path"]]
-            yield pd.DataFrame([(uri, d.delimiter, header) for uri, d, header in found], columns=["path", "sep", "header"])
-
-    return list_files(spark, path).select("path").mapInPandas(look, "path string, sep string, header array<string>")
-
-
-def _read_csv_lines(spark: SparkSession, path: str | list[str], sep: str | None) -> DataFrame:
-    layouts = written(csv_layouts(spark, path, sep).withColumnRenamed("path", "dataset_id"), "layouts")
-    lines = number_rows(spark.read.text(path).filter("value <> ''")).filter("row_index > 1")
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [_cells_as_json(list(header), next(csv.reader([line], delimiter=mark)))
-                   for line, mark, header in zip(batch["value"], batch["sep"], batch["header"])]
-            yield pd.DataFrame({"dataset_id": batch["dataset_id"], "row_index": batch["row_index"] - 1, "raw": raw})
-
-    return lines.join(layouts, "dataset_id").select("dataset_id", "row_index", "value", "sep", "header").mapInPandas(parse, RAW)
-
-
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Typed rows with dataset_id and row_index; columns nobody asks for are not read."""
     df = spark.read.parquet(path)
