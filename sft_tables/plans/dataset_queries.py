@@ -34,7 +34,7 @@ ANSWER_KEY = """CASE fmt WHEN 0 THEN 'output' WHEN 1 THEN 'response' WHEN 2 THEN
   WHEN 4 THEN 'answer' WHEN 8 THEN 'chosen' END"""
 BASE = f"""
 r AS ({ROWS_SQL}),
-kr AS (
+kr AS MATERIALIZED (
   SELECT *, fault = 'missing_answer' AS missing, ds >= 9 AND row_index % 2 = 0 AS qa_ctx, {ANSWER_KEY} AS answer_key,
     list_filter(CASE fmt WHEN 0 THEN ['instruction', 'input'] WHEN 1 THEN ['instruction', 'input'] WHEN 2 THEN ['prompt', 'input']
       WHEN 3 THEN ['question', CASE WHEN ds >= 9 AND row_index % 2 = 0 THEN 'context' END]
@@ -44,7 +44,7 @@ kr AS (
   FROM r),
 sample AS MATERIALIZED (SELECT * FROM kr WHERE row_index <= 25),
 sk AS (SELECT dataset_id, unnest(keys) AS key FROM sample),
-ds_fields AS (SELECT dataset_id, list_sort(list_distinct(list(key))) AS fields FROM sk GROUP BY dataset_id)
+ds_fields AS MATERIALIZED (SELECT dataset_id, list_sort(list_distinct(list(key))) AS fields FROM sk GROUP BY dataset_id)
 """
 
 
@@ -95,7 +95,7 @@ SCORE_SQL = {
     "sharegpt": _chat_score("sharegpt", "conversations", 6, "from/value"), "chatml": CHATML_SCORE,
 }
 SCORES = BASE + ", scores AS MATERIALIZED (" + "\nUNION ALL\n".join(SCORE_SQL.values()) + """),
-ranked AS (
+ranked AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY confidence DESC,
     CASE WHEN format IN ('openai_chat', 'sharegpt', 'chatml') THEN 20 ELSE 0 END DESC, format DESC) AS rank
   FROM scores),
@@ -107,7 +107,7 @@ best AS (
 picked AS (
   SELECT dataset_id, CASE WHEN format IS NULL THEN 'NOT_RECOGNIZED' WHEN top[1] - top[2] <= 0.030 THEN 'AMBIGUOUS' END AS code,
          format AS best_format, confidence AS best_confidence FROM best),
-chosen AS (
+chosen AS MATERIALIZED (
   SELECT dataset_id, CASE WHEN code IS NULL THEN best_format END AS format,
          CASE WHEN code IS NULL THEN CAST(best_confidence AS DOUBLE) END AS confidence, code FROM picked)
 """
