@@ -230,18 +230,23 @@ def convert_dataset(rows: DataFrame, requests: DataFrame | None = None, require:
 
 
 def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "sft", extra: Sequence[FieldFormat] = ()) -> Conversion:
-    """Check and convert rows of datasets whose format is already chosen."""
+    """Check and convert rows of datasets whose format is already chosen.
+
+    Every input row is accounted for: it is converted, a row violation, or belongs to a dataset that ``selection`` refuses.
+    Rows of datasets without a choice, and rows without a dataset, are violations (NO_FORMAT).
+    """
     field_formats = known_formats(extra)
-    chosen = selection.filter("code IS NULL").select("dataset_id", "format")
+    selection = selection.filter("dataset_id IS NOT NULL")
+    chosen = selection.select("dataset_id", "format", F.col("code").isNotNull().alias("_refused"))
     row = JsonRow()
     fmt = F.col("format")
-    joined = rows.join(chosen, "dataset_id")
+    joined = rows.join(chosen, "dataset_id", "left").filter("NOT coalesce(_refused, false)").drop("_refused")
 
     messages = F.when(fmt == "openai_chat", chat_messages(row, "openai_chat")).when(
         fmt == "sharegpt", chat_messages(row, "sharegpt")).when(fmt == "chatml", chat_messages(row, "chatml"))
     held = once(joined, messages=messages)
 
-    problem = F.when(fmt == "qa_json", qa_fault(row))
+    problem = F.when(fmt.isNull(), fault("NO_FORMAT")).when(fmt == "qa_json", qa_fault(row))
     for f in field_formats:
         problem = problem.when(fmt == f.name, field_fault(row, f))
     structure = F.when(fmt == CHAT_FORMATS[0], structure_fault(row, CHAT_FORMATS[0]))
@@ -258,7 +263,7 @@ def convert_with(rows: DataFrame, selection: DataFrame, require: str | None = "s
             sft = sft.when(fmt == f.name, single(field_projection(row, f)))
     sft = sft.when(fmt.isin(*CHAT_FORMATS), chat.sft_of_messages().cast(SFT))
 
-    gated = lookup_column(fmt, _tasks(extra)) != require if require else F.lit(False)
+    gated = F.coalesce(lookup_column(fmt, _tasks(extra)) != require, F.lit(False)) if require else F.lit(False)
     judged = once(held, fault=problem.cast(FAULT), gated=gated)
     checked = judged.select(
         "dataset_id", "row_index", "format", "fault", "gated", sft.alias("sft"),

@@ -304,11 +304,36 @@ def as_stream(spark: SparkSession, df: DataFrame, name: str, files_per_batch: in
    UNION ALL SELECT dataset_id, row_index, turn, NULL, NULL, NULL, code, 'violation' FROM faults WHERE code IS NOT NULL
    UNION ALL SELECT dataset_id, NULL, NULL, NULL, NULL, NULL, code, 'violation' FROM refused""")
 def q_normalize_stream(spark, sf_dir):
+    """Formats of half the datasets are known beforehand; the others are detected as they come."""
     out, checkpoint = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-state")
     raw = fixtures.raw_rows(spark, sf_dir)
     selection = select_format(detect_dataset_format(to_row_model(raw)))
-    streams.run_to_end(streams.normalize_stream(as_stream(spark, raw, "raw"), selection, out, checkpoint))
-    return spark.read.parquet(f"{out}/batches").drop("batch_id", "detail").distinct()
+    early = selection.filter(F.crc32("dataset_id") % 2 == 0)
+    # files in row order, so that the first rows to come are the first rows
+    source = as_stream(spark, raw.repartitionByRange(6, "row_index"), "raw")
+    done = streams.Normalization(spark, out, early)
+    streams.run_to_end(streams.normalize_stream(source, done, checkpoint))
+    done.finish()
+    return done.results().drop("batch_id", "detail")
+
+
+@register("conversion_accounts", f"""{CONVERTED}, known AS (SELECT *, crc IS NOT NULL AS chosen_ FROM (
+    SELECT kr.dataset_id, kr.row_index, CASE WHEN kr.ds % 4 <> 1 THEN 1 END AS crc FROM kr))
+   SELECT k.dataset_id, CASE WHEN NOT chosen_ THEN 'NO_FORMAT' WHEN c.code IS NOT NULL OR c.format = 'dpo' AND f.code IS NULL THEN 'refused'
+      WHEN f.code IS NOT NULL THEN 'violation' ELSE 'row' END AS outcome, count(*) AS n
+   FROM known k JOIN chosen c USING (dataset_id) LEFT JOIN faults f USING (dataset_id, row_index) GROUP BY ALL
+   UNION ALL SELECT NULL, 'NO_FORMAT', count(*) FROM kr WHERE row_index % 50 = 7 HAVING count(*) > 0""")
+def q_accounts(spark, sf_dir):
+    """Every input row is a row, a violation, or of a refused dataset: also rows without a dataset, and datasets nobody chose for."""
+    rows = fixtures.row_model(spark, sf_dir)
+    selection = written(select_format(detect_dataset_format(rows)), "formats")
+    chosen = selection.filter(F.regexp_extract("dataset_id", r"(\d+)$", 1).cast("int") % 4 != 1)
+    both = rows.unionByName(rows.filter("row_index % 50 = 7").withColumn("dataset_id", F.lit(None).cast("string")))
+    table = sinks.conversion_table(convert.convert_with(both, chosen))
+    per_row = table.filter("row_index IS NOT NULL").select("dataset_id", "row_index", F.when(F.col("code") == "NO_FORMAT", "NO_FORMAT").otherwise(F.col("outcome")).alias("outcome"))
+    once = per_row.filter("dataset_id IS NOT NULL").distinct().unionByName(per_row.filter("dataset_id IS NULL"))
+    refused = both.join(table.filter("row_index IS NULL").select("dataset_id"), "dataset_id", "left_semi").join(once, ["dataset_id", "row_index"], "left_anti")
+    return once.unionByName(refused.select("dataset_id", "row_index", F.lit("refused").alias("outcome"))).groupBy("dataset_id", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("run_status_stream", f"SELECT run_id, arg_max(status, seq) AS status, max(seq) AS seq FROM ({run_queries.STATUS_SQL}) GROUP BY run_id")
