@@ -44,21 +44,8 @@ STRING = r"""(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+")"""
 NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
 
 
-def _nested(depth: int) -> str:
-    """A literal value: text, number, name, or lists, tuples and dictionaries of such, ``depth`` deep."""
-    plain = f"{STRING}|{NUMBER}|True|False|None"
-    if not depth:
-        return f"(?:{plain})"
-    inner = _nested(depth - 1)
-    items = rf"(?:{inner}(?:\s*,\s*{inner})*+\s*,?+)?+"
-    pairs = rf"(?:{inner}\s*:\s*{inner}(?:\s*,\s*{inner}\s*:\s*{inner})*+\s*,?+)?+"
-    return rf"(?:{plain}|\[\s*{items}\s*\]|\(\s*{items}\s*\)|\{{\s*{pairs}\s*\}})"
-
-
-#: How deep the values of a metrics dictionary may be nested.
-DEPTH = 2
-PAIR = rf"\G\{{?\s*({STRING})\s*:\s*({_nested(DEPTH)})\s*[,}}]\s*"
-DICTIONARY = rf"\A\{{\s*{STRING}\s*:\s*{_nested(DEPTH)}(?:\s*,\s*{STRING}\s*:\s*{_nested(DEPTH)})*+\s*,?+\s*\}}\z"
+#: Pieces of a literal; every character belongs to one.
+TOKEN = rf"(?s)({STRING}|{NUMBER}|[A-Za-z_]\w*|\s+|.)"
 SHOWN = ("error", "warning", "phase_start", "progress", "metrics", "detail")
 
 
@@ -154,18 +141,69 @@ def parse_progress(line: Column) -> Column:
     return F.when(shape, F.struct(number(1).alias("current"), number(2).alias("total")))
 
 
-def metric_pairs(line: Column) -> Column:
-    """Array of (name, value text) of the dictionary between the first { and the last }, else NULL.
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    Values are literals, nested up to DEPTH, and keep their text; a quoted name or value loses its quotes and escapes.
+
+BLANK_SQL = _sql_text(" \t\n\r\f\v")
+
+
+def _token_kind(t: str) -> str:
+    """SQL: 'b' blank, 'S' text, 'A' another plain value, a bracket, comma or colon itself, else 'x'."""
+    return (f"CASE WHEN {t} IN ('[', '(', '{{', ']', ')', '}}', ':', ',') THEN {t} WHEN trim(BOTH {BLANK_SQL} FROM {t}) = '' THEN 'b' "
+            f"WHEN left({t}, 1) IN ({_sql_text(chr(39))}, {_sql_text(chr(34))}) THEN CASE WHEN length({t}) > 1 THEN 'S' ELSE 'x' END "
+            f"WHEN {t} IN ('True', 'False', 'None') OR {t} RLIKE '^[-+.]*[0-9]' THEN 'A' ELSE 'x' END")
+
+
+def _literal_scan(kinds: str) -> str:
+    """SQL: one walk over the kinds of a literal's tokens, for any depth of lists, tuples, sets and dictionaries.
+
+    ``s`` holds the open brackets: '[' and '(' as they are, '{' while it may be a set or a dictionary, then 's', or 'D'
+    before a key's colon and 'd' after it. ``w`` is what may come: 'v' a value, 'o' a value or the end, 'a' what follows a
+    value, 'e' nothing more, 'x' is broken. ``p`` collects, for text keys of the outer dictionary, the places of the key
+    and of the value's first token and of the token after it.
+    """
+    depth, top, filled = "length(a.s)", "right(a.s, 1)", "a.w IN ('v', 'o')"
+    opens, closes, value = "k IN ('[', '(', '{')", "k IN (']', ')', '}')", "k IN ('S', 'A')"
+    inner = "left(a.s, length(a.s) - 1)"
+    fits = f"(k = ']' AND {top} = '[' OR k = ')' AND {top} = '(' OR k = '}}' AND {top} IN ('{{', 's', 'd', 'D'))"
+    # a dictionary may end after a value or a comma, not after a lone key; the outermost must not be a set
+    ended = f"(a.w = 'o' OR a.w = 'a' AND {top} <> 'D') AND NOT ({depth} = 1 AND ({top} = 's' OR {top} = '{{' AND a.w = 'a'))"
+    fine = (f"CASE WHEN k = 'b' THEN true WHEN {opens} THEN {filled} AND ({depth} > 0 OR k = '{{') WHEN {value} THEN {filled} AND {depth} > 0 "
+            f"WHEN k = ':' THEN a.w = 'a' AND {top} IN ('{{', 'D') WHEN k = ',' THEN a.w = 'a' AND {top} <> 'D' "
+            f"WHEN {closes} THEN {depth} > 0 AND {fits} AND ({ended}) ELSE false END")
+    stack = (f"CASE WHEN {opens} THEN a.s || k WHEN k = ':' THEN {inner} || 'd' "
+             f"WHEN k = ',' THEN {inner} || CASE {top} WHEN '{{' THEN 's' WHEN 'd' THEN 'D' ELSE {top} END WHEN {closes} THEN {inner} ELSE a.s END")
+    want = (f"CASE WHEN a.w = 'x' OR NOT {fine} THEN 'x' WHEN k = 'b' THEN a.w WHEN {opens} OR k = ',' THEN 'o' WHEN k = ':' THEN 'v' "
+            f"WHEN {closes} AND {depth} = 1 THEN 'e' ELSE 'a' END")
+    key = f"CASE WHEN {depth} = 1 AND {top} IN ('{{', 'D') AND k <> 'b' AND k <> ':' THEN CASE WHEN k = 'S' THEN a.n ELSE -1 END ELSE a.k END"
+    begin = f"CASE WHEN k = ':' AND {depth} = 1 THEN a.n + 1 ELSE a.f END"
+    pairs = f"CASE WHEN (k = ',' OR {closes}) AND {depth} = 1 AND {top} = 'd' AND a.k >= 0 THEN array_append(a.p, named_struct('k', a.k, 'f', a.f, 'n', a.n)) ELSE a.p END"
+    zero = ("named_struct('s', '', 'w', 'v', 'n', 0, 'k', -1, 'f', 0, 'p', CAST(array() AS array<struct<k:int,f:int,n:int>>))")
+    step = f"named_struct('s', {stack}, 'w', {want}, 'n', a.n + 1, 'k', {key}, 'f', {begin}, 'p', {pairs})"
+    return f"aggregate({kinds}, {zero}, (a, k) -> CASE WHEN a.w = 'x' THEN a ELSE {step} END)"
+
+
+def metric_pairs(line: str) -> Column:
+    """Array of (name, value text) of the dictionary between the first { and the last } of a column, else NULL.
+
+    Values are literals of any nesting and keep their text; a quoted name or value loses its quotes and escapes.
     """
-    text = F.regexp_extract(line, r"(?s)\{.*\}", 0)
-    group = lambda i: F.regexp_extract_all(text, F.lit(PAIR), F.lit(i))
-    quoted = r"""\A['"]"""
-    bare = lambda c: F.when(c.rlike(quoted), F.regexp_replace(F.regexp_replace(c, r"""\A['"]|['"]\z""", ""), r"\\(.)", "$1")).otherwise(c)
-    pairs = F.zip_with(group(1), group(2), lambda name, value: F.struct(bare(name).alias("name"), bare(value).alias("value")))
-    known = F.filter(pairs, lambda p: p["name"].isin(list(METRIC_LABELS)))
-    return F.when((text != "") & text.rlike(DICTIONARY) & (F.size(known) > 0), known)
+    def bare(text: str) -> str:
+        ends, escaped = _sql_text(r"""\A['"]|['"]\z"""), _sql_text(r"\\(.)")
+        inner = f"regexp_replace(regexp_replace({text}, {ends}, ''), {escaped}, '$1')"
+        quote = _sql_text(r"""\A['"]""")
+        return f"CASE WHEN {text} RLIKE {quote} THEN {inner} ELSE {text} END"
+
+    whole = f"regexp_extract({line}, {_sql_text('(?s)' + chr(92) + '{.*' + chr(92) + '}')}, 0)"
+    value = f"trim(BOTH {BLANK_SQL} FROM array_join(slice(t, p.f + 1, p.n - p.f), ''))"
+    named = f"named_struct('name', {bare('t[p.k]')}, 'value', {bare(value)})"
+    walked = _literal_scan(f"transform(t, x -> {_token_kind('x')})")
+    known = ", ".join(_sql_text(n) for n in METRIC_LABELS)
+    # lists of one keep a value, so that each step stands in the plan once
+    pairs = (f"transform(array(CASE WHEN {whole} <> '' THEN regexp_extract_all({whole}, {_sql_text(TOKEN)}, 1) END), t -> "
+             f"transform(array({walked}), a -> CASE WHEN a.w = 'e' THEN filter(transform(a.p, p -> {named}), q -> q.name IN ({known})) END)[0])")
+    return F.expr(f"get(filter({pairs}, f -> size(f) > 0), 0)")
 
 
 def _value_sql(pairs: str, name: str) -> str:
@@ -175,7 +213,7 @@ def _value_sql(pairs: str, name: str) -> str:
 
 def parse_metrics(records: DataFrame, line: str = "line") -> DataFrame:
     """Metric lines with one DOUBLE column per known metric (NULL where absent or not a number)."""
-    found = once(records, _pairs=metric_pairs(F.col(line))).filter("_pairs IS NOT NULL")
+    found = once(records, _pairs=metric_pairs(f"`{line}`")).filter("_pairs IS NOT NULL")
     return found.select(
         *records.columns, *[F.expr(f"try_cast({_value_sql('_pairs', n)} AS DOUBLE)").alias(n) for n in METRIC_LABELS])
 
@@ -188,7 +226,7 @@ def classify(records: DataFrame, block: int = BLOCK) -> DataFrame:
     table = F.coalesce(F.col("phase") == "table", F.lit(False))
     line = F.col("line")
     plain = training & ~F.col("important") & ~F.col("in_traceback") & ~F.col("warning")
-    parsed = once(tagged, pairs=F.when(plain & F.col("step").isNull() & line.contains("{"), metric_pairs(line)))
+    parsed = once(tagged, pairs=F.when(plain & F.col("step").isNull() & line.contains("{"), metric_pairs("line")))
     loss = F.exists("pairs", lambda p: p["name"] == "loss")
     kind = (
         F.when(F.col("blank"), "blank").when(F.col("in_traceback") | F.col("important"), "error")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sft_tables.functions import text as tx
-from sft_tables.operators import chat, convert, detect, formats
+from sft_tables.operators import chat, convert, detect, formats, passages
 from sft_tables.operators import rows as rw
 from sft_tables.operators.rows import to_row_model
 from sft_tables.plans import fixtures
@@ -450,3 +450,28 @@ def q_overlap(spark, sf_dir):
     bench = fixtures.table(spark, sf_dir, "benchmark").select("text")
     train = fixtures.table(spark, sf_dir, "documents").select("text").unionByName(bench)
     return convert.train_benchmark_overlap(train, bench)
+
+
+# ---- passages -----------------------------------------------------------------------------------------------------
+WORDS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{SPACE_CLASS[1:-1]}]+')"
+RUNS = f"""bw AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+br AS (SELECT item_id, array_to_string(w[i + 1 : i + {passages.WORDS}], ' ') AS run FROM (SELECT item_id, w, unnest(range(0, len(w) - {passages.WORDS - 1})) AS i FROM bw)),
+dw AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+dr AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + {passages.WORDS}], ' ') AS run FROM (SELECT doc_id, w, unnest(range(0, len(w) - {passages.WORDS - 1})) AS i FROM dw)),
+hit AS MATERIALIZED (SELECT DISTINCT doc_id, i, run FROM dr WHERE run IN (SELECT run FROM br))"""
+
+
+@register("passage_overlap", f"""WITH {RUNS},
+  step AS (SELECT doc_id, i, CASE WHEN lag(i) OVER (PARTITION BY doc_id ORDER BY i) >= i - {passages.WORDS} THEN 0 ELSE 1 END AS new FROM hit),
+  isle AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM step),
+  part AS (SELECT doc_id, max(i) - min(i) + {passages.WORDS} AS n FROM isle GROUP BY doc_id, k)
+  SELECT doc_id, count(*) AS n_passages, CAST(sum(n) AS BIGINT) AS n_words, max(n) AS longest FROM part GROUP BY doc_id""")
+def q_passages(spark, sf_dir):
+    """Which documents hold passages of the benchmark, and how long they are."""
+    return passages.passage_overlap(fixtures.table(spark, sf_dir, "documents"), fixtures.table(spark, sf_dir, "benchmark"), "doc_id")
+
+
+@register("benchmark_exposure", f"""WITH {RUNS} SELECT item_id, count(*) AS n_runs, count(*) FILTER (WHERE run IN (SELECT run FROM hit)) AS n_found
+  FROM (SELECT DISTINCT item_id, run FROM br) GROUP BY item_id""")
+def q_exposure(spark, sf_dir):
+    return passages.benchmark_exposure(fixtures.table(spark, sf_dir, "documents"), fixtures.table(spark, sf_dir, "benchmark"), "item_id")

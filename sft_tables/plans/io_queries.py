@@ -339,7 +339,8 @@ def q_accounts(spark, sf_dir):
 @register("run_status_stream", f"SELECT run_id, arg_max(status, seq) AS status, max(seq) AS seq FROM ({run_queries.STATUS_SQL}) GROUP BY run_id")
 def q_status_stream(spark, sf_dir):
     out, checkpoint = scratch_dir(spark, "status-out"), scratch_dir(spark, "status-state")
-    events = as_stream(spark, fixtures.view(spark, sf_dir, run_queries.STATUS_SQL).repartition(6), "status")
+    # files in the order of events, as a live source gives them
+    events = as_stream(spark, fixtures.view(spark, sf_dir, run_queries.STATUS_SQL).repartitionByRange(6, "ts", "seq"), "status")
     streams.run_to_end(streams.write_updates(streams.run_status_stream(events), out, checkpoint))
     updates = spark.read.parquet(out)
     return updates.groupBy("run_id").agg(F.max_by(F.struct("status", "seq"), "batch_id").alias("l")).select("run_id", "l.status", "l.seq")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from sft_tables.operators.convert import convert_with
 from sft_tables.operators.detect import rank_candidates, score_formats, select_format
@@ -14,6 +16,8 @@ from sft_tables.operators.rows import first_rows, to_row_model
 from sft_tables.session import written
 from sft_tables.sources.sinks import conversion_table
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def run_to_end(writer) -> None:
     """Process what is there and stop."""
@@ -109,10 +113,63 @@ def normalize_stream(raw_rows: DataFrame, normalization: Normalization, checkpoi
     return raw_rows.writeStream.foreachBatch(normalization.write).option("checkpointLocation", checkpoint)
 
 
-def run_status_stream(events: DataFrame) -> DataFrame:
-    """Latest status per run, to be written in update mode."""
-    return events.groupBy("run_id").agg(F.max(F.struct("ts", "seq", "status")).alias("last")).select(
-        "run_id", F.col("last.status").alias("status"), F.col("last.ts").alias("updated_at"), F.col("last.seq").alias("seq"))
+STATUS = "run_id {key}, status string, updated_at timestamp, seq bigint"
+LAST = "ts timestamp, seq bigint, status string"
+
+
+class LatestStatus(StatefulProcessor):
+    """Keeps the latest status of a run until it has ended, or has been silent, for long enough."""
+
+    def __init__(self, terminal: tuple[str, ...], grace: int, silence: int):
+        self.terminal, self.grace, self.silence = terminal, grace, silence
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", LAST)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.last.get() if self.last.exists() else None
+        best = known
+        for batch in rows:
+            for at, seq, status in zip(batch["ts"], batch["seq"], batch["status"]):
+                now = (at.to_pydatetime(), int(seq), status)
+                if best is None or now[:2] > tuple(best[:2]):
+                    best = now
+        if best is known:
+            yield self.rows([], [], [], [])
+            return
+        self.last.update(best)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        wait = self.grace if best[2] in self.terminal else self.silence
+        self.handle.registerTimer(int(pd.Timestamp(best[0]).timestamp() * 1000) + wait)
+        yield self.rows([key[0]], [best[2]], [best[0]], [best[1]])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.last.clear()
+        yield self.rows([], [], [], [])
+
+    def rows(self, run_id: list, status: list, at: list, seq: list) -> pd.DataFrame:
+        return pd.DataFrame({"run_id": run_id, "status": pd.Series(status, dtype="object"), "updated_at": pd.Series(at, dtype="datetime64[ns]"),
+                             "seq": pd.Series(seq, dtype="int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def run_status_stream(events: DataFrame, terminal: tuple[str, ...] = ("success", "failed"), delay: str = "1 hour", grace_minutes: int = 60,
+                      silence_minutes: int = 60 * 24 * 7) -> DataFrame:
+    """Latest status per run (run_id, status, updated_at, seq), by (ts, seq), to be written in update mode.
+
+    Events may be late by ``delay``; later ones are dropped. The state of a run goes ``grace_minutes`` of event time after its
+    terminal status, or ``silence_minutes`` after its last event if it never ends, so state does not grow with the runs there
+    have been. An event after that starts the run's state anew. State is kept by Spark (RocksDB provider).
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    key = events.schema["run_id"].dataType.simpleString()
+    rows = events.select("run_id", F.col("ts").cast("timestamp").alias("ts"), "seq", "status").filter("run_id IS NOT NULL AND ts IS NOT NULL AND seq IS NOT NULL").withWatermark("ts", delay)
+    latest = LatestStatus(terminal, grace_minutes * 60_000, silence_minutes * 60_000)
+    return rows.groupBy("run_id").transformWithStateInPandas(latest, STATUS.format(key=key), "Update", "EventTime")
 
 
 def redact_stream(records: DataFrame, columns: list[str], secrets: tuple[str, ...] = ()) -> DataFrame:

@@ -1,5 +1,6 @@
 """Streams: what was known beforehand, what comes later, and what is repeated."""
 
+import datetime
 import json
 
 import pytest
@@ -78,3 +79,31 @@ def test_rows_without_a_choice_are_violations(spark, chosen):
     found = sinks.conversion_table(convert.convert_with(rows, selection, require=None)).collect()
     assert sorted(((r["dataset_id"], r["row_index"], r["code"]) for r in found), key=str) == sorted(
         [("old", i, None if chosen else "NO_FORMAT") for i in (1, 2)] + [("new", 1, "NO_FORMAT"), (None, 1, "NO_FORMAT"), (None, 2, "NO_FORMAT")], key=str)
+
+
+def events_of(spark, folder, batches):
+    for n, rows in enumerate(batches):
+        data = [(r, datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=m), q, status) for r, m, q, status in rows]
+        spark.createDataFrame(data, "run_id bigint, ts timestamp, seq bigint, status string").coalesce(1).write.parquet(f"{folder}/b{n}")
+    return spark.readStream.schema("run_id bigint, ts timestamp, seq bigint, status string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/b*")
+
+
+def test_status_state_ends_with_the_runs(spark, tmp_path):
+    """The latest status of every run, and no state left of those that ended or fell silent."""
+    batches = [
+        [(1, 0, 1, "training"), (1, 5, 2, "success"), (2, 0, 1, "training"), (2, 0, 3, "verifying"), (2, 0, 2, "prepared")],
+        [(2, 3, 4, "training"), (1, 4, 9, "training"), (3, 200, 1, "failed")],
+        [(4, 900, 1, "training"), (1, 2, 3, "late")],
+        [(4, 901, 2, "success")],
+        [(5, 5000, 1, "training")], [(5, 20000, 2, "failed")], [(6, 40000, 1, "success")],
+    ]
+    source = events_of(spark, str(tmp_path / "in"), batches)
+    stream = tables.run_status_stream(source, delay="10 minutes", grace_minutes=30, silence_minutes=600)
+    tables.run_to_end(tables.write_updates(stream, str(tmp_path / "out"), str(tmp_path / "state")))
+    found = {}
+    for r in spark.read.parquet(str(tmp_path / "out")).orderBy("batch_id").collect():
+        found.setdefault(r["run_id"], []).append((r["seq"], r["status"]))
+    assert found == {1: [(2, "success")], 2: [(3, "verifying"), (4, "training")], 3: [(1, "failed")], 4: [(1, "training"), (2, "success")],
+                     5: [(1, "training"), (2, "failed")], 6: [(1, "success")]}
+    left = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "state"))
+    assert [r["key"]["run_id"] for r in left.collect()] == [6]
