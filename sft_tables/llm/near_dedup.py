@@ -6,7 +6,7 @@ that meet in a table are verified on their full shingle sets.
 
 Documents with the same shingle set are one node from the start. Tables with the same members count once. In each
 table the member whose sub-keys are most widely shared is compared with all others; tables whose members are then not
-all connected are searched further, pairs of connected members left out.
+all connected are searched further, pairs of connected members left out, and tables that overlap much as one.
 """
 
 from __future__ import annotations
@@ -236,21 +236,39 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def units(placed: DataFrame) -> DataFrame:
+    """(unit, node, root, inside, tables): members of the unresolved tables, a node once per unit.
+
+    A unit is a table, or all tables around one connected part (the largest of each) where they overlap so much that
+    comparing their members once is less work than comparing them table by table. ``tables``: those of the unit in which
+    the node was not the centre, for a centre has been compared with all others; at most one per pair of sub-keys.
+    """
+    parts = placed.groupBy("table", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = per_key(parts, "table", F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
+    main = main.filter("parts > 1").select("table", F.col("main.root").alias("main"), ((F.col("size") - F.col("main.n")) * F.col("size")).alias("pairs"))
+    rows = stored(placed.join(main, "table").select(
+        "table", "main", "pairs", "node", "root", (F.col("root") == F.col("main")).alias("inside"), F.when(F.col("hub") != F.col("node"), F.col("table")).alias("open")), "near-rows")
+    alone = rows.groupBy("main", "table").agg(F.first("pairs").alias("pairs")).groupBy("main").agg(F.sum("pairs").alias("by_table"))
+    once = rows.groupBy("main", "node").agg(F.first("inside").alias("inside")).groupBy("main").agg(
+        F.count_if(~F.col("inside")).alias("outside"), F.count(F.lit(1)).alias("size"))
+    joined = once.join(alone, "main").filter(F.col("outside") * F.col("size") < F.col("by_table")).select("main", F.lit(True).alias("together"))
+    unit = F.when(F.col("together"), F.xxhash64("main", F.lit(3))).otherwise(F.col("table"))
+    return rows.join(joined, "main", "left").withColumn("unit", unit).groupBy("unit", "node").agg(
+        F.first("root").alias("root"), F.first("inside").alias("inside"), F.collect_set("open").alias("tables"))
+
+
 def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int, group: int) -> DataFrame:
     """Links (left, right) inside tables of three or more whose members are not yet all connected.
 
-    Members of the table's largest connected part are compared with those outside it, and these among each other. Large
-    tables are cut: the largest part is dealt out to groups, those outside meet every group, and each other in groups
-    of two of their shares.
+    Members of the largest connected part of a unit are compared with those outside it, and these among each other, if
+    they share a table. Large units are cut: the largest part is dealt out to groups, those outside meet every group, and
+    each other in groups of two of their shares.
     """
     placed = found.filter("size > 2").join(roots, "node", "left").select("table", "hub", "node", F.coalesce("root", "node").alias("root"))
-    placed = stored(placed, "near-placed")
-    parts = placed.groupBy("table", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = per_key(parts, "table", F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
-    main = main.filter("parts > 1").select("table", "size", F.col("main.root").alias("main"), F.col("main.n").alias("inside"))
-    rows = placed.join(main, "table").select(
-        "table", "node", "root", "hub", (F.col("root") == F.col("main")).alias("inside"), spread(F.col("inside"), group).alias("deals"),
-        spread(F.col("size") - F.col("inside"), group).alias("shares"))
+    members = stored(units(stored(placed, "near-placed")), "near-units")
+    sizes = per_key(members, "unit", F.count_if("inside").alias("_in"), F.count_if(~F.col("inside")).alias("_out"))
+    rows = members.join(sizes, "unit").select(
+        "unit", "node", "root", "inside", "tables", F.greatest(spread(F.col("_in"), group), F.lit(1)).alias("deals"), spread(F.col("_out"), group).alias("shares"))
     deal, share = F.pmod(F.xxhash64("node"), "deals").cast("int"), F.pmod(F.xxhash64("node", F.lit(7)), "shares").cast("int")
     # inside: one deal against every share; outside: every deal, and every other share
     other = F.sequence(F.lit(0), F.col("shares") - 1)
@@ -258,8 +276,7 @@ def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int
     outside = F.concat(
         F.transform(F.sequence(F.lit(0), F.col("deals") - 1), lambda d: F.struct(d.alias("x"), share.alias("y"))),
         F.transform(other, lambda s: F.struct((-1 - F.least(s, share)).alias("x"), F.greatest(s, share).alias("y"))))
-    groups = rows.select("table", "node", "root", "hub", "inside", F.inline(F.when(F.col("inside"), inside).otherwise(outside)))
-    groups = groups.join(full, "node").select("table", "x", "y", "node", "root", (F.col("hub") == F.col("node")).alias("hub"), "inside", "shingles")
+    groups = rows.join(full, "node").select("unit", "node", "root", "inside", "tables", "shingles", F.inline(F.when(F.col("inside"), inside).otherwise(outside)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -268,7 +285,7 @@ def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int
             out: list[tuple[bytes, bytes]] = []
             for i in range(0, batch.num_rows, 256):
                 for row in batch.slice(i, 256).to_pylist():
-                    now = (row["table"], row["x"], row["y"])
+                    now = (row["unit"], row["x"], row["y"])
                     if now != key:
                         out += links_within(held, percent)
                         held, key = [], now
@@ -276,7 +293,7 @@ def unresolved(found: DataFrame, roots: DataFrame, full: DataFrame, percent: int
             yield pairs_batch(out)
         yield pairs_batch(links_within(held, percent))
 
-    return groups.repartition("table", "x", "y").sortWithinPartitions("table", "x", "y").mapInArrow(run, "left binary, right binary")
+    return groups.repartition("unit", "x", "y").sortWithinPartitions("unit", "x", "y").mapInArrow(run, "left binary, right binary")
 
 
 def pairs_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -284,9 +301,11 @@ def pairs_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 def links_within(rows: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
-    """Links that connect members of different parts; pairs that are connected meanwhile are not compared."""
-    root = {r["node"]: r["root"] for r in rows}
-    top = {r: r for r in root.values()}
+    """Links that connect members of different parts that share a table; pairs that are connected meanwhile are not compared."""
+    outside = [r for r in rows if not r["inside"]]
+    if not outside or len(rows) < 2:
+        return []
+    top = {r["root"]: r["root"] for r in rows}
 
     def find(x: bytes) -> bytes:
         while top[x] != x:
@@ -294,16 +313,15 @@ def links_within(rows: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
             x = top[x]
         return x
 
-    outside = [r for r in rows if not r["inside"]]
-    if not outside or len(rows) < 2:
-        return []
+    shared = {r["node"]: frozenset(r["tables"]) for r in rows}
     full = {r["node"]: unpacked(r["shingles"]) for r in rows}
-    others = [r for r in rows if r["inside"]] + outside
+    inside = [r for r in rows if r["inside"]]
     out = []
     for i, a in enumerate(outside):
+        mine = shared[a["node"]]
         # those outside that came before a have been compared with it
-        for b in others[:len(others) - len(outside)] + outside[i + 1:]:
-            if a["hub"] or b["hub"]:
+        for b in inside + outside[i + 1:]:
+            if mine.isdisjoint(shared[b["node"]]):
                 continue
             x, y = find(a["root"]), find(b["root"])
             if x != y and linked(full[a["node"]], full[b["node"]], percent):
