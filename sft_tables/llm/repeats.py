@@ -2,9 +2,10 @@
 
 Bytes are removed where a string of LENGTH bytes covers them that also starts in a document with a smaller id. Equal
 strings have equal smallest inner hashes, so strings are dealt out by that hash, a run of neighbours with one hash as
-one piece of text; pieces whose hash occurs in one document only stay where they are. Where pieces of one hash differ,
-their suffixes are sorted, and intervals of the transform are extended backwards breadth first: each round finds the
-borders with the next larger common prefix, and the search stops at LENGTH. What is still together shares LENGTH bytes.
+one piece of text; pieces whose hash occurs in one document only share nothing and stay where they are. Pieces of one hash
+that are equal, byte for byte, count as one. Where pieces of one hash differ, their suffixes are sorted, and intervals of
+the transform are extended backwards breadth first: each round finds the borders with the next larger common prefix, and
+the search stops at LENGTH. What is still together shares LENGTH bytes. Hashes decide what meets, never what is equal.
 
 All that crosses the network is packed arrays per (block of documents, bucket of hashes).
 """
@@ -33,11 +34,13 @@ OFTEN = 2000
 BLOCK_BYTES, BUCKET_BYTES = 2 << 20, 8 << 20
 LAST_ID = 2**63 - 1
 
-BLOCKS = "block bigint, ids binary, sizes binary, data binary, n_bytes bigint"
+BLOCKS = "block bigint, ids binary, sizes binary, data binary, n_bytes bigint, starts binary, counts binary, keys binary"
 ASKED = "bucket int, block bigint, keys binary, docs binary, counts binary"
 MARKS = "bucket int, block bigint, marks binary"
-PIECES = "bucket int, block bigint, keys binary, docs binary, sizes binary, data binary"
-ANSWERS = "bucket int, block bigint, intervals binary, ends binary, docs binary"
+#: Pieces for a bucket; and, in buckets below 0, what a block keeps for their answers: the start and the number of each piece.
+PIECES = "bucket int, block bigint, keys binary, docs binary, sizes binary, data binary, starts binary, numbers binary"
+ANSWERS = "bucket int, block bigint, intervals binary, ends binary, docs binary, starts binary, numbers binary"
+ANSWER_COLUMNS = [c.split()[0] for c in ANSWERS.split(", ")]
 
 
 def row_batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -54,9 +57,11 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: list[tuple] = []
 
     def flush() -> pa.RecordBatch:
-        data = np.concatenate([p[2] for p in parts])
-        return row_batch(BLOCKS, [(task << 32 | count, pack(np.concatenate([p[0] for p in parts])), pack(np.concatenate([p[1] for p in parts])),
-                                   zstandard.ZstdCompressor(level=3).compress(data.tobytes()), len(data))])
+        sizes, data = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+        start, run, key = runs(data, sizes)
+        return row_batch(BLOCKS, [(task << 32 | count, pack(np.concatenate([p[0] for p in parts])), pack(sizes),
+                                   zstandard.ZstdCompressor(level=3).compress(data.tobytes()), len(data),
+                                   pack(np.diff(start, prepend=0)), pack(run.astype(np.uint8)), pack(key >> np.uint64(16)))])
 
     for batch in slices(batches, most=BLOCK_BYTES // 4):
         data, offsets = text_bytes(batch.column(1))
@@ -69,22 +74,19 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def gram_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """Hashes of the strings of each length at every byte (those past the end are of no use)."""
+def gram_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the strings of a length at every byte (those past the end are of no use)."""
     powers = {1: ((data.astype(np.uint64) + np.uint64(1)) * ROLL) ^ np.uint64(0x5851F42D4C957F2D)}
     size = 1
-    while size * 2 <= max(lengths):
+    while size * 2 <= length:
         powers[size * 2] = joined(powers[size], powers[size], size)
         size *= 2
-    out = []
-    for length in lengths:
-        whole, done = None, 0
-        for part in sorted(powers, reverse=True):
-            if length - done >= part:
-                whole = powers[part] if whole is None else joined(whole, powers[part], done)
-                done += part
-        out.append(mixed(whole))
-    return out
+    whole, done = None, 0
+    for part in sorted(powers, reverse=True):
+        if length - done >= part:
+            whole = powers[part] if whole is None else joined(whole, powers[part], done)
+            done += part
+    return mixed(whole)
 
 
 def joined(left: np.ndarray, right: np.ndarray, at: int) -> np.ndarray:
@@ -94,66 +96,90 @@ def joined(left: np.ndarray, right: np.ndarray, at: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-class Block:
-    """A block's documents, and its strings of LENGTH bytes as runs of neighbours with one smallest inner hash."""
+def runs(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strings of LENGTH bytes of documents, as runs of neighbours with one smallest inner hash: start, number, key."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    n = len(data)
+    edges = np.zeros(n + 1, np.int8)
+    long = sizes >= LENGTH
+    np.add.at(edges, offsets[:-1][long], 1)
+    np.add.at(edges, offsets[1:][long] - LENGTH + 1, -1)
+    inside = np.cumsum(edges[:-1], dtype=np.int8) > 0
+    low, span = gram_hashes(data, INNER), 1
+    width = LENGTH - INNER + 1
+    while span * 2 <= width:
+        low = smaller(low, low, span)
+        span *= 2
+    low = smaller(low, low, width - span)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | (low[1:] != low[:-1])
+    start = np.flatnonzero(first)
+    ends = np.flatnonzero(inside & np.concatenate([~inside[1:] | first[1:], [True]])[:n]) + 1 if n else start
+    count = ends - start
+    if len(count) and count.max() > LONGEST:
+        cut = -(-count // LONGEST)
+        nth = np.arange(cut.sum()) - np.repeat(np.cumsum(cut) - cut, cut)
+        start, end = np.repeat(start, cut) + nth * LONGEST, np.repeat(ends, cut)
+        count = np.minimum(end - start, LONGEST)
+    return start, count, mixed(low[start] ^ np.uint64(0x2545F4914F6CDD1D))
+
+
+class Runs:
+    """A block's runs as stored, with the document of each and 48-bit keys (in the upper bits)."""
 
     def __init__(self, row: dict):
-        import zstandard
-
-        self.ids = unpack(row["ids"], np.int64)
-        sizes = unpack(row["sizes"], np.int64)
-        self.offsets = np.concatenate([[0], np.cumsum(sizes)])
-        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=max(1, row["n_bytes"])), np.uint8)
-        n = len(self.data)
-        edges = np.zeros(n + 1, np.int8)
-        long = sizes >= LENGTH
-        np.add.at(edges, self.offsets[:-1][long], 1)
-        np.add.at(edges, self.offsets[1:][long] - LENGTH + 1, -1)
-        inside = np.cumsum(edges[:-1], dtype=np.int8) > 0
-        inner, self.whole = gram_hashes(self.data, (INNER, LENGTH))
-        low, span = inner, 1
-        width = LENGTH - INNER + 1
-        while span * 2 <= width:
-            low = smaller(low, low, span)
-            span *= 2
-        low = smaller(low, low, width - span)
-        first = inside.copy()
-        first[1:] &= ~inside[:-1] | (low[1:] != low[:-1])
-        self.start = np.flatnonzero(first)
-        ends = np.flatnonzero(inside & np.concatenate([~inside[1:] | first[1:], [True]])[:n]) + 1 if n else self.start
-        self.count = ends - self.start
-        if len(self.count) and self.count.max() > LONGEST:
-            cut = -(-self.count // LONGEST)
-            nth = np.arange(cut.sum()) - np.repeat(np.cumsum(cut) - cut, cut)
-            start, end = np.repeat(self.start, cut) + nth * LONGEST, np.repeat(ends, cut)
-            self.start, self.count = start, np.minimum(end - start, LONGEST)
-        self.key = mixed(low[self.start] ^ np.uint64(0x2545F4914F6CDD1D))
+        self.offsets = np.concatenate([[0], np.cumsum(unpack(row["sizes"], np.int64))])
+        self.start = np.cumsum(unpack(row["starts"], np.int64))
+        self.key = unpack(row["keys"], np.uint64) << np.uint64(16)
         self.doc = np.searchsorted(self.offsets, self.start, "right") - 1
 
-    def short_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct 48-bit keys of the runs, and each run's place among them."""
-        return np.unique(self.key >> np.uint64(16) << np.uint64(16), return_inverse=True)
-
-    def pieces(self, marks: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(start, count, doc, number) of the pieces to ask for, and the distinct ones by number: (key, first piece, smallest id).
-
-        marks: per run 0 not shared, 1 shared, 2 shared very often.
-        """
-        some, often = np.flatnonzero(marks == 1), np.flatnonzero(marks == 2)
-        n = self.count[often]
-        each = np.repeat(self.start[often], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = np.concatenate([self.start[some], each])
-        count = np.concatenate([self.count[some], np.ones(len(each), np.int64)])
-        doc = np.concatenate([self.doc[some], np.repeat(self.doc[often], n)])
-        key = np.concatenate([self.key[some], mixed(self.whole[each] ^ np.uint64(0x9E6C63D0876A9A47))])
-        text = word_hashes(self.data, start, start + count + LENGTH - 1)
-        order = np.lexsort((text, key))
-        new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (text[order][1:] != text[order][:-1])]) if len(order) else np.zeros(0, bool)
-        number = np.empty(len(order), np.int64)
-        number[order] = np.cumsum(new) - 1
-        at = np.flatnonzero(new)
-        lowest = np.minimum.reduceat(self.ids[doc[order]], at) if len(at) else np.zeros(0, np.int64)
-        return start, count, doc, number, key[order][at], order[at], lowest
+    def distinct_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys of the runs, and each run's place among them."""
+        return np.unique(self.key, return_inverse=True)
+
+
+def block_text(row: dict) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=max(1, row["n_bytes"])), np.uint8)
+
+
+def equal_texts(data: np.ndarray, start: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first): texts ordered so that equal ones of one key are neighbours, and which differ from the one before."""
+    text = word_hashes(data, start, start + sizes)
+    order = np.lexsort((text, keys))
+    if not len(order):
+        return order, np.zeros(0, bool)
+    first = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]) | (text[order][1:] != text[order][:-1])])
+    again = np.flatnonzero(~first)
+    first[again] = sizes[order[again]] != sizes[order[again - 1]]
+    again = again[~first[again]]
+    for at in range(0, len(again), 1 << 16):
+        some = again[at:at + (1 << 16)]
+        n = sizes[order[some]]
+        same = data[within(start[order[some]], n)] == data[within(start[order[some - 1]], n)]
+        first[some] = ~np.logical_and.reduceat(same, np.cumsum(n) - n)
+    return order, first
+
+
+def pieces(data: np.ndarray, ids: np.ndarray, found: Runs, count: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(start, count, number) of the pieces to ask for, and the distinct ones by number: (key, first piece, smallest id).
+
+    marks: per run 0 not shared, 1 shared, 2 shared very often.
+    """
+    some, often = np.flatnonzero(marks == 1), np.flatnonzero(marks == 2)
+    n = count[often]
+    each = within(found.start[often], n)
+    start = np.concatenate([found.start[some], each])
+    size = np.concatenate([count[some], np.ones(len(each), np.int64)])
+    doc = np.concatenate([found.doc[some], np.repeat(found.doc[often], n)])
+    key = np.concatenate([found.key[some], mixed(word_hashes(data, each, each + LENGTH) ^ np.uint64(0x9E6C63D0876A9A47))])
+    order, new = equal_texts(data, start, size + LENGTH - 1, key)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    at = np.flatnonzero(new)
+    lowest = np.minimum.reduceat(ids[doc[order]], at) if len(at) else np.zeros(0, np.int64)
+    return start, size, number, key[order][at], order[at], lowest
 
 
 def smaller(left: np.ndarray, right: np.ndarray, at: int) -> np.ndarray:
@@ -167,12 +193,12 @@ def asking(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row)
-                keys, at = block.short_keys()
+                found = Runs(row)
+                keys, at = found.distinct_keys()
                 counts = np.bincount(at, minlength=len(keys))
-                low, high = np.full(len(keys), len(block.ids)), np.zeros(len(keys), np.int64)
-                np.minimum.at(low, at, block.doc)
-                np.maximum.at(high, at, block.doc)
+                low, high = np.full(len(keys), len(found.offsets)), np.zeros(len(keys), np.int64)
+                np.minimum.at(low, at, found.doc)
+                np.maximum.at(high, at, found.doc)
                 cuts = bucket_cuts(keys, buckets)
                 yield row_batch(ASKED, [(b, row["block"], pack_keys(keys[i:j]), pack((low < high)[i:j]), pack(counts[i:j].astype(np.uint32)))
                                         for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if i < j])
@@ -194,30 +220,35 @@ def marking(often: int):
     return run
 
 
-def joined_marks(marks: list[dict], block: Block) -> np.ndarray:
+def joined_marks(marks: list[dict], found: Runs) -> np.ndarray:
     """Marks of the block's runs from the answers of all buckets."""
-    keys, at = block.short_keys()
-    found = np.concatenate([np.zeros(0, np.uint8), *[unpack(r["marks"], np.uint8) for r in sorted(marks, key=lambda r: r["bucket"])]])
-    assert len(found) == len(keys)
-    return found[at]
+    keys, at = found.distinct_keys()
+    told = np.concatenate([np.zeros(0, np.uint8), *[unpack(r["marks"], np.uint8) for r in sorted(marks, key=lambda r: r["bucket"])]])
+    assert len(told) == len(keys)
+    return told[at]
 
 
 def sending(buckets: int):
-    """The pieces of a block whose keys are shared: distinct texts with the smallest id that has them here."""
+    """The pieces of a block whose keys are shared: distinct texts with the smallest id that has them here; and which
+    pieces these are, for the block itself."""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
 
-        row = left.to_pylist()[0]
-        block = Block(row)
-        start, count, _, _, keys, first, lowest = block.pieces(joined_marks(right.to_pylist(), block))
-        start, sizes = start[first], count[first] + LENGTH - 1
+        row, marks = left.to_pylist()[0], right.to_pylist()
+        if not any(np.any(unpack(r["marks"], np.uint8)) for r in marks):
+            return pa.Table.from_batches([row_batch(PIECES, [])])
+        found, data, ids = Runs(row), block_text(row), unpack(row["ids"], np.int64)
+        each, count, number, keys, first, lowest = pieces(data, ids, found, unpack(row["counts"], np.uint8).astype(np.int64), joined_marks(marks, found))
+        start, sizes = each[first], count[first] + LENGTH - 1
         cuts = bucket_cuts(keys, buckets)
-        out = []
+        none = (None, None)
+        own = int(mixed(np.array([row["block"]], np.uint64))[0] % np.uint64(buckets))
+        out = [(-1 - own, row["block"], *none, *none, pack(each), pack(number))]
         for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
             if i < j:
-                data = block.data[within(start[i:j], sizes[i:j])]
+                text = data[within(start[i:j], sizes[i:j])]
                 out.append((b, row["block"], pack_keys(keys[i:j]), pack(lowest[i:j]), pack(sizes[i:j].astype(np.uint16)),
-                            zstandard.ZstdCompressor(level=3).compress(data.tobytes())))
+                            zstandard.ZstdCompressor(level=3).compress(text.tobytes()), *none))
         return pa.Table.from_batches([row_batch(PIECES, out)])
     return run
 
@@ -301,9 +332,13 @@ def smallest_ids(data: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.nd
 
 
 def answering(key: tuple, asked: pa.Table) -> pa.Table:
-    """For each piece of a bucket: intervals of its strings with the smallest id of a document that holds them."""
+    """For each piece of a bucket: intervals of its strings with the smallest id of a document that holds them. What blocks
+    keep for themselves is passed on."""
     import zstandard
 
+    if key[0].as_py() < 0:
+        none = pa.nulls(asked.num_rows, pa.binary())
+        return pa.table([asked[c] if c in asked.column_names and c != "docs" else none for c in ANSWER_COLUMNS], names=ANSWER_COLUMNS)
     rows = asked.to_pylist()
     per_row = [unpack_keys(r["keys"]) for r in rows]
     keys = np.concatenate(per_row)
@@ -311,9 +346,7 @@ def answering(key: tuple, asked: pa.Table) -> pa.Table:
     sizes = np.concatenate([unpack(r["sizes"], np.uint16) for r in rows]).astype(np.int64)
     data = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(r["data"]) for r in rows), np.uint8)
     start = np.cumsum(sizes) - sizes
-    text = word_hashes(data, start, start + sizes)
-    order = np.lexsort((text, keys))
-    new = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]) | (text[order][1:] != text[order][:-1])])
+    order, new = equal_texts(data, start, sizes, keys)
     number = np.empty(len(keys), np.int64)
     number[order] = np.cumsum(new) - 1
     at = np.flatnonzero(new)
@@ -340,7 +373,7 @@ def answering(key: tuple, asked: pa.Table) -> pa.Table:
         mine = number[done:done + len(k)]
         done += len(k)
         place = within(cut[mine], intervals[mine])
-        out.append((key[0].as_py(), r["block"], pack(intervals[mine].astype(np.uint8)), pack(ends[place].astype(np.uint8)), pack(ids[place])))
+        out.append((key[0].as_py(), r["block"], pack(intervals[mine].astype(np.uint8)), pack(ends[place].astype(np.uint8)), pack(ids[place]), None, None))
     return pa.Table.from_batches([row_batch(ANSWERS, out)])
 
 
@@ -350,12 +383,14 @@ RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 def removing(id_kind: pa.DataType, keep_text: bool):
     """A block's documents without the strings that a document with a smaller id has, too."""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block(left.to_pylist()[0])
-        answers = right.to_pylist()
-        marks = joined_marks([r for r in answers if r["marks"] is not None], block)
-        start, _, doc, number, *_ = block.pieces(marks)
-        answers = sorted((r for r in answers if r["marks"] is None), key=lambda r: r["bucket"])
-        covered = np.zeros(len(block.data) + 1, np.int32)
+        row = left.to_pylist()[0]
+        data, all_ids, sizes = block_text(row), unpack(row["ids"], np.int64), unpack(row["sizes"], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        told = right.to_pylist()
+        answers = sorted((r for r in told if r["bucket"] >= 0), key=lambda r: r["bucket"])
+        start, number = (np.concatenate([np.zeros(0, np.int64), *[unpack(r[c], np.int64) for r in told if r["bucket"] < 0]]) for c in ("starts", "numbers"))
+        doc = np.searchsorted(offsets, start, "right") - 1
+        covered = np.zeros(len(data) + 1, np.int32)
         if answers:
             intervals = np.concatenate([unpack(r["intervals"], np.uint8) for r in answers]).astype(np.int64)
             ends = np.concatenate([unpack(r["ends"], np.uint8) for r in answers]).astype(np.int64)
@@ -364,21 +399,21 @@ def removing(id_kind: pa.DataType, keep_text: bool):
             begins = np.where(np.isin(np.arange(len(ends)), cut), 0, np.concatenate([[0], ends[:-1]]))
             n = intervals[number]
             at, owner = within(cut[number], n), np.repeat(np.arange(len(number)), n)
-            gone = ids[at] < block.ids[doc[owner]]
+            gone = ids[at] < all_ids[doc[owner]]
             at, owner = at[gone], owner[gone]
             np.add.at(covered, start[owner] + begins[at], 1)
             np.add.at(covered, start[owner] + ends[at] + LENGTH - 1, -1)
         gone = np.cumsum(covered[:-1]) > 0
         first = gone.copy()
         first[1:] &= ~gone[:-1]
-        edges = block.offsets[:-1][np.diff(block.offsets) > 0]
+        edges = offsets[:-1][sizes > 0]
         first[edges] = gone[edges]
-        upto, spans = (np.concatenate([[0], np.cumsum(x)])[block.offsets] for x in (gone, first))
-        kept = block.data[~gone].tobytes()
-        cuts = block.offsets - upto
+        upto, spans = (np.concatenate([[0], np.cumsum(x)])[offsets] for x in (gone, first))
+        kept = data[~gone].tobytes()
+        cuts = offsets - upto
         parts = [kept[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        ids = pa.array([None if i == LAST_ID else i for i in block.ids.tolist()], pa.int64()).cast(id_kind)
-        columns = {"doc_id": ids, "n_bytes": np.diff(block.offsets), "n_removed": np.diff(upto), "n_spans": np.diff(spans),
+        ids = pa.array([None if i == LAST_ID else i for i in all_ids.tolist()], pa.int64()).cast(id_kind)
+        columns = {"doc_id": ids, "n_bytes": sizes, "n_removed": np.diff(upto), "n_spans": np.diff(spans),
                    "kept_sha256": [hashlib.sha256(p).hexdigest() for p in parts]}
         if keep_text:
             columns["kept"] = pa.array(parts, pa.binary())
@@ -393,9 +428,9 @@ def without_repeats(docs: DataFrame, keep_text: bool = False, often: int = OFTEN
     the same id never remove bytes of each other; a null id counts as larger than all others. Texts shorter than LENGTH
     bytes lose nothing. An empty table gives no rows; further columns are ignored.
 
-    First, keys: blocks of documents ask which of their hashes occur elsewhere. Second, the pieces with such hashes meet
-    by hash and are compared byte for byte. Third, blocks remove what they are told. Texts are stored once, compressed and
-    in buckets of blocks, and never shuffled.
+    First, keys: blocks of documents, stored with their runs, ask which of their hashes occur elsewhere. Second, the pieces
+    with such hashes meet by hash and are compared. Third, blocks remove what they are told. Texts are hashed and stored
+    once, compressed and in buckets of blocks, and never shuffled; the first step reads the runs alone.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -405,12 +440,13 @@ def without_repeats(docs: DataFrame, keep_text: bool = False, often: int = OFTEN
     cut = bucketed(rows.mapInArrow(blocks, BLOCKS), "repeats_blocks", "block")
     total = cut.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(16, -(-total // BUCKET_BYTES))
-    marks = stored(cut.mapInArrow(asking(buckets), ASKED).groupBy("bucket").applyInArrow(marking(often), MARKS), "repeats-marks")
-    pieces = cut.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(sending(buckets), PIECES)
-    answers = stored(pieces.groupBy("bucket").applyInArrow(answering, ANSWERS), "repeats-answers")
-    told = marks.unionByName(answers, allowMissingColumns=True)
+    asked = cut.select("block", "sizes", "starts", "keys").mapInArrow(asking(buckets), ASKED)
+    marks = stored(asked.groupBy("bucket").applyInArrow(marking(often), MARKS), "repeats-marks")
+    sent = cut.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(sending(buckets), PIECES)
+    answers = stored(sent.groupBy("bucket").applyInArrow(answering, ANSWERS), "repeats-answers")
     extra = ", kept binary" if keep_text else ""
-    return cut.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+    texts = cut.select("block", "ids", "sizes", "data", "n_bytes")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         removing(to_arrow_type(kind), keep_text), f"doc_id {kind.simpleString()}, {RESULT}{extra}")
 
 
