@@ -252,6 +252,8 @@ def units(placed: DataFrame) -> DataFrame:
     once = rows.groupBy("main", "node").agg(F.first("inside").alias("inside")).groupBy("main").agg(
         F.count_if(~F.col("inside")).alias("outside"), F.count(F.lit(1)).alias("size"))
     joined = once.join(alone, "main").filter(F.col("outside") * F.col("size") < F.col("by_table")).select("main", F.lit(True).alias("together"))
+    # written, so that rows of a hot part are not brought together for it
+    joined = stored(joined, "near-together")
     unit = F.when(F.col("together"), F.xxhash64("main", F.lit(3))).otherwise(F.col("table"))
     return rows.join(joined, "main", "left").withColumn("unit", unit).groupBy("unit", "node").agg(
         F.first("root").alias("root"), F.first("inside").alias("inside"), F.collect_set("open").alias("tables"))

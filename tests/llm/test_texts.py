@@ -115,18 +115,46 @@ def test_fingerprints(docs):
     assert found[10]["fingerprint"] == found[11]["fingerprint"] and len({r["fingerprint"] for r in found.values()}) > 50
 
 
-@given(st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=60), st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=60), st.integers(0, 60))
+def test_likeness_from_the_strings_alone(docs):
+    """Whatever two fingerprints of a table are taken, the strings tell what their texts share."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    texts = ["", "one", ". ".join(rng.choice(words) for _ in range(900))]
+    for _ in range(14):
+        base = rng.choice(texts)
+        texts.append(base[:rng.randrange(len(base) + 1)] + "\n" + ".\n".join(" ".join(rng.choice(words) for _ in range(9)) for _ in range(rng.choice([0, 1, 8, 120]))))
+    found = {r["doc_id"]: r for r in fingerprints.fingerprinted(docs(list(enumerate(texts))).repartition(3), parts=2).collect()}
+    sets = [set(fingerprints.paragraphs([t])[0].tolist()) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            told = fingerprints.likeness(found[i]["fingerprint"], found[j]["fingerprint"])
+            assert told == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0), (i, j)
+        after = found[(i - 1) % len(texts)]
+        assert found[i]["near_edited"] == fingerprints.likeness(found[i]["fingerprint"], found[i]["edited_fingerprint"])
+        assert found[i]["near_next"] == fingerprints.likeness(found[i]["fingerprint"], after["fingerprint"])
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=90), st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=60), st.integers(0, 60))
 @settings(max_examples=60, deadline=None)
 def test_sketches_recover_the_difference(a, b, both):
-    a, b = set(a), set(b) | set(list(a)[:both]) if (a := a) or True else None
+    a, b = set(a), set(b) | set(a[:both])
     keys = np.array(sorted(a) + sorted(b), np.uint64)
-    cuts = np.array([0, len(a), len(a) + len(b)])
-    assert fingerprints.differing(keys, cuts, np.array([0]), np.array([1]))[0] == len(a ^ b)
-    tables = fingerprints.Tables(1, 600)
-    tables.add(np.array(sorted(a), np.uint64), np.zeros(len(a), np.int64), 1)
-    tables.add(np.array(sorted(b), np.uint64), np.zeros(len(b), np.int64), -1)
-    found, _, signs = tables.peel()
-    assert {(k, s) for k, s in zip(found.tolist(), signs.tolist())} == {(k, 1) for k in a - b} | {(k, -1) for k in b - a}
+    rows = np.repeat([0, 1], [len(a), len(b)])
+    found = fingerprints.Sketches.of(keys, rows, 2)
+    assert found.differing(np.array([0]), np.array([1]))[0] == len(a ^ b)
+    again = fingerprints.Sketches.read(found.texts())
+    assert again.differing(np.array([1, 0]), np.array([0, 0])).tolist() == [len(a ^ b), 0] and again.texts() == found.texts()
+    # folded tables are the tables of that size
+    small = fingerprints.Tables(np.array([16, 16]))
+    small.add(keys, rows, np.ones(len(keys), np.uint8))
+    folded = fingerprints.Tables(np.array([16, 16]))
+    folded.add_folded(found, np.array([0, 1]), 1)
+    assert (small.keys == folded.keys).all() and (small.count == folded.count).all() and (small.checks == folded.checks).all()
+    tables = fingerprints.Tables(np.array([256]))
+    tables.add(np.array(sorted(a), np.uint64), np.zeros(len(a), np.int64), np.full(len(a), 1, np.uint8))
+    tables.add(np.array(sorted(b), np.uint64), np.zeros(len(b), np.int64), np.full(len(b), 255, np.uint8))
+    recovered, _, signs = tables.peel()
+    assert {(k, s) for k, s in zip(recovered.tolist(), signs.tolist())} == {(k, 1) for k in a - b} | {(k, 255) for k in b - a}
 
 
 PARTS = ["a", "th", "the", " ", "  ", "\n", "▁", "é", "日", "<s>", "<0x41>", "\t", "\x00", "ing", "tion", "0", "//", "\U0001f600", "́", " " * 17]
