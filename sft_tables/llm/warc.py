@@ -1,8 +1,10 @@
 """Legacy archive converter: ARC files, version 1 and 2, to equivalent WARC files, and both read back.
 
-ARC records are found by their version's header fields and their declared lengths; WARC identifiers, dates, types and
-digests are made from them. Archives are gzip files that Spark's text sink writes (all parts are valid UTF-8, and the
-sink's line separator is the record separator), so writes are committed per task and readable from every executor.
+ARC records are found by their version block's header fields and their declared lengths; WARC identifiers, dates, types
+and digests are made from them. HTTP responses become ``response`` records, whatever else (DNS answers, files)
+``resource`` records, repeated payloads ``revisit`` records. Archives are gzip files that Spark's text sink writes, one
+row a file of about ``ARCHIVE_BYTES`` (the sink's line separator is the record separator, and bytes pass as they are), so
+writes are committed per task, readable from every executor, and no archive grows with the task that writes it.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ import datetime
 import gzip
 import hashlib
 import io
+import re
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -26,24 +30,63 @@ FIELDS = {
     "1": "URL IP-address Archive-date Content-type Archive-length".split(),
     "2": "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length".split(),
 }
+#: Names of WARC headers that are read, whose case does not matter (fixed values of the format).
+HEADERS = {n.lower(): n for n in (
+    "WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Refers-To-Page", "Content-Type", "Content-Length")}
 NO_IP, NO_URL, NO_ID = "0.0.0.0", "urn:none", "-"
 EPOCH = datetime.datetime(2000, 1, 1)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_REVISIT = 100
-GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+ARCHIVE_BYTES = 32 << 20
+WHOLE_FILES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1}
 CRLF = "\r\n"
+HTTP = b"HTTP/"
+PAGE = re.compile(rb"(?im)^X-Page-Id:[ \t]*(-?[0-9]{1,19})[ \t]*\r?$")
+LENGTH = re.compile(rb"(?im)^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$")
+
+
+class First(NamedTuple):
+    """The record whose payload a revisit repeats."""
+
+    path: str
+    at: int
+    page_id: int | None
+    url: str
+    date: str
+
+
+def archives(records: Iterator[bytes], begin, end: bytes) -> Iterator[bytes]:
+    """Records packed into files of about ``ARCHIVE_BYTES`` (or one longer record); ``begin(n)`` opens file n."""
+    held: list[bytes] = []
+    size = number = 0
+    for record in records:
+        if not held:
+            held.append(begin(number))
+        held.append(record)
+        size += len(record)
+        if size >= ARCHIVE_BYTES:
+            yield end.join(held)
+            held, size, number = [], 0, number + 1
+    if held:
+        yield end.join(held)
+
+
+def one_each(values: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    for value in values:
+        yield pa.RecordBatch.from_arrays([pa.array([value], pa.large_binary() if len(value) >= 1 << 31 else pa.binary())], ["value"])
 
 
-def arc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of one ARC file per task: its version block, then a line and an HTTP response per page."""
+def arc_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole ARC files: a version block, then a line and an HTTP response per page. Tasks take versions by turns."""
     task = TaskContext.get().partitionId()
     version = "1" if task % 2 == 0 else "2"
-    begun = False
-    for batch in slices(batches, "html"):
-        rows = [] if begun else [version_block(f"filedesc://pages-{task}.arc", version)]
-        begun = True
-        rows += [arc_record(page, url, html, version) for page, url, html in zip(*(c.to_pylist() for c in batch.columns))]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
+
+    def records() -> Iterator[bytes]:
+        for batch in slices(batches, "html"):
+            for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
+                yield arc_record(page, url, html, version).encode()
+
+    yield from one_each(archives(records(), lambda n: version_block(f"filedesc://pages-{task}-{n}.arc", version).encode(), b"\n"))
 
 
 def version_block(name: str, version: str) -> str:
@@ -68,10 +111,11 @@ def quoted(url: str | None) -> str:
 
 
 class Reader:
-    """Reads a gzip file forward and knows where it is."""
+    """Reads an archive forward, gzip (one member, or one per record) or plain, and knows where it is."""
 
     def __init__(self, content: bytes):
-        self.stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)), 1 << 16)
+        raw = io.BytesIO(content)
+        self.stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 16) if content[:2] == b"\x1f\x8b" else raw
         self.at = 0
 
     def line(self) -> bytes:
@@ -87,87 +131,133 @@ class Reader:
         return found
 
 
+def version_fields(body: bytes) -> list[str]:
+    """Names of the fields of record lines, as a version block states them."""
+    names = body.split(b"\n")[1].decode().split() if b"\n" in body else []
+    if "URL" not in names or names[-1] != "Archive-length":
+        raise ValueError(f"unknown record fields: {' '.join(names)}")
+    return names
+
+
 def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, header fields, body) of the records of an ARC file, its version block left out."""
+    """(offset, header fields, body) of the records of an ARC file, version blocks left out.
+
+    A version block holds until the next one, so files may be joined. Blanks in a record line beyond those between its
+    fields belong to the URL.
+    """
     reader = Reader(content)
     fields: list[str] | None = None
     while True:
         at, line = reader.at, reader.line()
         if not line:
             return
-        if line == b"\n":
+        if not line.strip(b"\r\n"):
             continue
-        parts = line.decode().rstrip("\n").split(" ")
+        parts = line.decode(errors="replace").rstrip("\r\n").split(" ")
+        if not parts[-1].isascii() or not parts[-1].isdigit():
+            raise ValueError(f"no length ends the record line at {at}")
         body = reader.take(int(parts[-1]))
-        if fields is None:
-            if not parts[0].startswith("filedesc://"):
-                raise ValueError("an ARC file begins with its version block")
-            version, names = body.split(b"\n")[:2]
-            fields = FIELDS[version.split(b" ")[0].decode()]
-            if names.decode().split(" ") != fields:
-                raise ValueError(f"unknown record fields: {names.decode()}")
+        if parts[0].startswith("filedesc://"):
+            fields = version_fields(body)
             continue
-        if len(parts) != len(fields):
+        if fields is None:
+            raise ValueError("an ARC file begins with its version block")
+        more = len(parts) - len(fields)
+        if more < 0:
             raise ValueError(f"{len(parts)} fields in a record line; the version block names {len(fields)}")
-        yield at, dict(zip(fields, parts)), body
+        place = fields.index("URL")
+        yield at, dict(zip(fields, [*parts[:place], " ".join(parts[place:place + more + 1]), *parts[place + more + 1:]])), body
 
 
 def http_parts(body: bytes) -> tuple[bytes, bytes, int | None]:
-    """(header with its blank line, payload, page id) of an HTTP response."""
-    end = body.index(b"\r\n\r\n") + 4
-    page = next((h[11:].decode() for h in body[:end].split(b"\r\n") if h.startswith(b"X-Page-Id: ")), NO_ID)
-    return body[:end], body[end:], None if page == NO_ID else int(page)
+    """(header with its blank line, payload, page id if the header has one) of an HTTP response; without a blank line
+    all is header."""
+    blank = re.search(rb"\r?\n\r?\n", body)
+    end = blank.end() if blank else len(body)
+    page = PAGE.search(body, 0, end)
+    number = int(page[1]) if page else None
+    return body[:end], body[end:], number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
+def body_parts(body: bytes) -> tuple[bytes, bytes, int | None]:
+    """As ``http_parts``; a body that is no HTTP response is all payload."""
+    return http_parts(body) if body.startswith(HTTP) else (b"", body, None)
+
+
+def warc_date(digits: str | None) -> str:
+    """ISO date of an ARC date; one that is cut short counts from its beginning, an unreadable one is ``EPOCH``."""
+    full = (digits or "") + "00000101000000"[len(digits or ""):]
+    try:
+        return f"{datetime.datetime.strptime(full[:14], '%Y%m%d%H%M%S'):%Y-%m-%dT%H:%M:%SZ}"
+    except ValueError:
+        return f"{EPOCH:%Y-%m-%dT%H:%M:%SZ}"
 
 
-def record_id(page: int | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.UUID(hashlib.sha256(f'{page} {digest}'.encode()).hexdigest()[:32], version=5)}>"
+def record_id(path: str, at: int | str) -> str:
+    """The same for the same place of the same archive, and for no other."""
+    return f"<urn:uuid:{uuid.UUID(hashlib.sha256(f'{path} {at}'.encode()).hexdigest()[:32], version=5)}>"
 
 
-def warc_record(kind: str, headers: list[tuple[str, str]], block: str) -> str:
+def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     """One record without the two line ends that close it."""
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", *(f"{k}: {v}" for k, v in headers), f"Content-Length: {len(block.encode())}", "", ""]
-    return CRLF.join(lines) + block
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", *(f"{k}: {v}" for k, v in headers), f"Content-Length: {len(block)}", "", ""]
+    return CRLF.join(lines).encode() + block
 
 
-def converted(content: bytes, revisits: dict[int, int | None]) -> Iterator[str]:
-    """WARC records of an ARC file; revisits: offset of a record -> page that holds the same payload."""
+def warc_info(path: str, number: int) -> bytes:
     about = f"software: sft-tables{CRLF}format: WARC File Format 1.1{CRLF}conformsTo: ARC{CRLF}"
-    yield warc_record("warcinfo", [("WARC-Record-ID", record_id(None, hashlib.sha256(content).hexdigest())), ("WARC-Date", f"{EPOCH:%Y-%m-%dT%H:%M:%SZ}"),
-                                   ("Content-Type", "application/warc-fields")], about)
+    return warc_record("warcinfo", [("WARC-Record-ID", record_id(path, f"info {number}")), ("WARC-Date", f"{EPOCH:%Y-%m-%dT%H:%M:%SZ}"),
+                                    ("Content-Type", "application/warc-fields")], about.encode())
+
+
+def converted(content: bytes, revisits: dict[int, First], path: str = "") -> Iterator[bytes]:
+    """WARC records of an ARC file; revisits: offset of a record -> the record that holds the same payload."""
     for at, fields, body in arc_records(content):
-        head, payload, page = http_parts(body)
-        digest = hashlib.sha256(payload).hexdigest()
-        date = datetime.datetime.strptime(fields["Archive-date"], "%Y%m%d%H%M%S")
-        block = head if at in revisits else body
+        head, payload, page = body_parts(body)
+        same = revisits.get(at)
+        http = bool(head)
+        block = body if same is None else head
+        kind = "revisit" if same else "response" if http else "resource"
+        media = fields.get("Content-type", "-")
         headers = [
-            ("WARC-Record-ID", record_id(page, digest)), ("WARC-Date", f"{date:%Y-%m-%dT%H:%M:%SZ}"), ("WARC-Target-URI", fields["URL"]),
-            ("WARC-IP-Address", fields["IP-address"]), ("Content-Type", "application/http; msgtype=response"),
-            ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
+            ("WARC-Record-ID", record_id(path, at)), ("WARC-Date", warc_date(fields.get("Archive-date"))), ("WARC-Target-URI", quoted(fields["URL"])),
+            *([("WARC-IP-Address", fields["IP-address"])] if fields.get("IP-address", "-") != "-" else []),
+            ("Content-Type", "application/http; msgtype=response" if http else media if "/" in media else "application/octet-stream"),
+            ("WARC-Payload-Digest", f"sha256:{hashlib.sha256(payload).hexdigest()}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
         ]
-        if at in revisits:
-            same = revisits[at]
-            headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(same, digest)), ("WARC-Refers-To-Page", NO_ID if same is None else str(same))]
-        yield warc_record("revisit" if at in revisits else "response", headers, block.decode())
+        if same:
+            headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(same.path, same.at)), ("WARC-Refers-To-Target-URI", quoted(same.url)),
+                        ("WARC-Refers-To-Date", warc_date(same.date)), ("WARC-Refers-To-Page", NO_ID if same.page_id is None else str(same.page_id)),
+                        ("X-Payload-Bytes", str(len(payload)))]
+        yield warc_record(kind, headers, block)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of the records of a WARC file, by their declared lengths."""
     reader = Reader(content)
     while line := reader.line():
-        if line != b"WARC/1.1\r\n":
+        if not re.fullmatch(rb"WARC/[0-9]+\.[0-9]+\r?\n", line):
             raise ValueError(f"no WARC record begins here: {line[:40]!r}")
         headers: dict[str, str] = {}
-        while (line := reader.line()) != b"\r\n":
-            name, _, value = line.decode().rstrip(CRLF).partition(": ")
-            headers[name] = value
+        name = ""
+        while (line := reader.line()).strip(b"\r\n"):
+            text = line.decode(errors="replace").rstrip(CRLF)
+            if text[0] in " \t" and name:
+                headers[name] += " " + text.strip()
+                continue
+            name, _, value = text.partition(":")
+            name = HEADERS.get(name.strip().lower(), name.strip())
+            headers[name] = value.strip()
+        if not headers.get("Content-Length", "").isdigit():
+            raise ValueError("a WARC record without its length")
         block = reader.take(int(headers["Content-Length"]))
         if reader.take(4) != b"\r\n\r\n":
             raise ValueError("a WARC record goes on past its declared length")
         yield headers, block
 
 
-def files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+def files(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
 def each_file(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -176,66 +266,75 @@ def each_file(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-def batched(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def batched(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
-    size = 0
     for row in rows:
         held.append(row)
-        size += sum(len(v) for v in row if isinstance(v, str))
-        if len(held) >= most or size >= most_bytes:
+        if len(held) >= most:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-            held, size = [], 0
+            held = []
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
+def write_files(rows: DataFrame, path: str, end: str) -> None:
+    """Each binary value a file; a cast to text changes no byte."""
+    rows.select(F.col("value").cast("string").alias("value")).write.options(lineSep=end, **WHOLE_FILES).text(path)
+
+
 def write_arc(pages: DataFrame, path: str) -> None:
-    """One ARC file per task of ``pages``, by turns of version 1 and 2."""
-    pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(
-        arc_rows, "value string").write.options(lineSep="\n", **GZIP).text(path)
+    """ARC files of about ``ARCHIVE_BYTES``, version 1 and 2 by turns of tasks."""
+    rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
+    write_files(rows.mapInArrow(arc_files, "value binary"), path, "\n")
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST_REVISIT) -> None:
+def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST_REVISIT, pattern: str = "part-*") -> None:
     """ARC files to WARC files. Records with the payload of another become revisits of the one with the smallest page id.
 
-    Payloads are compared by SHA-256 and length; those under ``least`` bytes always stay responses. Among records of one
-    page id the first by file and offset is the response; null ids come last. Only digests are grouped; each file then
-    gets the list of its own revisits.
+    Archives may come from elsewhere (``pattern`` tells their names): plain or gzip, with any payload bytes. Payloads are
+    compared by SHA-256 and length; those under ``least`` bytes are never revisits. Among records of one page id, or
+    without one, the first by file and offset stays; records without an id come last. Only digests are grouped; each file
+    then gets the list of its own revisits. A broken record stops the conversion.
     """
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("path", pa.string()), ("at", pa.int64()), ("page_id", pa.int64()), ("digest", pa.binary()), ("size", pa.int64())])
+        schema = pa.schema([("path", pa.string()), ("at", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()),
+                            ("digest", pa.binary()), ("size", pa.int64())])
 
         def rows() -> Iterator[tuple]:
             for file in each_file(batches):
-                for at, _, body in arc_records(file["content"]):
-                    _, payload, page = http_parts(body)
+                for at, fields, body in arc_records(file["content"]):
+                    _, payload, page = body_parts(body)
                     if len(payload) >= least:
-                        yield file["path"], at, page, hashlib.sha256(payload).digest(), len(payload)
+                        yield file["path"], at, page, fields["URL"], fields.get("Archive-date"), hashlib.sha256(payload).digest(), len(payload)
 
         yield from batched(rows(), schema)
 
-    records = files(spark, arc_path).mapInArrow(digests, "path string, at bigint, page_id bigint, digest binary, size bigint").select(
-        "digest", "size", F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "at").alias("r"))
+    found = files(spark, arc_path, pattern).mapInArrow(digests, "path string, at bigint, page_id bigint, url string, date string, digest binary, size bigint")
+    records = found.select("digest", "size", F.struct(F.col("page_id").isNull().alias("none"), "page_id", "path", "at", "url", "date").alias("r"))
     # grouped by digest and size but joined by digest: both sides of the join are exchanges, which adaptive execution can split
     first = records.groupBy("digest", "size").agg(F.min("r").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    again = records.join(first, "digest").filter(F.col("r") != F.col("first")).select(
-        F.col("r.path").alias("path"), F.struct("r.at", F.col("first.page_id").alias("page_id")).alias("revisit"))
+    again = records.select("digest", F.struct("r.path", "r.at").alias("r")).join(first, "digest").filter(
+        (F.col("r.path") != F.col("first.path")) | (F.col("r.at") != F.col("first.at"))).select(
+        F.col("r.path").alias("path"), F.struct(F.col("r.at").alias("at"), F.struct(*[f"first.{f}" for f in First._fields]).alias("first")).alias("revisit"))
     lists = again.groupBy("path").agg(F.collect_list("revisit").alias("revisits"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("value", pa.string())])
         for file in each_file(batches):
-            revisits = {r["at"]: r["page_id"] for r in file["revisits"] or []}
-            yield from batched(((r,) for r in converted(file["content"], revisits)), schema)
+            path = file["path"]
+            revisits = {r["at"]: First(**r["first"]) for r in file["revisits"] or []}
+            records = converted(file["content"], revisits, path)
+            yield from one_each(archives(records, lambda n: warc_info(path, n), (CRLF * 2).encode()))
 
-    files(spark, arc_path).join(lists, "path", "left").mapInArrow(write, "value string").write.options(
-        lineSep=CRLF * 2, **GZIP).text(warc_path)
+    write_files(files(spark, arc_path, pattern).join(lists, "path", "left").mapInArrow(write, "value binary"), warc_path, CRLF * 2)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, date) of the responses and revisits.
+def read_warc(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, date) of the records with a payload.
 
-    Digests of responses are computed from the payload and must agree with the header; a broken record stops the read.
+    ``warcinfo`` and ``request`` records are left out. Digests are bare SHA-256, computed from the payload, and must agree
+    with a SHA-256 in the header; revisits, whose payload is elsewhere, have what their header says (a digest by another
+    function keeps its prefix, a length nobody states is null). Records without an ``X-Page-Id`` have a null page id. A
+    broken record stops the read.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
@@ -245,19 +344,26 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for file in each_file(batches):
                 for headers, block in warc_records(file["content"]):
                     kind = headers["WARC-Type"]
-                    if kind == "warcinfo":
+                    if kind in ("warcinfo", "request"):
                         continue
-                    head, payload, page = http_parts(block)
-                    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+                    head, payload, page = body_parts(block)
+                    stated = headers.get("WARC-Payload-Digest")
+                    size, digest = len(payload), None
+                    if kind == "revisit":
+                        length = LENGTH.search(head)
+                        size = int(headers["X-Payload-Bytes"]) if "X-Payload-Bytes" in headers else int(length[1]) if length else None
+                        digest = stated.removeprefix("sha256:") if stated else None
+                    else:
+                        digest = hashlib.sha256(payload).hexdigest()
+                        if stated and stated.startswith("sha256:") and stated != f"sha256:{digest}":
+                            raise ValueError(f"the payload of {headers.get('WARC-Record-ID')} differs from its digest")
                     same = headers.get("WARC-Refers-To-Page", NO_ID)
-                    if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"the payload of page {page} differs from its digest")
-                    size = int(next(h[16:] for h in head.split(b"\r\n") if h.startswith(b"Content-Length: ")))
-                    yield page, size, digest, kind, None if same == NO_ID else int(same), headers["WARC-Target-URI"], headers["WARC-Date"]
+                    yield page, size, digest, kind, None if same == NO_ID else int(same), headers.get("WARC-Target-URI"), headers.get("WARC-Date")
 
         yield from batched(rows(), schema)
 
-    return files(spark, path).mapInArrow(read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, date string")
+    return files(spark, path, pattern).mapInArrow(
+        read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, date string")
 
 
 def round_trip(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -265,7 +371,7 @@ def round_trip(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 
     One row per page. Null html counts as an empty payload; a null url is archived as ``urn:none``, a null page id as
     ``-``; blanks and characters beyond ASCII in urls are percent-encoded. Repeated rows are archived each; an empty
-    table gives no rows; further columns are ignored. Archives are as large as the tasks that write them.
+    table gives no rows; further columns are ignored.
     """
     spark = pages.sparkSession
     arc, warc = scratch_dir(spark, "arc") + "/files", scratch_dir(spark, "warc") + "/files"

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -192,9 +193,72 @@ def test_arc_versions(version):
     records = list(warc.arc_records(gzip.compress(body.encode())))
     assert [r[1]["URL"] for r in records] == ["http://a/", warc.NO_URL] and list(records[0][1]) == warc.FIELDS[version]
     assert [warc.http_parts(r[2])[1:] for r in records] == [("<p>é</p>".encode(), 3), (b"", 4)]
-    out = "".join(r + "\r\n\r\n" for r in warc.converted(gzip.compress(body.encode()), {records[1][0]: 3}))
-    found = list(warc.warc_records(gzip.compress(out.encode())))
+    same = warc.First("x.arc", records[0][0], 3, "http://a/", "20000101000003")
+    made = [warc.warc_info("x.arc", 0), *warc.converted(gzip.compress(body.encode()), {records[1][0]: same}, "x.arc")]
+    found = list(warc.warc_records(gzip.compress(b"".join(r + b"\r\n\r\n" for r in made))))
     assert [h["WARC-Type"] for h, _ in found] == ["warcinfo", "response", "revisit"]
     assert found[1][0]["WARC-Date"] == "2000-01-01T00:00:03Z" and found[1][0]["WARC-Record-ID"].startswith("<urn:uuid:")
     with pytest.raises(ValueError):
         list(warc.arc_records(gzip.compress(body.encode()[:-20])))
+
+
+#: Files as crawlers left them: a DNS answer first, no page ids, blanks in a URL, bytes that are no text, short headers.
+ICON = bytes(range(256)) * 2
+FOREIGN = {
+    "1": [("dns:a.example", "20010203040506", "text/dns", b"20010203040506\na.example. 60 IN A 10.0.0.1\n"),
+          ("http://a.example/x y", "20010203040507", "text/html", b"HTTP/1.0 200 OK\nContent-Type: text/html\n\n<p>\xff\xfe</p>"),
+          ("http://a.example/i", "200102", "image/gif", b"HTTP/1.0 200 OK\r\n\r\n" + ICON),
+          ("http://a.example/none", "?", "no-type", b"HTTP/1.0 304 Not Modified\r\nServer: x")],
+    "2": [("http://b.example/i", "20010203040508", "image/gif", b"HTTP/1.1 200 OK\r\nX-Page-Id: many\r\n\r\n" + ICON),
+          ("ftp://b.example/i", "20010203040509", "no-type", ICON), ("http://b.example/", "20010203040510", "text/html", b"")],
+}
+
+
+def foreign_arc(version):
+    """One piece per record, the version block first."""
+    body = f"{version} 1 crawler\n{' '.join(warc.FIELDS[version])}\n<about/>\n".encode()
+    more = "200 - - 0 f " if version == "2" else ""
+    yield f"filedesc://f{version}.arc 0.0.0.0 20010203040506 text/plain {more}{len(body)}\n".encode() + body + b"\n"
+    for url, date, media, block in FOREIGN[version]:
+        yield f"{url} 10.0.0.1 {date} {media} {more}{len(block)}\n".encode() + block + b"\n"
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Plain files, one gzip member, one member a record, and joined files, of both versions."""
+    source = tmp_path / "arc"
+    source.mkdir()
+    (source / "a1.arc").write_bytes(b"".join(foreign_arc("1")))
+    (source / "b2.arc.gz").write_bytes(b"".join(gzip.compress(p) for p in foreign_arc("2")))
+    (source / "c.arc.gz").write_bytes(gzip.compress(b"".join([*foreign_arc("2"), *foreign_arc("1")])))
+    warc.convert(spark, str(source), str(tmp_path / "warc"), pattern="*.arc*")
+    found = warc.read_warc(spark, str(tmp_path / "warc")).collect()
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    rows = Counter((r["url"], r["record_type"], r["payload_bytes"], r["payload_digest"], r["date"]) for r in found)
+    icon, page = digest(ICON), b"<p>\xff\xfe</p>"
+    again = "revisit"
+    assert rows == Counter({
+        ("dns:a.example", "resource", 43, digest(FOREIGN["1"][0][3]), "2001-02-03T04:05:06Z"): 2,
+        ("http://a.example/x%20y", "response", len(page), digest(page), "2001-02-03T04:05:07Z"): 2,
+        ("http://a.example/i", "response", 512, icon, "2001-02-01T00:00:00Z"): 1, ("http://a.example/i", again, 512, icon, "2001-02-01T00:00:00Z"): 1,
+        ("http://a.example/none", "response", 0, digest(b""), "2000-01-01T00:00:00Z"): 2,
+        ("http://b.example/i", again, 512, icon, "2001-02-03T04:05:08Z"): 2, ("ftp://b.example/i", again, 512, icon, "2001-02-03T04:05:09Z"): 2,
+        ("http://b.example/", "resource", 0, digest(b""), "2001-02-03T04:05:10Z"): 2,
+    })
+    assert {r["page_id"] for r in found} == {None}
+    headers = [h for f in (tmp_path / "warc").glob("part-*") for h, _ in warc.warc_records(f.read_bytes())]
+    ids = {h["WARC-Record-ID"] for h in headers}
+    assert len(ids) == len(headers) and all(h["WARC-Refers-To"] in ids for h in headers if h["WARC-Type"] == again)
+
+
+def test_rolled_archives(spark, tmp_path, monkeypatch):
+    """No file is longer than the bound and one record, and nothing depends on where files end."""
+    records = [b"x" * n for n in (5, 50, 1, 1, 99, 7)]
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 50)
+    assert list(warc.archives(iter(records), lambda n: b"<%d>" % n, b",")) == [
+        b",".join([b"<0>", *records[:2]]), b",".join([b"<1>", *records[2:5]]), b",".join([b"<2>", records[5]])]
+    assert list(warc.archives(iter([]), lambda n: b"", b",")) == []
+    foreign = b"".join(b"%s\r\n" % line for line in [
+        b"WARC/1.0", b"warc-type: response", b"WARC-Target-URI: http://c/", b"content-length: 25", b"WARC-Payload-Digest: sha1:ABC", b"X-Note: a", b" b", b""])
+    (tmp_path / "f.warc").write_bytes(foreign + b"HTTP/1.1 200 OK\r\n\r\npayload"[:25] + b"\r\n\r\n")
+    row = warc.read_warc(spark, str(tmp_path), "*.warc").first()
+    assert (row["url"], row["payload_bytes"], row["payload_digest"]) == ("http://c/", 6, hashlib.sha256(b"payloa").hexdigest())
