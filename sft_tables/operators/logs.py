@@ -76,7 +76,8 @@ def strip_ansi(line: Column) -> Column:
     return strip(F.regexp_replace(line, ANSI, ""))
 
 
-def _marks(records: DataFrame) -> DataFrame:
+def marks(records: DataFrame) -> DataFrame:
+    """What every record says by itself."""
     line = F.col("line")
     return once(records.select("run_id", "seq", "cr", strip_ansi(F.col("line")).alias("line")), line=line).select(
         "*", (line == "").alias("blank"), F.startswith(line, F.lit(TRACEBACK_START)).alias("tb_start"),
@@ -107,7 +108,7 @@ def tag_records(records: DataFrame, block: int = BLOCK) -> DataFrame:
             "step": F.when(plain & state.isNull() & F.col("step").isNotNull(), F.struct("seq", "step.current", "step.total")),
         }
 
-    base = with_block(_marks(records), "seq", block).withColumn("_tb", tb)
+    base = with_block(marks(records), "seq", block).withColumn("_tb", tb)
     base = base.withColumn("_tb_before", F.last("_tb", ignorenulls=True).over(w))
     both = {f"_{kind}{int(entering)}": c for entering in (False, True) for kind, c in markers(entering).items()}
     base = base.withColumns(both)
@@ -135,10 +136,10 @@ def tag_records(records: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def parse_progress(line: Column) -> Column:
-    """Struct (current, total) of the first 'a/b' of a progress line, else NULL."""
+    """Struct (current, total) of the first 'a/b' of a progress line, else NULL; numbers beyond a long are none."""
     shape = line.rlike(PROGRESS) & (line.contains("%") | line.contains("it/s"))
     number = lambda i: F.regexp_extract(line, PROGRESS, i).try_cast("bigint")
-    return F.when(shape, F.struct(number(1).alias("current"), number(2).alias("total")))
+    return F.when(shape & number(1).isNotNull() & number(2).isNotNull(), F.struct(number(1).alias("current"), number(2).alias("total")))
 
 
 def _sql_text(text: str) -> str:
@@ -221,7 +222,11 @@ def parse_metrics(records: DataFrame, line: str = "line") -> DataFrame:
 def classify(records: DataFrame, block: int = BLOCK) -> DataFrame:
     """Tag every record with its kind; priority is the order of the CASE. ``progress`` is the step of a progress
     record, ``last_step`` the progress record before it in the same training phase."""
-    tagged = tag_records(records, block)
+    return kinds(tag_records(records, block))
+
+
+def kinds(tagged: DataFrame, *keep: str) -> DataFrame:
+    """Kinds of tagged records, which know what they depend on; batch and stream share them."""
     training = F.coalesce(F.col("phase") == "train", F.lit(False))
     table = F.coalesce(F.col("phase") == "table", F.lit(False))
     line = F.col("line")
@@ -237,7 +242,7 @@ def classify(records: DataFrame, block: int = BLOCK) -> DataFrame:
     return once(parsed, kind=kind).select(
         "run_id", "seq", "cr", "line", "kind", "in_traceback", "phase", "phase_seq",
         F.when(F.col("kind") == "progress", F.col("step")).alias("progress"),
-        F.when(F.col("last_step.seq") > F.col("phase_seq"), F.col("last_step")).alias("last_step"), "pairs")
+        F.when(F.col("last_step.seq") > F.col("phase_seq"), F.col("last_step")).alias("last_step"), "pairs", *keep)
 
 
 def _repeated() -> Column:
@@ -250,6 +255,11 @@ def _distinct_progress(classified: DataFrame) -> DataFrame:
     return classified.filter((F.col("kind") == "progress") & ~_repeated()).select("run_id", "phase_seq", "seq", "progress.current", "progress.total")
 
 
+def is_due(current: int, total: int, last: int) -> bool:
+    """Whether a step is shown after ``last`` was."""
+    return current == total or current >= last + max(1, total // PROGRESS_SHARE)
+
+
 def _shown_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of (run_id, part, seq); of progress rows (with a ``current``) those to show, of others all.
 
@@ -262,7 +272,7 @@ def _shown_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run, part, current, total in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("run_id", "part", "current", "total"))):
             if (run, part) != phase:
                 phase, last = (run, part), 0
-            due = current is None or current == total or current >= last + max(1, total // PROGRESS_SHARE)
+            due = current is None or is_due(current, total, last)
             if due and current is not None:
                 last = current
             keep.append(due)
@@ -332,17 +342,22 @@ def shown_lines(classified: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Progress goes in order through its phase; other lines are dealt out by blocks and pass.
     """
-    lines = format_metrics(classified.filter(F.col("kind").isin(*SHOWN) & ~_repeated()), _step(F.col("last_step")))
-    progress, is_step = F.col("progress"), F.col("kind") == "progress"
-    percent = _percent(progress["current"], progress["total"])
-    told = F.format_string("Progress: %d/%d (%d%%)", progress["current"], progress["total"], percent)
-    rows = lines.select(
-        "run_id", F.when(is_step, F.col("phase_seq")).otherwise(-1 - F.floor(F.col("seq") / block).cast("bigint")).alias("part"), "seq",
-        progress["current"].alias("current"), progress["total"].alias("total"), "kind",
-        F.when(is_step, told).when(F.col("kind") == "metrics", F.col("text")).otherwise(F.col("line")).alias("text"))
+    part = F.when(F.col("kind") == "progress", F.col("phase_seq")).otherwise(-1 - F.floor(F.col("seq") / block).cast("bigint"))
+    rows = told(classified.filter(F.col("kind").isin(*SHOWN) & ~_repeated())).select(
+        "run_id", part.alias("part"), "seq", F.col("progress.current").alias("current"), F.col("progress.total").alias("total"), "kind", "text")
     return _streamed(rows).filter("kind <> 'progress' OR total <> 0").select("run_id", "seq", "kind", "current", "text")
 
 
+def told(classified: DataFrame) -> DataFrame:
+    """Records with the ``text`` that the concise view shows for them."""
+    lines = format_metrics(classified, _step(F.col("last_step")))
+    progress = F.col("progress")
+    percent = _percent(progress["current"], progress["total"])
+    step = F.format_string("Progress: %d/%d (%d%%)", progress["current"], progress["total"], percent)
+    kind = F.col("kind")
+    return lines.withColumn("text", F.when(kind == "progress", step).when(kind == "metrics", F.col("text")).otherwise(F.col("line")))
+
+
 def _step(last: Column) -> Column:
     return F.when(last.isNotNull(), F.format_string("Step %d/%d", last["current"], last["total"]))
 

@@ -1,136 +1,203 @@
-"""The console view of training logs as a stream: the batch operators on every micro-batch, resumed where they stopped.
+"""The console view of training logs as a stream, on Spark's own state.
 
-What a run's records depend on from earlier batches is little: the open record, the phase, the last step, the last
-progress that was shown, and whether a traceback is open. It is kept as up to four records that bring the batch
-operators into that state again (``_marks``), so cutting, classifying and formatting have one definition.
-
-State and output of a batch are folders named after the batch: a batch that is repeated after a failure reads the state
-of the one before it and overwrites its own.
+Two stateful steps by run, around expressions that batch and stream share: the first puts chunks in order and cuts them
+into records (an open record and early chunks wait in its state), the second carries what records depend on from earlier
+ones (traceback, phase, last step, last progress shown). What a line is, and how it is shown, is decided by the same
+column expressions as in ``operators.logs``. Only runs with new chunks, or whose timer is due, are touched; the output is
+appended by Spark's file sink, so a batch that is repeated after a failure leaves no duplicates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from sft_tables.functions.carry import BLOCK
 from sft_tables.operators import logs
+from sft_tables.streaming.tables import ROCKSDB, write_rows
 
 CHUNKS = "run_id bigint, chunk_no bigint, text string, last boolean"
-RUNS = "run_id bigint, next_chunk bigint, base bigint, rest string, idle int"
-MARKS = "run_id bigint, seq bigint, line string, cr boolean"
 LINES = "run_id bigint, line_no bigint, text string"
-#: Numbers kept free before a batch's records, for the marks.
-ROOM = 4
+PLACE = "next_chunk bigint, seq bigint"
+RECORDS = "run_id {key}, seq bigint, line string, cr boolean"
+CARRIED = "in_traceback boolean, phase string, phase_seq bigint, step_seq bigint, step_current bigint, step_total bigint, shown bigint"
+FLAGS = ("blank", "tb_start", "tb_end", "important", "warning", "starts", "summary", "done")
+TAGGED = ("run_id {key}, seq bigint, cr boolean, line string, blank boolean, important boolean, warning boolean, starts boolean, summary boolean, "
+          "done boolean, current bigint, total bigint, in_traceback boolean, phase string, phase_seq bigint, step_seq bigint, step_current bigint, "
+          "step_total bigint, due boolean")
 
 
-def _state(spark: SparkSession, out: str, batch_id: int, name: str, schema: str) -> DataFrame:
-    if batch_id < 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{out}/state/batch_id={batch_id}/{name}")
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
 
 
-def _ready(pending: DataFrame, runs: DataFrame, patience: int | None) -> DataFrame:
-    """Chunks whose turn it is, with the run's state; ``first`` is where the run goes on.
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=_names(schema), dtype=object)
 
-    A run that has waited ``patience`` batches for a missing chunk goes on after the gap.
-    """
-    by_run = Window.partitionBy("run_id").orderBy("chunk_no")
-    known = pending.join(runs, "run_id", "left").withColumns({
-        "next_chunk": F.coalesce("next_chunk", F.lit(1)), "base": F.coalesce("base", F.lit(0)), "rest": F.coalesce("rest", F.lit("")),
-        "idle": F.coalesce("idle", F.lit(0))}).filter("chunk_no >= next_chunk")
-    lost = F.col("idle") >= patience if patience is not None else F.lit(False)
-    first = F.when(lost, F.min("chunk_no").over(Window.partitionBy("run_id"))).otherwise(F.col("next_chunk"))
-    return known.withColumn("first", first).withColumn("turn", F.col("chunk_no") - F.col("first") == F.row_number().over(by_run) - 1)
-
-
-def _records(ready: DataFrame, ended: DataFrame, block: int) -> DataFrame:
-    """(run_id, seq, line, cr, open): new records after the marks' numbers; ``open`` is the piece without a line end yet."""
-    rests = ready.select("run_id", "first", "base", "rest").unionByName(
-        ended.select("run_id", F.col("next_chunk").alias("first"), "base", "rest")).distinct()
-    pieces = ready.select("run_id", "chunk_no", "text").unionByName(
-        rests.filter("rest <> ''").select("run_id", (F.col("first") - 1).alias("chunk_no"), F.col("rest").alias("text")))
-    tail = pieces.groupBy("run_id").agg(F.max_by("text", F.struct(F.length("text") > 0, "chunk_no")).alias("tail"))
-    closed = ready.filter("last").select("run_id").unionByName(ended.select("run_id")).distinct().withColumn("closed", F.lit(True))
-    records = logs.split_records(pieces, block)
-    final = records.groupBy("run_id").agg(F.max("seq").alias("final"))
-    unfinished = ~F.coalesce("closed", F.lit(False)) & ~F.right("tail", F.lit(1)).isin("\r", "\n")
-    return records.join(final, "run_id").join(tail, "run_id").join(closed, "run_id", "left").join(rests.select("run_id", "base"), "run_id").select(
-        "run_id", (F.col("base") + ROOM + F.col("seq")).alias("seq"), "line", "cr", ((F.col("seq") == F.col("final")) & unfinished).alias("open"))
-
-
-def _marks(end: DataFrame, shown: DataFrame) -> DataFrame:
-    """Records that bring the operators into the state ``end``: (run_id, seq, in_traceback, phase, phase_seq, last_step)."""
-    progress = shown.filter("kind = 'progress'").join(end.select("run_id", "phase_seq"), "run_id").filter("seq > phase_seq")
-    last = progress.groupBy("run_id").agg(F.max_by("current", "seq").alias("shown"))
-    step = F.col("last_step")
-    train = F.coalesce(F.col("phase") == "train", F.lit(False))
-
-    def mark(i: int, when: Column, line: Column) -> Column:
-        return F.when(when, F.struct((F.col("seq") + i).alias("seq"), line.alias("line"), F.lit(False).alias("cr")))
-
-    # a finished count is always shown and leaves its number as the last one shown
-    found = F.array(
-        mark(0, F.col("phase").isNotNull(), F.when(train, logs.PHASE_START).otherwise(logs.PHASE_METRICS)),
-        mark(1, train & F.col("shown").isNotNull(), F.format_string("%d/%d %%", "shown", "shown")),
-        mark(2, train & step.isNotNull(), F.format_string("%d/%d %%", step["current"], step["total"])),
-        mark(3, F.col("in_traceback"), F.lit(logs.TRACEBACK_START)))
-    return end.join(last, "run_id", "left").select("run_id", F.inline(F.filter(found, lambda m: m.isNotNull())))
-
-
-def advance(spark: SparkSession, batch: DataFrame, batch_id: int, out: str, patience: int | None, ttl: int | None, block: int) -> None:
-    """One micro-batch: shown lines to ``out/lines``, the state for the next one to ``out/state``."""
-    runs, marks = (_state(spark, out, batch_id - 1, n, s) for n, s in (("runs", RUNS), ("marks", MARKS)))
-    pending = _state(spark, out, batch_id - 1, "pending", CHUNKS).unionByName(batch).dropDuplicates(["run_id", "chunk_no"])
-    turns = _ready(pending, runs, patience).persist()
-    ready = turns.filter("turn")
-    moved = ready.groupBy("run_id").agg(F.max("chunk_no").alias("to"), F.max("last").alias("ended"))
-    still = runs.join(moved, "run_id", "left_anti")
-    waiting = turns.filter("NOT turn").select("run_id").distinct()
-    silent = still.join(waiting, "run_id", "left_anti").filter(F.col("idle") + 1 >= ttl if ttl is not None else F.lit(False))
-    ended = silent.filter("rest <> ''")
-
-    records = _records(ready, ended, block).persist()
-    fresh = records.filter("NOT open").select("run_id", "seq", "line", "cr")
-    active = records.select("run_id").distinct()
-    replayed = marks.join(active, "run_id", "left_semi")
-    end = records.groupBy("run_id").agg((F.max("seq") + 1).alias("seq")).select("run_id", "seq", F.lit("end").alias("line"), F.lit(False).alias("cr"))
-    classified = logs.classify(replayed.unionByName(fresh).unionByName(end), block).persist()
-    shown = logs.shown_lines(classified.join(end.select("run_id", F.col("seq").alias("_end")), "run_id").filter("seq < _end").drop("_end"), block).persist()
-    bases = records.groupBy("run_id").agg(F.min("seq").alias("_from"))
-    shown.join(bases, "run_id").filter("seq >= _from").select("run_id", F.col("seq").alias("line_no"), "text").write.mode("overwrite").parquet(
-        f"{out}/lines/batch_id={batch_id}")
-
-    state = f"{out}/state/batch_id={batch_id}"
-    gone = ready.filter("last").select("run_id").unionByName(silent.select("run_id")).distinct()
-    last = classified.join(end.select("run_id", "seq"), ["run_id", "seq"]).select("run_id", "seq", "in_traceback", "phase", "phase_seq", "last_step")
-    new_marks = _marks(last, shown).unionByName(marks.join(active, "run_id", "left_anti"))
-    new_marks.join(gone, "run_id", "left_anti").write.mode("overwrite").parquet(f"{state}/marks")
-    rest = records.filter("open").select("run_id", F.col("line").alias("rest"))
-    went = moved.join(end.select("run_id", F.col("seq").alias("base")), "run_id", "left").join(rest, "run_id", "left").join(
-        runs.select("run_id", F.col("base").alias("_base")), "run_id", "left").select(
-        "run_id", (F.col("to") + 1).alias("next_chunk"), F.coalesce("base", "_base", F.lit(0)).alias("base"), F.coalesce("rest", F.lit("")).alias("rest"),
-        F.lit(0).alias("idle"))
-    strangers = waiting.join(moved, "run_id", "left_anti").join(runs, "run_id", "left_anti").select(
-        "run_id", F.lit(1).cast("bigint").alias("next_chunk"), F.lit(0).cast("bigint").alias("base"), F.lit("").alias("rest"), F.lit(1).alias("idle"))
-    after = went.unionByName(still.withColumn("idle", F.col("idle") + 1)).unionByName(strangers).join(gone, "run_id", "left_anti")
-    after.select("run_id", "next_chunk", "base", "rest", "idle").write.mode("overwrite").parquet(f"{state}/runs")
-    turns.filter("NOT turn").select("run_id", "chunk_no", "text", "last").join(gone, "run_id", "left_anti").write.mode("overwrite").parquet(f"{state}/pending")
-    for held in (shown, classified, records, turns):
-        held.unpersist()
-
-
-def log_stream(chunks: DataFrame, out: str, checkpoint: str, patience: int | None = None, ttl: int | None = None, block: int = BLOCK):
-    """Writer of streaming chunks (run_id, chunk_no, text[, last]) to shown lines (run_id, line_no, text) in ``out/lines``.
-
-    Chunks of a run are numbered from 1 and may come in any order; one that comes early waits in a table for those before
-    it. The chunk marked ``last`` ends its run: an unfinished last line is shown and the run's state goes. So it does
-    after ``ttl`` batches without a chunk, unless chunks wait; a chunk that is missing for ``patience`` batches is given up.
-    """
-    rows = chunks if "last" in chunks.columns else chunks.withColumn("last", F.lit(False))
-    spark = chunks.sparkSession
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        advance(spark, batch.select("run_id", "chunk_no", "text", F.coalesce("last", F.lit(False)).alias("last")), batch_id, out, patience, ttl, block)
+class Records(StatefulProcessor):
+    """Chunks of a run, in any order, to its records; a record without a line closes the run.
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    ``place`` is where the run goes on, ``open`` the pieces of the record that has not ended, ``early`` the chunks that
+    wait for those before them. One timer a run: for the missing chunk if any wait, else for the end of a silent run.
+    """
+
+    def __init__(self, patience: int | None, ttl: int | None):
+        self.patience, self.ttl = patience, ttl
+        self.timed = patience is not None or ttl is not None
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.place = handle.getValueState("place", PLACE)
+        self.open = handle.getListState("open", "piece string")
+        self.early = handle.getMapState("early", "chunk_no bigint", "text string, last boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        following, seq = self.place.get() if self.place.exists() else (1, 0)
+        came = {}
+        for batch in rows:
+            for number, text, last in zip(batch["chunk_no"], batch["text"], batch["last"]):
+                if number >= following:
+                    came.setdefault(int(number), (text, bool(last)))
+        yield self.advance(key, following, seq, came, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        following, seq = self.place.get() if self.place.exists() else (1, 0)
+        waiting = [k[0] for k in self.early.keys()]
+        yield self.advance(key, min(waiting) if waiting else following, seq, {}, timerValues, not waiting)
+
+    def advance(self, key, following: int, seq: int, came: dict, timerValues, ended: bool = False) -> pd.DataFrame:
+        """Take the chunks whose turn it is, and keep the others."""
+        texts = []
+        while not ended:
+            if following in came:
+                text, ended = came.pop(following)
+                if self.early.containsKey((following,)):
+                    self.early.removeKey((following,))
+            elif self.early.containsKey((following,)):
+                text, ended = self.early.getValue((following,))
+                self.early.removeKey((following,))
+            else:
+                break
+            texts.append(text)
+            following += 1
+        records = self.cut(key, seq, "".join(texts), ended)
+        if self.timed:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+        if ended:
+            for state in (self.place, self.open, self.early):
+                state.clear()
+            return _frame(records, RECORDS)
+        for number, value in came.items():
+            if not self.early.containsKey((number,)):
+                self.early.updateValue((number,), value)
+        self.place.update((following, records[-1][1] if records else seq))
+        wait = self.patience if self.early.exists() else self.ttl
+        if wait is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + wait)
+        return _frame(records, RECORDS)
+
+    def cut(self, key, seq: int, text: str, ended: bool) -> list[tuple]:
+        pieces = [p for p in re.split(r"(?<=[\r\n])", text) if p]
+        rest = pieces.pop() if pieces and not ended and pieces[-1][-1] not in "\r\n" else None
+        if (pieces or ended) and self.open.exists():
+            pieces[:1] = ["".join([p[0] for p in self.open.get()] + pieces[:1])]
+            self.open.clear()
+        if rest is not None:
+            self.open.appendValue((rest,))
+        found = []
+        for n, piece in enumerate(pieces, seq + 1):
+            closed = piece[-1] in "\r\n"
+            found.append((key[0], n, piece[:-1] if closed else piece, piece[-1] == "\r"))
+        if ended:
+            found.append((key[0], seq + len(pieces) + 1, None, False))
+        return found
+
+    def close(self) -> None:
+        pass
+
+
+class Tags(StatefulProcessor):
+    """Records of a run with their marks, in order, to tagged records; what the next one depends on is the state."""
+
+    def init(self, handle) -> None:
+        self.carried = handle.getValueState("carried", CARRIED)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        table = pd.concat(list(rows)).sort_values("seq")
+        inside, phase, phase_seq, step_seq, step, whole, shown = self.carried.get() if self.carried.exists() else (False, None, None, None, None, None, 0)
+        out, ended = [], False
+        names = ["seq", "cr", "line", *FLAGS, "current", "total"]
+        for seq, cr, line, blank, tb_start, tb_end, important, warning, starts, summary, done, current, total in zip(*(table[n].tolist() for n in names)):
+            if line is None:
+                ended = True
+                continue
+            inside = bool(inside or tb_start)
+            plain = not (blank or inside or important or warning)
+            change = "train" if starts else "table" if summary else "none" if done else None
+            number, of = (None, None) if pd.isna(current) else (int(current), int(total))
+            here = (phase, phase_seq) if phase != "none" else (None, None)
+            due = True
+            if plain and change is None and number is not None and phase == "train":
+                again = step_seq is not None and step_seq > phase_seq and (step, whole) == (number, of)
+                due = not again and logs.is_due(number, of, shown)
+                if due:
+                    shown = number
+            out.append((key[0], seq, cr, line, blank, important, warning, starts, summary, done, number, of, inside, *here, step_seq, step, whole, due))
+            if plain and change:
+                phase, phase_seq, shown = change, seq, 0
+            elif plain and number is not None:
+                step_seq, step, whole = seq, number, of
+            if not tb_start and (tb_end or blank and not cr):
+                inside = False
+        if ended:
+            self.carried.clear()
+        else:
+            self.carried.update((inside, phase, phase_seq, step_seq, step, whole, shown))
+        yield _frame(out, TAGGED)
+
+    def close(self) -> None:
+        pass
+
+
+def _milliseconds(seconds: float | None) -> int | None:
+    return None if seconds is None else int(seconds * 1000)
+
+
+def shown_stream(chunks: DataFrame, patience: float | None = None, ttl: float | None = None) -> DataFrame:
+    """Streaming chunks (run_id, chunk_no, text[, last]) to shown lines (run_id, line_no, text), to be written in append mode.
+
+    Chunks of a run are numbered from 1 and may come in any order and more than once; one that comes early waits for those
+    before it, at most ``patience`` seconds. The chunk marked ``last`` ends its run: an unfinished last line is shown and
+    the run's state goes. So it does ``ttl`` seconds after its last chunk, unless chunks wait. Both are processing time and
+    without end by default; with them Spark runs batches without data too, so an ``availableNow`` query needs
+    ``spark.sql.streaming.noDataMicroBatches.enabled=false`` to end. A chunk of a run that has ended begins that run anew. Rows without a run or a number are left
+    out; a null text is empty. The new records of one run in one micro-batch are held by one task.
+    """
+    chunks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    key = chunks.schema["run_id"].dataType.simpleString()
+    last = F.coalesce("last", F.lit(False)) if "last" in chunks.columns else F.lit(False)
+    rows = chunks.filter("run_id IS NOT NULL AND chunk_no IS NOT NULL").select(
+        "run_id", "chunk_no", F.coalesce("text", F.lit("")).alias("text"), last.alias("last"))
+    cutter = Records(_milliseconds(patience), _milliseconds(ttl))
+    records = rows.groupBy("run_id").transformWithStateInPandas(cutter, RECORDS.format(key=key), "Append", "ProcessingTime" if cutter.timed else "None")
+    marked = logs.marks(records.filter("line IS NULL OR NOT (cr AND line = '')")).select(
+        "run_id", "seq", "cr", "line", *FLAGS, F.col("step.current").alias("current"), F.col("step.total").alias("total"))
+    tagged = marked.groupBy("run_id").transformWithStateInPandas(Tags(), TAGGED.format(key=key), "Append", "None")
+    step = F.when(F.col("current").isNotNull(), F.struct("current", "total"))
+    before = F.when(F.col("step_seq").isNotNull(), F.struct(F.col("step_seq").alias("seq"), F.col("step_current").alias("current"), F.col("step_total").alias("total")))
+    classified = logs.kinds(tagged.select(
+        "run_id", "seq", "cr", "line", "blank", "important", "warning", "starts", "summary", "done", step.alias("step"), "in_traceback", "phase", "phase_seq",
+        before.alias("last_step"), "due"), "due")
+    lines = logs.told(classified.filter(F.col("kind").isin(*logs.SHOWN) & ((F.col("kind") != "progress") | (F.col("due") & (F.col("progress.total") != 0)))))
+    return lines.select("run_id", F.col("seq").alias("line_no"), "text")
+
+
+def log_stream(chunks: DataFrame, out: str, checkpoint: str, patience: float | None = None, ttl: float | None = None):
+    """Writer of ``shown_stream`` to ``out/lines``."""
+    return write_rows(shown_stream(chunks, patience, ttl), f"{out}/lines", checkpoint)

@@ -1,10 +1,11 @@
 import ast
 import random
+import time
 
 import pytest
 
 from sft_tables.operators import logs
-from sft_tables.streaming import log_stream
+from sft_tables.streaming import log_stream, tables
 
 #: Two training phases around other work, each event with a twin that must not count.
 LOG = (
@@ -47,29 +48,49 @@ def test_concise_view_does_not_depend_on_chunks_or_blocks(spark, size, block):
     assert shown(logs.filter_verbosity(records, "concise", block)) == SHOWN
 
 
-def streamed(spark, out, batches, **options):
-    """Shown lines of micro-batches of (run_id, chunk_no, text, last)."""
+def streamed(spark, folder, batches, pause=0, **options):
+    """Shown lines of micro-batches of (run_id, chunk_no, text, last), in one query or in one for each of them."""
+    source = spark.readStream.schema(log_stream.CHUNKS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
     for i, rows in enumerate(batches):
-        for _ in range(2 if i == 1 else 1):  # a repeated batch changes nothing
-            log_stream.advance(spark, spark.createDataFrame(rows, log_stream.CHUNKS), i, str(out), options.get("patience"), options.get("ttl"), 16384)
-    found = spark.read.schema(log_stream.LINES).parquet(f"{out}/lines").orderBy("run_id", "line_no").collect()
+        spark.createDataFrame(rows, log_stream.CHUNKS).coalesce(1).write.parquet(f"{folder}/in/{i:03}")
+        if pause or i == len(batches) - 1:
+            tables.run_to_end(log_stream.log_stream(source, f"{folder}/out", f"{folder}/state", **options))
+            time.sleep(pause)
+    found = spark.read.schema(log_stream.LINES).parquet(f"{folder}/out/lines").orderBy("run_id", "line_no").collect()
     return [(r["run_id"], r["text"]) for r in found]
 
 
+def state_rows(spark, folder):
+    """Runs that have state, by state variable."""
+    found = {}
+    for operator, names in enumerate([["carried"], ["place", "open", "early"]]):
+        for name in names:
+            state = spark.read.format("statestore").option("operatorId", operator).option("stateVarName", name).load(f"{folder}/state")
+            found[name] = {r["key"]["run_id"] for r in state.collect()}
+    return found
+
+
 def test_stream_agrees_with_batch(spark, tmp_path):
     pieces = [LOG[i:i + 23] for i in range(0, len(LOG), 23)]
     chunks = [(run, n, text, n == len(pieces)) for run in (1, 2) for n, text in enumerate(pieces, 1)]
     rng = random.Random(3)
     mixed = chunks[:8] + rng.sample(chunks[8:], len(chunks) - 8)
-    batches = [mixed[i:i + 17] for i in range(0, len(mixed), 17)]
-    assert streamed(spark, tmp_path, batches) == [(1, t) for t in SHOWN] + [(2, t) for t in SHOWN]
-    assert spark.read.parquet(f"{tmp_path}/state/batch_id={len(batches) - 1}/runs").count() == 0
+    again = rng.sample(mixed[:40], 10)  # chunks that come twice change nothing
+    batches = [mixed[i:i + 17] for i in range(0, len(mixed) - 20, 17)] + [again + [(3, 1, "ERROR c\nERROR", False), (3, 3, "", False)]]
+    batches.append([c for c in mixed if not any(c in b for b in batches)])
+    assert streamed(spark, tmp_path, batches) == [(1, t) for t in SHOWN] + [(2, t) for t in SHOWN] + [(3, "ERROR c")]
+    assert state_rows(spark, tmp_path) == {"place": {3}, "open": {3}, "early": {3}, "carried": {3}}
 
 
 def test_stream_gives_up_gaps_and_idle_runs(spark, tmp_path):
-    batches = [[(1, 1, "ERROR a\nERR", False), (2, 2, "ERROR late\n", False)], [(1, 2, "OR b", False)], [(3, 1, "x", False)], [(3, 2, "y", False)]]
-    found = streamed(spark, tmp_path, batches, patience=2, ttl=2)
-    assert found == [(1, "ERROR a"), (1, "ERROR b"), (2, "ERROR late")]
+    """Each batch is a query of its own that goes on from the checkpoint; timers run between them."""
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    batches = [[(1, 1, "ERROR a\nERROR b", False), (2, 2, "ERROR late\n", False)], [(3, 1, "ERR", False)], [(3, 2, "OR y", False)], [(4, 1, "x", True)]]
+    found = streamed(spark, tmp_path, batches, pause=1.5, patience=1, ttl=1)
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    # chunks are taken before timers, so the second chunk of run 3 is in time
+    assert found == [(1, "ERROR a"), (1, "ERROR b"), (2, "ERROR late"), (3, "ERROR y")]
+    assert not any(state_rows(spark, tmp_path).values())
 
 
 def test_records_remember_their_terminator(spark):
