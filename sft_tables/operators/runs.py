@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sft_tables.functions import variants as vr
@@ -160,6 +160,18 @@ def metric_history(states: DataFrame) -> DataFrame:
                        get("loss", "double"), get("learning_rate", "double"))
 
 
+def metric_curves(history: DataFrame) -> DataFrame:
+    """Loss curve per run from ``metric_history`` rows: the change against the logged loss before, the lowest so far and
+    the step it was logged at (the first of equal ones). Entries without a finite loss are no points. A run's history comes
+    from one document, so a window holds no more than that."""
+    points = history.filter("loss IS NOT NULL AND NOT isnan(loss) AND abs(loss) <> double('inf')")
+    by_run = Window.partitionBy("run_id").orderBy("entry")
+    so_far = by_run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = F.min(F.struct(F.col("loss"), F.col("entry"), F.col("step"))).over(so_far)
+    return points.select("run_id", "entry", "step", "loss", (F.col("loss") - F.lag("loss").over(by_run)).alias("change"), best.alias("_best")).select(
+        "run_id", "entry", "step", "loss", "change", F.col("_best.loss").alias("best_loss"), F.col("_best.step").alias("best_step"))
+
+
 def report_context(runs: DataFrame) -> DataFrame:
     """Non-secret training facts; a missing, negative or non-finite duration is NULL, lora only where present."""
     d = F.col("duration_seconds")

@@ -151,6 +151,14 @@ def q_history(spark, sf_dir):
     return runs.metric_history(states).select("run_id", "entry", "step", "epoch", "loss")
 
 
+@register("metric_curves", f"""WITH {METRICS}, h AS (SELECT run_id, CAST(i - 1 AS BIGINT) AS entry, CAST(i AS BIGINT) AS step, p / i AS loss FROM m, (SELECT unnest([1, 2]) AS i) WHERE c)
+  SELECT run_id, entry, step, loss, loss - lag(loss) OVER w AS change, min(loss) OVER w AS best_loss, arg_min(step, loss) OVER w AS best_step
+  FROM h WINDOW w AS (PARTITION BY run_id ORDER BY entry)""")
+def q_curves(spark, sf_dir):
+    states = metric_documents(spark, sf_dir).filter("file_name = 'trainer_state.json'")
+    return runs.metric_curves(runs.metric_history(states))
+
+
 REPORT_SQL = """SELECT o_orderkey AS run_id, 'base-' || CAST(o_custkey AS STRING) AS model_name, 3 AS epochs, CAST(0.0001 AS DOUBLE) AS learning_rate,
    CAST(2 AS BIGINT) AS batch_size, CAST(2048 AS BIGINT) AS cutoff_len, CASE WHEN o_orderkey % 2 = 0 THEN CAST(8 AS BIGINT) END AS lora_rank,
    CAST(16 AS BIGINT) AS lora_alpha, CAST(0.1 AS DOUBLE) AS lora_dropout,

@@ -127,3 +127,10 @@ def test_secrets_in_maps_lists_and_variants(spark):
     assert redact.redact_data(loose).select(F.to_json("v")).first()[0] == '{"a":[{"secret":"<redacted>"}]}'
     with pytest.raises(ValueError):
         redact.literal_secret_audit(loose, [])
+
+
+def test_metric_curves(spark):
+    rows = [(1, 0, 10, 3.0), (1, 1, 20, None), (1, 2, 30, 2.0), (1, 3, 40, float("nan")), (1, 4, 50, 2.0), (1, 5, 60, 2.5), (2, 0, None, 1.0), (3, 0, 1, None)]
+    found = runs.metric_curves(spark.createDataFrame(rows, "run_id bigint, entry bigint, step bigint, loss double").repartition(3))
+    assert sorted(tuple(r)[:2] + tuple(r)[4:] for r in found.collect()) == [
+        (1, 0, None, 3.0, 10), (1, 2, -1.0, 2.0, 30), (1, 4, 0.0, 2.0, 30), (1, 5, 0.5, 2.0, 30), (2, 0, None, 1.0, None)]
