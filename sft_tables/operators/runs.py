@@ -206,7 +206,8 @@ def validate_lora(files: DataFrame, configs: DataFrame, runs: DataFrame) -> Data
         declared["ref"].alias("declared"), F.coalesce(strip(F.expr(vr.text_at("$.revision"))), declared["revision"]).alias("declared_revision"))
     want = normalize_model_ref(F.col("base_model"))
     accepted = F.filter(F.array(strip("requested_revision"), strip("resolved_revision"), F.col("_want.revision")), lambda r: nonblank(r))
-    joined = runs.withColumn("_want", want).join(sizes, "run_id", "left").join(read, "run_id", "left")
+    # the planner sees little of what a parsed text holds, and would broadcast tables as long as ``runs``
+    joined = runs.withColumn("_want", want).join(sizes.hint("merge"), "run_id", "left").join(read.hint("merge"), "run_id", "left")
     known = lambda c: F.coalesce(F.col(c), F.lit(False))
     code = first_error([
         ("CONFIG_MISSING", F.col("config_size").isNull()), ("CONFIG_EMPTY", F.col("config_size") == 0),

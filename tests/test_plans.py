@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from sft_tables.operators import convert, formats
+from sft_tables.operators import convert, formats, runs
 from sft_tables.operators import rows as rw
 from sft_tables.plans import fixtures
 
@@ -51,3 +51,12 @@ def test_conversion_has_no_python_and_parses_once_per_scan(spark):
     assert text.count("parseJson") == 1
     # raw text is not moved by the join with the formats, whose written size is known
     assert "BroadcastHashJoin" in text and not re.search(r"Exchange hashpartitioning\(dataset_id[^)]*\), ENSURE[\s\S]{0,400}raw#", text)
+
+
+def test_configs_as_many_as_runs_are_not_broadcast(spark):
+    files = spark.createDataFrame([(1, runs.LORA_CONFIG, 5), (1, runs.LORA_WEIGHTS, 0)], "run_id bigint, rel_path string, size bigint")
+    configs = spark.createDataFrame([(1, '{"r": 8, "base_model_name_or_path": "a/b"}')], "run_id bigint, raw string")
+    wanted = spark.createDataFrame([(1, "a/b", None, None), (2, "a/b", None, None)], "run_id bigint, base_model string, requested_revision string, resolved_revision string")
+    found = runs.validate_lora(files, configs, wanted)
+    assert "Broadcast" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [(1, "WEIGHTS_EMPTY"), (2, "CONFIG_MISSING")]
