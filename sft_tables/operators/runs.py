@@ -282,14 +282,15 @@ def discover_targets(requests: DataFrame, claims: DataFrame, executions: DataFra
 def owned_resources(requests: DataFrame, targets: DataFrame, resources: DataFrame) -> DataFrame:
     """Resources labelled with a target run, a target execution or the requested pipeline: (request_id, resource_id).
 
-    Every resource is read once, as one row per label that it has; one equi-join finds the requests.
+    Every resource is read once, as one row per label that it has; one equi-join finds the requests. Pairs leave the join
+    before equal ones are put together: a label that many requests want makes far more pairs than its task has read.
     """
     label = lambda kind, column: F.struct(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("id"))
     labels = F.array(label("run", "run_id"), label("execution", "execution_id"), label("pipeline", "pipeline_id"))
     labelled = resources.select("resource_id", F.inline(labels)).filter("id IS NOT NULL")
     pipelines = requests.filter("pipeline_id IS NOT NULL").select("request_id", label("pipeline", "pipeline_id").alias("l")).select("request_id", "l.*")
     wanted = targets.select("request_id", "kind", "id").unionByName(pipelines)
-    return labelled.join(wanted, ["kind", "id"]).select("request_id", "resource_id").distinct()
+    return labelled.join(wanted, ["kind", "id"]).select("request_id", "resource_id").repartition("request_id", "resource_id").distinct()
 
 
 def leftovers(requests: DataFrame, targets: DataFrame, later: DataFrame) -> DataFrame:

@@ -60,3 +60,13 @@ def test_configs_as_many_as_runs_are_not_broadcast(spark):
     found = runs.validate_lora(files, configs, wanted)
     assert "Broadcast" not in plan(found)
     assert sorted(map(tuple, found.collect())) == [(1, "WEIGHTS_EMPTY"), (2, "CONFIG_MISSING")]
+
+
+def test_pairs_are_dealt_out_before_they_are_made_distinct(spark):
+    requests = spark.createDataFrame([(1, None, "e", 7), (2, "r", None, None)], "request_id bigint, run_id string, execution_id string, pipeline_id bigint")
+    targets = spark.createDataFrame([(1, "execution", "e"), (2, "run", "r")], "request_id bigint, kind string, id string")
+    resources = spark.createDataFrame([(10, "r", "e", 7), (11, "r", "e", None), (11, "r", "e", None)], "resource_id bigint, run_id string, execution_id string, pipeline_id bigint")
+    found = runs.owned_resources(requests, targets, resources)
+    pair = r"\(keys=\[request_id#\d+L, resource_id#\d+L\]"
+    assert re.search(pair + r"[^\n]*\n[ +:-]*Exchange hashpartitioning\(request_id#\d+L, resource_id#\d+L, \d+\), REPARTITION_BY_COL", plan(found))
+    assert sorted(map(tuple, found.collect())) == [(1, 10), (1, 11), (2, 10), (2, 11)]
