@@ -26,6 +26,19 @@ def open_bytes(uri: str):
     return system.open_input_file(path)
 
 
+def write_bytes(uri: str, data: bytes) -> None:
+    """A whole file in place, folders included; written anew if it is there."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        system, path = fs.LocalFileSystem(), unquote(re.sub(r"^file:/+", "/", uri))
+    else:
+        system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(path) as stream:
+        stream.write(data)
+
+
 def open_text(uri: str, newline: str | None = None) -> io.TextIOWrapper:
     """UTF-8 text without a byte order mark, read in pieces."""
     return io.TextIOWrapper(io.BufferedReader(open_bytes(uri)), encoding="utf-8-sig", newline=newline)

@@ -285,3 +285,14 @@ def test_normalized_rows_keep_their_order(spark, tmp_path):
     sinks.write_normalized(table, str(tmp_path / "out"))
     written = [json.loads(line)["instruction"] for f in sorted((tmp_path / "out" / "dataset_id=d").glob("*.json")) for line in f.read_text().splitlines()]
     assert written == [f"q{i}" for i in range(1, 500)]
+
+
+def test_files_are_written_by_their_keys(spark, tmp_path):
+    from sft_tables.plans import fixtures
+
+    rows = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", "z"), (None, "b", None)], "k bigint, kind string, value string")
+    fixtures.write_files(rows, ["k", "kind"], f"file://{tmp_path}/out")
+    found = {str(p.parent.relative_to(tmp_path / "out")): p.read_text() for p in (tmp_path / "out").rglob("*.txt")}
+    assert found.pop("k=1/kind=a") in ("x\ny\n", "y\nx\n")
+    assert found == {"k=2/kind=b": "z\n", "k=__HIVE_DEFAULT_PARTITION__/kind=b": "\n"}
+    assert not list((tmp_path / "out").rglob("_temporary")) and not (tmp_path / "out" / "_SUCCESS").exists()
