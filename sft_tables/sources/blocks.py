@@ -19,6 +19,8 @@ from sft_tables.session import written
 from sft_tables.sources.files import list_files, open_bytes
 
 BLOCK_BYTES, MOST_TASKS = 8 << 20, 1 << 16
+#: Files that a task opens where they are much smaller than a block.
+FILES_PER_TASK = 64
 CHUNK = 1 << 20
 #: A record of a block, or the place where the block is broken.
 RECORD = "path string, block bigint, local bigint, raw string, code string, position bigint, detail string"
@@ -28,10 +30,12 @@ class Blocks:
     """The blocks of all files below a path: (path, length, block, start, stop, several); an empty file is one block."""
 
     def __init__(self, spark: SparkSession, path: str | list[str], size: int = BLOCK_BYTES):
-        files = list_files(spark, path)
+        files = self.files = written(list_files(spark, path), "files")
         number = F.greatest(F.ceil(F.col("length") / size), F.lit(1)).cast("bigint")
-        counted = files.agg(F.sum(number).alias("blocks"), F.count(F.lit(1)).alias("files")).first()
-        self.size, self.tasks = size, max(1, min(counted["blocks"] or 0, MOST_TASKS))
+        counted = files.agg(F.sum(number).alias("blocks"), F.count(F.lit(1)).alias("files"), F.sum("length").alias("length")).first()
+        # small files share tasks: as many as their bytes, or opening them, are worth
+        worth = -(-(counted["length"] or 0) // size) + counted["files"] // FILES_PER_TASK
+        self.size, self.tasks = size, max(1, min(worth, counted["blocks"] or 0, MOST_TASKS))
         self.any_several = (counted["blocks"] or 0) > counted["files"]
         blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0), number - 1)).alias("block"))
         self.table = blocks.select(

@@ -19,7 +19,7 @@ from sft_tables.functions.carry import last_before, running_total
 from sft_tables.session import written
 from sft_tables.sources.arrays import in_frames, refused_of, rows_of
 from sft_tables.sources.blocks import BLOCK_BYTES, RECORD, Blocks, first_broken, lines_from, numbered, settled
-from sft_tables.sources.files import list_files, open_text
+from sft_tables.sources.files import open_text
 from sft_tables.sources.probe import csv_dialect
 
 BAD, HEADER = "BAD_CSV", "CSV_HEADER"
@@ -47,13 +47,13 @@ def layout(uri: str, sep: str | None) -> tuple:
     return uri, found.delimiter, found.quotechar, found.doublequote, found.skipinitialspace, header, None, None
 
 
-def csv_layouts(spark: SparkSession, path: str | list[str], sep: str | None = None) -> DataFrame:
-    """How every file below a path is written, or why it cannot be read."""
+def csv_layouts(blocks: Blocks, sep: str | None = None) -> DataFrame:
+    """How every file is written, or why it cannot be read."""
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame([layout(uri, sep) for uri in batch["path"]], columns=[c.split()[0] for c in LAYOUT.split(", ")])
 
-    return list_files(spark, path).select("path").mapInPandas(look, LAYOUT)
+    return blocks.spread(blocks.files.select("path")).mapInPandas(look, LAYOUT)
 
 
 def ends_inside(uri: str, start: int, stop: int, dialect: type[csv.Dialect], inside: bool) -> bool:
@@ -156,7 +156,7 @@ def read_csv_table(spark: SparkSession, path: str | list[str], sep: str | None =
     are written to the shared folder once; a file that is broken anywhere gives no rows.
     """
     blocks = Blocks(spark, path, size)
-    layouts = written(csv_layouts(spark, path, sep), "csv-layouts")
+    layouts = written(csv_layouts(blocks, sep), "csv-layouts")
     fine = layouts.filter("code IS NULL")
     several = block_starts(blocks, layouts, spark) if multi_line else spark.createDataFrame([], "path string, block bigint, inside boolean")
     work = blocks.table.join(fine, "path").join(several, ["path", "block"], "left").select(

@@ -287,6 +287,18 @@ def test_normalized_rows_keep_their_order(spark, tmp_path):
     assert written == [f"q{i}" for i in range(1, 500)]
 
 
+def test_small_files_share_tasks_and_are_listed_once(spark, tmp_path):
+    from sft_tables.sources.blocks import Blocks
+
+    for i in range(300):
+        (tmp_path / f"f{i}.csv").write_text("a;b\n1;2\n")
+    blocks = Blocks(spark, str(tmp_path))
+    assert blocks.tasks <= 10 and blocks.table.count() == 300
+    for i in range(300):
+        (tmp_path / f"f{i}.csv").unlink()
+    assert blocks.files.count() == 300
+
+
 def test_files_are_written_by_their_keys(spark, tmp_path):
     from sft_tables.plans import fixtures
 
