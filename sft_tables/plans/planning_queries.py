@@ -240,7 +240,8 @@ def specs(base: dict, faults: list[tuple[str | None, str | None, object]]) -> li
 def spec_table(spark: SparkSession, sf_dir: str, documents: list[tuple[str, str | None]], key: str) -> DataFrame:
     """Document text chosen by p_partkey from the list; the number in the name keeps rows distinct."""
     texts = F.array(*[F.lit(t) for t, _ in documents])
-    part = fixtures.table(spark, sf_dir, "part")
+    # a few MB of keys, which a scan gives to one or two tasks, are many documents: they are dealt out before these are made
+    part = fixtures.table(spark, sf_dir, "part").select("p_partkey").repartition(2 * spark.sparkContext.defaultParallelism)
     return part.select(F.col("p_partkey").alias(key), F.get(texts, (F.col("p_partkey") % len(documents)).cast("int")).alias("raw"))
 
 

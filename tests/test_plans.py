@@ -70,3 +70,8 @@ def test_pairs_are_dealt_out_before_they_are_made_distinct(spark):
     pair = r"\(keys=\[request_id#\d+L, resource_id#\d+L\]"
     assert re.search(pair + r"[^\n]*\n[ +:-]*Exchange hashpartitioning\(request_id#\d+L, resource_id#\d+L, \d+\), REPARTITION_BY_COL", plan(found))
     assert sorted(map(tuple, found.collect())) == [(1, 10), (1, 11), (2, 10), (2, 11)]
+
+
+def test_specs_are_dealt_out_before_they_are_checked(spark):
+    text = plan(entry.queries()["validate_policy"](spark, SF))
+    assert re.search(r"parseJson[\s\S]*Exchange RoundRobinPartitioning[\s\S]*FileScan", text)
