@@ -57,7 +57,7 @@ class Records(StatefulProcessor):
         self.early = handle.getMapState("early", "chunk_no bigint", "text string, last boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        following, seq = self.place.get() if self.place.exists() else (1, 0)
+        following, seq = self.place.get() or (1, 0)
         came = {}
         for batch in rows:
             for number, text, last in zip(batch["chunk_no"], batch["text"], batch["last"]):
@@ -66,19 +66,20 @@ class Records(StatefulProcessor):
         yield self.advance(key, following, seq, came, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        following, seq = self.place.get() if self.place.exists() else (1, 0)
+        following, seq = self.place.get() or (1, 0)
         waiting = [k[0] for k in self.early.keys()]
         yield self.advance(key, min(waiting) if waiting else following, seq, {}, timerValues, not waiting)
 
     def advance(self, key, following: int, seq: int, came: dict, timerValues, ended: bool = False) -> pd.DataFrame:
-        """Take the chunks whose turn it is, and keep the others."""
-        texts = []
+        """Take the chunks whose turn it is, and keep the others. Each look at the state is a call to Spark: a run without
+        early chunks makes none for its single chunks."""
+        texts, held = [], self.early.exists()
         while not ended:
             if following in came:
                 text, ended = came.pop(following)
-                if self.early.containsKey((following,)):
+                if held and self.early.containsKey((following,)):
                     self.early.removeKey((following,))
-            elif self.early.containsKey((following,)):
+            elif held and self.early.containsKey((following,)):
                 text, ended = self.early.getValue((following,))
                 self.early.removeKey((following,))
             else:
@@ -94,10 +95,10 @@ class Records(StatefulProcessor):
                 state.clear()
             return _frame(records, RECORDS)
         for number, value in came.items():
-            if not self.early.containsKey((number,)):
+            if not (held and self.early.containsKey((number,))):
                 self.early.updateValue((number,), value)
         self.place.update((following, records[-1][1] if records else seq))
-        wait = self.patience if self.early.exists() else self.ttl
+        wait = (self.patience if self.early.exists() else self.ttl) if self.timed else None
         if wait is not None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + wait)
         return _frame(records, RECORDS)
@@ -130,7 +131,7 @@ class Tags(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         table = pd.concat(list(rows)).sort_values("seq")
-        inside, phase, phase_seq, step_seq, step, whole, shown = self.carried.get() if self.carried.exists() else (False, None, None, None, None, None, 0)
+        inside, phase, phase_seq, step_seq, step, whole, shown = self.carried.get() or (False, None, None, None, None, None, 0)
         out, ended = [], False
         names = ["seq", "cr", "line", *FLAGS, "current", "total"]
         for seq, cr, line, blank, tb_start, tb_end, important, warning, starts, summary, done, current, total in zip(*(table[n].tolist() for n in names)):

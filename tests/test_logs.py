@@ -2,6 +2,7 @@ import ast
 import random
 import time
 
+import pandas as pd
 import pytest
 
 from sft_tables.operators import logs
@@ -176,3 +177,25 @@ def test_metrics_of_any_nesting(spark):
         assert last.keys() == wanted.keys(), text
         for name, v in wanted.items():
             assert last[name] == v or ast.literal_eval(last[name]) == v, text  # a value keeps its text, brackets around it too
+
+
+def test_chunks_in_order_ask_the_state_once_a_run():
+    asked = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.value = name, None
+
+        def __getattr__(self, call):
+            asked.append((self.name, call))
+            return {"exists": lambda: False, "get": lambda: None, "update": lambda value: setattr(self, "value", value)}[call]
+
+    class Handle:
+        getValueState = getListState = getMapState = staticmethod(lambda name, *_: State(name))
+
+    records = log_stream.Records(None, None)
+    records.init(Handle)
+    chunks = pd.DataFrame({"chunk_no": range(1, 501), "text": ["x\n"] * 500, "last": [False] * 500})
+    [found] = records.handleInputRows((1,), iter([chunks]), None)
+    assert len(found) == 500 and records.place.value == (501, 500)
+    assert len(asked) <= 4
