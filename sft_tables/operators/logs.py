@@ -67,25 +67,40 @@ def split_records(chunks: DataFrame, block: int = BLOCK) -> DataFrame:
     whole = pieces.filter(inner).select("run_id", "seq", "piece")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "piece"))), lambda x: x["piece"]), "")
     spanning = pieces.filter(~inner).groupBy("run_id", "seq").agg(text.alias("piece"))
-    records = whole.unionByName(spanning).select(
-        "run_id", "seq", F.regexp_replace("piece", r"[\r\n]\z", "").alias("line"), F.endswith("piece", F.lit("\r")).alias("cr"))
+    piece = F.col("piece")
+    records = whole.unionByName(spanning).select("run_id", "seq", record_line(piece).alias("line"), record_cr(piece).alias("cr"))
     return records.filter("NOT (cr AND line = '')")
 
 
+def record_line(piece: Column) -> Column:
+    """The line of a piece, without the character that ends it."""
+    return F.regexp_replace(piece, r"[\r\n]\z", "")
+
+
+def record_cr(piece: Column) -> Column:
+    return F.endswith(piece, F.lit("\r"))
+
+
 def strip_ansi(line: Column) -> Column:
     return strip(F.regexp_replace(line, ANSI, ""))
 
 
+def said(line: Column) -> dict[str, Column]:
+    """What a stripped line says by itself."""
+    return {
+        "blank": line == "", "tb_start": F.startswith(line, F.lit(TRACEBACK_START)),
+        "tb_end": line.rlike(TRACEBACK_END), "important": line.rlike(IMPORTANT),
+        "warning": line.rlike(WARNING), "starts": line.contains(PHASE_START),
+        "summary": line.contains(PHASE_METRICS), "done": line.rlike(PHASE_DONE),
+        "step": parse_progress(line),
+    }
+
+
 def marks(records: DataFrame) -> DataFrame:
     """What every record says by itself."""
     line = F.col("line")
     return once(records.select("run_id", "seq", "cr", strip_ansi(F.col("line")).alias("line")), line=line).select(
-        "*", (line == "").alias("blank"), F.startswith(line, F.lit(TRACEBACK_START)).alias("tb_start"),
-        line.rlike(TRACEBACK_END).alias("tb_end"), line.rlike(IMPORTANT).alias("important"),
-        line.rlike(WARNING).alias("warning"), line.contains(PHASE_START).alias("starts"),
-        line.contains(PHASE_METRICS).alias("summary"), line.rlike(PHASE_DONE).alias("done"),
-        parse_progress(line).alias("step"),
-    )
+        "*", *[mark.alias(name) for name, mark in said(line).items()])
 
 
 def tag_records(records: DataFrame, block: int = BLOCK) -> DataFrame:

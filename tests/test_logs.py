@@ -1,9 +1,11 @@
 import ast
 import random
+import re
 import time
 
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 
 from sft_tables.operators import logs
 from sft_tables.streaming import log_stream, tables
@@ -199,3 +201,80 @@ def test_chunks_in_order_ask_the_state_once_a_run():
     [found] = records.handleInputRows((1,), iter([chunks]), None)
     assert len(found) == 500 and records.place.value == (501, 500)
     assert len(asked) <= 4
+
+
+class Kept:
+    """State of one run as Spark keeps it, with a list of the calls to it."""
+
+    def __init__(self, asked):
+        self.asked, self.value = asked, []
+
+    def __getattr__(self, call):
+        def answer(*given):
+            self.asked.append(call)
+            if call in ("update", "put", "clear"):
+                self.value = list(given[0]) if given else []
+            elif call == "appendValue":
+                self.value = [*self.value, *given]
+            elif call == "appendList":
+                self.value = [*self.value, *given[0]]
+            return {"get": tuple(self.value) or None, "exists": bool(self.value)}.get(call)
+
+        return answer
+
+
+class KeptList(Kept):
+    def get(self):
+        self.asked.append("get")
+        return iter(self.value)
+
+
+def by_rows():
+    asked = []
+
+    class Handle:
+        getValueState = staticmethod(lambda *_: Kept(asked))
+        getListState = staticmethod(lambda *_: KeptList(asked))
+
+    records = log_stream.RecordRows(None, None)
+    records.init(Handle)
+
+    def pieces(batch):
+        rows = [Row(run_id=1, chunk_no=n, text=text, last=last) for n, text, last in batch]
+        return [(row.seq + i + 1, p) for row in records.handleInputRows((1,), iter(rows), None) for i, p in enumerate(row.pieces)]
+
+    return records, asked, pieces
+
+
+def test_early_chunks_ask_the_state_once_a_batch():
+    chunks = [(n, f"a{n}\nb", n == 900) for n in range(1, 901)]
+    records, asked, pieces = by_rows()
+    for batch in (chunks[600:], chunks[300:600]):
+        assert pieces(batch) == [] and len(asked) <= 3
+        asked.clear()
+    found = pieces(chunks[:300])
+    assert [p for _, p in found] == ["a1\n"] + [f"ba{n}\n" for n in range(2, 901)] + ["b", None]
+    assert [seq for seq, _ in found] == list(range(1, 903)) and len(asked) <= 4
+    assert not (records.place.value or records.open.value or records.early.value)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_chunks_in_any_order_and_more_than_once(seed):
+    rng = random.Random(seed)
+    text = "".join(rng.choice("ab\r\n") for _ in range(300))
+    cuts = [0, *sorted(rng.sample(range(1, 300), 60)), 300]
+    chunks = [(n, text[a:b], b == 300) for n, (a, b) in enumerate(zip(cuts, cuts[1:]), 1)]
+    if seed % 2:
+        chunks = [chunk for i in range(0, len(chunks), 7) for chunk in rng.sample(chunks[i:i + 7], len(chunks[i:i + 7]))]
+    else:
+        rng.shuffle(chunks)
+    records, _, pieces = by_rows()
+    found, at = [], 0
+    while at < len(chunks):
+        size = rng.randrange(1, 12)
+        found += pieces([*chunks[at:at + size], *rng.sample(chunks[:at], min(at, 3))])
+        at += size
+        assert bool(records.early.value) == (at < len(chunks) and records.place.value[0] < 0)
+    assert [p for _, p in found] == [p for p in re.split(r"(?<=[\r\n])", text) if p] + [None]
+    assert [seq for seq, _ in found] == list(range(1, len(found) + 1))
+    assert not (records.place.value or records.open.value or records.early.value)
